@@ -1 +1,356 @@
-"""Further registered queries (one per operator of the inventory)."""
+"""Registered queries, one or more per operator of the inventory."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from routeweave.functions import codec
+from routeweave.functions.timefmt import split_datetime
+from routeweave.operators import graph
+from routeweave.operators.legs import city_trips, leg_city_pairs, place_pairs, request_legs
+from routeweave.operators.routes import enumerate_routes, filter_price_range, filter_time_range
+from routeweave.plans.registry import _search, register
+from routeweave.plans.search import SearchParams, plan_requests, search, top_route_rows
+from routeweave.sources import fixtures, payloads
+
+
+def _pieces(spark, sf_dir, params=SearchParams()):
+    cat = fixtures.catalogue(spark, sf_dir)
+    plan, roles, stops = plan_requests(fixtures.requests(spark, sf_dir), cat.cities, params)
+    return cat, plan, roles, stops
+
+
+def _legs(spark, sf_dir):
+    cat, plan, roles, stops = _pieces(spark, sf_dir)
+    ok = plan.filter(F.col("status") == codec.STATUS_OK)
+    legs = request_legs(leg_city_pairs(plan, stops), city_trips(cat.trips, cat.places))
+    return cat, ok, legs
+
+
+# --- catalogues (S4 and the fixture derivation) ----------------------------------
+
+@register("cities", "SELECT * FROM cities")
+def q_cities(spark, sf_dir):
+    return fixtures.cities(spark, sf_dir)
+
+
+@register("places", "SELECT * FROM places")
+def q_places(spark, sf_dir):
+    return fixtures.places(spark, sf_dir)
+
+
+@register("trips", "SELECT * FROM trips")
+def q_trips(spark, sf_dir):
+    """Trips with J7 hours for bus legs and J8 values for flight legs."""
+    return fixtures.trips(spark, sf_dir)
+
+
+@register("bus_clock", """
+SELECT leg_id, split_part(departure_dt, 'T', 1) AS dep_day,
+       split_part(split_part(departure_dt, 'T', 2), '.', 1) AS dep_time,
+       split_part(departure_dt, '.', 2) AS dep_offset, duration_h
+FROM trips WHERE provider = 'BUS'
+""")
+def q_bus_clock(spark, sf_dir):
+    """Day, time and offset parts of each bus departure, with J7 hours."""
+    t = fixtures.trips(spark, sf_dir).filter(F.col("provider") == "BUS")
+    parts = split_datetime(F.col("departure_dt"))
+    return t.select("leg_id", F.get(parts, 0).alias("dep_day"), F.get(parts, 1).alias("dep_time"),
+                    F.get(parts, 2).alias("dep_offset"), "duration_h")
+
+
+@register("drop_metro_groups", """
+SELECT * FROM places WHERE NOT (provider = 'FLIGHT' AND length(split_part(place_code, '-', 1)) = 4)
+""")
+def q_drop_metro(spark, sf_dir):
+    """F4."""
+    return payloads.drop_metro_groups(fixtures.places(spark, sf_dir))
+
+
+# --- payload readers (S5, S6, S7, S8, U2) ------------------------------------------
+
+@register("flight_places", """
+SELECT place_code, place_name, provider, city_id FROM places
+WHERE provider = 'FLIGHT' AND length(split_part(place_code, '-', 1)) <> 4
+""")
+def q_flight_places(spark, sf_dir):
+    """S5 + F4 over one airport document per flight place."""
+    return payloads.flight_places(payloads.airport_documents(fixtures.places(spark, sf_dir)))
+
+
+@register("bus_places", """
+SELECT place_id, place_name, provider, city_id FROM places WHERE provider = 'BUS'
+""")
+def q_bus_places(spark, sf_dir):
+    """S6 over one region document per bus place."""
+    return payloads.bus_places(payloads.bus_region_documents(fixtures.places(spark, sf_dir)))
+
+
+@register("union_places", """
+SELECT place_id, place_name, provider, city_id FROM places
+WHERE NOT (provider = 'FLIGHT' AND length(split_part(place_code, '-', 1)) = 4)
+""")
+def q_union_places(spark, sf_dir):
+    """Airports (after F4) united with bus stations, distinct by id."""
+    p = fixtures.places(spark, sf_dir)
+    air = payloads.drop_metro_groups(p).filter(F.col("provider") == "FLIGHT")
+    bus = payloads.bus_places(payloads.bus_region_documents(p))
+    return payloads.union_places(air, bus)
+
+
+@register("flight_trips", """
+SELECT leg_id, origin_place_id, o_name, o_city, dest_place_id, d_name, d_city, provider, is_direct,
+       price, duration_h, departure_dt, arrival_dt
+FROM (SELECT CAST(CAST(origin_place_id AS DOUBLE) AS VARCHAR) || '-' || CAST(CAST(dest_place_id AS DOUBLE) AS VARCHAR)
+             || '-' || CAST(departure_date AS VARCHAR) || '-1.0' AS leg_id,
+             CAST(CAST(origin_place_id AS DOUBLE) AS VARCHAR) AS origin_place_id, o_name, o_city,
+             CAST(CAST(dest_place_id AS DOUBLE) AS VARCHAR) AS dest_place_id, d_name, d_city,
+             provider, is_direct, price, 0.0 AS duration_h,
+             CAST(departure_date AS VARCHAR) AS departure_dt, CAST(departure_date AS VARCHAR) AS arrival_dt
+      FROM ctrips WHERE provider = 'FLIGHT')
+""")
+def q_flight_trips(spark, sf_dir):
+    """S7 + F5 + T3 + J8 + J9 over one quote document per flight trip."""
+    cat = fixtures.catalogue(spark, sf_dir)
+    docs = payloads.flight_quote_documents(city_trips(cat.trips, cat.places))
+    return payloads.flight_trips(docs)
+
+
+@register("bus_trips", """
+SELECT origin_place_id || '-' || dest_place_id || '-' || departure_dt AS leg_id,
+       origin_place_id, o_name, o_city, dest_place_id, d_name, d_city, provider, is_direct,
+       price, duration_h, departure_dt, arrival_dt
+FROM ctrips WHERE provider = 'BUS'
+""")
+def q_bus_trips(spark, sf_dir):
+    """S8 + J6 + J7 over one journey document per bus trip."""
+    cat = fixtures.catalogue(spark, sf_dir)
+    docs = payloads.bus_journey_documents(city_trips(cat.trips, cat.places))
+    return payloads.bus_trips(docs)
+
+
+# --- messages (S9, J3, F1, J1, J2, J4, J5) -----------------------------------------
+
+_REQ_JSON = """'{"src": "' || src || '","departureDate":"' || CAST(departure_date AS VARCHAR) || '","dst":"' || dst
+  || '", "priceRange": [' || array_to_string(list_transform(price_range, lambda x: CAST(x AS VARCHAR)), ',')
+  || '],"timeTravelRange": [' || array_to_string(list_transform(time_range, lambda x: CAST(x AS VARCHAR)), ',') || ']}'"""
+
+
+@register("request_messages", f"""
+SELECT request_id, 'input-' || user_id AS key, {_REQ_JSON} AS value FROM requests
+""")
+def q_request_messages(spark, sf_dir):
+    """S9 + J3: every request as the client publishes it."""
+    return codec.encode_requests(fixtures.requests(spark, sf_dir))
+
+
+@register("decoded_requests", """
+SELECT request_id, user_id, src_lat, src_lon, dst_lat, dst_lon, departure_date,
+       CAST(len(price_range) AS INTEGER) AS n_price, price_range[1] AS price_lo, price_range[2] AS price_hi,
+       CAST(len(time_range) AS INTEGER) AS n_time, time_range[1] AS time_lo, time_range[2] AS time_hi,
+       'OK' AS status
+FROM req
+""")
+def q_decoded_requests(spark, sf_dir):
+    """F1 + J1 + J2 + J4 + J5: decode the published messages again."""
+    d = codec.decode_requests(codec.encode_requests(fixtures.requests(spark, sf_dir)))
+    return d.select("request_id", "user_id", "src_lat", "src_lon", "dst_lat", "dst_lon", "departure_date",
+                    F.size("price_range").alias("n_price"), F.get("price_range", 0).alias("price_lo"),
+                    F.get("price_range", 1).alias("price_hi"), F.size("time_range").alias("n_time"),
+                    F.get("time_range", 0).alias("time_lo"), F.get("time_range", 1).alias("time_hi"),
+                    "status")
+
+
+# --- cities and roles (G1, F3, W1, K1, W2, F9, U1) ---------------------------------
+
+@register("nearby_cities", """
+SELECT request_id, side, city_id, rank, ROUND(distance_km, 3) AS distance_km FROM near
+""")
+def q_nearby(spark, sf_dir):
+    """G1 + F3 + W1 + K1: five most populous cities within 200 km."""
+    _, _, roles, _ = _pieces(spark, sf_dir)
+    return roles.select("request_id", "side", "city_id", "rank", F.round("distance_km", 3).alias("distance_km"))
+
+
+@register("city_roles", "SELECT request_id, side, city_id, rank, role FROM roles")
+def q_roles(spark, sf_dir):
+    """Rank 1 is the endpoint, the others are transit."""
+    _, _, roles, _ = _pieces(spark, sf_dir)
+    return roles.select("request_id", "side", "city_id", "rank", "role")
+
+
+@register("request_plan", """
+SELECT request_id, user_id, o_city, d_city, departure_date, status FROM plan
+""")
+def q_plan(spark, sf_dir):
+    """endpoints per request, NO_CITY when one is missing."""
+    _, plan, _, _ = _pieces(spark, sf_dir)
+    return plan.select("request_id", "user_id", "o_city", "d_city", "departure_date", "status")
+
+
+@register("transit_cities", "SELECT request_id, via, via_name FROM stops")
+def q_transit(spark, sf_dir):
+    """U1 + D6."""
+    _, _, _, stops = _pieces(spark, sf_dir)
+    return stops
+
+
+# --- legs (U3, T1, T2, F10, U4) ------------------------------------------------------
+
+@register("leg_city_pairs", "SELECT request_id, from_city, to_city, departure_date FROM pairs")
+def q_pairs(spark, sf_dir):
+    """U3."""
+    _, plan, _, stops = _pieces(spark, sf_dir)
+    return leg_city_pairs(plan, stops)
+
+
+@register("place_pairs", """
+SELECT p.from_city, p.to_city, a.provider, a.place_id AS src_place_id, b.place_id AS dst_place_id
+FROM (SELECT DISTINCT from_city, to_city FROM pairs) p
+JOIN places a ON a.city_id = p.from_city
+JOIN places b ON b.city_id = p.to_city AND b.provider = a.provider
+""")
+def q_place_pairs(spark, sf_dir):
+    """T1 over the distinct searched city pairs (the place product a
+    per-request search would call the services for)."""
+    cat, plan, _, stops = _pieces(spark, sf_dir)
+    pairs = leg_city_pairs(plan, stops).select("from_city", "to_city").distinct()
+    pp = place_pairs(pairs.withColumn("request_id", F.lit(0)).withColumn("departure_date", F.lit(None)),
+                     cat.places)
+    return pp.select("from_city", "to_city", "provider", "src_place_id", "dst_place_id")
+
+
+@register("request_legs", "SELECT request_id, leg_id, o_city, d_city, price, duration_h FROM legs")
+def q_request_legs(spark, sf_dir):
+    """T2 + F10 + U4: the legs of every request."""
+    _, _, legs = _legs(spark, sf_dir)
+    return legs.select("request_id", "leg_id", "o_city", "d_city", "price", "duration_h")
+
+
+# --- routes (R4, R5, A3, U6, F7, F8) --------------------------------------------------
+
+@register("route_candidates", "SELECT request_id, route_id, n_legs, total_price, total_time FROM routes")
+def q_route_candidates(spark, sf_dir):
+    """R4 + R5 + A3 + U6 with the general iterative enumeration."""
+    _, ok, legs = _legs(spark, sf_dir)
+    r = enumerate_routes(legs, ok.select("request_id", "o_city", "d_city"))
+    return r.select("request_id", "route_id", "n_legs", "total_price", "total_time")
+
+
+@register("routes_in_range", "SELECT request_id, route_id, total_price, total_time FROM in_range")
+def q_in_range(spark, sf_dir):
+    """F7 + F8 on the enumerated routes."""
+    _, ok, legs = _legs(spark, sf_dir)
+    r = enumerate_routes(legs, ok.select("request_id", "o_city", "d_city"))
+    r = r.join(ok.select("request_id", "price_range", "time_range"), "request_id")
+    return filter_time_range(filter_price_range(r)).select("request_id", "route_id", "total_price",
+                                                           "total_time")
+
+
+# --- graph views (A1, A2, R2, R3, U5, A4) ---------------------------------------------
+
+_GRAPH_PLACES = """
+gplaces AS (
+  SELECT DISTINCT request_id, origin_place_id AS place_id, o_name AS place_name, o_city AS city_id FROM legs
+  UNION SELECT DISTINCT request_id, dest_place_id, d_name, d_city FROM legs),
+kept AS (
+  SELECT l.* FROM legs l JOIN ok USING (request_id)
+  WHERE l.d_city = ok.d_city
+     OR EXISTS (SELECT 1 FROM legs m WHERE m.request_id = l.request_id
+                AND m.origin_place_id = l.dest_place_id AND m.d_city = ok.d_city))
+"""
+
+
+def _graph_sql(body):
+    return "," + _GRAPH_PLACES + body
+
+
+@register("graph_places", _graph_sql("SELECT request_id, place_id, place_name, city_id FROM gplaces"))
+def q_graph_places(spark, sf_dir):
+    """A2."""
+    _, _, legs = _legs(spark, sf_dir)
+    return graph.graph_places(legs).select("request_id", "place_id", "place_name", "city_id")
+
+
+@register("graph_nodes", _graph_sql("""
+SELECT request_id, city_id, COUNT(*) AS n_places FROM gplaces GROUP BY request_id, city_id
+"""))
+def q_graph_nodes(spark, sf_dir):
+    """A1."""
+    _, _, legs = _legs(spark, sf_dir)
+    return graph.graph_nodes(legs)
+
+
+@register("reachable_legs", _graph_sql("SELECT request_id, leg_id FROM kept"))
+def q_reachable(spark, sf_dir):
+    """R2: backward reachability from the destination city."""
+    _, ok, legs = _legs(spark, sf_dir)
+    return graph.prune_unreachable(legs, ok).select("request_id", "leg_id")
+
+
+@register("pruned_nodes", _graph_sql("""
+SELECT g.request_id, g.city_id, g.place_id FROM gplaces g
+WHERE EXISTS (SELECT 1 FROM ok WHERE ok.request_id = g.request_id AND ok.d_city = g.city_id)
+   OR EXISTS (SELECT 1 FROM kept k WHERE k.request_id = g.request_id AND k.origin_place_id = g.place_id)
+"""))
+def q_pruned_nodes(spark, sf_dir):
+    """R3 + U5."""
+    _, ok, legs = _legs(spark, sf_dir)
+    kept = graph.prune_unreachable(legs, ok)
+    return graph.prune_nodes(legs, kept, ok).select("request_id", "city_id", "place_id")
+
+
+@register("graph_report", _graph_sql("""
+SELECT k.request_id, k.o_city AS city_id, COUNT(*) AS n_legs, MIN(k.price) AS min_price, MAX(k.price) AS max_price,
+       MIN(k.duration_h) AS min_hours, MAX(k.duration_h) AS max_hours
+FROM kept k JOIN ok USING (request_id) WHERE k.o_city <> ok.d_city GROUP BY k.request_id, k.o_city
+"""))
+def q_graph_report(spark, sf_dir):
+    """A4 aggregates per node."""
+    _, ok, legs = _legs(spark, sf_dir)
+    return graph.graph_report(graph.prune_unreachable(legs, ok), ok)
+
+
+# --- replies (J10, J11, J12, W4, F2) ---------------------------------------------------
+
+_RESPONSES = """
+, lines AS (
+  SELECT request_id, rank, chr(9) || 'Route ' || CAST(rank AS VARCHAR) || ' | Stops: ' || stops
+         || ' | Total Price: ' || CAST(total_price AS VARCHAR) || ' EUR | Total Time: '
+         || CAST(total_time AS VARCHAR) || ' hours' || chr(10) AS line
+  FROM top),
+texts AS (
+  SELECT request_id, string_agg(line, '' ORDER BY rank) AS body FROM lines GROUP BY request_id),
+responses AS (
+  SELECT p.request_id, 'output-' || p.user_id AS key,
+    CASE WHEN p.status <> 'OK' THEN 'Ups! There was some error in the query...'
+         WHEN t.body IS NULL THEN 'Sorry, no routes were found for the received dates and configuration...'
+         ELSE 'Routes found to travel from ' || p.o_name || ' to ' || p.d_name || ':' || chr(10) || t.body END AS value
+  FROM plan p LEFT JOIN texts t USING (request_id))
+"""
+
+
+@register("responses", _RESPONSES + "SELECT request_id, key, value FROM responses")
+def q_responses(spark, sf_dir):
+    """J10 + J11 + J12 + W4: the reply of every request."""
+    return _search(spark, sf_dir).responses
+
+
+FOLLOWED_USER = "7"
+
+
+@register("responses_for_user", _RESPONSES + f"""
+SELECT request_id, key, value FROM responses WHERE key = 'output-{FOLLOWED_USER}'
+""")
+def q_responses_for(spark, sf_dir):
+    """the replies one client reads from the shared topic."""
+    return codec.responses_for(_search(spark, sf_dir).responses, FOLLOWED_USER)
+
+
+@register("request_replies", """
+SELECT request_id, 'output-' || user_id AS key FROM requests
+""")
+def q_reply_keys(spark, sf_dir):
+    """J4 + J12: reply key from the request key of every message."""
+    d = codec.decode_requests(codec.encode_requests(fixtures.requests(spark, sf_dir)))
+    return d.select("request_id", codec.reply_key(F.col("user_id")).alias("key"))
