@@ -354,3 +354,25 @@ def q_reply_keys(spark, sf_dir):
     """J4 + J12: reply key from the request key of every message."""
     d = codec.decode_requests(codec.encode_requests(fixtures.requests(spark, sf_dir)))
     return d.select("request_id", codec.reply_key(F.col("user_id")).alias("key"))
+
+
+# --- streaming (S1, S2, S3) --------------------------------------------------------------
+
+@register("stream_responses", _RESPONSES + "SELECT request_id, key, value FROM responses")
+def q_stream_responses(spark, sf_dir):
+    """S1 + S3 + S2: the published request messages are replayed through
+    the streaming service (file source, several micro-batches) and the
+    replies read back from its sink; they must equal the batch replies."""
+    import uuid
+
+    from routeweave.session import ensure_checkpoint_dir
+    from routeweave.streaming import serve as svc
+
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/routeweave-stream/{uuid.uuid4().hex}"
+    msgs = codec.encode_requests(fixtures.requests(spark, sf_dir))
+    msgs.repartition(4, "request_id").write.parquet(f"{base}/in")
+    stream = svc.read_messages(spark, "parquet", f"{base}/in", maxFilesPerTrigger=2)
+    q = svc.serve(stream, fixtures.catalogue(spark, sf_dir), f"{base}/out", f"{base}/ckpt",
+                  trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("request_id", "key", "value")

@@ -60,10 +60,14 @@ def plan_requests(requests: DataFrame, cities: DataFrame, params: SearchParams =
     return plan, roles, stops
 
 
-def search(requests: DataFrame, catalogue: Catalogue, params: SearchParams = SearchParams()) -> SearchResult:
+def search(requests: DataFrame, catalogue: Catalogue, params: SearchParams = SearchParams(),
+           ctrips: DataFrame | None = None) -> SearchResult:
+    """``ctrips``: trips already joined with their cities (a service
+    prepares it once); derived from the catalogue when absent."""
     plan, roles, stops = plan_requests(requests, catalogue.cities, params)
     ok = plan.filter(F.col("status") == STATUS_OK)
-    ctrips = city_trips(catalogue.trips, catalogue.places)
+    if ctrips is None:
+        ctrips = city_trips(catalogue.trips, catalogue.places)
     segments = materialize(request_segments(ok, stops))
     top = shared_top_routes(segments, ctrips, params.top_n)
     return SearchResult(plan, roles, stops, top, build_responses(plan, top))
