@@ -27,7 +27,8 @@ def request_points(requests: DataFrame) -> DataFrame:
 
 
 def nearby_cities(points: DataFrame, cities: DataFrame, radius_km: float = RADIUS_KM,
-                  min_population: int = MIN_POPULATION, limit: int = CITY_LIMIT) -> DataFrame:
+                  min_population: int = MIN_POPULATION, limit: int = CITY_LIMIT,
+                  key=("request_id", "side")) -> DataFrame:
     """G1 + F3 + W1 + K1: the ``limit`` most populous cities within
     ``radius_km`` of each point, ranked 1..limit.
 
@@ -47,15 +48,14 @@ def nearby_cities(points: DataFrame, cities: DataFrame, radius_km: float = RADIU
     near = (probe.join(bounded_broadcast(cat), "band")
             .withColumn("distance_km", dist)
             .filter(F.col("distance_km") <= radius_km))
-    w = Window.partitionBy("request_id", "side").orderBy(F.col("population").desc(), F.col("city_id"))
+    w = Window.partitionBy(*key).orderBy(F.col("population").desc(), F.col("city_id"))
     return (near.withColumn("rank", F.row_number().over(w))
             .filter(F.col("rank") <= limit)
-            .select("request_id", "side", "city_id", "city_name", "country_code", "population",
-                    "distance_km", "rank"))
+            .select(*key, "city_id", "city_name", "country_code", "population", "distance_km", "rank"))
 
 
 def assign_roles(ranked: DataFrame, by: str = "population",
-                 threshold_km: float = ROLE_THRESHOLD_KM) -> DataFrame:
+                 threshold_km: float = ROLE_THRESHOLD_KM, key=("request_id", "side")) -> DataFrame:
     """W2 (and V1 with ``by="distance"``): the endpoint city of each side
     and the transit cities.
 
@@ -64,19 +64,38 @@ def assign_roles(ranked: DataFrame, by: str = "population",
     plus ``threshold_km`` are transit; among the others the first in rank
     order is the endpoint and the rest take no role.
     """
-    endpoint = F.when(F.col("side") == SRC, F.lit(ORIGIN)).otherwise(F.lit(DESTINATION))
     if by == "population":
-        role = F.when(F.col("rank") == 1, endpoint).otherwise(F.lit(TRANSIT))
-        return ranked.withColumn("role", role)
+        return ranked.withColumn("endpoint", F.col("rank") == 1)
     if by != "distance":
         raise ValueError(f"unknown role rule {by!r}")
-    side = Window.partitionBy("request_id", "side")
-    near_first = Window.partitionBy("request_id", "side", "_far").orderBy("rank")
+    side = Window.partitionBy(*key)
+    near_first = Window.partitionBy(*key, "_far").orderBy("rank")
     t = (ranked.withColumn("_far", F.col("distance_km") > F.min("distance_km").over(side) + threshold_km)
          .withColumn("_pos", F.row_number().over(near_first)))
-    role = (F.when(F.col("_far"), F.lit(TRANSIT))
-            .when(F.col("_pos") == 1, endpoint))
-    return t.withColumn("role", role).filter(F.col("role").isNotNull()).drop("_far", "_pos")
+    endpoint = F.when(F.col("_far"), F.lit(False)).when(F.col("_pos") == 1, F.lit(True))
+    return t.withColumn("endpoint", endpoint).filter(F.col("endpoint").isNotNull()).drop("_far", "_pos")
+
+
+def name_roles(ranked: DataFrame) -> DataFrame:
+    """Role text from the side and the endpoint flag."""
+    role = (F.when(~F.col("endpoint"), F.lit(TRANSIT))
+            .when(F.col("side") == SRC, F.lit(ORIGIN)).otherwise(F.lit(DESTINATION)))
+    return ranked.withColumn("role", role).drop("endpoint")
+
+
+def request_roles(requests: DataFrame, cities: DataFrame, radius_km: float = RADIUS_KM,
+                  min_population: int = MIN_POPULATION, limit: int = CITY_LIMIT,
+                  by: str = "population", threshold_km: float = ROLE_THRESHOLD_KM) -> DataFrame:
+    """G1 + W1 + K1 + W2 for every request, computed once per distinct
+    coordinate: the cities near a point depend on the point only, and
+    many requests share their coordinates.  The per-coordinate answer is
+    joined back to the request points (broadcast by AQE while small,
+    otherwise a shuffle join with skew splitting)."""
+    points = request_points(requests)
+    coords = points.select("lat", "lon").distinct()
+    ranked = nearby_cities(coords, cities, radius_km, min_population, limit, key=("lat", "lon"))
+    per_coord = assign_roles(ranked, by, threshold_km, key=("lat", "lon"))
+    return name_roles(points.join(per_coord, ["lat", "lon"]).drop("lat", "lon"))
 
 
 def request_plan(requests: DataFrame, roles: DataFrame) -> DataFrame:

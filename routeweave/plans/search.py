@@ -52,9 +52,9 @@ def typed_requests(requests: DataFrame) -> DataFrame:
 def plan_requests(requests: DataFrame, cities: DataFrame, params: SearchParams = SearchParams()):
     """G1 -> W1/K1 -> W2 -> F9 -> U1: (plan, roles, stops)."""
     req = typed_requests(requests)
-    points = geo.request_points(req.filter(F.col("status") == STATUS_OK))
-    ranked = geo.nearby_cities(points, cities, params.radius_km, params.min_population, params.city_limit)
-    roles = materialize(geo.assign_roles(ranked, params.roles_by, params.threshold_km))
+    roles = geo.request_roles(req.filter(F.col("status") == STATUS_OK), cities, params.radius_km,
+                              params.min_population, params.city_limit, params.roles_by,
+                              params.threshold_km)
     plan = materialize(geo.request_plan(req, roles))
     stops = geo.transit_cities(roles, plan)
     return plan, roles, stops

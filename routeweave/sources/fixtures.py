@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from routeweave.functions.timefmt import iso_datetime, journey_hours
+from routeweave.functions.timefmt import iso_datetime, with_journey_hours
 
 # Fixed values of the fixture derivation.
 BASE_DATE = "2024-01-01"
@@ -105,17 +105,20 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     bus_dep = iso_datetime(F.col("departure_date"), F.col("_dep_min"))
     bus_arr = iso_datetime(F.date_add(F.col("departure_date"), (F.col("_arr_min") / 1440).cast("int")),
                            F.col("_arr_min") % 1440)
+    # the clock texts are built in their own projection and referenced
+    # by J7 below, so the optimizer keeps them computed once per row
+    texts = with_journey_hours(base.select("*", bus_dep.alias("_bus_dep"), bus_arr.alias("_bus_arr")),
+                               "_bus_dep", "_bus_arr", "_bus_hours")
     is_flight = F.col("provider") == FLIGHT
     # A flight leg takes 0 hours and departs and arrives on the requested day
-    dep_dt = F.when(is_flight, F.col("departure_date").cast("string")).otherwise(bus_dep)
-    arr_dt = F.when(is_flight, F.col("departure_date").cast("string")).otherwise(bus_arr)
-    return base.select(
+    day = F.col("departure_date").cast("string")
+    return texts.select(
         "leg_id", "origin_place_id", "dest_place_id", "provider", "departure_date", "is_direct",
         "price",
-        F.when(is_flight, F.lit(0.0)).otherwise(journey_hours(bus_dep, bus_arr).cast("double"))
-        .alias("duration_h"),
-        dep_dt.alias("departure_dt"),
-        arr_dt.alias("arrival_dt"))
+        F.when(is_flight, F.lit(0.0))
+        .otherwise(F.col("_bus_hours").cast("double")).alias("duration_h"),
+        F.when(is_flight, day).otherwise(F.col("_bus_dep")).alias("departure_dt"),
+        F.when(is_flight, day).otherwise(F.col("_bus_arr")).alias("arrival_dt"))
 
 
 def _half_up_div(num, den: int):

@@ -57,9 +57,10 @@ def test_nearby_brute_force_many_points(spark):
 
 def test_roles_population_and_distance(spark):
     ranked = geo.nearby_cities(_points(spark), _cities(spark))
-    by_pop = {r.city_id: r.role for r in geo.assign_roles(ranked).collect()}
+    by_pop = {r.city_id: r.role for r in geo.name_roles(geo.assign_roles(ranked)).collect()}
     assert by_pop[2] == "ORIGIN" and by_pop[1] == "TRANSIT"
-    by_dist = {r.city_id: r.role for r in geo.assign_roles(ranked, by="distance", threshold_km=50).collect()}
+    by_dist = {r.city_id: r.role
+               for r in geo.name_roles(geo.assign_roles(ranked, by="distance", threshold_km=50)).collect()}
     # A is at distance 0; only cities beyond 50 km are transit; endpoint is A
     assert by_dist[1] == "ORIGIN"
     assert all(v == "TRANSIT" for k, v in by_dist.items() if k != 1)
@@ -70,8 +71,10 @@ def test_plan_no_city_and_transit_without_endpoints(spark):
         [(1, "u", 50.0, 10.0, 50.0, 12.5, "OK"), (2, "v", 0.0, 0.0, 50.0, 10.0, "OK")],
         "request_id BIGINT, user_id STRING, src_lat DOUBLE, src_lon DOUBLE, dst_lat DOUBLE, dst_lon DOUBLE, "
         "status STRING")
-    ranked = geo.nearby_cities(geo.request_points(req), _cities(spark))
-    roles = geo.assign_roles(ranked)
+    roles = geo.request_roles(req, _cities(spark))
+    direct = geo.name_roles(geo.assign_roles(geo.nearby_cities(geo.request_points(req), _cities(spark))))
+    cols = ["request_id", "side", "city_id", "rank", "role"]
+    assert sorted(map(tuple, roles.select(cols).collect())) == sorted(map(tuple, direct.select(cols).collect()))
     plan = {r.request_id: r for r in geo.request_plan(req, roles).collect()}
     assert plan[1].status == "OK" and plan[2].status == "NO_CITY"
     stops = geo.transit_cities(roles, geo.request_plan(req, roles)).filter(F.col("request_id") == 1).collect()
