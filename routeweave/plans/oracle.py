@@ -87,8 +87,7 @@ near AS (
     SELECT *, CAST(row_number() OVER (PARTITION BY request_id, side ORDER BY population DESC, city_id) AS INTEGER) AS rank
     FROM near_all WHERE distance_km <= 200.0) WHERE rank <= 5),
 roles AS (
-  SELECT *, CASE WHEN rank = 1 AND side = 'SRC' THEN 'ORIGIN' WHEN rank = 1 THEN 'DESTINATION' ELSE 'TRANSIT' END AS role
-  FROM near),
+  @ROLES@),
 plan AS (
   SELECT r.*, o.city_id AS o_city, o.city_name AS o_name, d.city_id AS d_city, d.city_name AS d_name,
     CASE WHEN o.city_id IS NULL OR d.city_id IS NULL THEN 'NO_CITY' ELSE 'OK' END AS status
@@ -131,5 +130,20 @@ top AS (
 """
 
 
-def with_fixtures(body: str) -> str:
-    return "WITH " + FIXTURE_CTES.strip() + "\n" + body.strip()
+ROLES_BY_POPULATION = """
+  SELECT *, CASE WHEN rank = 1 AND side = 'SRC' THEN 'ORIGIN' WHEN rank = 1 THEN 'DESTINATION' ELSE 'TRANSIT' END AS role
+  FROM near"""
+
+ROLES_BY_DISTANCE = """
+  SELECT * EXCLUDE (far, pos) FROM (
+    SELECT *, CASE WHEN far THEN 'TRANSIT' WHEN pos = 1 AND side = 'SRC' THEN 'ORIGIN'
+                   WHEN pos = 1 THEN 'DESTINATION' END AS role
+    FROM (SELECT *, row_number() OVER (PARTITION BY request_id, side, far ORDER BY rank) AS pos
+          FROM (SELECT *, distance_km > MIN(distance_km) OVER (PARTITION BY request_id, side) + 50.0 AS far
+                FROM near) a) b) c
+  WHERE role IS NOT NULL"""
+
+
+def with_fixtures(body: str, roles_by: str = "population") -> str:
+    roles = ROLES_BY_POPULATION if roles_by == "population" else ROLES_BY_DISTANCE
+    return "WITH " + FIXTURE_CTES.strip().replace("@ROLES@", roles.strip()) + "\n" + body.strip()

@@ -22,11 +22,11 @@ _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None = None):
+def register(name: str, sql: str | None = None, roles_by: str = "population"):
     def deco(fn: Query) -> Query:
         _QUERIES[name] = fn
         if sql is not None:
-            _SQL[name] = oracle.with_fixtures(sql)
+            _SQL[name] = oracle.with_fixtures(sql, roles_by)
         return fn
     return deco
 
@@ -51,4 +51,16 @@ def q_top_routes(spark, sf_dir):
     return top_route_rows(_search(spark, sf_dir))
 
 
+@register("top_routes_by_distance", """
+SELECT request_id, rank, route_id, n_legs, total_price, total_time, stops FROM top
+""", roles_by="distance")
+def q_top_routes_by_distance(spark, sf_dir):
+    """V1: the endpoint is the nearest city (ties within 50 km go to the
+    most populous), farther cities are transit."""
+    from routeweave.plans.search import SearchParams
+    res = search(fixtures.requests(spark, sf_dir), fixtures.catalogue(spark, sf_dir),
+                 SearchParams(roles_by="distance"))
+    return top_route_rows(res)
+
+
 import routeweave.plans.queries_more  # noqa: E402,F401  (registers the rest)
