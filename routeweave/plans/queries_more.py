@@ -59,6 +59,18 @@ def q_bus_clock(spark, sf_dir):
                     F.get(parts, 2).alias("dep_offset"), "duration_h")
 
 
+@register("city_places", """
+SELECT p.city_id, c.city_name, p.place_id, p.place_name, p.provider
+FROM places p JOIN cities c ON c.city_id = p.city_id
+""")
+def q_city_places(spark, sf_dir):
+    """Places attached to their city."""
+    from routeweave.operators.legs import city_places
+    cat = fixtures.catalogue(spark, sf_dir)
+    return city_places(cat.cities, cat.places).select("city_id", "city_name", "place_id", "place_name",
+                                                      "provider")
+
+
 @register("drop_metro_groups", """
 SELECT * FROM places WHERE NOT (provider = 'FLIGHT' AND length(split_part(place_code, '-', 1)) = 4)
 """)

@@ -33,3 +33,17 @@ def test_entry_contract(spark):
     assert df.columns == ["request_id", "rank", "route_id", "n_legs", "total_price", "total_time", "stops"]
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs) and "top_routes" in sql
+
+
+def test_catalogue_round_trip(spark, tmp_path):
+    from routeweave.sources import catalogue as store
+    cat = fixtures.catalogue(spark, SF0001)
+    store.write_catalogue(cat, str(tmp_path))
+    back = store.read_catalogue(spark, str(tmp_path))
+    assert back.trips.count() == cat.trips.count() == 6000
+    day = back.trips.filter("departure_date = DATE'2024-01-02'")
+    assert "PartitionFilters: [isnotnull(departure_date" in _plan_text(day)
+    want = {(r.request_id, r.route_id) for r in top_route_rows(search(fixtures.requests(spark, SF0001), cat)).collect()}
+    got = {(r.request_id, r.route_id) for r in top_route_rows(
+        search(fixtures.requests(spark, SF0001), back, ctrips=store.read_city_trips(spark, str(tmp_path)))).collect()}
+    assert got == want

@@ -26,7 +26,7 @@ def _random_graphs(seed, n_req=6, n_cities=5, places_per_city=2, n_legs=30):
     return legs, plan
 
 
-def _brute(legs, plan, max_legs=None):
+def _brute(legs, plan, max_legs=None, on_city=False):
     out = set()
     for req, o, d in plan:
         mine = [l for l in legs if l[0] == req]
@@ -39,7 +39,7 @@ def _brute(legs, plan, max_legs=None):
                 return
             all_flight = all(x[8] == "FLIGHT" for x in route)
             for nxt in mine:
-                if nxt[2] != last[5]:
+                if (nxt[4] != last[7]) if on_city else (nxt[2] != last[5]):
                     continue
                 q = nxt[5]
                 if q in visited and not (q == start and nxt[7] == d):
@@ -65,6 +65,15 @@ def test_enumerate_matches_brute_force(spark):
         assert got == _brute(legs, plan)
 
 
+def test_enumerate_city_connection_matches_brute_force(spark):
+    legs, plan = _random_graphs(7, n_req=4, n_legs=18)
+    ldf = spark.createDataFrame(legs, LEG_SCHEMA)
+    pdf = spark.createDataFrame(plan, "request_id BIGINT, o_city INT, d_city INT")
+    got = {(r.request_id, r.route_id, r.n_legs, r.total_price, r.total_time)
+           for r in enumerate_routes(ldf, pdf, max_legs=3, connect_on="city").collect()}
+    assert got == _brute(legs, plan, max_legs=3, on_city=True)
+
+
 def test_enumerate_chain_lengths_and_cap(spark):
     # a 6-leg bus chain and a 5-leg flight chain from city 0 to city 9
     legs = []
