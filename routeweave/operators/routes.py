@@ -237,13 +237,17 @@ def shared_top_routes(segments: DataFrame, ctrips: DataFrame, n: int = TOP_N) ->
     and families of one request share no route.
     """
     seg_keys = segments.select(*SEGMENT_KEY).distinct()
-    routes = segment_routes(seg_keys, ctrips)
+    # routes feed the ranking and, for the winners only, the itinerary
+    routes = materialize(segment_routes(seg_keys, ctrips))
+    slim = routes.select(*SEGMENT_KEY, "route_id", "n_legs", "total_price", "total_time")
     keys = segments.select(*SEARCH_KEY).distinct()
-    cand = (keys.join(routes, SEGMENT_KEY)
+    cand = (keys.join(slim, SEGMENT_KEY)
             .filter(F.col("total_price").between(F.col("p_lo"), F.col("p_hi"))
                     & F.col("total_time").between(F.col("t_lo"), F.col("t_hi"))))
     best_per_key = top_routes(cand, n, SEARCH_KEY).drop("rank")
     per_request = segments.select("request_id", *SEARCH_KEY).join(best_per_key, SEARCH_KEY)
-    return (top_routes(per_request, n, "request_id")
+    best = top_routes(per_request, n, "request_id")
+    # the nested itinerary is attached to the (at most n per request) winners only
+    return (best.join(routes.select(*SEGMENT_KEY, "route_id", "itinerary"), SEGMENT_KEY + ["route_id"])
             .select("request_id", "rank", "route_id", "n_legs", "itinerary", "total_price",
                     "total_time"))

@@ -81,7 +81,10 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     # number of places, as a scalar subquery inside the same plan
     n_places = table(spark, sf_dir, "customer").select(F.count(F.lit(1))).scalar()
     half = (n_places / 2).cast("long")
-    j = li.join(orders, li.l_orderkey == orders.o_orderkey)
+    # line items x orders is a big-big join at scale: hash-partition both
+    # on the order key (never broadcast the orders), so the per-trip
+    # expressions below run in every partition of the join
+    j = li.join(orders.hint("shuffle_hash"), li.l_orderkey == orders.o_orderkey)
     cents = F.round(F.col("l_extendedprice") * 100).cast("long")
     dep_date = F.date_add(F.lit(BASE_DATE).cast("date"), (F.col("l_linenumber") % 7).cast("int"))
     dep_min = (F.col("l_orderkey") % 24) * 60 + F.col("l_partkey") % 60
