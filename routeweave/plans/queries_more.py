@@ -323,6 +323,19 @@ def q_graph_report(spark, sf_dir):
     return graph.graph_report(graph.prune_unreachable(legs, ok), ok)
 
 
+@register("graph_report_lines", _graph_sql("""
+SELECT k.request_id, k.leg_id,
+  chr(9) || chr(9) || '(' || k.origin_place_id || ':' || k.o_name || ':' || k.provider || ':' || CAST(k.o_city AS VARCHAR)
+  || ') ==(' || CAST(k.price AS VARCHAR) || '€:' || CAST(k.duration_h AS VARCHAR) || 'h)=> ('
+  || k.dest_place_id || ':' || k.d_name || ':' || k.provider || ':' || CAST(k.d_city AS VARCHAR) || ')' AS line
+FROM kept k JOIN ok USING (request_id) WHERE k.o_city <> ok.d_city
+"""))
+def q_graph_report_lines(spark, sf_dir):
+    """A4 text: one line per kept leg leaving a node other than the destination."""
+    _, ok, legs = _legs(spark, sf_dir)
+    return graph.graph_report_lines(graph.prune_unreachable(legs, ok), ok)
+
+
 # --- replies (J10, J11, J12, W4, F2) ---------------------------------------------------
 
 _RESPONSES = """

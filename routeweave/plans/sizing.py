@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 # Largest catalogue side (rows) that is shipped to every executor.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+# Rows per file of an intermediate table.
+MATERIALIZE_ROWS_PER_FILE = 100_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -33,5 +35,6 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/routeweave-tables/{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
+    # bounded file size keeps the read-back split into many tasks
+    df.write.mode("error").option("maxRecordsPerFile", MATERIALIZE_ROWS_PER_FILE).parquet(path)
     return spark.read.parquet(path)
