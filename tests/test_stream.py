@@ -42,3 +42,19 @@ def test_client_reads_own_replies(spark):
     stream = svc.read_messages(spark, "parquet", f"{base}/topic")
     got = svc.collect_responses(stream, 5, timeout_s=5, query_name="client_5").collect()
     assert [(r.key, r.value) for r in got] == [("output-5", "mine")]
+
+
+def test_cli_request_serve_follow(spark, tmp_path):
+    from routeweave import cli
+    from routeweave.sources import catalogue as store
+    store.write_catalogue(fixtures.catalogue(spark, SF0001), str(tmp_path / "cat"))
+    inbox = str(tmp_path / "inbox")
+    cli.main(["request", "--user", "42", "--src", "+45.0000,+5.0000", "--dst", "+47.0000,+8.0000",
+              "--date", "2024-01-02", "--price", "", "--time", "", "--sink", "parquet", "--path", inbox])
+    stream = svc.read_messages(spark, "parquet", inbox)
+    q = svc.serve(stream, store.read_catalogue(spark, str(tmp_path / "cat")), str(tmp_path / "out"),
+                  str(tmp_path / "ckpt"), trigger={"availableNow": True})
+    q.awaitTermination()
+    replies = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert len(replies) == 1 and replies[0].key == "output-42"
+    assert replies[0].value.startswith("Routes found to travel from ") or replies[0].value.startswith("Sorry")
