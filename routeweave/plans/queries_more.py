@@ -117,7 +117,7 @@ FROM (SELECT CAST(CAST(origin_place_id AS DOUBLE) AS VARCHAR) || '-' || CAST(CAS
              || '-' || CAST(departure_date AS VARCHAR) || '-1.0' AS leg_id,
              CAST(CAST(origin_place_id AS DOUBLE) AS VARCHAR) AS origin_place_id, o_name, o_city,
              CAST(CAST(dest_place_id AS DOUBLE) AS VARCHAR) AS dest_place_id, d_name, d_city,
-             provider, is_direct, price, 0.0 AS duration_h,
+             provider, is_direct, price, CAST(0.0 AS DOUBLE) AS duration_h,
              CAST(departure_date AS VARCHAR) AS departure_dt, CAST(departure_date AS VARCHAR) AS arrival_dt
       FROM ctrips WHERE provider = 'FLIGHT')
 """)

@@ -41,14 +41,25 @@ def get_session(master: str | None = None, app: str = "routeweave",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, setting a private one only
-    when the cluster names none (local runs and tests)."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    """Return the shared folder for lineage cuts: the cluster's
+    ``spark.checkpoint.dir`` (or the context's checkpoint folder).  Only
+    when neither is set (local runs, tests) a private folder is created.
+    Works without a SparkContext handle too (Spark Connect)."""
+    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect sessions expose no SparkContext
+        sc = None
+    if not current and sc is not None:
+        current = sc.getCheckpointDir()
     if current:
-        if not sc.getCheckpointDir():
+        if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    path = tempfile.mkdtemp(prefix="routeweave-ckpt-")
-    sc.setCheckpointDir(path)
-    return os.path.abspath(path)
+    path = os.path.abspath(tempfile.mkdtemp(prefix="routeweave-ckpt-"))
+    if sc is not None:
+        sc.setCheckpointDir(path)
+    else:
+        spark.conf.set("spark.checkpoint.dir", path)
+    return path
