@@ -122,3 +122,61 @@ def transit_cities(roles: DataFrame, plan: DataFrame) -> DataFrame:
     return (t.join(ends, "request_id")
             .filter((F.col("city_id") != F.col("o_city")) & (F.col("city_id") != F.col("d_city")))
             .select("request_id", F.col("city_id").alias("via"), F.col("city_name").alias("via_name")))
+
+
+# --- planning at the level of distinct coordinates ------------------------------------
+
+PAIR_KEY = ["src_lat", "src_lon", "dst_lat", "dst_lon"]
+
+
+def coordinate_roles(requests: DataFrame, cities: DataFrame, radius_km: float = RADIUS_KM,
+                     min_population: int = MIN_POPULATION, limit: int = CITY_LIMIT,
+                     by: str = "population", threshold_km: float = ROLE_THRESHOLD_KM) -> DataFrame:
+    """G1 + W1 + K1 + W2 once per distinct coordinate of the requests:
+    ``lat, lon, city_id, city_name, ..., rank, endpoint``."""
+    coords = request_points(requests).select("lat", "lon").distinct()
+    ranked = nearby_cities(coords, cities, radius_km, min_population, limit, key=("lat", "lon"))
+    return assign_roles(ranked, by, threshold_km, key=("lat", "lon"))
+
+
+def pair_plan(requests: DataFrame, per_coord: DataFrame):
+    """F9 + U1 + D6 once per distinct (source, destination) coordinate pair:
+    ``(ends, stops)`` keyed by the four coordinates.  Everything a request
+    needs besides its ranges and day depends on this pair only."""
+    pairs = (requests.filter(F.col("status") == STATUS_OK)
+             .select(*PAIR_KEY).dropna().distinct())
+
+    def side(prefix):
+        return per_coord.select(F.col("lat").alias(f"{prefix}_lat"), F.col("lon").alias(f"{prefix}_lon"),
+                                "city_id", "city_name", "endpoint")
+    src, dst = side("src"), side("dst")
+    o = src.filter("endpoint").select("src_lat", "src_lon", F.col("city_id").alias("o_city"),
+                                      F.col("city_name").alias("o_name"))
+    d = dst.filter("endpoint").select("dst_lat", "dst_lon", F.col("city_id").alias("d_city"),
+                                      F.col("city_name").alias("d_name"))
+    ends = pairs.join(o, ["src_lat", "src_lon"]).join(d, ["dst_lat", "dst_lon"])
+    transit = (pairs.join(src.filter(~F.col("endpoint")), ["src_lat", "src_lon"])
+               .select(*PAIR_KEY, "city_id", "city_name")
+               .unionByName(pairs.join(dst.filter(~F.col("endpoint")), ["dst_lat", "dst_lon"])
+                            .select(*PAIR_KEY, "city_id", "city_name"))
+               .dropDuplicates(PAIR_KEY + ["city_name"]))
+    stops = (transit.join(ends.select(*PAIR_KEY, "o_city", "d_city"), PAIR_KEY)
+             .filter((F.col("city_id") != F.col("o_city")) & (F.col("city_id") != F.col("d_city")))
+             .select(*PAIR_KEY, F.col("city_id").alias("via"), F.col("city_name").alias("via_name")))
+    return ends, stops
+
+
+def plan_from_pairs(requests: DataFrame, ends: DataFrame) -> DataFrame:
+    """each request with the endpoints of its coordinate pair;
+    ``NO_CITY`` when the pair has none."""
+    j = requests.join(ends, PAIR_KEY, "left")
+    status = (F.when(F.col("status") != STATUS_OK, F.col("status"))
+              .when(F.col("o_city").isNull() | F.col("d_city").isNull(), F.lit(STATUS_NO_CITY))
+              .otherwise(F.lit(STATUS_OK)))
+    return j.withColumn("status", status)
+
+
+def stops_from_pairs(plan: DataFrame, stops: DataFrame) -> DataFrame:
+    """Each answerable request with the transit cities of its pair."""
+    ok = plan.filter(F.col("status") == STATUS_OK).select("request_id", *PAIR_KEY)
+    return ok.join(stops, PAIR_KEY).select("request_id", "via", "via_name")

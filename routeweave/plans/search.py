@@ -50,13 +50,22 @@ def typed_requests(requests: DataFrame) -> DataFrame:
 
 
 def plan_requests(requests: DataFrame, cities: DataFrame, params: SearchParams = SearchParams()):
-    """G1 -> W1/K1 -> W2 -> F9 -> U1: (plan, roles, stops)."""
+    """G1 -> W1/K1 -> W2 -> F9 -> U1: (plan, roles, stops).
+
+    Nearby cities and roles are computed per distinct coordinate, origin,
+    destination and stops per distinct coordinate pair, and joined back to
+    the requests on the coordinates (small sides are broadcast by AQE), so
+    no step shuffles all requests by id.  ``roles`` (per request) is lazy:
+    only the role queries evaluate it.
+    """
     req = typed_requests(requests)
-    roles = geo.request_roles(req.filter(F.col("status") == STATUS_OK), cities, params.radius_km,
-                              params.min_population, params.city_limit, params.roles_by,
-                              params.threshold_km)
-    plan = materialize(geo.request_plan(req, roles))
-    stops = geo.transit_cities(roles, plan)
+    ok = req.filter(F.col("status") == STATUS_OK)
+    per_coord = materialize(geo.coordinate_roles(ok, cities, params.radius_km, params.min_population,
+                                                 params.city_limit, params.roles_by, params.threshold_km))
+    roles = geo.name_roles(geo.request_points(ok).join(per_coord, ["lat", "lon"]).drop("lat", "lon"))
+    ends, pair_stops = geo.pair_plan(req, per_coord)
+    plan = materialize(geo.plan_from_pairs(req, ends))
+    stops = geo.stops_from_pairs(plan, pair_stops)
     return plan, roles, stops
 
 
