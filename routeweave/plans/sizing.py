@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,10 +33,39 @@ def materialize(df: DataFrame) -> DataFrame:
     recomputing the upstream - and a result used by several branches of
     a plan is computed once.  One job writes the table; unlike an RDD
     checkpoint nothing is computed twice."""
-    from routeweave.session import ensure_checkpoint_dir
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/routeweave-tables/{uuid.uuid4().hex}"
+    path = f"{_scope_root(spark)}/{uuid.uuid4().hex}"
     # bounded file size keeps the read-back split into many tasks
     df.write.mode("error").option("maxRecordsPerFile", MATERIALIZE_ROWS_PER_FILE).parquet(path)
     return spark.read.parquet(path)
+
+
+_LOCAL = threading.local()   # scopes per driver thread (stream callbacks run in their own)
+
+
+def _scopes() -> list:
+    if not hasattr(_LOCAL, "scopes"):
+        _LOCAL.scopes = []
+    return _LOCAL.scopes
+
+
+def _scope_root(spark) -> str:
+    from routeweave.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).rstrip("/") + "/routeweave-tables"
+    return f"{base}/{_scopes()[-1]}" if _scopes() else base
+
+
+@contextmanager
+def scratch_scope(spark, name: str | None = None):
+    """Group the tables ``materialize`` writes inside the block under one
+    folder and delete it on exit (a service calls this per micro-batch,
+    once the batch's output is written)."""
+    _scopes().append(name or uuid.uuid4().hex)
+    root = _scope_root(spark)
+    try:
+        yield root
+    finally:
+        _scopes().pop()
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
