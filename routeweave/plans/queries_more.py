@@ -10,7 +10,7 @@ from routeweave.operators import graph
 from routeweave.operators.legs import city_trips, leg_city_pairs, place_pairs, request_legs
 from routeweave.operators.routes import enumerate_routes, filter_price_range, filter_time_range
 from routeweave.plans.registry import _search, register
-from routeweave.plans.search import SearchParams, plan_requests, search, top_route_rows
+from routeweave.plans.search import SearchParams, plan_requests
 from routeweave.sources import fixtures, payloads
 
 

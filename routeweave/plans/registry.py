@@ -9,9 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from routeweave.functions.codec import STATUS_OK
 from routeweave.plans import oracle
 from routeweave.plans.search import search, top_route_rows
 from routeweave.sources import fixtures
