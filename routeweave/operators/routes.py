@@ -160,10 +160,18 @@ DIRECT = -1
 
 def request_segments(plan_ok: DataFrame, stops: DataFrame) -> DataFrame:
     """One row per request and route family: the direct family
-    (``via = -1``) and one per stop city, with normalised range bounds."""
+    (``via = -1``) and one per stop city, with normalised range bounds.
+
+    ``stops`` is either per request (``request_id, via``) or per
+    coordinate pair (the four coordinates and ``via``); the pair form is
+    small, so the requests meet their stops without a shuffle by id."""
     cols = ["request_id", "o_city", "d_city", "departure_date", "price_range", "time_range"]
     direct = plan_ok.select(*cols, F.lit(DIRECT).alias("via"))
-    via = stops.select("request_id", "via").join(plan_ok.select(*cols), "request_id")
+    if "request_id" in stops.columns:
+        via = stops.select("request_id", "via").join(plan_ok.select(*cols), "request_id")
+    else:
+        pair = ["src_lat", "src_lon", "dst_lat", "dst_lon"]
+        via = plan_ok.select(*cols, *pair).join(stops.select(*pair, "via"), pair).select(*cols, "via")
     seg = direct.unionByName(via)
     return seg.select(
         "request_id", *SEGMENT_KEY,

@@ -50,7 +50,13 @@ def typed_requests(requests: DataFrame) -> DataFrame:
 
 
 def plan_requests(requests: DataFrame, cities: DataFrame, params: SearchParams = SearchParams()):
-    """G1 -> W1/K1 -> W2 -> F9 -> U1: (plan, roles, stops).
+    """(plan, roles, stops) with stops per request; see ``plan_requests_full``."""
+    plan, roles, stops, _ = plan_requests_full(requests, cities, params)
+    return plan, roles, stops
+
+
+def plan_requests_full(requests: DataFrame, cities: DataFrame, params: SearchParams = SearchParams()):
+    """G1 -> W1/K1 -> W2 -> F9 -> U1: (plan, roles, stops, pair_stops).
 
     Nearby cities and roles are computed per distinct coordinate, origin,
     destination and stops per distinct coordinate pair, and joined back to
@@ -66,18 +72,18 @@ def plan_requests(requests: DataFrame, cities: DataFrame, params: SearchParams =
     ends, pair_stops = geo.pair_plan(req, per_coord)
     plan = materialize(geo.plan_from_pairs(req, ends))
     stops = geo.stops_from_pairs(plan, pair_stops)
-    return plan, roles, stops
+    return plan, roles, stops, pair_stops
 
 
 def search(requests: DataFrame, catalogue: Catalogue, params: SearchParams = SearchParams(),
            ctrips: DataFrame | None = None) -> SearchResult:
     """``ctrips``: trips already joined with their cities (a service
     prepares it once); derived from the catalogue when absent."""
-    plan, roles, stops = plan_requests(requests, catalogue.cities, params)
+    plan, roles, stops, pair_stops = plan_requests_full(requests, catalogue.cities, params)
     ok = plan.filter(F.col("status") == STATUS_OK)
     if ctrips is None:
         ctrips = city_trips(catalogue.trips, catalogue.places)
-    segments = materialize(request_segments(ok, stops))
+    segments = materialize(request_segments(ok, pair_stops))
     top = shared_top_routes(segments, ctrips, params.top_n)
     return SearchResult(plan, roles, stops, top, build_responses(plan, top))
 
