@@ -91,6 +91,9 @@ def enumerate_routes(legs: DataFrame, plan: DataFrame, max_legs: int | None = No
     ends = plan.select("request_id", F.col("o_city").alias("_o"), F.col("d_city").alias("_target"))
     lg = legs.select("request_id", "leg_id", "origin_place_id", "o_name", "o_city", "dest_place_id",
                      "d_name", "d_city", "provider", "price", "duration_h")
+    if checkpoint:
+        # every round joins the legs again: written once, read from files
+        lg = materialize(lg)
     first = (lg.join(ends, "request_id").filter(F.col("o_city") == F.col("_o"))
              .select("request_id", "_target",
                      F.col("origin_place_id").alias("start_place"),
