@@ -42,18 +42,17 @@ def leg_city_pairs(plan: DataFrame, stops: DataFrame) -> DataFrame:
     return direct.unionByName(out).unionByName(back).distinct()
 
 
-def place_pairs(pairs: DataFrame, places: DataFrame) -> DataFrame:
-    """Every (source place, target place) of a request's city pair with
-    the same provider.  Kept as its own operator for inspection; the search
-    never materialises this product (T2 joins trips directly)."""
-    p = places.select("place_id", "provider", "city_id")
-    a = p.select(F.col("place_id").alias("src_place_id"), F.col("provider"),
-                 F.col("city_id").alias("from_city"))
-    b = p.select(F.col("place_id").alias("dst_place_id"), F.col("provider"),
-                 F.col("city_id").alias("to_city"))
-    return (pairs.join(a, "from_city").join(b, ["to_city", "provider"])
-            .select("request_id", "from_city", "to_city", "departure_date", "provider",
-                    "src_place_id", "dst_place_id"))
+def place_pairs(pairs: DataFrame, ctrips: DataFrame) -> DataFrame:
+    """T1, re-aimed: the (source place, target place) pairs of the searched
+    city pairs that some trip connects, same provider.  The reference asks
+    the services about every place pair of a city pair; building that
+    product would grow with the square of a city's places, so only pairs
+    that trips actually connect are listed (the others return nothing)."""
+    p = pairs.select("from_city", "to_city").distinct()
+    t = ctrips.select(F.col("o_city").alias("from_city"), F.col("d_city").alias("to_city"), "provider",
+                      F.col("origin_place_id").alias("src_place_id"),
+                      F.col("dest_place_id").alias("dst_place_id"))
+    return t.join(p, ["from_city", "to_city"], "left_semi").distinct()
 
 
 def request_legs(pairs: DataFrame, ctrips: DataFrame) -> DataFrame:

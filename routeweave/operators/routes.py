@@ -1,4 +1,4 @@
-"""Routes: enumeration, range filters, order and top-N."""
+"""Routes: enumeration, range filters, order and top-N."""
 
 from __future__ import annotations
 
@@ -68,7 +68,7 @@ def _leg_limit(all_flight: Column) -> Column:
 
 
 def enumerate_routes(legs: DataFrame, plan: DataFrame, max_legs: int | None = None,
-                     connect_on: str = "place", checkpoint: bool = True) -> DataFrame:
+                     checkpoint: bool = True) -> DataFrame:
     """R4 + R5 + A3 + U6: every route of each request from a place of its
     origin city to the first place of its destination city.
 
@@ -77,16 +77,15 @@ def enumerate_routes(legs: DataFrame, plan: DataFrame, max_legs: int | None = No
     ``plan``: request_id, o_city, d_city.
 
     The frontier of open routes is extended by an equi-join with the legs
-    on (request, last place) - or last city with ``connect_on="city"``
-    (V3).  A route never passes a place twice; only its final arrival may
+    on (request, last place), as the reference connects legs by place id.
+    (Connecting any two places of a stop city would pair every arrival
+    with every departure there; that variant is not built.)  A route never passes a place twice; only its final arrival may
     equal its start (a round trip when origin and destination city are one
     city).  The length is capped by ``max_legs`` or, when None, by V2:
     4 legs while all legs are flights, 6 once a bus leg is present.  Each
     round's frontier is checkpointed to the session's checkpoint folder,
     and the loop ends when no open route is left.
     """
-    if connect_on not in ("place", "city"):
-        raise ValueError("connect_on must be 'place' or 'city'")
     cap = max_legs if max_legs is not None else max(MAX_LEGS_FLIGHT, MAX_LEGS_MIXED)
     ends = plan.select("request_id", F.col("o_city").alias("_o"), F.col("d_city").alias("_target"))
     lg = legs.select("request_id", "leg_id", "origin_place_id", "o_name", "o_city", "dest_place_id",
@@ -115,10 +114,7 @@ def enumerate_routes(legs: DataFrame, plan: DataFrame, max_legs: int | None = No
         open_ = frontier.filter(F.col("last_city") != F.col("_target"))
         if step == cap or open_.isEmpty():
             break
-        if connect_on == "place":
-            hop = F.col("r.last_place") == F.col("l.origin_place_id")
-        else:
-            hop = F.col("r.last_city") == F.col("l.o_city")
+        hop = F.col("r.last_place") == F.col("l.origin_place_id")
         nxt = open_.alias("r").join(lg.alias("l"), (F.col("r.request_id") == F.col("l.request_id")) & hop)
         q = F.col("l.dest_place_id")
         final_return = (q == F.col("r.start_place")) & (F.col("l.d_city") == F.col("r._target"))

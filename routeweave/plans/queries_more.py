@@ -217,19 +217,15 @@ def q_pairs(spark, sf_dir):
 
 
 @register("place_pairs", """
-SELECT p.from_city, p.to_city, a.provider, a.place_id AS src_place_id, b.place_id AS dst_place_id
-FROM (SELECT DISTINCT from_city, to_city FROM pairs) p
-JOIN places a ON a.city_id = p.from_city
-JOIN places b ON b.city_id = p.to_city AND b.provider = a.provider
+SELECT DISTINCT t.o_city AS from_city, t.d_city AS to_city, t.provider, t.origin_place_id AS src_place_id,
+       t.dest_place_id AS dst_place_id
+FROM ctrips t JOIN (SELECT DISTINCT from_city, to_city FROM pairs) p
+  ON t.o_city = p.from_city AND t.d_city = p.to_city
 """)
 def q_place_pairs(spark, sf_dir):
-    """T1 over the distinct searched city pairs (the place product a
-    per-request search would call the services for)."""
+    """T1 over the distinct searched city pairs: place pairs with a trip."""
     cat, plan, _, stops = _pieces(spark, sf_dir)
-    pairs = leg_city_pairs(plan, stops).select("from_city", "to_city").distinct()
-    pp = place_pairs(pairs.withColumn("request_id", F.lit(0)).withColumn("departure_date", F.lit(None)),
-                     cat.places)
-    return pp.select("from_city", "to_city", "provider", "src_place_id", "dst_place_id")
+    return place_pairs(leg_city_pairs(plan, stops), city_trips(cat.trips, cat.places))
 
 
 @register("request_legs", "SELECT request_id, leg_id, o_city, d_city, price, duration_h FROM legs")
