@@ -186,7 +186,17 @@ def segment_routes(seg_keys: DataFrame, ctrips: DataFrame) -> DataFrame:
     a leg origin -> stop joined on the arrival place with a leg stop ->
     destination (U3 has no stop->stop legs, so routes have 1 or 2 legs and
     the first arrival in the destination city ends them, R5).
+
+    When ``seg_keys`` carries ``fam_p_hi`` / ``fam_t_hi`` (the loosest
+    upper bounds of the family's search keys), routes above them are
+    dropped, and first legs above them are dropped before the two-leg
+    join - the partial-route cut, exact only while no leg has a negative
+    price or duration, which is checked on the batch's legs first.
     """
+    bounded = "fam_p_hi" in seg_keys.columns
+    if not bounded:
+        seg_keys = seg_keys.withColumn("fam_p_hi", F.lit(float("inf"))) \
+            .withColumn("fam_t_hi", F.lit(float("inf")))
     need = (seg_keys.filter(F.col("via") == DIRECT)
             .select(F.col("o_city").alias("a"), F.col("d_city").alias("b"), "departure_date")
             .unionByName(seg_keys.filter(F.col("via") != DIRECT)
@@ -204,8 +214,11 @@ def segment_routes(seg_keys: DataFrame, ctrips: DataFrame) -> DataFrame:
     legs = materialize(legs.select("leg_id", "origin_place_id", "o_name", "o_city", "dest_place_id",
                                    "d_name", "d_city", "provider", "departure_date", "price",
                                    "duration_h"))
+    cut_partial = bounded and _no_negative_legs(legs)
     direct_keys = seg_keys.filter(F.col("via") == DIRECT)
     direct = (legs.join(direct_keys, ["o_city", "d_city", "departure_date"])
+              .filter((F.round(F.col("price"), 2) <= F.col("fam_p_hi"))
+                      & (F.col("duration_h") <= F.col("fam_t_hi")))
               .select(*SEGMENT_KEY, F.col("leg_id").alias("route_id"), F.lit(1).alias("n_legs"),
                       F.array(leg_struct()).alias("itinerary"),
                       F.round(F.col("price"), 2).alias("total_price"),
@@ -215,15 +228,24 @@ def segment_routes(seg_keys: DataFrame, ctrips: DataFrame) -> DataFrame:
     first = a.join(via_keys.alias("k"),
                    (F.col("a.o_city") == F.col("k.o_city")) & (F.col("a.d_city") == F.col("k.via"))
                    & (F.col("a.departure_date") == F.col("k.departure_date")))
+    if cut_partial:
+        # with no negative legs a route costs at least its first leg
+        # (rounding is monotone), so a first leg above every bound of the
+        # family cannot start an answer
+        first = first.filter((F.round(F.col("a.price"), 2) <= F.col("k.fam_p_hi"))
+                             & (F.col("a.duration_h") <= F.col("k.fam_t_hi")))
     first = first.select(F.col("k.o_city").alias("o_city"), F.col("k.via").alias("via"),
                          F.col("k.d_city").alias("d_city"), F.col("k.departure_date").alias("departure_date"),
                          F.col("a.dest_place_id").alias("mid_place"), F.col("a.leg_id").alias("a_id"),
                          leg_struct().alias("a_leg"), F.col("a.price").alias("a_price"),
-                         F.col("a.duration_h").alias("a_time"))
+                         F.col("a.duration_h").alias("a_time"),
+                         F.col("k.fam_p_hi").alias("fam_p_hi"), F.col("k.fam_t_hi").alias("fam_t_hi"))
     b = legs.select(F.col("origin_place_id").alias("mid_place"), F.col("d_city").alias("d_city"),
                     "departure_date", F.col("leg_id").alias("b_id"), leg_struct().alias("b_leg"),
                     F.col("price").alias("b_price"), F.col("duration_h").alias("b_time"))
     two = (first.join(b, ["mid_place", "d_city", "departure_date"])
+           .filter((F.round(F.col("a_price") + F.col("b_price"), 2) <= F.col("fam_p_hi"))
+                   & (F.col("a_time") + F.col("b_time") <= F.col("fam_t_hi")))
            .select(*SEGMENT_KEY,
                    F.concat(F.col("a_id"), F.lit(ROUTE_ID_SEP), F.col("b_id")).alias("route_id"),
                    F.lit(2).alias("n_legs"),
@@ -233,6 +255,12 @@ def segment_routes(seg_keys: DataFrame, ctrips: DataFrame) -> DataFrame:
     return direct.unionByName(two)
 
 
+def _no_negative_legs(legs: DataFrame) -> bool:
+    """Guard of the partial-route cut: one small aggregate of the batch's legs."""
+    row = legs.agg(F.min("price").alias("p"), F.min("duration_h").alias("t")).first()
+    return row is None or row.p is None or (row.p >= 0 and row.t >= 0)
+
+
 def shared_top_routes(segments: DataFrame, ctrips: DataFrame, n: int = TOP_N) -> DataFrame:
     """Top ``n`` routes per request, sharing the work between requests.
 
@@ -243,7 +271,9 @@ def shared_top_routes(segments: DataFrame, ctrips: DataFrame, n: int = TOP_N) ->
     Exact: the best ``n`` of a union are among the best ``n`` of each part,
     and families of one request share no route.
     """
-    seg_keys = segments.select(*SEGMENT_KEY).distinct()
+    # per family, the loosest upper bounds over its search keys
+    seg_keys = segments.groupBy(*SEGMENT_KEY).agg(F.max("p_hi").alias("fam_p_hi"),
+                                                  F.max("t_hi").alias("fam_t_hi"))
     # routes feed the ranking and, for the winners only, the itinerary
     routes = materialize(segment_routes(seg_keys, ctrips))
     slim = routes.select(*SEGMENT_KEY, "route_id", "n_legs", "total_price", "total_time")
