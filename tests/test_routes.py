@@ -124,3 +124,23 @@ def test_published_fixture_numbers(spark):
     assert len({r.request_id for r in rows}) == 13
     assert round(sum(r.total_price for r in rows), 2) == 6905.55
     assert sum(r.total_time for r in rows) == 130.0
+
+
+def test_partial_cut_guard_keeps_routes_with_negative_legs(spark):
+    from routeweave.operators.routes import shared_top_routes
+    seg = spark.createDataFrame(
+        [(1, 0, 1, 2, "2024-01-01", float("-inf"), 10.0, float("-inf"), float("inf"))],
+        "request_id BIGINT, o_city INT, via INT, d_city INT, d STRING, p_lo DOUBLE, p_hi DOUBLE, "
+        "t_lo DOUBLE, t_hi DOUBLE").withColumn("departure_date", F.to_date("d")).drop("d")
+    legs = spark.createDataFrame(
+        [("a", "p", "P", 0, "q", "Q", 1, "BUS", "2024-01-01", 15.0, 1.0),     # above the bound alone
+         ("b", "q", "Q", 1, "r", "R", 2, "BUS", "2024-01-01", -8.0, 1.0),     # a refund leg
+         ("c", "p", "P", 0, "s", "S", 1, "BUS", "2024-01-01", 4.0, 1.0),
+         ("d", "s", "S", 1, "r", "R", 2, "BUS", "2024-01-01", 5.0, 1.0)],
+        "leg_id STRING, origin_place_id STRING, o_name STRING, o_city INT, dest_place_id STRING, d_name STRING, "
+        "d_city INT, provider STRING, d STRING, price DOUBLE, duration_h DOUBLE") \
+        .withColumn("departure_date", F.to_date("d")).drop("d")
+    got = {(r.route_id, r.total_price) for r in shared_top_routes(seg, legs).collect()}
+    assert got == {("a>b", 7.0), ("c>d", 9.0)}
+    no_refund = legs.filter(F.col("leg_id") != "b")
+    assert {r.route_id for r in shared_top_routes(seg, no_refund).collect()} == {"c>d"}
