@@ -71,3 +71,11 @@ def op3(spark, sf_dir):
 
     from routeweave.llm.op3_bpe import encode_digests
     return encode_digests(documents(spark, sf_dir), _public("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@register("op10_token_counts")
+def op10(spark, sf_dir):
+    import public_tokenizers
+
+    from routeweave.llm.op10_token_counts import count_documents
+    return count_documents(documents(spark, sf_dir), _public("byte_bpe_50k.json"), public_tokenizers.PATTERN, 512)
