@@ -79,3 +79,9 @@ def op10(spark, sf_dir):
 
     from routeweave.llm.op10_token_counts import count_documents
     return count_documents(documents(spark, sf_dir), _public("byte_bpe_50k.json"), public_tokenizers.PATTERN, 512)
+
+
+@register("op7_language_id")
+def op7(spark, sf_dir):
+    from routeweave.llm.op7_language import identify
+    return identify(documents(spark, sf_dir))
