@@ -85,3 +85,9 @@ def op10(spark, sf_dir):
 def op7(spark, sf_dir):
     from routeweave.llm.op7_language import identify
     return identify(documents(spark, sf_dir))
+
+
+@register("op9_secrets")
+def op9(spark, sf_dir):
+    from routeweave.llm.op9_secrets import scan_documents
+    return scan_documents(documents(spark, sf_dir))
