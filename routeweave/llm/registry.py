@@ -91,3 +91,9 @@ def op7(spark, sf_dir):
 def op9(spark, sf_dir):
     from routeweave.llm.op9_secrets import scan_documents
     return scan_documents(documents(spark, sf_dir))
+
+
+@register("op4_lm_scores")
+def op4(spark, sf_dir):
+    from routeweave.llm.op4_lm import score_documents
+    return score_documents(documents(spark, sf_dir))
