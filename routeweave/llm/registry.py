@@ -97,3 +97,9 @@ def op9(spark, sf_dir):
 def op4(spark, sf_dir):
     from routeweave.llm.op4_lm import score_documents
     return score_documents(documents(spark, sf_dir))
+
+
+@register("op6_jaccard_join")
+def op6(spark, sf_dir):
+    from routeweave.llm.op6_jaccard import jaccard_components
+    return jaccard_components(documents(spark, sf_dir), k=3, percent=90).drop("sid")
