@@ -103,3 +103,9 @@ def op4(spark, sf_dir):
 def op6(spark, sf_dir):
     from routeweave.llm.op6_jaccard import jaccard_components
     return jaccard_components(documents(spark, sf_dir), k=3, percent=90).drop("sid")
+
+
+@register("op5_suffix_dedup")
+def op5(spark, sf_dir):
+    from routeweave.llm.op5_suffix_dedup import dedup_documents
+    return dedup_documents(documents(spark, sf_dir), length=200, keep="none", digest=True)
