@@ -109,3 +109,9 @@ def op6(spark, sf_dir):
 def op5(spark, sf_dir):
     from routeweave.llm.op5_suffix_dedup import dedup_documents
     return dedup_documents(documents(spark, sf_dir), length=200, keep="none", digest=True)
+
+
+@register("op2_decontamination")
+def op2(spark, sf_dir):
+    from routeweave.llm.op2_decontaminate import find_leaks
+    return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

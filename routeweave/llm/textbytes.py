@@ -140,8 +140,7 @@ def shingles(h: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     padded = np.concatenate([h, np.zeros(k, np.uint64)])
     out = size.astype(np.uint64)
     for i in range(k):
-        term = np.where(i < size, padded[start + i], _U(0))
-        out = (out * _BASE) + mix64(term + _U(i + 1))
+        out = np.where(i < size, out * _BASE + mix64(padded[start + i] + _U(i + 1)), out)
     return mix64(out), begin
 
 
