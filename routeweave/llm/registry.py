@@ -115,3 +115,9 @@ def op5(spark, sf_dir):
 def op2(spark, sf_dir):
     from routeweave.llm.op2_decontaminate import find_leaks
     return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@register("op8_quality_rules")
+def op8(spark, sf_dir):
+    from routeweave.llm.op8_quality import quality
+    return quality(documents(spark, sf_dir))
