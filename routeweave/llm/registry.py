@@ -121,3 +121,9 @@ def op2(spark, sf_dir):
 def op8(spark, sf_dir):
     from routeweave.llm.op8_quality import quality
     return quality(documents(spark, sf_dir))
+
+
+@register("op1_license_scan")
+def op1(spark, sf_dir):
+    from routeweave.llm.op1_licenses import scan_licenses
+    return scan_licenses(documents(spark, sf_dir))
