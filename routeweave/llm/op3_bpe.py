@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +42,7 @@ class Codec:
         pairs = [(ranks[t[:k]], ranks[t[k:]], i) for t, i in ranks.items()
                  for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
         self.merges = bpe.Merges(*zip(*pairs, strict=True))
-        self.memo: dict[str, tuple[str, bytes]] = {}
+        self.memo: dict[str, tuple[str, bytes, bytes]] = {}
 
     def encode(self, text: str) -> list[int]:
         words = self.split(text)
@@ -52,13 +53,13 @@ class Codec:
 
     def learn(self, split: list[list[str]]) -> None:
         """Fill the memo with the words of some texts: (ids as text, the
-        bytes that the ids decode to)."""
+        bytes that the ids decode to, ids as 32-bit integers)."""
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
         fresh = list(set().union(*split).difference(self.memo))
         ids = bpe.encode_words(self.merges, self.first_id, [w.encode() for w in fresh])
         for w, x in zip(fresh, ids, strict=True):
-            self.memo[w] = " ".join(map(str, x)), self.decode(x)
+            self.memo[w] = " ".join(map(str, x)), self.decode(x), array("i", x).tobytes()
 
 
 _codecs: dict[int, Codec] = {}
@@ -110,7 +111,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
                 split = [codec.split(t) for t in group]
                 codec.learn(split)
                 get = codec.memo.__getitem__
-                ids = [np.array(" ".join([get(w)[0] for w in words]).split(), dtype=np.int32) for words in split]
+                ids = [np.frombuffer(b"".join([get(w)[2] for w in words]), np.int32) for words in split]
                 sizes = np.array([len(x) for x in ids], dtype=np.int64)
                 lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32),
                                                  pa.array(np.concatenate(ids), pa.int32()))

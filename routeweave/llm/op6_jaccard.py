@@ -34,7 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
+from routeweave.llm.bloom import bloom_filter, may_contain
 from routeweave.llm.graph import components
 from routeweave.llm.tables import written
 from routeweave.llm.textbytes import mix64, pieces, shingles, word_hashes
@@ -344,3 +346,35 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     of = named.join(least, "root").select("sid", "component_id")
     return members.join(of, "sid", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "sid")
+
+
+def drop_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, with one row of each component: its
+    least doc_id (of several such rows, the first by text).  Rows without
+    words stay.
+
+    Only rows whose set is in a component of several rows are shuffled; the
+    others are told by a Bloom filter of fixed size and stay in place."""
+    found = written(jaccard_components(docs, k, percent), "jaccard-groups").filter("sid IS NOT NULL")
+    several = found.groupBy("sid").agg(F.count("*").alias("n"), F.max(~F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("goes"))
+    bits = docs.sparkSession.sparkContext.broadcast(bloom_filter(several.filter("n > 1 OR goes"), "sid"))
+    stays = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("id_of__"), F.col("sid").alias("sid_of__")).distinct()
+    at = docs.columns.index("text")
+    marked = StructType([*docs.schema.fields, StructField("sid__", LongType())])
+
+    def mark(batches):
+        for batch in batches:
+            sid = [None] * batch.num_rows
+            for begin, _, values, offsets in pieces(batch.column(at)):
+                for i, s in enumerate(document_sets(values, offsets, k)):
+                    if len(s) and may_contain(bits.value, np.array([made := set_id(s)]).view(np.uint64))[0]:
+                        sid[begin + i] = made
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sid, pa.int64())], names=[*batch.schema.names, "sid__"])
+
+    rows = docs.mapInArrow(mark, marked)
+    first = W.partitionBy("doc_id", "sid__").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
+    looked = (rows.filter("sid__ IS NOT NULL")
+              .join(stays, F.col("doc_id").eqNullSafe(F.col("id_of__")) & (F.col("sid__") == F.col("sid_of__")), "left_semi")
+              .withColumn("rank__", F.row_number().over(first)).filter("rank__ = 1"))
+    return rows.filter("sid__ IS NULL").select(*docs.columns).union(looked.select(*docs.columns))

@@ -151,11 +151,12 @@ def has_letter(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def predict(docs: DataFrame, trees: Trees | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns of ``keep`` with lang_pred, score and bits_per_byte of
-    every row of ``docs``; only the text is looked at."""
-    src = docs.select(*keep, "text")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.drop("text").schema)
+def predict(docs: DataFrame, trees: Trees | None, keep: tuple[str, ...] = ("doc_id",),
+            names: tuple[str, str, str] = ("lang_pred", "score", "bits_per_byte")) -> DataFrame:
+    """The columns of ``keep`` with language, score and bits per byte of every
+    row of ``docs``, under ``names``; only the text is looked at."""
+    src = docs.select(*keep, F.col("text").alias("text_of"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
     shared = docs.sparkSession.sparkContext.broadcast(trees)
 
     def run(batches):
@@ -173,10 +174,10 @@ def predict(docs: DataFrame, trees: Trees | None, keep: tuple[str, ...] = ("doc_
                 for i in np.flatnonzero(known):
                     lang[begin + i] = model.langs[best[i]]
             yield pa.RecordBatch.from_arrays([*batch.columns[:n_keep], pa.array(lang, pa.string()), pa.array(score), pa.array(rate)],
-                                             names=[*batch.schema.names[:n_keep], "lang_pred", "score", "bits_per_byte"])
+                                             names=[*batch.schema.names[:n_keep], *names])
 
     n_keep = len(keep)
-    return src.mapInArrow(run, f"{fields}, lang_pred string, score double, bits_per_byte double")
+    return src.mapInArrow(run, f"{fields}, {names[0]} string, {names[1]} double, {names[2]} double")
 
 
 def identify(docs: DataFrame, folds: int = 3, held_out: int = 1, sample_docs: int = 400) -> DataFrame:
