@@ -15,16 +15,18 @@ def components(edges: DataFrame) -> DataFrame:
     part in a minimum, which is combined before the shuffle.  Loops and
     repeated edges are allowed; no edges give no rows."""
     now = written(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    state = None
-    while True:
-        seen = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).collect()[0]
-        if tuple(seen) == state:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
-                now.select("b", "b").distinct()).distinct()
-        state = tuple(seen)
+    while not _stars(now):
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = written(small.union(least).distinct(), "edges")
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node is either a root or has one edge, to a root."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("b", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 OR up + down > 1").isEmpty()

@@ -45,7 +45,7 @@ PART_BITS = 64
 FOLD = 16                   # bits of a folded sketch per allowed difference, at least
 BROADCAST_ROWS = 500_000    # of 8-byte ids
 BLOCK = 512                 # members of a bucket that are compared at once
-ROUNDS = 3                  # searches for forests before the one for all pairs
+ROUNDS = 2                  # searches for forests before the one for all pairs
 
 _U = np.uint64
 
@@ -183,9 +183,13 @@ def _buckets(keys: DataFrame) -> DataFrame:
 
 
 def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that sizes and folded sketches allow to be linked."""
+    """The pairs (a, b) that sizes and folded sketches allow to be linked,
+    with a document of each (rep_a, rep_b)."""
     def side(x):
-        return nodes.select(F.col("sid").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
+        return nodes.select(F.col("sid").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"),
+                            F.col("rep").alias(f"rep_{x}"))
+
+    id_type = nodes.schema["rep"].dataType.simpleString()
 
     def run(batches):
         bands = Bands(percent)
@@ -194,19 +198,17 @@ def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             fits = np.flatnonzero(100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
             sa, sb = batch.column(3), batch.column(5)
             good = [i for i in fits.tolist() if hamming(sa[i].as_py(), sb[i].as_py()) <= bands.difference(int(na[i] + nb[i]))]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(good, pa.int64())), batch.column(1).take(pa.array(good, pa.int64()))],
-                                             names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(good, pa.int64())) for c in (0, 1, 6, 7)],
+                                             names=["a", "b", "rep_a", "rep_b"])
 
-    return (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "s_a", "n_b", "s_b")
-            .mapInArrow(run, "a bigint, b bigint"))
+    return (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "s_a", "n_b", "s_b", "rep_a", "rep_b")
+            .mapInArrow(run, f"a bigint, b bigint, rep_a {id_type}, rep_b {id_type}"))
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs whose exact sets are linked; ``pairs`` is a written table."""
-    ids = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
-    need = written(ids.join(nodes.select("sid", "rep"), "sid"), "jaccard-need")
-    reps = need.select(F.col("rep").alias("doc_id")).distinct()
-    if need.count() <= BROADCAST_ROWS:      # beyond, a shuffled join
+    reps = written(pairs.select(F.col("rep_a").alias("doc_id")).union(pairs.select("rep_b")).distinct(), "jaccard-needed")
+    if reps.count() <= BROADCAST_ROWS:      # beyond, a shuffled join
         reps = F.broadcast(reps)
 
     def sets(batches):
@@ -249,11 +251,12 @@ def _open_pairs(buckets: DataFrame, nodes: DataFrame, comps: DataFrame, percent:
     blocks = F.ceil(F.col("n") / BLOCK)
     own = F.pmod(F.xxhash64("sid"), F.col("blocks"))
     dealt = (rows.join(mixed.select("key", blocks.alias("blocks")), "key")
-             .join(nodes.select("sid", "n_shingles", "sketch"), "sid")
+             .join(nodes.select("sid", "n_shingles", "sketch", "rep"), "sid")
              .withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
              .select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
-                     "own", "sid", "root", "n_shingles", "sketch"))
+                     "own", "sid", "root", "n_shingles", "sketch", "rep"))
+    id_type = nodes.schema["rep"].dataType.simpleString()
     dealt = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
 
     def run(batches):
@@ -268,7 +271,7 @@ def _open_pairs(buckets: DataFrame, nodes: DataFrame, comps: DataFrame, percent:
         if rest is not None and rest.num_rows:
             yield from _compare(rest, _edges(rest), bands, forest)
 
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(run, f"a bigint, b bigint, rep_a {id_type}, rep_b {id_type}").distinct()
 
 
 def _edges(table: pa.Table) -> np.ndarray:
@@ -307,9 +310,12 @@ def _compare(table: pa.Table, edge: np.ndarray, bands: Bands, forest: bool):
                     if u == v:
                         continue
                     top[u] = v
-                left.append(min(sid[a + i], sid[a + x]))
-                right.append(max(sid[a + i], sid[a + x]))
-    yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+                u, v = (a + i, a + x) if sid[a + i] < sid[a + x] else (a + x, a + i)
+                left.append(u)
+                right.append(v)
+    left, right, rep = pa.array(left, pa.int64()), pa.array(right, pa.int64()), table["rep"].combine_chunks()
+    yield pa.RecordBatch.from_arrays([pa.array(sid).take(left), pa.array(sid).take(right), rep.take(left), rep.take(right)],
+                                     names=["a", "b", "rep_a", "rep_b"])
 
 
 def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
@@ -322,23 +328,27 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     buckets = written(_buckets(_keys(docs, k, percent)), "jaccard-buckets")
 
     star = buckets.filter("center != sid").select(F.col("center").alias("a"), F.col("sid").alias("b")).distinct()
-    tested = written(_close(star, nodes, percent).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "jaccard-pairs")
-    links = written(_linked(tested, docs, nodes, k, percent), "jaccard-links")
+    nearest = _close(star, nodes, percent).groupBy("b").agg(F.min(F.struct("a", "rep_a")).alias("x"), F.first("rep_b").alias("rep_b"))
+    pairs = written(nearest.select("x.a", "b", "x.rep_a", "rep_b"), "jaccard-pairs")
+    tested = pairs.select("a", "b")
+    links = written(_linked(pairs, docs, k, percent), "jaccard-links")
     comps = written(components(links), "jaccard-components")
     forests = 0
     while True:
         forest = forests < ROUNDS
-        near = written(_open_pairs(buckets, nodes, comps, percent, forest), "jaccard-pairs")
-        fresh = written(near.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
-        if near.isEmpty() or (not forest and fresh.isEmpty()):
+        near = _open_pairs(buckets, nodes, comps, percent, forest)
+        near = written(near.join(tested.withColumn("known", F.lit(True)), ["a", "b"], "left"), "jaccard-pairs")
+        fresh = near.filter("known IS NULL").drop("known")
+        if near.isEmpty():
             break
-        forests = ROUNDS if fresh.isEmpty() else forests + 1
-        if not fresh.isEmpty():
-            tested = tested.union(fresh)
-            links = links.union(written(_linked(fresh, docs, nodes, k, percent), "jaccard-links"))
+        some = not fresh.isEmpty()
+        if some:
+            tested = tested.union(fresh.select("a", "b"))
+            links = links.union(written(_linked(fresh, docs, k, percent), "jaccard-links"))
             comps = written(components(links), "jaccard-components")
         if not forest:
             break
+        forests = forests + 1 if some else ROUNDS
 
     named = (nodes.select("sid", "rep").join(comps.withColumnRenamed("node", "sid"), "sid", "left")
              .select("sid", "rep", F.coalesce("root", "sid").alias("root")))
