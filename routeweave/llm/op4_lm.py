@@ -42,7 +42,7 @@ FILTER_BYTES = 64 << 20
 BITS_PER_ENTRY = 6
 PROBES = 3
 MU = 4.0
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
 REGION_BYTES = 8 << 20
 FLUSH_TOKENS = 3_000_000
 
