@@ -4,8 +4,8 @@
         --option kafka.bootstrap.servers=HOST:9092 --option subscribe=TOPIC \
         --sink kafka --sink-option kafka.bootstrap.servers=HOST:9092 --sink-option topic=TOPIC \
         --checkpoint PATH
-    python -m routeweave.cli request --user 42 --src +59.3493,+18.0707 --dst +55.6761,+12.5683 \
-        --date 2020-10-29 --price 20,150 --time 0,24 --sink parquet --path PATH
+    python -m routeweave.cli request --user 42 --src +45.1000,+5.2000 --dst +47.0000,+8.1000 \
+        --date 2024-01-02 --price 20,150 --time 0,24 --sink parquet --path PATH
     python -m routeweave.cli follow --user 42 --source parquet --path PATH
 """
 
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from routeweave.functions.codec import encode_requests, range_from_text
 from routeweave.session import get_session
-from routeweave.sources.catalogue import read_catalogue
 from routeweave.streaming import serve as svc
 
 
@@ -56,13 +55,13 @@ def main(argv=None):
 
     if args.cmd == "serve":
         stream = svc.read_messages(spark, args.source, args.path, **_opts(args.option))
-        q = svc.serve(stream, read_catalogue(spark, args.catalogue), args.sink_path, args.checkpoint,
+        q = svc.serve(stream, args.catalogue, args.sink_path, args.checkpoint,
                       sink_format=args.sink, sink_options=_opts(args.sink_option))
         q.awaitTermination()
     elif args.cmd == "request":
         one = spark.createDataFrame([(args.user, args.src, args.dst, args.date, args.price, args.time)],
                                     "user_id STRING, src STRING, dst STRING, d STRING, p STRING, t STRING")
-        req = one.select(F.monotonically_increasing_id().alias("request_id"), "user_id", "src", "dst",
+        req = one.select(F.abs(F.xxhash64(F.uuid())).alias("request_id"), "user_id", "src", "dst",
                          F.col("d").try_cast("date").alias("departure_date"),
                          range_from_text(F.col("p")).alias("price_range"),
                          range_from_text(F.col("t")).alias("time_range"))

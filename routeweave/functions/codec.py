@@ -19,6 +19,7 @@ STATUS_BAD_JSON = "BAD_JSON"
 STATUS_NOT_OBJECT = "NOT_OBJECT"
 STATUS_MISSING_FIELD = "MISSING_FIELD"
 STATUS_BAD_KEY = "BAD_KEY"
+STATUS_BAD_DATE = "BAD_DATE"
 STATUS_NO_CITY = "NO_CITY"
 
 
@@ -33,8 +34,8 @@ def responses_for(messages: DataFrame, user_id) -> DataFrame:
 
 
 def user_from_key(key: Column) -> Column:
-    """Second dash-separated part of the key; null when absent."""
-    return F.get(F.split(key, "-"), 1)
+    """Second dash-separated part of the key; null when absent or empty."""
+    return F.nullif(F.get(F.split(key, "-"), 1), F.lit(""))
 
 
 def reply_key(user_id: Column) -> Column:
@@ -54,27 +55,12 @@ def range_from_text(text: Column) -> Column:
         .otherwise(F.transform(F.split(text, ","), lambda x: F.trim(x).try_cast("double")))
 
 
-def range_to_json(values: Column) -> Column:
-    """A list of doubles as a JSON array text: ``[0.0,100.0]``, ``[]``."""
-    return F.concat(F.lit("["), F.array_join(F.transform(values, lambda x: x.cast("string")), ","),
-                    F.lit("]"))
-
-
-def _json_str(c: Column) -> Column:
-    escaped = F.regexp_replace(F.regexp_replace(c, r"\\", r"\\\\"), '"', '\\\\"')
-    return F.concat(F.lit('"'), escaped, F.lit('"'))
-
-
 def encode_requests(requests: DataFrame) -> DataFrame:
     """Requests -> messages laid out as the console client writes
     them: key ``input-<user>``, value a JSON object with five fields."""
-    value = F.concat(
-        F.lit('{"src": '), _json_str(F.col("src")),
-        F.lit(',"departureDate":'), _json_str(F.col("departure_date").cast("string")),
-        F.lit(',"dst":'), _json_str(F.col("dst")),
-        F.lit(', "priceRange": '), range_to_json(F.col("price_range")),
-        F.lit(',"timeTravelRange": '), range_to_json(F.col("time_range")),
-        F.lit("}"))
+    value = F.to_json(F.struct(
+        F.col("src"), F.col("departure_date").cast("string").alias("departureDate"), F.col("dst"),
+        F.col("price_range").alias("priceRange"), F.col("time_range").alias("timeTravelRange")))
     return requests.select(
         "request_id",
         F.concat(F.lit(INPUT_PREFIX + "-"), F.col("user_id").cast("string")).alias("key"),
@@ -93,24 +79,28 @@ def decode_requests(messages: DataFrame) -> DataFrame:
                   | F.trim(F.col("value")).try_cast("double").isNotNull()
                   | F.trim(F.col("value")).isin("true", "false", "null"))
     p = m.select("request_id", "key", "value", parsed.alias("j"))
+    date = F.col("j.departureDate").try_cast("date")
+    user = user_from_key(F.col("key"))
     missing = (F.col("j.src").isNull() | F.col("j.dst").isNull() | F.col("j.departureDate").isNull()
                | F.col("j.priceRange").isNull() | F.col("j.timeTravelRange").isNull())
     status = (F.when(F.col("value").isNull(), F.lit(STATUS_BAD_JSON))
               .when(other_json, F.lit(STATUS_NOT_OBJECT))
               .when(F.col("j._corrupt").isNotNull(), F.lit(STATUS_BAD_JSON))
               .when(missing, F.lit(STATUS_MISSING_FIELD))
-              .when(user_from_key(F.col("key")).isNull(), F.lit(STATUS_BAD_KEY))
+              .when(user.isNull(), F.lit(STATUS_BAD_KEY))
+              .when(date.isNull(), F.lit(STATUS_BAD_DATE))
               .otherwise(F.lit(STATUS_OK)))
     return p.select(
         "request_id",
-        user_from_key(F.col("key")).alias("user_id"),
+        # a message without a user is answered under its whole key
+        F.coalesce(user, F.col("key")).alias("user_id"),
         F.col("j.src").alias("src"),
         F.col("j.dst").alias("dst"),
         coordinate(F.col("j.src"), 0).alias("src_lat"),
         coordinate(F.col("j.src"), 1).alias("src_lon"),
         coordinate(F.col("j.dst"), 0).alias("dst_lat"),
         coordinate(F.col("j.dst"), 1).alias("dst_lon"),
-        F.col("j.departureDate").try_cast("date").alias("departure_date"),
+        date.alias("departure_date"),
         F.col("j.priceRange").alias("price_range"),
         F.col("j.timeTravelRange").alias("time_range"),
         status.alias("status"))

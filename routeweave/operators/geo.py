@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from routeweave.functions.codec import STATUS_NO_CITY, STATUS_OK
-from routeweave.functions.geo import haversine_km, lat_band
-from routeweave.plans.sizing import bounded_broadcast
+from routeweave.functions.geo import haversine_km, near_cells, own_cell
 
 # Fixed values of the nearby-city search.
 RADIUS_KM = 200.0
@@ -32,21 +31,18 @@ def nearby_cities(points: DataFrame, cities: DataFrame, radius_km: float = RADIU
     """G1 + F3 + W1 + K1: the ``limit`` most populous cities within
     ``radius_km`` of each point, ranked 1..limit.
 
-    Range join as an equi-join on latitude bands (the point side is
-    repeated for the two neighbouring bands) plus an exact haversine
-    filter; the city catalogue is broadcast when its size is bounded.
+    Range join as an equi-join on cells of a latitude/longitude grid (the
+    point side is repeated for the cells around it) plus an exact haversine
+    filter.
     """
     cat = (cities.filter(F.col("population") >= min_population)
            .select("city_id", "city_name", "country_code", "population",
                    F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon"),
-                   lat_band(F.col("lat"), radius_km).alias("band")))
+                   own_cell(F.col("lat"), F.col("lon"), radius_km).alias("cell")))
     probe = (points.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-             .withColumn("_b", lat_band(F.col("lat"), radius_km))
-             .withColumn("band", F.explode(F.array(F.col("_b") - 1, F.col("_b"), F.col("_b") + 1)))
-             .drop("_b"))
+             .withColumn("cell", F.explode(near_cells(F.col("lat"), F.col("lon"), radius_km))))
     dist = haversine_km(F.col("lat"), F.col("lon"), F.col("c_lat"), F.col("c_lon"))
-    near = (probe.join(bounded_broadcast(cat), "band")
-            .withColumn("distance_km", dist)
+    near = (probe.join(cat, "cell").withColumn("distance_km", dist)
             .filter(F.col("distance_km") <= radius_km))
     w = Window.partitionBy(*key).orderBy(F.col("population").desc(), F.col("city_id"))
     return (near.withColumn("rank", F.row_number().over(w))
@@ -83,47 +79,6 @@ def name_roles(ranked: DataFrame) -> DataFrame:
     return ranked.withColumn("role", role).drop("endpoint")
 
 
-def request_roles(requests: DataFrame, cities: DataFrame, radius_km: float = RADIUS_KM,
-                  min_population: int = MIN_POPULATION, limit: int = CITY_LIMIT,
-                  by: str = "population", threshold_km: float = ROLE_THRESHOLD_KM) -> DataFrame:
-    """G1 + W1 + K1 + W2 for every request, computed once per distinct
-    coordinate: the cities near a point depend on the point only, and
-    many requests share their coordinates.  The per-coordinate answer is
-    joined back to the request points (broadcast by AQE while small,
-    otherwise a shuffle join with skew splitting)."""
-    points = request_points(requests)
-    coords = points.select("lat", "lon").distinct()
-    ranked = nearby_cities(coords, cities, radius_km, min_population, limit, key=("lat", "lon"))
-    per_coord = assign_roles(ranked, by, threshold_km, key=("lat", "lon"))
-    return name_roles(points.join(per_coord, ["lat", "lon"]).drop("lat", "lon"))
-
-
-def request_plan(requests: DataFrame, roles: DataFrame) -> DataFrame:
-    """attach origin and destination cities; requests missing either
-    get ``status = NO_CITY`` and take no further part in the search."""
-    o = roles.filter(F.col("role") == ORIGIN).select(
-        "request_id", F.col("city_id").alias("o_city"), F.col("city_name").alias("o_name"))
-    d = roles.filter(F.col("role") == DESTINATION).select(
-        "request_id", F.col("city_id").alias("d_city"), F.col("city_name").alias("d_name"))
-    j = requests.join(o, "request_id", "left").join(d, "request_id", "left")
-    status = (F.when(F.col("status") != STATUS_OK, F.col("status"))
-              .when(F.col("o_city").isNull() | F.col("d_city").isNull(), F.lit(STATUS_NO_CITY))
-              .otherwise(F.lit(STATUS_OK)))
-    return j.withColumn("status", status)
-
-
-def transit_cities(roles: DataFrame, plan: DataFrame) -> DataFrame:
-    """U1 + D6: transit cities of both sides, distinct per request by city
-    name, without the request's own origin and destination city."""
-    t = (roles.filter(F.col("role") == TRANSIT)
-         .select("request_id", "city_id", "city_name")
-         .dropDuplicates(["request_id", "city_name"]))
-    ends = plan.filter(F.col("status") == STATUS_OK).select("request_id", "o_city", "d_city")
-    return (t.join(ends, "request_id")
-            .filter((F.col("city_id") != F.col("o_city")) & (F.col("city_id") != F.col("d_city")))
-            .select("request_id", F.col("city_id").alias("via"), F.col("city_name").alias("via_name")))
-
-
 # --- planning at the level of distinct coordinates ------------------------------------
 
 PAIR_KEY = ["src_lat", "src_lon", "dst_lat", "dst_lon"]
@@ -148,7 +103,7 @@ def pair_plan(requests: DataFrame, per_coord: DataFrame):
 
     def side(prefix):
         return per_coord.select(F.col("lat").alias(f"{prefix}_lat"), F.col("lon").alias(f"{prefix}_lon"),
-                                "city_id", "city_name", "endpoint")
+                                "city_id", "city_name", "population", "endpoint")
     src, dst = side("src"), side("dst")
     o = src.filter("endpoint").select("src_lat", "src_lon", F.col("city_id").alias("o_city"),
                                       F.col("city_name").alias("o_name"))
@@ -156,10 +111,12 @@ def pair_plan(requests: DataFrame, per_coord: DataFrame):
                                       F.col("city_name").alias("d_name"))
     ends = pairs.join(o, ["src_lat", "src_lon"]).join(d, ["dst_lat", "dst_lon"])
     transit = (pairs.join(src.filter(~F.col("endpoint")), ["src_lat", "src_lon"])
-               .select(*PAIR_KEY, "city_id", "city_name")
+               .select(*PAIR_KEY, "city_id", "city_name", "population")
                .unionByName(pairs.join(dst.filter(~F.col("endpoint")), ["dst_lat", "dst_lon"])
-                            .select(*PAIR_KEY, "city_id", "city_name"))
-               .dropDuplicates(PAIR_KEY + ["city_name"]))
+                            .select(*PAIR_KEY, "city_id", "city_name", "population")))
+    # of cities with one name the most populous stays, then the least id
+    by_name = Window.partitionBy(*PAIR_KEY, "city_name").orderBy(F.col("population").desc(), "city_id")
+    transit = transit.withColumn("_n", F.row_number().over(by_name)).filter("_n = 1")
     stops = (transit.join(ends.select(*PAIR_KEY, "o_city", "d_city"), PAIR_KEY)
              .filter((F.col("city_id") != F.col("o_city")) & (F.col("city_id") != F.col("d_city")))
              .select(*PAIR_KEY, F.col("city_id").alias("via"), F.col("city_name").alias("via_name")))

@@ -1,4 +1,4 @@
-"""Places and legs of each request."""
+"""Places, legs and graphs of requests."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from routeweave.functions.codec import STATUS_OK
-from routeweave.plans.sizing import bounded_broadcast
+from routeweave.operators.geo import PAIR_KEY
 
 
 def city_places(cities: DataFrame, places: DataFrame) -> DataFrame:
@@ -14,11 +14,19 @@ def city_places(cities: DataFrame, places: DataFrame) -> DataFrame:
     return places.join(cities.select("city_id", "city_name"), "city_id")
 
 
+def distinct_legs(trips: DataFrame) -> DataFrame:
+    """U4: equal legs count once.  ``leg_id`` covers all fields that tell
+    legs apart, so of rows with one id the least by its fields is kept."""
+    rest = [c for c in trips.columns if c != "leg_id"]
+    one = trips.groupBy("leg_id").agg(F.min(F.struct(*rest)).alias("leg"))
+    return one.select("leg_id", "leg.*").select(*trips.columns)
+
+
 def city_trips(trips: DataFrame, places: DataFrame) -> DataFrame:
     """Trips with the city and name of both end places, same provider only
-    (F10).  Places are broadcast when their count is bounded; otherwise
-    both joins shuffle on the place id."""
-    p = bounded_broadcast(places.select("place_id", "place_name", "provider", "city_id"))
+    (F10).  The optimizer broadcasts the places while they are small;
+    otherwise both joins shuffle on the place id."""
+    p = places.select("place_id", "place_name", "provider", "city_id")
     po = p.select(F.col("place_id").alias("origin_place_id"), F.col("place_name").alias("o_name"),
                   F.col("provider").alias("o_provider"), F.col("city_id").alias("o_city"))
     pd = p.select(F.col("place_id").alias("dest_place_id"), F.col("place_name").alias("d_name"),
@@ -28,18 +36,36 @@ def city_trips(trips: DataFrame, places: DataFrame) -> DataFrame:
             .drop("o_provider", "d_provider"))
 
 
-def leg_city_pairs(plan: DataFrame, stops: DataFrame) -> DataFrame:
-    """City pairs to search per request: origin->destination,
-    origin->stop and stop->destination (no stop->stop), distinct."""
-    ok = plan.filter(F.col("status") == STATUS_OK).select("request_id", "o_city", "d_city", "departure_date")
-    direct = ok.select("request_id", F.col("o_city").alias("from_city"),
-                       F.col("d_city").alias("to_city"), "departure_date")
-    s = stops.join(ok, "request_id")
-    out = s.select("request_id", F.col("o_city").alias("from_city"), F.col("via").alias("to_city"),
-                   "departure_date")
-    back = s.select("request_id", F.col("via").alias("from_city"), F.col("d_city").alias("to_city"),
-                    "departure_date")
-    return direct.unionByName(out).unionByName(back).distinct()
+# --- graphs: what a request searches, shared by all requests that search the same ---
+
+def request_graphs(plan: DataFrame, pair_stops: DataFrame) -> DataFrame:
+    """``request_id, graph_id, o_city, d_city, departure_date, vias`` of every
+    answerable request.  A graph is an origin city, a destination city, a
+    day and a set of stop cities (at most twice the city limit); its id is
+    their text, so requests that search the same share one graph."""
+    vias = pair_stops.groupBy(*PAIR_KEY).agg(F.array_sort(F.collect_set("via")).alias("vias"))
+    ok = plan.filter(F.col("status") == STATUS_OK).select("request_id", "o_city", "d_city", "departure_date", *PAIR_KEY)
+    j = ok.join(vias, PAIR_KEY, "left").withColumn("vias", F.coalesce("vias", F.array().cast("array<int>")))
+    graph_id = F.concat_ws("|", F.col("o_city").cast("string"), F.col("d_city").cast("string"),
+                           F.col("departure_date").cast("string"),
+                           F.array_join(F.transform("vias", lambda x: x.cast("string")), ","))
+    return j.select("request_id", graph_id.alias("graph_id"), "o_city", "d_city", "departure_date", "vias")
+
+
+def distinct_graphs(graph_of: DataFrame) -> DataFrame:
+    """``graph_id, o_city, d_city, departure_date, vias``, one row a graph."""
+    return graph_of.drop("request_id").distinct()
+
+
+def leg_city_pairs(graphs: DataFrame) -> DataFrame:
+    """City pairs to search per graph: origin->destination, origin->stop
+    and stop->destination (no stop->stop), distinct."""
+    pair = F.array(F.struct(F.col("o_city").alias("from_city"), F.col("d_city").alias("to_city")))
+    out = F.transform("vias", lambda v: F.struct(F.col("o_city").alias("from_city"), v.alias("to_city")))
+    back = F.transform("vias", lambda v: F.struct(v.alias("from_city"), F.col("d_city").alias("to_city")))
+    pairs = F.array_distinct(F.concat(pair, out, back))
+    return graphs.select("graph_id", "departure_date", F.explode(pairs).alias("p")).select(
+        "graph_id", "p.from_city", "p.to_city", "departure_date")
 
 
 def place_pairs(pairs: DataFrame, ctrips: DataFrame) -> DataFrame:
@@ -55,10 +81,9 @@ def place_pairs(pairs: DataFrame, ctrips: DataFrame) -> DataFrame:
     return t.join(p, ["from_city", "to_city"], "left_semi").distinct()
 
 
-def request_legs(pairs: DataFrame, ctrips: DataFrame) -> DataFrame:
-    """T2 + U4: the legs of each request, i.e. trips on the requested day
-    between the places of each searched city pair.  Pairs are distinct and
-    every trip has one city pair, so the legs are distinct per request."""
-    t = ctrips.withColumnRenamed("o_city", "from_city").withColumnRenamed("d_city", "to_city")
+def graph_legs(pairs: DataFrame, ctrips: DataFrame) -> DataFrame:
+    """T2 + U4: the legs of each graph, i.e. the distinct trips on its day
+    between the places of each of its city pairs."""
+    t = distinct_legs(ctrips).withColumnRenamed("o_city", "from_city").withColumnRenamed("d_city", "to_city")
     return (pairs.join(t, ["from_city", "to_city", "departure_date"])
             .withColumnRenamed("from_city", "o_city").withColumnRenamed("to_city", "d_city"))

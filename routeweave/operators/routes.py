@@ -1,4 +1,7 @@
-"""Routes: enumeration, range filters, order and top-N."""
+"""Routes: enumeration, range filters, order and top-N.
+
+Totals are raw sums everywhere in this module; only outputs round them.
+"""
 
 from __future__ import annotations
 
@@ -6,15 +9,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from routeweave.functions.ranges import in_range, lower_bound, upper_bound
+from routeweave.operators.legs import distinct_legs
 from routeweave.plans.sizing import materialize
 
-# Answers per request and the transit caps (legs = transits + 1).
+# Answers per request and texts of routes.
 TOP_N = 5
-MAX_LEGS_FLIGHT = 4
-MAX_LEGS_MIXED = 6
 ROUTE_ID_SEP = ">"
 STOP_SEP = " => "
-
+FLIGHT = "FLIGHT"
 
 
 def route_order() -> list:
@@ -22,12 +24,14 @@ def route_order() -> list:
     return [F.col("total_price").asc(), F.col("total_time").desc(), F.col("route_id").asc()]
 
 
-def leg_struct() -> Column:
+def leg_struct(alias: str = "") -> Column:
     """One itinerary element."""
+    p = f"{alias}." if alias else ""
     return F.struct(
-        F.col("leg_id"), F.col("origin_place_id"), F.col("o_name").alias("origin_name"),
-        F.col("dest_place_id"), F.col("d_name").alias("dest_name"), F.col("provider"),
-        F.col("price"), F.col("duration_h"))
+        F.col(f"{p}leg_id").alias("leg_id"), F.col(f"{p}origin_place_id").alias("origin_place_id"),
+        F.col(f"{p}o_name").alias("origin_name"), F.col(f"{p}dest_place_id").alias("dest_place_id"),
+        F.col(f"{p}d_name").alias("dest_name"), F.col(f"{p}provider").alias("provider"),
+        F.col(f"{p}price").alias("price"), F.col(f"{p}duration_h").alias("duration_h"))
 
 
 def stops_text(itinerary: Column) -> Column:
@@ -47,15 +51,8 @@ def filter_time_range(routes: DataFrame, col: str = "time_range") -> DataFrame:
     return routes.filter(in_range(F.col("total_time"), F.col(col)))
 
 
-def order_routes(routes: DataFrame) -> DataFrame:
-    """Price ascending, then total time descending, then route id."""
-    return routes.orderBy(*route_order())
-
-
-def top_routes(routes: DataFrame, n: int = TOP_N, key: str | list = "request_id") -> DataFrame:
-    """R7 + W3: the ``n`` first routes of each request in R6 order, ranked
-    1..n.  ``row_number() <= n`` is planned as a WindowGroupLimit, which
-    also cuts each map partition before the shuffle."""
+def top_routes(routes: DataFrame, n: int = TOP_N, key="request_id") -> DataFrame:
+    """R7 + W3: rank by R6 inside each key and keep the first ``n``."""
     keys = [key] if isinstance(key, str) else list(key)
     w = Window.partitionBy(*keys).orderBy(*route_order())
     return routes.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
@@ -63,228 +60,202 @@ def top_routes(routes: DataFrame, n: int = TOP_N, key: str | list = "request_id"
 
 # --- general enumeration over arbitrary leg graphs ---------------------------------
 
-def _leg_limit(all_flight: Column) -> Column:
-    return F.when(all_flight, F.lit(MAX_LEGS_FLIGHT)).otherwise(F.lit(MAX_LEGS_MIXED))
-
-
 def enumerate_routes(legs: DataFrame, plan: DataFrame, max_legs: int | None = None,
-                     checkpoint: bool = True) -> DataFrame:
-    """R4 + R5 + A3 + U6: every route of each request from a place of its
+                     max_legs_flight: int | None = None, key: str = "graph_id") -> DataFrame:
+    """R4 + R5 + A3 + U6: every route of each graph from a place of its
     origin city to the first place of its destination city.
 
-    ``legs``: request_id, leg_id, origin_place_id, o_name, o_city,
-    dest_place_id, d_name, d_city, provider, price, duration_h.
-    ``plan``: request_id, o_city, d_city.
+    ``legs``: key, leg_id, origin_place_id, o_name, o_city, dest_place_id,
+    d_name, d_city, provider, price, duration_h (distinct by leg_id).
+    ``plan``: key, o_city, d_city.
 
-    The frontier of open routes is extended by an equi-join with the legs
-    on (request, last place), as the reference connects legs by place id.
-    (Connecting any two places of a stop city would pair every arrival
-    with every departure there; that variant is not built.)  A route never passes a place twice; only its final arrival may
+    Open routes are extended by an equi-join with the legs on (key, last
+    place).  A route never passes a place twice; only its final arrival may
     equal its start (a round trip when origin and destination city are one
-    city).  The length is capped by ``max_legs`` or, when None, by V2:
-    4 legs while all legs are flights, 6 once a bus leg is present.  Each
-    round's frontier is checkpointed to the session's checkpoint folder,
-    and the loop ends when no open route is left.
+    city).  That bounds the loop, which ends when no open route is left.
+
+    V2: ``max_legs`` keeps finished routes of at most so many legs, and
+    ``max_legs_flight`` all-flight ones; both are off by default.
     """
-    cap = max_legs if max_legs is not None else max(MAX_LEGS_FLIGHT, MAX_LEGS_MIXED)
-    ends = plan.select("request_id", F.col("o_city").alias("_o"), F.col("d_city").alias("_target"))
-    lg = legs.select("request_id", "leg_id", "origin_place_id", "o_name", "o_city", "dest_place_id",
-                     "d_name", "d_city", "provider", "price", "duration_h")
-    if checkpoint:
-        # every round joins the legs again: written once, read from files
-        lg = materialize(lg)
-    first = (lg.join(ends, "request_id").filter(F.col("o_city") == F.col("_o"))
-             .select("request_id", "_target",
-                     F.col("origin_place_id").alias("start_place"),
-                     F.col("dest_place_id").alias("last_place"),
-                     F.col("d_city").alias("last_city"),
-                     F.array(F.col("origin_place_id"), F.col("dest_place_id")).alias("visited"),
-                     F.array(leg_struct()).alias("itinerary"),
-                     F.lit(1).alias("n_legs"),
-                     F.col("price").alias("total_price"),
-                     F.col("duration_h").alias("total_time"),
-                     (F.col("provider") == "FLIGHT").alias("all_flight")))
-    finished = []
-    frontier = first
-    for step in range(1, cap + 1):
-        if checkpoint:
-            frontier = materialize(frontier)
-        done = frontier.filter(F.col("last_city") == F.col("_target"))
-        finished.append(done)
+    ends = plan.select(key, F.col("o_city").alias("_o"), F.col("d_city").alias("_target"))
+    lg = materialize(legs.select(key, "leg_id", "origin_place_id", "o_name", "o_city", "dest_place_id",
+                                 "d_name", "d_city", "provider", "price", "duration_h"))
+    longest = None if max_legs is None else max(max_legs, max_legs_flight or 0)
+    frontier = (lg.join(ends, key).filter(F.col("o_city") == F.col("_o"))
+                .select(key, "_target", F.col("origin_place_id").alias("start_place"),
+                        F.col("dest_place_id").alias("last_place"), F.col("d_city").alias("last_city"),
+                        F.array(F.col("origin_place_id"), F.col("dest_place_id")).alias("visited"),
+                        F.array(leg_struct()).alias("itinerary"), F.lit(1).alias("n_legs"),
+                        F.col("price").alias("total_price"), F.col("duration_h").alias("total_time"),
+                        (F.col("provider") == FLIGHT).alias("all_flight")))
+    finished, step = [], 1
+    while True:
+        frontier = materialize(frontier)
+        finished.append(frontier.filter(F.col("last_city") == F.col("_target")))
         open_ = frontier.filter(F.col("last_city") != F.col("_target"))
-        if step == cap or open_.isEmpty():
+        if step == longest or open_.isEmpty():
             break
-        hop = F.col("r.last_place") == F.col("l.origin_place_id")
-        nxt = open_.alias("r").join(lg.alias("l"), (F.col("r.request_id") == F.col("l.request_id")) & hop)
         q = F.col("l.dest_place_id")
         final_return = (q == F.col("r.start_place")) & (F.col("l.d_city") == F.col("r._target"))
-        new_flight = F.col("r.all_flight") & (F.col("l.provider") == "FLIGHT")
-        nxt = (nxt.filter((~F.array_contains(F.col("r.visited"), q)) | final_return)
-               .filter(F.col("r.n_legs") + 1 <= (F.lit(cap) if max_legs is not None else _leg_limit(new_flight)))
-               .select(F.col("r.request_id").alias("request_id"), F.col("r._target").alias("_target"),
-                       F.col("r.start_place").alias("start_place"),
-                       q.alias("last_place"), F.col("l.d_city").alias("last_city"),
-                       F.concat(F.col("r.visited"), F.array(q)).alias("visited"),
-                       F.concat(F.col("r.itinerary"), F.array(F.struct(
-                           F.col("l.leg_id").alias("leg_id"),
-                           F.col("l.origin_place_id").alias("origin_place_id"),
-                           F.col("l.o_name").alias("origin_name"),
-                           F.col("l.dest_place_id").alias("dest_place_id"),
-                           F.col("l.d_name").alias("dest_name"),
-                           F.col("l.provider").alias("provider"),
-                           F.col("l.price").alias("price"),
-                           F.col("l.duration_h").alias("duration_h")))).alias("itinerary"),
-                       (F.col("r.n_legs") + 1).alias("n_legs"),
-                       (F.col("r.total_price") + F.col("l.price")).alias("total_price"),
-                       (F.col("r.total_time") + F.col("l.duration_h")).alias("total_time"),
-                       new_flight.alias("all_flight")))
-        frontier = nxt
+        frontier = (open_.alias("r").join(lg.alias("l"), (F.col(f"r.{key}") == F.col(f"l.{key}"))
+                                          & (F.col("r.last_place") == F.col("l.origin_place_id")))
+                    .filter(~F.array_contains(F.col("r.visited"), q) | final_return)
+                    .select(F.col(f"r.{key}").alias(key), F.col("r._target").alias("_target"),
+                            F.col("r.start_place").alias("start_place"),
+                            q.alias("last_place"), F.col("l.d_city").alias("last_city"),
+                            F.concat(F.col("r.visited"), F.array(q)).alias("visited"),
+                            F.concat(F.col("r.itinerary"), F.array(leg_struct("l"))).alias("itinerary"),
+                            (F.col("r.n_legs") + 1).alias("n_legs"),
+                            (F.col("r.total_price") + F.col("l.price")).alias("total_price"),
+                            (F.col("r.total_time") + F.col("l.duration_h")).alias("total_time"),
+                            (F.col("r.all_flight") & (F.col("l.provider") == FLIGHT)).alias("all_flight")))
+        step += 1
     out = finished[0]
     for f in finished[1:]:
         out = out.unionByName(f)
+    if max_legs is not None:
+        out = out.filter(F.col("all_flight") | (F.col("n_legs") <= max_legs))
+    flight_limit = max_legs_flight if max_legs_flight is not None else max_legs
+    if flight_limit is not None:
+        out = out.filter(~F.col("all_flight") | (F.col("n_legs") <= flight_limit))
     return out.select(
-        "request_id",
-        F.array_join(F.transform("itinerary", lambda x: x["leg_id"]), ROUTE_ID_SEP).alias("route_id"),
-        "n_legs", "itinerary",
-        F.round(F.col("total_price"), 2).alias("total_price"),
-        F.col("total_time").cast("double").alias("total_time"))
+        key, F.array_join(F.transform("itinerary", lambda x: x["leg_id"]), ROUTE_ID_SEP).alias("route_id"),
+        "n_legs", "itinerary", "total_price", F.col("total_time").cast("double").alias("total_time"))
 
 
 # --- shared search for the origin/stop/destination topology ------------------------
 
-SEGMENT_KEY = ["o_city", "via", "d_city", "departure_date"]
-SEARCH_KEY = SEGMENT_KEY + ["p_lo", "p_hi", "t_lo", "t_hi"]
+FAMILY = ["o_city", "via", "d_city", "departure_date"]
+BOUNDS = ["p_lo", "p_hi", "t_lo", "t_hi"]
 DIRECT = -1
+PRICE_CELL = 25.0
+OPEN = (float("-inf"), float("inf"))
 
 
-def request_segments(plan_ok: DataFrame, stops: DataFrame) -> DataFrame:
+def request_segments(plan_ok: DataFrame, pair_stops: DataFrame) -> DataFrame:
     """One row per request and route family: the direct family
     (``via = -1``) and one per stop city, with normalised range bounds.
-
-    ``stops`` is either per request (``request_id, via``) or per
-    coordinate pair (the four coordinates and ``via``); the pair form is
-    small, so the requests meet their stops without a shuffle by id."""
+    ``pair_stops`` is per coordinate pair, so requests meet their stops
+    without a shuffle by id."""
     cols = ["request_id", "o_city", "d_city", "departure_date", "price_range", "time_range"]
     direct = plan_ok.select(*cols, F.lit(DIRECT).alias("via"))
-    if "request_id" in stops.columns:
-        via = stops.select("request_id", "via").join(plan_ok.select(*cols), "request_id")
-    else:
-        pair = ["src_lat", "src_lon", "dst_lat", "dst_lon"]
-        via = plan_ok.select(*cols, *pair).join(stops.select(*pair, "via"), pair).select(*cols, "via")
-    seg = direct.unionByName(via)
-    return seg.select(
-        "request_id", *SEGMENT_KEY,
+    pair = ["src_lat", "src_lon", "dst_lat", "dst_lon"]
+    via = plan_ok.select(*cols, *pair).join(pair_stops.select(*pair, "via"), pair).select(*cols, "via")
+    return direct.unionByName(via).select(
+        "request_id", *FAMILY,
         lower_bound(F.col("price_range")).alias("p_lo"), upper_bound(F.col("price_range")).alias("p_hi"),
         lower_bound(F.col("time_range")).alias("t_lo"), upper_bound(F.col("time_range")).alias("t_hi"))
 
 
-def segment_routes(seg_keys: DataFrame, ctrips: DataFrame) -> DataFrame:
-    """All routes of each distinct family ``(o_city, via, d_city, date)``,
-    computed once however many requests share it.
+def family_legs(families: DataFrame, ctrips: DataFrame) -> DataFrame:
+    """The distinct trips that any family needs, written once.
+
+    (city, city, day) triples are bounded by the catalogue, not by the
+    number of requests; AQE broadcasts that side from its measured size."""
+    direct, via = families.filter(F.col("via") == DIRECT), families.filter(F.col("via") != DIRECT)
+    need = (direct.select(F.col("o_city").alias("a"), F.col("d_city").alias("b"), "departure_date")
+            .unionByName(via.select(F.col("o_city").alias("a"), F.col("via").alias("b"), "departure_date"))
+            .unionByName(via.select(F.col("via").alias("a"), F.col("d_city").alias("b"), "departure_date"))
+            .distinct().withColumnRenamed("departure_date", "day"))
+    legs = ctrips.join(need, (ctrips.o_city == F.col("a")) & (ctrips.d_city == F.col("b"))
+                       & (ctrips.departure_date == F.col("day")), "left_semi")
+    return materialize(distinct_legs(legs.select(
+        "leg_id", "origin_place_id", "o_name", "o_city", "dest_place_id", "d_name", "d_city", "provider",
+        "departure_date", "price", "duration_h")))
+
+
+def _best(rows: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return rows.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= n).drop("_rank")
+
+
+def family_routes(families: DataFrame, legs: DataFrame, best: int | None = None) -> DataFrame:
+    """The routes of each family as ids and totals (no itinerary).
 
     Direct family: one leg origin city -> destination city.  Stop family:
     a leg origin -> stop joined on the arrival place with a leg stop ->
     destination (U3 has no stop->stop legs, so routes have 1 or 2 legs and
     the first arrival in the destination city ends them, R5).
 
-    When ``seg_keys`` carries ``fam_p_hi`` / ``fam_t_hi`` (the loosest
-    upper bounds of the family's search keys), routes above them are
-    dropped, and first legs above them are dropped before the two-leg
-    join - the partial-route cut, exact only while no leg has a negative
-    price or duration, which is checked on the batch's legs first.
+    ``best``: for families that are searched without ranges, only the best
+    ``best`` arrivals of a stop place are joined with only its best
+    departures: any other pair has ``best`` pairs before it in R6's order,
+    whatever the signs of prices and hours.
     """
-    bounded = "fam_p_hi" in seg_keys.columns
-    if not bounded:
-        seg_keys = seg_keys.withColumn("fam_p_hi", F.lit(float("inf"))) \
-            .withColumn("fam_t_hi", F.lit(float("inf")))
-    need = (seg_keys.filter(F.col("via") == DIRECT)
-            .select(F.col("o_city").alias("a"), F.col("d_city").alias("b"), "departure_date")
-            .unionByName(seg_keys.filter(F.col("via") != DIRECT)
-                         .select(F.col("o_city").alias("a"), F.col("via").alias("b"), "departure_date"))
-            .unionByName(seg_keys.filter(F.col("via") != DIRECT)
-                         .select(F.col("via").alias("a"), F.col("d_city").alias("b"), "departure_date"))
-            .distinct()
-            .withColumnRenamed("departure_date", "day"))
-    # (city, city, day) triples are bounded by the catalogue, not by the
-    # number of requests; AQE broadcasts this side from its measured size.
-    legs = ctrips.join(need,
-                       (ctrips.o_city == F.col("a")) & (ctrips.d_city == F.col("b"))
-                       & (ctrips.departure_date == F.col("day")), "left_semi")
-    # the batch's legs feed three joins below: written once
-    legs = materialize(legs.select("leg_id", "origin_place_id", "o_name", "o_city", "dest_place_id",
-                                   "d_name", "d_city", "provider", "departure_date", "price",
-                                   "duration_h"))
-    cut_partial = bounded and _no_negative_legs(legs)
-    direct_keys = seg_keys.filter(F.col("via") == DIRECT)
-    direct = (legs.join(direct_keys, ["o_city", "d_city", "departure_date"])
-              .filter((F.round(F.col("price"), 2) <= F.col("fam_p_hi"))
-                      & (F.col("duration_h") <= F.col("fam_t_hi")))
-              .select(*SEGMENT_KEY, F.col("leg_id").alias("route_id"), F.lit(1).alias("n_legs"),
-                      F.array(leg_struct()).alias("itinerary"),
-                      F.round(F.col("price"), 2).alias("total_price"),
+    slim = legs.select("leg_id", "origin_place_id", "o_city", "dest_place_id", "d_city", "departure_date",
+                       "price", "duration_h")
+    direct = (slim.join(families.filter(F.col("via") == DIRECT), ["o_city", "d_city", "departure_date"])
+              .select(*FAMILY, F.col("leg_id").alias("a_id"), F.lit(None).cast("string").alias("b_id"),
+                      F.col("leg_id").alias("route_id"), F.col("price").alias("total_price"),
                       F.col("duration_h").alias("total_time")))
-    via_keys = seg_keys.filter(F.col("via") != DIRECT)
-    a = legs.alias("a")
-    first = a.join(via_keys.alias("k"),
-                   (F.col("a.o_city") == F.col("k.o_city")) & (F.col("a.d_city") == F.col("k.via"))
-                   & (F.col("a.departure_date") == F.col("k.departure_date")))
-    if cut_partial:
-        # with no negative legs a route costs at least its first leg
-        # (rounding is monotone), so a first leg above every bound of the
-        # family cannot start an answer
-        first = first.filter((F.round(F.col("a.price"), 2) <= F.col("k.fam_p_hi"))
-                             & (F.col("a.duration_h") <= F.col("k.fam_t_hi")))
-    first = first.select(F.col("k.o_city").alias("o_city"), F.col("k.via").alias("via"),
-                         F.col("k.d_city").alias("d_city"), F.col("k.departure_date").alias("departure_date"),
-                         F.col("a.dest_place_id").alias("mid_place"), F.col("a.leg_id").alias("a_id"),
-                         leg_struct().alias("a_leg"), F.col("a.price").alias("a_price"),
-                         F.col("a.duration_h").alias("a_time"),
-                         F.col("k.fam_p_hi").alias("fam_p_hi"), F.col("k.fam_t_hi").alias("fam_t_hi"))
-    b = legs.select(F.col("origin_place_id").alias("mid_place"), F.col("d_city").alias("d_city"),
-                    "departure_date", F.col("leg_id").alias("b_id"), leg_struct().alias("b_leg"),
-                    F.col("price").alias("b_price"), F.col("duration_h").alias("b_time"))
-    two = (first.join(b, ["mid_place", "d_city", "departure_date"])
-           .filter((F.round(F.col("a_price") + F.col("b_price"), 2) <= F.col("fam_p_hi"))
-                   & (F.col("a_time") + F.col("b_time") <= F.col("fam_t_hi")))
-           .select(*SEGMENT_KEY,
-                   F.concat(F.col("a_id"), F.lit(ROUTE_ID_SEP), F.col("b_id")).alias("route_id"),
-                   F.lit(2).alias("n_legs"),
-                   F.array(F.col("a_leg"), F.col("b_leg")).alias("itinerary"),
-                   F.round(F.col("a_price") + F.col("b_price"), 2).alias("total_price"),
-                   (F.col("a_time") + F.col("b_time")).alias("total_time")))
+    k = families.filter(F.col("via") != DIRECT).alias("k")
+    a = slim.alias("a")
+    first = (a.join(k, (F.col("a.o_city") == F.col("k.o_city")) & (F.col("a.d_city") == F.col("k.via"))
+                    & (F.col("a.departure_date") == F.col("k.departure_date")))
+             .select(*[F.col(f"k.{c}").alias(c) for c in FAMILY], F.col("a.dest_place_id").alias("mid_place"),
+                     F.col("a.leg_id").alias("a_id"), F.col("a.price").alias("a_price"),
+                     F.col("a.duration_h").alias("a_time")))
+    b = slim.select(F.col("origin_place_id").alias("mid_place"), "d_city", "departure_date",
+                    F.col("leg_id").alias("b_id"), F.col("price").alias("b_price"), F.col("duration_h").alias("b_time"))
+    if best is not None:
+        # ids end in the separator here, as they do inside a route id
+        first = _best(first, [*FAMILY, "mid_place"], [F.col("a_price"), F.col("a_time").desc(),
+                                                      F.concat("a_id", F.lit(ROUTE_ID_SEP))], best)
+        b = _best(b, ["mid_place", "d_city", "departure_date"], [F.col("b_price"), F.col("b_time").desc(), F.col("b_id")], best)
+    two = first.join(b, ["mid_place", "d_city", "departure_date"]).select(
+        *FAMILY, "a_id", "b_id", F.concat("a_id", F.lit(ROUTE_ID_SEP), "b_id").alias("route_id"),
+        (F.col("a_price") + F.col("b_price")).alias("total_price"), (F.col("a_time") + F.col("b_time")).alias("total_time"))
     return direct.unionByName(two)
 
 
-def _no_negative_legs(legs: DataFrame) -> bool:
-    """Guard of the partial-route cut: one small aggregate of the batch's legs."""
-    row = legs.agg(F.min("price").alias("p"), F.min("duration_h").alias("t")).first()
-    return row is None or row.p is None or (row.p >= 0 and row.t >= 0)
+def _cell(price: Column) -> Column:
+    return F.floor(price / PRICE_CELL).cast("double")
 
 
 def shared_top_routes(segments: DataFrame, ctrips: DataFrame, n: int = TOP_N) -> DataFrame:
     """Top ``n`` routes per request, sharing the work between requests.
 
-    1. routes are built once per distinct family (``segment_routes``);
-    2. each distinct (family, ranges) search key keeps its ``n`` best
-       in-range routes;
-    3. a request unions the keys of its families and keeps the ``n`` best.
+    1. Families searched without ranges keep their ``n`` best routes.
+    2. Families with ranges are cut into cells (travel time, price step of
+       ``PRICE_CELL``), each with its ``n`` best routes.  A range takes the
+       cells that lie inside it whole; only the one or two price steps that
+       its bounds cut are looked up route by route.
+    3. A request unions the answers of its families and keeps the ``n``
+       best; itineraries are built for these from their leg ids.
     Exact: the best ``n`` of a union are among the best ``n`` of each part,
     and families of one request share no route.
     """
-    # per family, the loosest upper bounds over its search keys
-    seg_keys = segments.groupBy(*SEGMENT_KEY).agg(F.max("p_hi").alias("fam_p_hi"),
-                                                  F.max("t_hi").alias("fam_t_hi"))
-    # routes feed the ranking and, for the winners only, the itinerary
-    routes = materialize(segment_routes(seg_keys, ctrips))
-    slim = routes.select(*SEGMENT_KEY, "route_id", "n_legs", "total_price", "total_time")
-    keys = segments.select(*SEARCH_KEY).distinct()
-    cand = (keys.join(slim, SEGMENT_KEY)
-            .filter(F.col("total_price").between(F.col("p_lo"), F.col("p_hi"))
-                    & F.col("total_time").between(F.col("t_lo"), F.col("t_hi"))))
-    best_per_key = top_routes(cand, n, SEARCH_KEY).drop("rank")
-    per_request = segments.select("request_id", *SEARCH_KEY).join(best_per_key, SEARCH_KEY)
-    best = top_routes(per_request, n, "request_id")
-    # the nested itinerary is attached to the (at most n per request) winners only
-    return (best.join(routes.select(*SEGMENT_KEY, "route_id", "itinerary"), SEGMENT_KEY + ["route_id"])
-            .select("request_id", "rank", "route_id", "n_legs", "itinerary", "total_price",
-                    "total_time"))
+    keys = materialize(segments.select(*FAMILY, *BOUNDS).distinct())
+    is_open = (F.col("p_lo") == OPEN[0]) & (F.col("p_hi") == OPEN[1]) & (F.col("t_lo") == OPEN[0]) & (F.col("t_hi") == OPEN[1])
+    legs = family_legs(keys.select(*FAMILY).distinct(), ctrips)
+
+    open_keys = keys.filter(is_open)
+    whole = top_routes(family_routes(open_keys.select(*FAMILY), legs, best=n), n, FAMILY).drop("rank")
+    answers = open_keys.join(whole, FAMILY)
+
+    ranged = keys.filter(~is_open)
+    routes = family_routes(ranged.select(*FAMILY).distinct(), legs).withColumn("cell", _cell(F.col("total_price")))
+    cells = top_routes(routes, n, [*FAMILY, "total_time", "cell"]).drop("rank")
+    inside = (ranged.join(cells, FAMILY)
+              .filter(F.col("total_time").between(F.col("t_lo"), F.col("t_hi"))
+                      & ((F.col("p_lo") == OPEN[0]) | (F.col("cell") > _cell(F.col("p_lo"))))
+                      & ((F.col("p_hi") == OPEN[1]) | (F.col("cell") < _cell(F.col("p_hi"))))))
+    cut = F.array_distinct(F.array_compact(F.array(
+        F.when(F.col("p_lo") != OPEN[0], _cell(F.col("p_lo"))), F.when(F.col("p_hi") != OPEN[1], _cell(F.col("p_hi"))))))
+    edges = (ranged.withColumn("cell", F.explode(cut)).join(routes, [*FAMILY, "cell"])
+             .filter(F.col("total_price").between(F.col("p_lo"), F.col("p_hi"))
+                     & F.col("total_time").between(F.col("t_lo"), F.col("t_hi"))))
+    found = top_routes(inside.unionByName(edges), n, [*FAMILY, *BOUNDS]).drop("rank", "cell")
+    answers = materialize(answers.unionByName(found))
+
+    best = top_routes(segments.join(answers, [*FAMILY, *BOUNDS]), n, "request_id").select(
+        "request_id", "rank", "route_id", "a_id", "b_id", "total_price", "total_time")
+    # legs of the winners only: each is told by its id
+    leg = legs.select("leg_id", leg_struct().alias("leg"))
+    a = leg.select(F.col("leg_id").alias("a_id"), F.col("leg").alias("a_leg"))
+    b = leg.select(F.col("leg_id").alias("b_id"), F.col("leg").alias("b_leg"))
+    built = answers.select("route_id", "a_id", "b_id").distinct().join(a, "a_id").join(b, "b_id", "left").select(
+        "route_id", F.array_compact(F.array("a_leg", "b_leg")).alias("itinerary"))
+    return (best.join(built, "route_id")
+            .select("request_id", "rank", "route_id", F.size("itinerary").alias("n_legs"), "itinerary",
+                    "total_price", "total_time"))

@@ -1,9 +1,9 @@
 """SQL twins of the registered queries, for an independent engine.
 
 The fixture derivation of ``sources/fixtures.py`` written once as common
-table expressions, then one statement per query.  Searches are written the
-plain way here (per request, no sharing), so they also cross-check the
-shared plan of ``operators/routes.py``.
+table expressions, then one statement per query.  Routes are written the
+plain way here (all routes of a graph, ranges and rank per request), so they
+also cross-check the shared plan of ``operators/routes.py``.
 """
 
 from __future__ import annotations
@@ -99,32 +99,40 @@ stops AS (
   FROM roles t JOIN ok ON ok.request_id = t.request_id
   WHERE t.role = 'TRANSIT' AND t.city_id <> ok.o_city AND t.city_id <> ok.d_city),
 ctrips AS (
-  SELECT t.*, po.place_name AS o_name, po.city_id AS o_city, pd.place_name AS d_name, pd.city_id AS d_city
+  SELECT @TRIP@, po.place_name AS o_name, po.city_id AS o_city, pd.place_name AS d_name, pd.city_id AS d_city
   FROM trips t JOIN places po ON t.origin_place_id = po.place_id JOIN places pd ON t.dest_place_id = pd.place_id
   WHERE po.provider = pd.provider),
+via_text AS (SELECT request_id, string_agg(CAST(via AS VARCHAR), ',' ORDER BY via) AS vias FROM stops GROUP BY request_id),
+graph_of AS (
+  SELECT ok.request_id, CAST(ok.o_city AS VARCHAR) || '|' || CAST(ok.d_city AS VARCHAR) || '|'
+           || CAST(ok.departure_date AS VARCHAR) || '|' || COALESCE(v.vias, '') AS graph_id,
+         ok.o_city, ok.d_city, ok.departure_date, ok.price_range, ok.time_range
+  FROM ok LEFT JOIN via_text v ON v.request_id = ok.request_id),
+graphs AS (SELECT DISTINCT graph_id, o_city, d_city, departure_date FROM graph_of),
+graph_stops AS (SELECT DISTINCT g.graph_id, s.via FROM stops s JOIN graph_of g ON g.request_id = s.request_id),
 pairs AS (
-  SELECT request_id, o_city AS from_city, d_city AS to_city, departure_date FROM ok
-  UNION SELECT s.request_id, ok.o_city, s.via, ok.departure_date FROM stops s JOIN ok USING (request_id)
-  UNION SELECT s.request_id, s.via, ok.d_city, ok.departure_date FROM stops s JOIN ok USING (request_id)),
+  SELECT graph_id, o_city AS from_city, d_city AS to_city, departure_date FROM graphs
+  UNION SELECT g.graph_id, g.o_city, s.via, g.departure_date FROM graph_stops s JOIN graphs g ON g.graph_id = s.graph_id
+  UNION SELECT g.graph_id, s.via, g.d_city, g.departure_date FROM graph_stops s JOIN graphs g ON g.graph_id = s.graph_id),
 legs AS (
-  SELECT p.request_id, l.leg_id, l.origin_place_id, l.o_name, l.o_city, l.dest_place_id, l.d_name, l.d_city,
+  SELECT p.graph_id, l.leg_id, l.origin_place_id, l.o_name, l.o_city, l.dest_place_id, l.d_name, l.d_city,
          l.provider, l.departure_date, l.price, l.duration_h, l.is_direct, l.departure_dt, l.arrival_dt
   FROM pairs p JOIN ctrips l ON l.o_city = p.from_city AND l.d_city = p.to_city AND l.departure_date = p.departure_date),
 routes AS (
-  SELECT ok.request_id, l.leg_id AS route_id, 1 AS n_legs, ROUND(l.price, 2) AS total_price,
+  SELECT g.graph_id, l.leg_id AS route_id, 1 AS n_legs, l.price AS total_price,
          l.duration_h AS total_time, l.o_name || ' => ' || l.d_name AS stops
-  FROM ok JOIN legs l ON l.request_id = ok.request_id AND l.o_city = ok.o_city AND l.d_city = ok.d_city
+  FROM graphs g JOIN legs l ON l.graph_id = g.graph_id AND l.o_city = g.o_city AND l.d_city = g.d_city
   UNION ALL
-  SELECT ok.request_id, a.leg_id || '>' || b.leg_id, 2, ROUND(a.price + b.price, 2), a.duration_h + b.duration_h,
+  SELECT g.graph_id, a.leg_id || '>' || b.leg_id, 2, a.price + b.price, a.duration_h + b.duration_h,
          a.o_name || ' => ' || a.d_name || ' => ' || b.d_name
-  FROM ok JOIN legs a ON a.request_id = ok.request_id AND a.o_city = ok.o_city AND a.d_city <> ok.d_city
-          JOIN legs b ON b.request_id = ok.request_id AND b.origin_place_id = a.dest_place_id AND b.d_city = ok.d_city),
+  FROM graphs g JOIN legs a ON a.graph_id = g.graph_id AND a.o_city = g.o_city AND a.d_city <> g.d_city
+          JOIN legs b ON b.graph_id = g.graph_id AND b.origin_place_id = a.dest_place_id AND b.d_city = g.d_city),
 in_range AS (
-  SELECT r.* FROM routes r JOIN ok USING (request_id)
-  WHERE (len(ok.price_range) <> 2 OR r.total_price BETWEEN ok.price_range[1] AND ok.price_range[2])
-    AND (len(ok.time_range) <> 2 OR r.total_time BETWEEN ok.time_range[1] AND ok.time_range[2])),
+  SELECT g.request_id, r.* EXCLUDE (graph_id) FROM routes r JOIN graph_of g ON g.graph_id = r.graph_id
+  WHERE (len(g.price_range) <> 2 OR r.total_price BETWEEN g.price_range[1] AND g.price_range[2])
+    AND (len(g.time_range) <> 2 OR r.total_time BETWEEN g.time_range[1] AND g.time_range[2])),
 top AS (
-  SELECT * FROM (
+  SELECT request_id, route_id, n_legs, ROUND(total_price, 2) AS total_price, total_time, stops, rank FROM (
     SELECT *, CAST(row_number() OVER (PARTITION BY request_id ORDER BY total_price, total_time DESC, route_id) AS INTEGER) AS rank
     FROM in_range) WHERE rank <= 5)
 """
@@ -144,6 +152,7 @@ ROLES_BY_DISTANCE = """
   WHERE role IS NOT NULL"""
 
 
-def with_fixtures(body: str, roles_by: str = "population") -> str:
+def with_fixtures(body: str, roles_by: str = "population", trip: str = "t.*") -> str:
+    """``trip``: the trip columns of ``ctrips``, for queries over changed trips."""
     roles = ROLES_BY_POPULATION if roles_by == "population" else ROLES_BY_DISTANCE
-    return "WITH " + FIXTURE_CTES.strip().replace("@ROLES@", roles.strip()) + "\n" + body.strip()
+    return "WITH " + FIXTURE_CTES.strip().replace("@ROLES@", roles.strip()).replace("@TRIP@", trip) + "\n" + body.strip()

@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 
 from routeweave.functions import codec
 from routeweave.functions.timefmt import split_datetime
+from routeweave.functions.ranges import lower_bound, upper_bound
 from routeweave.operators import graph
-from routeweave.operators.legs import city_trips, leg_city_pairs, place_pairs, request_legs
-from routeweave.operators.routes import enumerate_routes, filter_price_range, filter_time_range
-from routeweave.plans.registry import _search, register
-from routeweave.plans.search import SearchParams, plan_requests
+from routeweave.operators.legs import (city_trips, distinct_graphs, graph_legs, leg_city_pairs, place_pairs,
+                                       request_graphs)
+from routeweave.operators.routes import enumerate_routes
+from routeweave.plans.registry import _search, register, register_sql
+from routeweave.plans.search import SearchParams, plan_requests, plan_requests_full, search, top_route_rows
+from routeweave.plans.sizing import materialize
 from routeweave.sources import fixtures, payloads
 
 
@@ -20,11 +23,17 @@ def _pieces(spark, sf_dir, params=SearchParams()):
     return cat, plan, roles, stops
 
 
+def _graphs(spark, sf_dir):
+    """(catalogue, request -> graph, graphs)."""
+    cat = fixtures.catalogue(spark, sf_dir)
+    plan, _, _, pair_stops = plan_requests_full(fixtures.requests(spark, sf_dir), cat.cities)
+    graph_of = materialize(request_graphs(plan, pair_stops))
+    return cat, graph_of, distinct_graphs(graph_of)
+
+
 def _legs(spark, sf_dir):
-    cat, plan, roles, stops = _pieces(spark, sf_dir)
-    ok = plan.filter(F.col("status") == codec.STATUS_OK)
-    legs = request_legs(leg_city_pairs(plan, stops), city_trips(cat.trips, cat.places))
-    return cat, ok, legs
+    cat, _, graphs = _graphs(spark, sf_dir)
+    return graphs, graph_legs(leg_city_pairs(graphs), city_trips(cat.trips, cat.places))
 
 
 # --- catalogues (S4 and the fixture derivation) ----------------------------------
@@ -82,7 +91,7 @@ def q_drop_metro(spark, sf_dir):
 # --- payload readers (S5, S6, S7, S8, U2) ------------------------------------------
 
 @register("flight_places", """
-SELECT place_code, place_name, provider, city_id FROM places
+SELECT place_code AS place_id, place_name, provider, city_id, place_code FROM places
 WHERE provider = 'FLIGHT' AND length(split_part(place_code, '-', 1)) <> 4
 """)
 def q_flight_places(spark, sf_dir):
@@ -98,29 +107,43 @@ def q_bus_places(spark, sf_dir):
     return payloads.bus_places(payloads.bus_region_documents(fixtures.places(spark, sf_dir)))
 
 
-@register("union_places", """
-SELECT place_id, place_name, provider, city_id FROM places
-WHERE NOT (provider = 'FLIGHT' AND length(split_part(place_code, '-', 1)) = 4)
+_CLASH = "CASE WHEN CAST(place_id AS BIGINT) % 3 = 0 THEN 'ARN-' || CAST(CAST(place_id AS BIGINT) + 1 AS VARCHAR) ELSE place_id END"
+
+
+@register("union_places", f"""
+, air AS (
+  SELECT place_code AS place_id, place_name, provider, city_id FROM places
+  WHERE provider = 'FLIGHT' AND length(split_part(place_code, '-', 1)) <> 4),
+bus AS (SELECT {_CLASH} AS place_id, place_name, provider, city_id FROM places WHERE provider = 'BUS')
+SELECT * FROM air UNION ALL SELECT * FROM bus WHERE place_id NOT IN (SELECT place_id FROM air)
 """)
 def q_union_places(spark, sf_dir):
-    """Airports (after F4) united with bus stations, distinct by id."""
+    """U2 over both services' documents (S5 with F4, S6): distinct by id.  A
+    third of the bus ids are airport ids; there the airport stays."""
     p = fixtures.places(spark, sf_dir)
-    air = payloads.drop_metro_groups(p).filter(F.col("provider") == "FLIGHT")
-    bus = payloads.bus_places(payloads.bus_region_documents(p))
+    air = payloads.flight_places(payloads.airport_documents(p))
+    number = F.col("place_id").cast("long")
+    clash = F.when(number % 3 == 0, F.concat(F.lit("ARN-"), (number + 1).cast("string"))).otherwise(F.col("place_id"))
+    bus = payloads.bus_places(payloads.bus_region_documents(p.withColumn("place_id", clash)))
     return payloads.union_places(air, bus)
 
 
-@register("flight_trips", """
-SELECT leg_id, origin_place_id, o_name, o_city, dest_place_id, d_name, d_city, provider, is_direct,
-       price, duration_h, departure_dt, arrival_dt
-FROM (SELECT CAST(CAST(origin_place_id AS DOUBLE) AS VARCHAR) || '-' || CAST(CAST(dest_place_id AS DOUBLE) AS VARCHAR)
-             || '-' || CAST(departure_date AS VARCHAR) || '-1.0' AS leg_id,
-             CAST(CAST(origin_place_id AS DOUBLE) AS VARCHAR) AS origin_place_id, o_name, o_city,
-             CAST(CAST(dest_place_id AS DOUBLE) AS VARCHAR) AS dest_place_id, d_name, d_city,
-             provider, is_direct, price, CAST(0.0 AS DOUBLE) AS duration_h,
-             CAST(departure_date AS VARCHAR) AS departure_dt, CAST(departure_date AS VARCHAR) AS arrival_dt
-      FROM ctrips WHERE provider = 'FLIGHT')
-""")
+_FLIGHT_ID = """CAST(CAST(t.origin_place_id AS DOUBLE) AS VARCHAR) || '-' || CAST(CAST(t.dest_place_id AS DOUBLE) AS VARCHAR)
+  || '-' || CAST(t.departure_date AS VARCHAR) || '-' || CAST(t.price AS VARCHAR) || '-true'"""
+_BUS_ID = """t.origin_place_id || '-' || t.dest_place_id || '-' || t.departure_dt || '-' || t.arrival_dt || '-'
+  || CAST(t.price AS VARCHAR) || '-true'"""
+_CITY_IDS = "'-' || CAST(po.city_id AS VARCHAR) || '-' || CAST(pd.city_id AS VARCHAR)"
+#: Trips as both services' documents give them.
+_PAYLOAD_TRIP = f"""DISTINCT CASE WHEN t.provider = 'FLIGHT' THEN {_FLIGHT_ID} ELSE {_BUS_ID} END || {_CITY_IDS} AS leg_id,
+  CASE WHEN t.provider = 'FLIGHT' THEN CAST(CAST(t.origin_place_id AS DOUBLE) AS VARCHAR) ELSE t.origin_place_id END AS origin_place_id,
+  CASE WHEN t.provider = 'FLIGHT' THEN CAST(CAST(t.dest_place_id AS DOUBLE) AS VARCHAR) ELSE t.dest_place_id END AS dest_place_id,
+  t.provider, t.departure_date, t.is_direct, t.price, t.duration_h, t.departure_dt, t.arrival_dt"""
+_LEG_COLUMNS = """leg_id, origin_place_id, o_name, o_city, dest_place_id, d_name, d_city, provider, departure_date, is_direct,
+  price, duration_h, departure_dt, arrival_dt"""
+
+
+@register("flight_trips", f"SELECT {_LEG_COLUMNS} FROM ctrips WHERE provider = 'FLIGHT'",
+          trip=_PAYLOAD_TRIP.replace("DISTINCT ", ""))
 def q_flight_trips(spark, sf_dir):
     """S7 + F5 + T3 + J8 + J9 over one quote document per flight trip."""
     cat = fixtures.catalogue(spark, sf_dir)
@@ -128,12 +151,7 @@ def q_flight_trips(spark, sf_dir):
     return payloads.flight_trips(docs)
 
 
-@register("bus_trips", """
-SELECT origin_place_id || '-' || dest_place_id || '-' || departure_dt AS leg_id,
-       origin_place_id, o_name, o_city, dest_place_id, d_name, d_city, provider, is_direct,
-       price, duration_h, departure_dt, arrival_dt
-FROM ctrips WHERE provider = 'BUS'
-""")
+@register("bus_trips", f"SELECT {_LEG_COLUMNS} FROM ctrips WHERE provider = 'BUS'", trip=_PAYLOAD_TRIP.replace("DISTINCT ", ""))
 def q_bus_trips(spark, sf_dir):
     """S8 + J6 + J7 over one journey document per bus trip."""
     cat = fixtures.catalogue(spark, sf_dir)
@@ -141,11 +159,78 @@ def q_bus_trips(spark, sf_dir):
     return payloads.bus_trips(docs)
 
 
+_TOP = "SELECT request_id, rank, route_id, n_legs, total_price, total_time, stops FROM top"
+
+
+def _payload_trips(cat):
+    ctrips = city_trips(cat.trips, cat.places)
+    quotes, journeys = payloads.flight_quote_documents(ctrips), payloads.bus_journey_documents(ctrips)
+    # rate-limit replies among the documents give no legs
+    limited = quotes.filter(F.pmod(F.xxhash64("value"), F.lit(7)) == 0).withColumn("value", F.lit('{"message":"slow down"}'))
+    return payloads.payload_trips(quotes.unionByName(limited), journeys)
+
+
+@register("payload_top_routes", _TOP, trip=_PAYLOAD_TRIP)
+def q_payload_top_routes(spark, sf_dir):
+    """S7 + S8 + F6 + U4 into the search: top routes over the legs of stored
+    documents."""
+    cat = fixtures.catalogue(spark, sf_dir)
+    return top_route_rows(search(fixtures.requests(spark, sf_dir), cat, ctrips=_payload_trips(cat)))
+
+
+@register("rate_limited_searches", """
+SELECT o_city, d_city, departure_date, COUNT(*) AS n_limited FROM ctrips
+WHERE provider = 'FLIGHT' AND price < 50 GROUP BY o_city, d_city, departure_date
+""")
+def q_rate_limited(spark, sf_dir):
+    """documents that are rate-limit replies, counted per search."""
+    cat = fixtures.catalogue(spark, sf_dir)
+    trips = city_trips(cat.trips, cat.places)
+    cheap = payloads.flight_quote_documents(trips.filter("price < 50")).withColumn("value", F.lit('{"message":"slow down"}'))
+    other = payloads.flight_quote_documents(trips.filter("price >= 50"))
+    return payloads.rate_limited(cheap.unionByName(other))
+
+
+@register("repeated_legs_top_routes", _TOP)
+def q_repeated_legs(spark, sf_dir):
+    """U4: every fifth trip is listed up to three times; routes are not."""
+    cat = fixtures.catalogue(spark, sf_dir)
+    ctrips = city_trips(cat.trips, cat.places)
+    again = ctrips.filter(F.pmod(F.xxhash64("leg_id"), F.lit(5)) == 0)
+    return top_route_rows(search(fixtures.requests(spark, sf_dir), cat, ctrips=ctrips.unionByName(again).unionByName(again)))
+
+
+@register("fine_price_top_routes", _TOP, trip="t.* REPLACE (t.price + (CAST(length(t.leg_id) AS INTEGER) % 8) * 0.001953125 AS price)")
+def q_fine_prices(spark, sf_dir):
+    """F7 + F8 + R6 on raw totals: prices with more than two decimals."""
+    cat = fixtures.catalogue(spark, sf_dir)
+    ctrips = city_trips(cat.trips, cat.places)
+    ctrips = ctrips.withColumn("price", F.col("price") + (F.length("leg_id") % 8) * F.lit(0.001953125))
+    return top_route_rows(search(fixtures.requests(spark, sf_dir), cat, ctrips=ctrips))
+
+
+@register("own_range_top_routes", """
+, own AS (SELECT g.* REPLACE ([CAST(g.request_id % 211 AS DOUBLE) / 2, 20 + g.request_id % 307]::DOUBLE[] AS price_range) FROM graph_of g),
+ranged AS (
+  SELECT g.request_id, r.* EXCLUDE (graph_id) FROM routes r JOIN own g ON g.graph_id = r.graph_id
+  WHERE r.total_price BETWEEN g.price_range[1] AND g.price_range[2]
+    AND (len(g.time_range) <> 2 OR r.total_time BETWEEN g.time_range[1] AND g.time_range[2]))
+SELECT request_id, rank, route_id, n_legs, ROUND(total_price, 2) AS total_price, total_time, stops FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY request_id ORDER BY total_price, total_time DESC, route_id) AS INTEGER) AS rank
+  FROM ranged) WHERE rank <= 5
+""")
+def q_own_ranges(spark, sf_dir):
+    """The search with a price range of its own for nearly every request."""
+    cat = fixtures.catalogue(spark, sf_dir)
+    own = F.array((F.col("request_id") % 211) / 2, (20 + F.col("request_id") % 307).cast("double"))
+    return top_route_rows(search(fixtures.requests(spark, sf_dir).withColumn("price_range", own), cat))
+
+
 # --- messages (S9, J3, F1, J1, J2, J4, J5) -----------------------------------------
 
-_REQ_JSON = """'{"src": "' || src || '","departureDate":"' || CAST(departure_date AS VARCHAR) || '","dst":"' || dst
-  || '", "priceRange": [' || array_to_string(list_transform(price_range, lambda x: CAST(x AS VARCHAR)), ',')
-  || '],"timeTravelRange": [' || array_to_string(list_transform(time_range, lambda x: CAST(x AS VARCHAR)), ',') || ']}'"""
+_REQ_JSON = """'{"src":"' || src || '","departureDate":"' || CAST(departure_date AS VARCHAR) || '","dst":"' || dst
+  || '","priceRange":[' || array_to_string(list_transform(price_range, lambda x: CAST(x AS VARCHAR)), ',')
+  || '],"timeTravelRange":[' || array_to_string(list_transform(time_range, lambda x: CAST(x AS VARCHAR)), ',') || ']}'"""
 
 
 @register("request_messages", f"""
@@ -173,6 +258,26 @@ def q_decoded_requests(spark, sf_dir):
                     "status")
 
 
+@register("request_statuses", """
+SELECT request_id,
+  CASE request_id % 8 WHEN 4 THEN 'input-' WHEN 5 THEN 'input' || user_id ELSE user_id END AS user_id,
+  CASE request_id % 8 WHEN 0 THEN 'BAD_JSON' WHEN 1 THEN 'NOT_OBJECT' WHEN 2 THEN 'MISSING_FIELD' WHEN 3 THEN 'BAD_DATE'
+    WHEN 4 THEN 'BAD_KEY' WHEN 5 THEN 'BAD_KEY' ELSE 'OK' END AS status,
+  CASE request_id % 8 WHEN 4 THEN 'output-input-' WHEN 5 THEN 'output-input' || user_id ELSE 'output-' || user_id END AS reply
+FROM requests
+""")
+def q_request_statuses(spark, sf_dir):
+    """J2 + J4 + J12: messages with bad fields, their statuses and reply keys."""
+    m = codec.encode_requests(fixtures.requests(spark, sf_dir))
+    k = F.col("request_id") % 8
+    value = (F.when(k == 0, F.concat(F.lit("{"), F.col("value"))).when(k == 1, F.lit("[1, 2]"))
+             .when(k == 2, F.regexp_replace("value", '"dst"', '"to"'))
+             .when(k == 3, F.regexp_replace("value", "[0-9]{4}-[0-9]{2}-[0-9]{2}", "29/10/2024")).otherwise(F.col("value")))
+    key = F.when(k == 4, F.lit("input-")).when(k == 5, F.regexp_replace("key", "-", "")).otherwise(F.col("key"))
+    d = codec.decode_requests(m.select("request_id", key.alias("key"), value.alias("value")))
+    return d.select("request_id", "user_id", "status", codec.reply_key(F.col("user_id")).alias("reply"))
+
+
 # --- cities and roles (G1, F3, W1, K1, W2, F9, U1) ---------------------------------
 
 @register("nearby_cities", """
@@ -207,13 +312,19 @@ def q_transit(spark, sf_dir):
     return stops
 
 
-# --- legs (U3, T1, T2, F10, U4) ------------------------------------------------------
+# --- graphs and legs (U3, T1, T2, F10, U4) --------------------------------------------
+
+@register("request_graphs", "SELECT request_id, graph_id FROM graph_of")
+def q_request_graphs(spark, sf_dir):
+    """The graph of every answerable request; the queries below are per graph."""
+    _, graph_of, _ = _graphs(spark, sf_dir)
+    return graph_of.select("request_id", "graph_id")
+
 
-@register("leg_city_pairs", "SELECT request_id, from_city, to_city, departure_date FROM pairs")
+@register("leg_city_pairs", "SELECT graph_id, from_city, to_city, departure_date FROM pairs")
 def q_pairs(spark, sf_dir):
     """U3."""
-    _, plan, _, stops = _pieces(spark, sf_dir)
-    return leg_city_pairs(plan, stops)
+    return leg_city_pairs(_graphs(spark, sf_dir)[2])
 
 
 @register("place_pairs", """
@@ -224,48 +335,66 @@ FROM ctrips t JOIN (SELECT DISTINCT from_city, to_city FROM pairs) p
 """)
 def q_place_pairs(spark, sf_dir):
     """T1 over the distinct searched city pairs: place pairs with a trip."""
-    cat, plan, _, stops = _pieces(spark, sf_dir)
-    return place_pairs(leg_city_pairs(plan, stops), city_trips(cat.trips, cat.places))
+    cat, _, graphs = _graphs(spark, sf_dir)
+    return place_pairs(leg_city_pairs(graphs), city_trips(cat.trips, cat.places))
 
 
-@register("request_legs", "SELECT request_id, leg_id, o_city, d_city, price, duration_h FROM legs")
+@register("request_legs", "SELECT graph_id, leg_id, o_city, d_city, price, duration_h FROM legs")
 def q_request_legs(spark, sf_dir):
-    """T2 + F10 + U4: the legs of every request."""
-    _, _, legs = _legs(spark, sf_dir)
-    return legs.select("request_id", "leg_id", "o_city", "d_city", "price", "duration_h")
+    """T2 + F10 + U4: the legs of every graph that requests search."""
+    return _legs(spark, sf_dir)[1].select("graph_id", "leg_id", "o_city", "d_city", "price", "duration_h")
 
 
 # --- routes (R4, R5, A3, U6, F7, F8) --------------------------------------------------
 
-@register("route_candidates", "SELECT request_id, route_id, n_legs, total_price, total_time FROM routes")
+@register("route_candidates", "SELECT graph_id, route_id, n_legs, total_price, total_time FROM routes")
 def q_route_candidates(spark, sf_dir):
     """R4 + R5 + A3 + U6 with the general iterative enumeration."""
-    _, ok, legs = _legs(spark, sf_dir)
-    r = enumerate_routes(legs, ok.select("request_id", "o_city", "d_city"))
-    return r.select("request_id", "route_id", "n_legs", "total_price", "total_time")
-
-
-@register("routes_in_range", "SELECT request_id, route_id, total_price, total_time FROM in_range")
+    graphs, legs = _legs(spark, sf_dir)
+    return enumerate_routes(legs, graphs).select("graph_id", "route_id", "n_legs", "total_price", "total_time")
+
+
+@register("routes_in_range", """
+, searched AS (
+  SELECT DISTINCT graph_id, CASE WHEN len(price_range) = 2 THEN price_range[1] END AS p_lo,
+         CASE WHEN len(price_range) = 2 THEN price_range[2] END AS p_hi,
+         CASE WHEN len(time_range) = 2 THEN time_range[1] END AS t_lo,
+         CASE WHEN len(time_range) = 2 THEN time_range[2] END AS t_hi FROM graph_of)
+SELECT s.*, r.route_id, r.total_price, r.total_time FROM searched s JOIN routes r ON r.graph_id = s.graph_id
+WHERE (s.p_lo IS NULL OR r.total_price BETWEEN s.p_lo AND s.p_hi) AND (s.t_lo IS NULL OR r.total_time BETWEEN s.t_lo AND s.t_hi)
+""")
 def q_in_range(spark, sf_dir):
-    """F7 + F8 on the enumerated routes."""
-    _, ok, legs = _legs(spark, sf_dir)
-    r = enumerate_routes(legs, ok.select("request_id", "o_city", "d_city"))
-    r = r.join(ok.select("request_id", "price_range", "time_range"), "request_id")
-    return filter_time_range(filter_price_range(r)).select("request_id", "route_id", "total_price",
-                                                           "total_time")
+    """F7 + F8 on the enumerated routes, per graph and distinct ranges."""
+    cat, graph_of, graphs = _graphs(spark, sf_dir)
+    r = enumerate_routes(graph_legs(leg_city_pairs(graphs), city_trips(cat.trips, cat.places)), graphs)
+    asked = fixtures.requests(spark, sf_dir).select("request_id", "price_range", "time_range")
+    searched = graph_of.select("request_id", "graph_id").join(asked, "request_id").select(
+        "graph_id", lower_bound(F.col("price_range")).alias("p_lo"), upper_bound(F.col("price_range")).alias("p_hi"),
+        lower_bound(F.col("time_range")).alias("t_lo"), upper_bound(F.col("time_range")).alias("t_hi")).distinct()
+    found = searched.join(r, "graph_id").filter(F.col("total_price").between(F.col("p_lo"), F.col("p_hi"))
+                                                & F.col("total_time").between(F.col("t_lo"), F.col("t_hi")))
+    finite = [F.when(F.abs(c) != float("inf"), F.col(c)).alias(c) for c in ("p_lo", "p_hi", "t_lo", "t_hi")]
+    return found.select("graph_id", *finite, "route_id", "total_price", "total_time")
 
 
 # --- graph views (A1, A2, R2, R3, U5, A4) ---------------------------------------------
 
 _GRAPH_PLACES = """
 gplaces AS (
-  SELECT DISTINCT request_id, origin_place_id AS place_id, o_name AS place_name, o_city AS city_id FROM legs
-  UNION SELECT DISTINCT request_id, dest_place_id, d_name, d_city FROM legs),
+  SELECT graph_id, origin_place_id AS place_id, o_name AS place_name, o_city AS city_id FROM legs
+  UNION SELECT graph_id, dest_place_id, d_name, d_city FROM legs),
+last_hop AS (
+  SELECT DISTINCT l.graph_id, l.origin_place_id AS place_id FROM legs l JOIN graphs g ON g.graph_id = l.graph_id
+  WHERE l.d_city = g.d_city),
 kept AS (
-  SELECT l.* FROM legs l JOIN ok USING (request_id)
-  WHERE l.d_city = ok.d_city
-     OR EXISTS (SELECT 1 FROM legs m WHERE m.request_id = l.request_id
-                AND m.origin_place_id = l.dest_place_id AND m.d_city = ok.d_city))
+  SELECT l.* FROM legs l JOIN graphs g ON g.graph_id = l.graph_id
+    LEFT JOIN last_hop h ON h.graph_id = l.graph_id AND h.place_id = l.dest_place_id
+  WHERE l.d_city = g.d_city OR h.place_id IS NOT NULL),
+pruned AS (
+  SELECT g.graph_id, g.city_id, g.place_id FROM gplaces g JOIN graphs x ON x.graph_id = g.graph_id
+    LEFT JOIN (SELECT DISTINCT graph_id, origin_place_id FROM kept) k
+      ON k.graph_id = g.graph_id AND k.origin_place_id = g.place_id
+  WHERE g.city_id = x.d_city OR k.origin_place_id IS NOT NULL)
 """
 
 
@@ -273,63 +402,150 @@ def _graph_sql(body):
     return "," + _GRAPH_PLACES + body
 
 
-@register("graph_places", _graph_sql("SELECT request_id, place_id, place_name, city_id FROM gplaces"))
+@register("graph_places", _graph_sql("SELECT graph_id, place_id, place_name, city_id FROM gplaces"))
 def q_graph_places(spark, sf_dir):
     """A2."""
-    _, _, legs = _legs(spark, sf_dir)
-    return graph.graph_places(legs).select("request_id", "place_id", "place_name", "city_id")
+    return graph.graph_places(_legs(spark, sf_dir)[1])
 
 
 @register("graph_nodes", _graph_sql("""
-SELECT request_id, city_id, COUNT(*) AS n_places FROM gplaces GROUP BY request_id, city_id
+SELECT graph_id, city_id, COUNT(*) AS n_places FROM gplaces GROUP BY graph_id, city_id
 """))
 def q_graph_nodes(spark, sf_dir):
     """A1."""
-    _, _, legs = _legs(spark, sf_dir)
-    return graph.graph_nodes(legs)
+    return graph.graph_nodes(_legs(spark, sf_dir)[1])
 
 
-@register("reachable_legs", _graph_sql("SELECT request_id, leg_id FROM kept"))
+@register("reachable_legs", _graph_sql("SELECT graph_id, leg_id FROM kept"))
 def q_reachable(spark, sf_dir):
     """R2: backward reachability from the destination city."""
-    _, ok, legs = _legs(spark, sf_dir)
-    return graph.prune_unreachable(legs, ok).select("request_id", "leg_id")
+    graphs, legs = _legs(spark, sf_dir)
+    return graph.prune_unreachable(legs, graphs).select("graph_id", "leg_id")
 
 
-@register("pruned_nodes", _graph_sql("""
-SELECT g.request_id, g.city_id, g.place_id FROM gplaces g
-WHERE EXISTS (SELECT 1 FROM ok WHERE ok.request_id = g.request_id AND ok.d_city = g.city_id)
-   OR EXISTS (SELECT 1 FROM kept k WHERE k.request_id = g.request_id AND k.origin_place_id = g.place_id)
-"""))
+@register("pruned_nodes", _graph_sql("SELECT graph_id, city_id, place_id FROM pruned"))
 def q_pruned_nodes(spark, sf_dir):
     """R3 + U5."""
-    _, ok, legs = _legs(spark, sf_dir)
-    kept = graph.prune_unreachable(legs, ok)
-    return graph.prune_nodes(legs, kept, ok).select("request_id", "city_id", "place_id")
+    graphs, legs = _legs(spark, sf_dir)
+    kept = graph.prune_unreachable(legs, graphs)
+    return graph.prune_nodes(legs, kept, graphs).select("graph_id", "city_id", "place_id")
 
 
 @register("graph_report", _graph_sql("""
-SELECT k.request_id, k.o_city AS city_id, COUNT(*) AS n_legs, MIN(k.price) AS min_price, MAX(k.price) AS max_price,
+SELECT k.graph_id, k.o_city AS city_id, COUNT(*) AS n_legs, MIN(k.price) AS min_price, MAX(k.price) AS max_price,
        MIN(k.duration_h) AS min_hours, MAX(k.duration_h) AS max_hours
-FROM kept k JOIN ok USING (request_id) WHERE k.o_city <> ok.d_city GROUP BY k.request_id, k.o_city
+FROM kept k JOIN graphs g ON g.graph_id = k.graph_id WHERE k.o_city <> g.d_city GROUP BY k.graph_id, k.o_city
 """))
 def q_graph_report(spark, sf_dir):
     """A4 aggregates per node."""
-    _, ok, legs = _legs(spark, sf_dir)
-    return graph.graph_report(graph.prune_unreachable(legs, ok), ok)
+    graphs, legs = _legs(spark, sf_dir)
+    return graph.graph_report(graph.prune_unreachable(legs, graphs), graphs)
+
+
+@register("graph_report_nodes", _graph_sql("""
+SELECT graph_id, city_id, COUNT(*) AS n_places, chr(9) || '*Outcoming routes from node ' || CAST(city_id AS VARCHAR) || '*' AS line
+FROM pruned GROUP BY graph_id, city_id
+"""))
+def q_graph_report_nodes(spark, sf_dir):
+    """A4, node section."""
+    graphs, legs = _legs(spark, sf_dir)
+    kept = graph.prune_unreachable(legs, graphs)
+    return graph.graph_report_nodes(graph.prune_nodes(legs, kept, graphs))
 
 
 @register("graph_report_lines", _graph_sql("""
-SELECT k.request_id, k.leg_id,
+SELECT k.graph_id, k.leg_id,
   chr(9) || chr(9) || '(' || k.origin_place_id || ':' || k.o_name || ':' || k.provider || ':' || CAST(k.o_city AS VARCHAR)
   || ') ==(' || CAST(k.price AS VARCHAR) || '€:' || CAST(k.duration_h AS VARCHAR) || 'h)=> ('
   || k.dest_place_id || ':' || k.d_name || ':' || k.provider || ':' || CAST(k.d_city AS VARCHAR) || ')' AS line
-FROM kept k JOIN ok USING (request_id) WHERE k.o_city <> ok.d_city
+FROM kept k JOIN graphs g ON g.graph_id = k.graph_id WHERE k.o_city <> g.d_city
 """))
 def q_graph_report_lines(spark, sf_dir):
     """A4 text: one line per kept leg leaving a node other than the destination."""
-    _, ok, legs = _legs(spark, sf_dir)
-    return graph.graph_report_lines(graph.prune_unreachable(legs, ok), ok)
+    graphs, legs = _legs(spark, sf_dir)
+    return graph.graph_report_lines(graph.prune_unreachable(legs, graphs), graphs)
+
+
+# --- multi-leg, cyclic graphs derived from the orders (R2, R4, V2) ----------------------
+
+#: One graph per customer: its orders are legs between nine places in five cities.
+_ORDER_LEGS = """
+olegs AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS graph_id, CAST(o_orderkey AS VARCHAR) AS leg_id,
+         (o_orderkey * 7 + o_custkey) % 9 AS p, (o_orderkey * 5 + o_custkey * 3 + o_orderkey // 9 + 1) % 9 AS q,
+         CASE WHEN o_orderkey % 3 = 0 THEN 'BUS' ELSE 'FLIGHT' END AS provider,
+         CAST(o_orderkey % 97 AS DOUBLE) + CAST(o_orderkey % 8 AS DOUBLE) * 0.125 AS price,
+         CAST(o_orderkey % 7 AS DOUBLE) AS duration_h
+  FROM orders),
+oplan AS (
+  SELECT DISTINCT graph_id, CAST(graph_id AS BIGINT) % 5 AS o_city, CAST(graph_id AS BIGINT) // 5 % 5 AS d_city FROM olegs)"""
+
+_ORDER_ROUTES = """WITH RECURSIVE""" + _ORDER_LEGS + """,
+walk AS (
+  SELECT g.graph_id, g.d_city, l.p AS start_p, l.q AS last_q, [l.p, l.q] AS visited, l.leg_id AS route_id, 1 AS n_legs,
+         l.price AS total_price, l.duration_h AS total_time, l.provider = 'FLIGHT' AS all_flight
+  FROM oplan g JOIN olegs l ON l.graph_id = g.graph_id AND l.p // 2 = g.o_city
+  UNION ALL
+  SELECT w.graph_id, w.d_city, w.start_p, l.q, list_append(w.visited, l.q), w.route_id || '>' || l.leg_id, w.n_legs + 1,
+         w.total_price + l.price, w.total_time + l.duration_h, w.all_flight AND l.provider = 'FLIGHT'
+  FROM walk w JOIN olegs l ON l.graph_id = w.graph_id AND l.p = w.last_q
+  WHERE w.last_q // 2 <> w.d_city
+    AND (NOT list_contains(w.visited, l.q) OR (l.q = w.start_p AND l.q // 2 = w.d_city)))
+"""
+
+
+def _order_graphs(spark, sf_dir):
+    o = fixtures.table(spark, sf_dir, "orders")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    p, q = (k * 7 + c) % 9, (k * 5 + c * 3 + F.floor(k / 9) + 1) % 9
+    legs = o.select(
+        c.cast("string").alias("graph_id"), k.cast("string").alias("leg_id"), p.cast("string").alias("origin_place_id"),
+        p.cast("string").alias("o_name"), F.floor(p / 2).cast("long").alias("o_city"), q.cast("string").alias("dest_place_id"),
+        q.cast("string").alias("d_name"), F.floor(q / 2).cast("long").alias("d_city"),
+        F.when(k % 3 == 0, F.lit("BUS")).otherwise(F.lit("FLIGHT")).alias("provider"),
+        ((k % 97).cast("double") + (k % 8).cast("double") * 0.125).alias("price"), (k % 7).cast("double").alias("duration_h"))
+    plan = legs.select("graph_id").distinct().select(
+        "graph_id", (F.col("graph_id").cast("long") % 5).alias("o_city"),
+        (F.floor(F.col("graph_id").cast("long") / 5) % 5).alias("d_city"))
+    return plan, legs
+
+
+@register("multi_leg_routes")
+def q_multi_leg_routes(spark, sf_dir):
+    """R4 + R5 + U6 on cyclic graphs with routes of any length."""
+    plan, legs = _order_graphs(spark, sf_dir)
+    return enumerate_routes(legs, plan).select("graph_id", "route_id", "n_legs", "total_price", "total_time")
+
+
+@register("multi_leg_routes_capped")
+def q_multi_leg_routes_capped(spark, sf_dir):
+    """V2: at most 4 legs by air, 3 with a bus."""
+    plan, legs = _order_graphs(spark, sf_dir)
+    return enumerate_routes(legs, plan, max_legs=3, max_legs_flight=4).select("graph_id", "route_id", "n_legs")
+
+
+@register("multi_leg_reachable")
+def q_multi_leg_reachable(spark, sf_dir):
+    """R2 on cyclic graphs."""
+    plan, legs = _order_graphs(spark, sf_dir)
+    return graph.prune_unreachable(legs, plan).select("graph_id", "leg_id")
+
+
+register_sql({
+    "multi_leg_routes": _ORDER_ROUTES + """
+SELECT graph_id, route_id, n_legs, total_price, total_time FROM walk WHERE last_q // 2 = d_city""",
+    "multi_leg_routes_capped": _ORDER_ROUTES + """
+SELECT graph_id, route_id, n_legs FROM walk
+WHERE last_q // 2 = d_city AND CASE WHEN all_flight THEN n_legs <= 4 ELSE n_legs <= 3 END""",
+    "multi_leg_reachable": "WITH RECURSIVE" + _ORDER_LEGS + """,
+reached AS (
+  SELECT g.graph_id, l.p FROM oplan g JOIN olegs l ON l.graph_id = g.graph_id AND l.q // 2 = g.d_city
+  UNION
+  SELECT r.graph_id, l.p FROM reached r JOIN olegs l ON l.graph_id = r.graph_id AND l.q = r.p)
+SELECT l.graph_id, l.leg_id FROM olegs l JOIN oplan g ON g.graph_id = l.graph_id
+  LEFT JOIN reached r ON r.graph_id = l.graph_id AND r.p = l.q
+WHERE l.q // 2 = g.d_city OR r.p IS NOT NULL""",
+})
 
 
 # --- replies (J10, J11, J12, W4, F2) ---------------------------------------------------

@@ -20,15 +20,20 @@ _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None = None, roles_by: str = "population"):
+def register(name: str, sql: str | None = None, roles_by: str = "population", trip: str = "t.*"):
     def deco(fn: Query) -> Query:
         _QUERIES[name] = fn
         if sql is not None:
-            _SQL[name] = oracle.with_fixtures(sql, roles_by)
+            _SQL[name] = oracle.with_fixtures(sql, roles_by, trip)
         return fn
     return deco
 
 
+def register_sql(found: dict[str, str]) -> None:
+    """Statements that need no fixture tables."""
+    _SQL.update(found)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

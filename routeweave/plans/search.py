@@ -77,8 +77,9 @@ def plan_requests_full(requests: DataFrame, cities: DataFrame, params: SearchPar
 
 def search(requests: DataFrame, catalogue: Catalogue, params: SearchParams = SearchParams(),
            ctrips: DataFrame | None = None) -> SearchResult:
-    """``ctrips``: trips already joined with their cities (a service
-    prepares it once); derived from the catalogue when absent."""
+    """``ctrips``: trips already joined with their cities (a stored
+    catalogue has them); derived from the catalogue when absent.
+    ``request_id`` must be unique."""
     plan, roles, stops, pair_stops = plan_requests_full(requests, catalogue.cities, params)
     ok = plan.filter(F.col("status") == STATUS_OK)
     if ctrips is None:
@@ -89,7 +90,8 @@ def search(requests: DataFrame, catalogue: Catalogue, params: SearchParams = Sea
 
 
 def top_route_rows(result: SearchResult) -> DataFrame:
-    """Flat view of the ranked routes (no nested itinerary)."""
+    """Flat view of the ranked routes (no nested itinerary); prices are
+    rounded here, after filter and order."""
     from routeweave.operators.routes import stops_text
-    return result.top.select("request_id", "rank", "route_id", "n_legs", "total_price", "total_time",
-                             stops_text(F.col("itinerary")).alias("stops"))
+    return result.top.select("request_id", "rank", "route_id", "n_legs", F.round("total_price", 2).alias("total_price"),
+                             "total_time", stops_text(F.col("itinerary")).alias("stops"))

@@ -1,4 +1,4 @@
-"""Broadcast only behind a proven size bound."""
+"""Intermediate tables in the session's shared folder."""
 
 from __future__ import annotations
 
@@ -7,21 +7,6 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Largest catalogue side (rows) that is shipped to every executor.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-# Rows per file of an intermediate table.
-MATERIALIZE_ROWS_PER_FILE = 100_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when it provably has at most ``max_rows``
-    rows; otherwise return it unchanged so the join shuffles (sort-merge,
-    with AQE skew splitting).  The bound is checked by counting at most
-    ``max_rows + 1`` rows, which stops early on a large input."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -35,9 +20,8 @@ def materialize(df: DataFrame) -> DataFrame:
     checkpoint nothing is computed twice."""
     spark = df.sparkSession
     path = f"{_scope_root(spark)}/{uuid.uuid4().hex}"
-    # bounded file size keeps the read-back split into many tasks
-    df.write.mode("error").option("maxRecordsPerFile", MATERIALIZE_ROWS_PER_FILE).parquet(path)
-    return spark.read.parquet(path)
+    df.write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 _LOCAL = threading.local()   # scopes per driver thread (stream callbacks run in their own)

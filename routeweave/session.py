@@ -41,12 +41,12 @@ def get_session(master: str | None = None, app: str = "routeweave",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared folder for lineage cuts: the cluster's
-    ``spark.checkpoint.dir`` (or the context's checkpoint folder).  Only
-    when neither is set (local runs, tests) a private folder is created.
+    """Return the shared folder for intermediate tables: the cluster's
+    ``spark.checkpoint.dir`` (or the context's checkpoint folder).  Only a
+    local session without either gets a private folder: on a cluster,
+    executors could not see one, so that is an error.
     Works without a SparkContext handle too (Spark Connect)."""
     current = spark.conf.get("spark.checkpoint.dir", None)
-    sc = None
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect sessions expose no SparkContext
@@ -57,9 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if sc is None or not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = os.path.abspath(tempfile.mkdtemp(prefix="routeweave-ckpt-"))
-    if sc is not None:
-        sc.setCheckpointDir(path)
-    else:
-        spark.conf.set("spark.checkpoint.dir", path)
+    sc.setCheckpointDir(path)
     return path

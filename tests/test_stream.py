@@ -27,6 +27,7 @@ def test_stream_equals_batch_and_restarts(spark):
     second.coalesce(1).write.parquet(f"{base}/in/part=2")
     run()                                           # restart: resumes from the checkpoint
     out = spark.read.parquet(f"{base}/out")
+    assert len({r.query_id for r in out.select("query_id").distinct().collect()}) == 1
     got = {(r.request_id, r.key, r.value) for r in out.collect()}
     assert out.count() == len(got)                   # no duplicates across batches and restarts
     batch = search(fixtures.requests(spark, SF0001), cat).responses
@@ -44,17 +45,44 @@ def test_client_reads_own_replies(spark):
     assert [(r.key, r.value) for r in got] == [("output-5", "mine")]
 
 
-def test_cli_request_serve_follow(spark, tmp_path):
+def test_cli_requests_get_their_own_replies(spark, tmp_path):
+    """Two published requests, answered in one micro-batch from a stored
+    catalogue; then the same from messages that share a request id."""
     from routeweave import cli
     from routeweave.sources import catalogue as store
-    store.write_catalogue(fixtures.catalogue(spark, SF0001), str(tmp_path / "cat"))
+    cat = str(tmp_path / "cat")
+    store.write_catalogue(fixtures.catalogue(spark, SF0001), cat)
     inbox = str(tmp_path / "inbox")
-    cli.main(["request", "--user", "42", "--src", "+45.0000,+5.0000", "--dst", "+47.0000,+8.0000",
-              "--date", "2024-01-02", "--price", "", "--time", "", "--sink", "parquet", "--path", inbox])
-    stream = svc.read_messages(spark, "parquet", inbox)
-    q = svc.serve(stream, store.read_catalogue(spark, str(tmp_path / "cat")), str(tmp_path / "out"),
-                  str(tmp_path / "ckpt"), trigger={"availableNow": True})
+    ends = {"42": ("+45.0000,+5.0000", "+47.0000,+8.0000"), "43": ("+49.0000,+11.0000", "+46.0000,+6.5000")}
+    for user, (src, dst) in ends.items():
+        cli.main(["request", "--user", user, "--src", src, "--dst", dst, "--date", "2024-01-02", "--price", "", "--time", "",
+                  "--sink", "parquet", "--path", inbox])
+    sent = spark.read.parquet(inbox)
+    assert sent.select("request_id").distinct().count() == 2
+
+    def answers(messages):
+        return {r.key: r.value for r in svc.answer(messages, cat).collect()}
+    alone = {}
+    for user in ends:
+        alone |= answers(sent.filter(F.col("key") == f"input-{user}"))
+    assert set(alone) == {"output-42", "output-43"} and len(set(alone.values())) == 2
+    q = svc.serve(svc.read_messages(spark, "parquet", inbox), cat, str(tmp_path / "out"), str(tmp_path / "ckpt"),
+                  trigger={"availableNow": True})
     q.awaitTermination()
-    replies = spark.read.parquet(str(tmp_path / "out")).collect()
-    assert len(replies) == 1 and replies[0].key == "output-42"
-    assert replies[0].value.startswith("Routes found to travel from ") or replies[0].value.startswith("Sorry")
+    assert {r.key: r.value for r in spark.read.parquet(str(tmp_path / "out")).collect()} == alone
+    assert answers(sent.withColumn("request_id", F.lit(5).cast("long"))) == alone
+
+
+def test_batch_reads_only_its_days(spark, tmp_path):
+    import io
+    from contextlib import redirect_stdout
+
+    from routeweave.sources import catalogue as store
+    store.write_catalogue(fixtures.catalogue(spark, SF0001), str(tmp_path))
+    req = fixtures.requests(spark, SF0001).filter("departure_date = DATE'2024-01-03'")
+    _, ctrips = svc.batch_catalogue(spark, str(tmp_path), req)
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        ctrips.explain("formatted")
+    assert "PartitionFilters: [" in buf.getvalue() and "2024-01-03" in buf.getvalue()
+    assert ctrips.select("departure_date").distinct().count() == 1
