@@ -38,13 +38,13 @@ from routeweave.llm.op7_language import remainder
 from routeweave.llm.tables import from_planes, planes, written
 from routeweave.llm.textbytes import mix64, pieces, word_hashes
 
-FILTER_BYTES = 64 << 20
+FILTER_BYTES = 32 << 20
 BITS_PER_ENTRY = 6
 PROBES = 3
 MU = 4.0
 BLOCK_BYTES = 6 << 20
 REGION_BYTES = 8 << 20
-FLUSH_TOKENS = 3_000_000
+FLUSH_TOKENS = 2_000_000
 
 _U = np.uint64
 END = mix64(np.array([0xE0D], np.uint64))[0]
@@ -253,25 +253,25 @@ def score_documents(docs: DataFrame, folds: int = 10, filter_bytes: int = FILTER
     def score(key, left, right):
         filt = model.value
         parts = [token_hashes(v, o) for _, _, v, o in pieces(left["text"].combine_chunks())]
-        tokens = np.concatenate([np.zeros(0, np.uint64), *(p[0] for p in parts)])
-        n = np.concatenate([np.zeros(0, np.int64), *(np.diff(p[1]) for p in parts)])
-        begin = np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64)
-        uniq, at = np.unique(tokens, return_inverse=True)
+        uniq = np.unique(np.concatenate([np.unique(p[0]) for p in parts]))
         order = np.argsort(right["region"].to_numpy())
         counts = right["counts"].to_pylist()
-        exact = np.concatenate([np.zeros(0, np.int64), *(from_planes(counts[i], "i8") for i in order)])
+        exact = np.concatenate([from_planes(counts[i], "i8") for i in order])
         base = np.log10((exact + 0.1) / (n_all + 0.1 * (n_distinct + 1)))
         approx = filt.counts(uniq)
         single = (approx + 0.1) / (n_all + 0.1 * (n_distinct + 1))
-        before = np.concatenate([[END], tokens[:-1]])
-        before_at = np.where(before == END, np.searchsorted(uniq, END), np.concatenate([[0], at[:-1]]))
-        history = approx[before_at]
-        p = (np.minimum(filt.counts(pair_hashes(tokens)), history) + MU * single[at]) / (history + MU)
+        end = np.searchsorted(uniq, END)
+        sums = []
+        for tokens, begin in parts:
+            at, first = np.searchsorted(uniq, tokens), begin[:-1]
+            history = approx[np.concatenate([[end], at[:-1]])]      # a text begins after an end token
+            p = (np.minimum(filt.counts(pair_hashes(tokens)), history) + MU * single[at]) / (history + MU)
+            sums.append((np.diff(begin), np.add.reduceat((exact[at] > 0).astype(np.int64), first),
+                         np.add.reduceat(base[at], first), np.add.reduceat(np.log10(np.minimum(p, 1.0)), first)))
+        n, known_, base_sum, model_sum = (np.concatenate([x[i] for x in sums]) for i in range(4))
         return pa.table({"doc_id": left["doc_id"], "held_out": left["held_out"], "n_tokens": pa.array(n, pa.int64()),
-                         "n_known": pa.array(np.add.reduceat((exact[at] > 0).astype(np.int64), begin), pa.int64()),
-                         "train_tokens": pa.array(np.full(len(n), n_all), pa.int64()),
-                         "base_score": pa.array(np.add.reduceat(base[at], begin)),
-                         "score": pa.array(np.add.reduceat(np.log10(np.minimum(p, 1.0)), begin))})
+                         "n_known": pa.array(known_, pa.int64()), "train_tokens": pa.array(np.full(len(n), n_all), pa.int64()),
+                         "base_score": pa.array(base_sum), "score": pa.array(model_sum)})
 
     need = dealt.mapInArrow(asked, "region int, block bigint, asked binary")
     counted = (need.groupBy("region").cogroup(known.select("region", "hashes", "counts").groupBy("region"))

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)                       # odd, hence invertible mod 2^64
