@@ -38,12 +38,11 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from routeweave.llm.bloom import bloom_filter, may_contain
 from routeweave.llm.graph import components
-from routeweave.llm.tables import written
+from routeweave.llm.tables import if_small, written
 from routeweave.llm.textbytes import mix64, pieces, shingles, word_hashes
 
 PART_BITS = 64
 FOLD = 16                   # bits of a folded sketch per allowed difference, at least
-BROADCAST_ROWS = 500_000    # of 8-byte ids
 BLOCK = 512                 # members of a bucket that are compared at once
 ROUNDS = 2                  # searches for forests before the one for all pairs
 
@@ -201,15 +200,19 @@ def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(good, pa.int64())) for c in (0, 1, 6, 7)],
                                              names=["a", "b", "rep_a", "rep_b"])
 
-    return (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "s_a", "n_b", "s_b", "rep_a", "rep_b")
+    both = side("b").join(side("a").join(if_small(pairs), "a"), "b")
+    return (both.select("a", "b", "n_a", "s_a", "n_b", "s_b", "rep_a", "rep_b")
             .mapInArrow(run, f"a bigint, b bigint, rep_a {id_type}, rep_b {id_type}"))
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs whose exact sets are linked; ``pairs`` is a written table."""
-    reps = written(pairs.select(F.col("rep_a").alias("doc_id")).union(pairs.select("rep_b")).distinct(), "jaccard-needed")
-    if reps.count() <= BROADCAST_ROWS:      # beyond, a shuffled join
-        reps = F.broadcast(reps)
+    """The pairs whose exact sets are linked; ``pairs`` is a written table.
+
+    Only the texts of a pair's documents are read as sets; each set goes to
+    its pairs, and the two sets of a pair meet by one shuffle."""
+    side = lambda sid, rep, i: pairs.select(F.col(sid).alias("sid"), F.col(rep).alias("doc_id"), "a", "b", F.lit(i).alias("side"))
+    need = written(side("a", "rep_a", 0).union(side("b", "rep_b", 1)), "jaccard-needed")
+    reps = if_small(written(need.select("doc_id").distinct(), "jaccard-needed-documents"))
 
     def sets(batches):
         for batch in batches:
@@ -222,21 +225,25 @@ def _linked(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
             yield pa.RecordBatch.from_arrays([pa.array(sid, pa.int64()), pa.array(data, pa.binary())], names=["sid", "elements"])
 
     found = (docs.select("doc_id", "text").join(reps, "doc_id", "left_semi").select("text")
-             .mapInArrow(sets, "sid bigint, elements binary").dropDuplicates(["sid"]))
-    found = written(found, "jaccard-sets")
+             .mapInArrow(sets, "sid bigint, elements binary"))
+    met = found.join(if_small(need.select("sid", "a", "b", "side")), "sid").select("a", "b", "side", "elements")
 
     def check(batches):
+        held = None, None, None         # a pair, and its set of side 0
         for batch in batches:
+            a, b, side = (batch.column(i).to_pylist() for i in range(3))
             good = []
             for i in range(batch.num_rows):
-                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in (2, 3))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    good.append(i)
+                x = np.frombuffer(batch.column(3)[i].as_buffer(), np.uint64)
+                if side[i] == 0:
+                    held = a[i], b[i], x.copy()
+                elif held[:2] == (a[i], b[i]):
+                    both = len(np.intersect1d(held[2], x, assume_unique=True))
+                    if 100 * both >= percent * (len(held[2]) + len(x) - both):
+                        good.append(i)
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(good, pa.int64())) for c in (0, 1)], names=["a", "b"])
 
-    a, b = (found.select(F.col("sid").alias(x), F.col("elements").alias(f"e_{x}")) for x in "ab")
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "e_a", "e_b").mapInArrow(check, "a bigint, b bigint")
+    return met.repartition("a", "b").sortWithinPartitions("a", "b", "side").mapInArrow(check, "a bigint, b bigint")
 
 
 def _open_pairs(buckets: DataFrame, nodes: DataFrame, comps: DataFrame, percent: int, forest: bool) -> DataFrame:
@@ -245,9 +252,10 @@ def _open_pairs(buckets: DataFrame, nodes: DataFrame, comps: DataFrame, percent:
 
     A bucket of more than BLOCK members is dealt into blocks; a pair of
     blocks is one group, so a task never holds more than two blocks."""
-    rows = (buckets.join(comps.withColumnRenamed("node", "sid"), "sid", "left")
+    rows = (buckets.join(if_small(comps.withColumnRenamed("node", "sid")), "sid", "left")
             .select("key", "sid", F.coalesce("root", "sid").alias("root")))
     mixed = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).filter("lo != hi")
+    mixed = if_small(written(mixed.select("key", "n"), "jaccard-mixed"))
     blocks = F.ceil(F.col("n") / BLOCK)
     own = F.pmod(F.xxhash64("sid"), F.col("blocks"))
     dealt = (rows.join(mixed.select("key", blocks.alias("blocks")), "key")
@@ -328,6 +336,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     buckets = written(_buckets(_keys(docs, k, percent)), "jaccard-buckets")
 
     star = buckets.filter("center != sid").select(F.col("center").alias("a"), F.col("sid").alias("b")).distinct()
+    star = written(star, "jaccard-pairs")
     nearest = _close(star, nodes, percent).groupBy("b").agg(F.min(F.struct("a", "rep_a")).alias("x"), F.first("rep_b").alias("rep_b"))
     pairs = written(nearest.select("x.a", "b", "x.rep_a", "rep_b"), "jaccard-pairs")
     tested = pairs.select("a", "b")
@@ -337,10 +346,11 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     while True:
         forest = forests < ROUNDS
         near = _open_pairs(buckets, nodes, comps, percent, forest)
-        near = written(near.join(tested.withColumn("known", F.lit(True)), ["a", "b"], "left"), "jaccard-pairs")
-        fresh = near.filter("known IS NULL").drop("known")
+        near = near.join(if_small(tested).withColumn("known", F.lit(True)), ["a", "b"], "left")
+        near = written(near, "jaccard-pairs")
         if near.isEmpty():
             break
+        fresh = near.filter("known IS NULL").drop("known")
         some = not fresh.isEmpty()
         if some:
             tested = tested.union(fresh.select("a", "b"))
@@ -350,10 +360,11 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
             break
         forests = forests + 1 if some else ROUNDS
 
-    named = (nodes.select("sid", "rep").join(comps.withColumnRenamed("node", "sid"), "sid", "left")
-             .select("sid", "rep", F.coalesce("root", "sid").alias("root")))
-    least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of = named.join(least, "root").select("sid", "component_id")
+    # sets in components take the least document of theirs
+    named = nodes.select("sid", "rep").join(if_small(comps.withColumnRenamed("node", "sid")), "sid")
+    least = named.groupBy("root").agg(F.min("rep").alias("least"))
+    joined = if_small(written(named.join(least, "root").select("sid", "least"), "jaccard-named"))
+    of = nodes.select("sid", "rep").join(joined, "sid", "left").select("sid", F.coalesce("least", "rep").alias("component_id"))
     return members.join(of, "sid", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "sid")
 

@@ -59,7 +59,7 @@ def test_against_all_pairs(docs, monkeypatch, k, percent, block):
 
 
 def test_special_rows(docs, monkeypatch):
-    monkeypatch.setattr(op6_jaccard, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr("routeweave.llm.tables.BROADCAST_ROWS", 0)
     text = " ".join(f"w{i}" for i in range(60))
     rows = [(7, text), (7, text), (7, "other words here now"), (3, text + " z"), (None, text), (None, "lonely words of null"), (9, None)]
     got = sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in jaccard_components(docs(rows)).collect())
