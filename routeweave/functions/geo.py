@@ -24,7 +24,14 @@ def _band_height(radius_km: float) -> float:
     return radius_km / KM_PER_DEGREE_LAT
 
 
-def _cells_of_band(band: Column, radius_km: float) -> Column:
+def lat_band(lat: Column, radius_km: float) -> Column:
+    """Latitude band as high as the radius: points within it lie in one band
+    or in two neighbouring ones (a great-circle distance is never shorter
+    than its meridian component)."""
+    return F.floor(lat / _band_height(radius_km)).cast("long")
+
+
+def lon_cells(band: Column, radius_km: float) -> Column:
     """Number of longitude cells of a latitude band.  A cell is at least as
     wide as the radius reaches from any point of the band or of its
     neighbours; bands near a pole (or cells too few to tell neighbours
@@ -37,25 +44,6 @@ def _cells_of_band(band: Column, radius_km: float) -> Column:
     return F.when((far + height >= 90.0) | (n < 3), F.lit(1)).otherwise(n).cast("long")
 
 
-def _lon_cell(lon: Column, n: Column) -> Column:
+def lon_cell(lon: Column, n: Column) -> Column:
     """Cell of a longitude; -180 and 180 are one meridian."""
     return F.pmod(F.floor((lon + 180.0) / 360.0 * n).cast("long"), n)
-
-
-def own_cell(lat: Column, lon: Column, radius_km: float) -> Column:
-    """The grid cell ``(band, column)`` of a point."""
-    band = F.floor(lat / _band_height(radius_km)).cast("long")
-    return F.struct(band.alias("band"), _lon_cell(lon, _cells_of_band(band, radius_km)).alias("col"))
-
-
-def near_cells(lat: Column, lon: Column, radius_km: float) -> Column:
-    """All cells that can hold a point within the radius: the columns beside
-    the point's own in its band and the two next to it (a great-circle
-    distance is never shorter than its meridian component)."""
-    band = F.floor(lat / _band_height(radius_km)).cast("long")
-    cells = []
-    for step in (-1, 0, 1):
-        b = band + step
-        n = _cells_of_band(b, radius_km)
-        cells += [F.struct(b.alias("band"), F.pmod(_lon_cell(lon, n) + side, n).alias("col")) for side in (-1, 0, 1)]
-    return F.array_distinct(F.array(*cells))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from routeweave.functions.codec import STATUS_NO_CITY, STATUS_OK
-from routeweave.functions.geo import haversine_km, near_cells, own_cell
+from routeweave.functions.geo import haversine_km, lat_band, lon_cell, lon_cells
 
 # Fixed values of the nearby-city search.
 RADIUS_KM = 200.0
@@ -38,11 +38,19 @@ def nearby_cities(points: DataFrame, cities: DataFrame, radius_km: float = RADIU
     cat = (cities.filter(F.col("population") >= min_population)
            .select("city_id", "city_name", "country_code", "population",
                    F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon"),
-                   own_cell(F.col("lat"), F.col("lon"), radius_km).alias("cell")))
+                   lat_band(F.col("lat"), radius_km).alias("band"))
+           .withColumn("cell", lon_cell(F.col("c_lon"), lon_cells(F.col("band"), radius_km))))
+    # one row per band around the point, then one per cell of that band
+    own = lat_band(F.col("lat"), radius_km)
     probe = (points.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-             .withColumn("cell", F.explode(near_cells(F.col("lat"), F.col("lon"), radius_km))))
+             .withColumn("band", F.explode(F.array(own - 1, own, own + 1)))
+             .withColumn("_n", lon_cells(F.col("band"), radius_km))
+             .withColumn("_own", lon_cell(F.col("lon"), F.col("_n")))
+             .withColumn("cell", F.explode(F.array_distinct(F.transform(
+                 F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda s: F.pmod(F.col("_own") + s, F.col("_n"))))))
+             .drop("_n", "_own"))
     dist = haversine_km(F.col("lat"), F.col("lon"), F.col("c_lat"), F.col("c_lon"))
-    near = (probe.join(cat, "cell").withColumn("distance_km", dist)
+    near = (probe.join(cat, ["band", "cell"]).withColumn("distance_km", dist)
             .filter(F.col("distance_km") <= radius_km))
     w = Window.partitionBy(*key).orderBy(F.col("population").desc(), F.col("city_id"))
     return (near.withColumn("rank", F.row_number().over(w))
