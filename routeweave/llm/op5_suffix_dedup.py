@@ -32,6 +32,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +42,8 @@ from routeweave.llm.textbytes import as_bytes, mix64, pieces, powers, prefix_has
 
 GRAMS_PER_WINDOW = 4     # a window is this many anchor lengths
 GROUP = 1000
-CHUNK = 1 << 20
+NARROW = 8              # windows of a narrow context, at most
+CHUNK = 1 << 19
 SEGMENT = 4 << 20       # windows of a very long text are taken in segments
 POSITION_BITS = 24
 
@@ -134,22 +136,41 @@ def _anchors(docs: DataFrame, length: int, bits=None, with_bytes: bool = False,
     return docs.select("doc_id", "text").mapInArrow(run, schema + (", data binary" if with_bytes else ""))
 
 
+PACKED = 20     # bits of a rank and of a position that share a sorted word
+
+
 def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
     """Rank of every suffix by its first ``length`` bytes (equal strings get
-    equal ranks), by prefix doubling; the end is padded with zeros."""
+    equal ranks), by prefix doubling; the end is padded with zeros.
+
+    Below 2^20 bytes, (rank, rank after, position) fit one word, so that a
+    plain sort of words does each round."""
     n = len(data)
-    padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
-    span = min(8, 1 << (length.bit_length() - 1))
+    packed = n < 1 << PACKED
+    span = min(5, length)
+    padded = np.concatenate([data, np.zeros(5, np.uint8)]).astype(np.uint64)
     key = np.zeros(n, dtype=np.uint64)
     for i in range(span):
         key = key << _U(8) | padded[i:n + i]
-    rank = np.unique(key, return_inverse=True)[1]
+    position = np.arange(n, dtype=np.uint64)
+
+    def ranks(key: np.ndarray) -> np.ndarray:
+        if not packed:
+            return np.unique(key, return_inverse=True)[1].astype(np.uint64)
+        word = np.sort(key << _U(PACKED) | position)
+        group = word >> _U(PACKED)
+        out = np.empty(n, dtype=np.uint64)
+        out[(word & _U((1 << PACKED) - 1)).astype(np.int64)] = np.cumsum(
+            np.concatenate([[0], group[1:] != group[:-1]])) if n else 0
+        return out
+
+    rank = ranks(key)
     while span < length:
         step = min(span, length - span)
-        after = np.concatenate([rank[step:] + 1, np.zeros(min(step, n), rank.dtype)])
-        rank = np.unique(rank.astype(np.uint64) << _U(32) | after.astype(np.uint64), return_inverse=True)[1]
+        after = np.concatenate([rank[step:] + _U(1), np.zeros(min(step, n), np.uint64)])
+        rank = ranks(rank << _U(PACKED if packed else 32) | after)
         span += step
-    return rank
+    return rank.astype(np.int64)
 
 
 def earlier_copies(rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,6 +217,19 @@ def _compare(rows: DataFrame, length: int, keep: str) -> DataFrame:
         start = table["start"].to_numpy()[of[hit]] + at[hit] - begin[:-1][of[hit]]
         yield from _runs(table["doc_id"], table["tid"], of[hit], start, length)
 
+    def chunks(table: pa.Table):
+        """Runs of whole anchors of less than CHUNK bytes, where they fit."""
+        h = table["h"].to_numpy()
+        size = np.cumsum([0, *pc.binary_length(table["data"]).to_numpy()])
+        edge = np.concatenate([[0], np.flatnonzero(h[1:] != h[:-1]) + 1, [len(h)]]) if len(h) else [0]
+        begin = 0
+        for a, b in zip(edge[:-1], edge[1:], strict=True):
+            if size[b] - size[begin] >= CHUNK and a > begin:
+                yield from spans(table.slice(begin, a - begin))
+                begin = a
+        if begin < len(h):
+            yield from spans(table.slice(begin))
+
     def run(batches):
         rest = None
         for batch in batches:
@@ -204,11 +238,10 @@ def _compare(rows: DataFrame, length: int, keep: str) -> DataFrame:
             if rest.nbytes >= CHUNK:
                 h = rest["h"].to_numpy()
                 cut = int(np.searchsorted(h, h[-1]))        # the last anchor may go on
-                if cut:
-                    yield from spans(rest.slice(0, cut))
-                    rest = rest.slice(cut).combine_chunks()
+                yield from chunks(rest.slice(0, cut))
+                rest = rest.slice(cut).combine_chunks()
         if rest is not None and rest.num_rows:
-            yield from spans(rest)
+            yield from chunks(rest)
 
     dealt = rows.repartition("h").sortWithinPartitions("h", "doc_id", "start")
     return dealt.mapInArrow(run, f"doc_id {id_type}, tid bigint, start bigint, stop bigint")
@@ -226,9 +259,42 @@ def _runs(doc_id, tid, row: np.ndarray, start: np.ndarray, length: int):
                                      names=["doc_id", "tid", "start", "stop"])
 
 
-def _compare_hot(rows: DataFrame, length: int, keep: str) -> DataFrame:
-    """The same for anchors with very many contexts: windows as hashes,
-    counted with partial counts before the shuffle."""
+def _narrow(rows: DataFrame, length: int) -> DataFrame:
+    """Contexts cut into contexts of at most NARROW windows.  Their key is a
+    hash of the bytes that all their windows share, and of their place
+    beside the anchor; equal windows have equal keys."""
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    width = max(1, min(NARROW, length // GRAMS_PER_WINDOW))
+
+    def run(batches):
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            values, offsets = as_bytes(table["data"])
+            values, home = values[offsets[0]:offsets[-1]], offsets[:-1] - offsets[0]
+            prefix = prefix_hash(values)
+            back, windows = (table[c].to_numpy().astype(np.int64) for c in ("back", "windows"))
+            # cut where the distance of a window to the anchor is a multiple of width
+            first, last = back // width, (back - windows + 1) // width
+            n = first - last + 1
+            of = np.repeat(np.arange(len(n)), n)
+            block = first[of] - (np.arange(len(of)) - (np.cumsum(n) - n)[of])
+            far, near = block * width + width - 1, block * width
+            begin = np.maximum(0, back[of] - far)
+            end = np.minimum(windows[of] - 1, back[of] - near)       # last window
+            s1, s2, anchor = home[of] + begin, home[of] + end, home[of] + back[of]
+            # what all windows at these distances have in common lies in each of them
+            core = mix64(span_hash(prefix, anchor - near, anchor - far + length) + block.astype(np.uint64))
+            yield pa.RecordBatch.from_pydict({
+                "h": pa.array(core.view(np.int64)), "c": pa.array(span_hash(prefix, s1, s2 + length).view(np.int64)),
+                "doc_id": table["doc_id"].combine_chunks().take(pa.array(of)), "tid": table["tid"].combine_chunks().take(pa.array(of)),
+                "start": pa.array(table["start"].to_numpy()[of] + begin), "windows": pa.array((end - begin + 1).astype(np.int32)),
+                "data": pa.array([values[x:y + length].tobytes() for x, y in zip(s1, s2, strict=True)], pa.binary())})
+
+    return rows.mapInArrow(run, f"h bigint, c bigint, doc_id {id_type}, tid bigint, start bigint, windows int, data binary")
+
+
+def _windows(rows: DataFrame, length: int) -> DataFrame:
+    """One row per window: (w, doc_id, tid, start), w a hash of its bytes."""
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -245,12 +311,28 @@ def _compare_hot(rows: DataFrame, length: int, keep: str) -> DataFrame:
                  table["tid"].combine_chunks().take(pa.array(of)), pa.array(table["start"].to_numpy()[of] + k)],
                 names=["w", "doc_id", "tid", "start"])
 
-    every = written(rows.mapInArrow(run, f"w bigint, doc_id {id_type}, tid bigint, start bigint"), "repeat-windows")
-    first = every.groupBy("w").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start", "tid")).alias("least")).filter("n > 1")
-    hit = every.join(first, "w")
+    return rows.mapInArrow(run, f"w bigint, doc_id {id_type}, tid bigint, start bigint")
+
+
+def _compare_hot(rows: DataFrame, length: int, keep: str) -> DataFrame:
+    """The same for anchors with very many contexts: narrow contexts are
+    counted by hash first (with partial counts before the shuffle), and only
+    the windows of different narrow contexts that share their core are
+    counted one by one."""
+    narrow = written(_narrow(rows, length), "repeat-narrow")
+    least = written(narrow.groupBy("h", "c").agg(
+        F.count("*").alias("n"), F.min(F.struct("doc_id", "start", "tid", "windows", "data")).alias("least")), "repeat-firsts")
+    again = narrow.drop("data").join(least.filter("n > 1").select("h", "c", F.col("least").dropFields("data").alias("least")), ["h", "c"])
+    if keep == "first":
+        again = again.filter(~_is_least())
+    again = again.select("doc_id", "tid", "start", (F.col("start") + F.col("windows") + (length - 1)).alias("stop"))
+    mixed = least.groupBy("h").count().filter("count > 1").select("h")
+    every = written(_windows(least.join(mixed, "h", "left_semi").select("least.*"), length), "repeat-windows")
+    met = every.groupBy("w").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start", "tid")).alias("least")).filter("n > 1")
+    hit = every.join(met, "w")
     if keep == "first":
         hit = hit.filter(~_is_least())
-    return hit.select("doc_id", "tid", "start", (F.col("start") + length).alias("stop"))
+    return again.union(hit.select("doc_id", "tid", "start", (F.col("start") + length).alias("stop")))
 
 
 def repeated_spans(docs: DataFrame, length: int = 200, keep: str = "first") -> DataFrame:
