@@ -17,8 +17,8 @@ a symmetric difference of at most (a + b)(100 - p) / (100 + p) elements.
   Hamming bound on folded whole sketches, then verified on the exact sets.
 * Components of verified links; buckets that still hold several components
   are searched again in blocks of bounded size, first for spanning forests of
-  the pairs that pass the Hamming bound, at last for all of them, so that no
-  link between components is missed.
+  the pairs that pass the Hamming bound, then, if some of these are no links,
+  for all of them, so that no link between components is missed.
 
 Results for special inputs: a document without words (or null text) has an
 empty set, links with nothing and is its own component; repeated rows are
@@ -44,7 +44,6 @@ from routeweave.llm.textbytes import mix64, pieces, shingles, word_hashes
 PART_BITS = 64
 FOLD = 16                   # bits of a folded sketch per allowed difference, at least
 BLOCK = 512                 # members of a bucket that are compared at once
-ROUNDS = 2                  # searches for forests before the one for all pairs
 
 _U = np.uint64
 
@@ -342,23 +341,18 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     tested = pairs.select("a", "b")
     links = written(_linked(pairs, docs, k, percent), "jaccard-links")
     comps = written(components(links), "jaccard-components")
-    forests = 0
-    while True:
-        forest = forests < ROUNDS
+    for forest in (True, False):
         near = _open_pairs(buckets, nodes, comps, percent, forest)
-        near = near.join(if_small(tested).withColumn("known", F.lit(True)), ["a", "b"], "left")
-        near = written(near, "jaccard-pairs")
+        near = written(near.join(if_small(tested).withColumn("known", F.lit(True)), ["a", "b"], "left"), "jaccard-pairs")
         if near.isEmpty():
             break
         fresh = near.filter("known IS NULL").drop("known")
-        some = not fresh.isEmpty()
-        if some:
-            tested = tested.union(fresh.select("a", "b"))
-            links = links.union(written(_linked(fresh, docs, k, percent), "jaccard-links"))
-            comps = written(components(links), "jaccard-components")
-        if not forest:
+        made = written(_linked(fresh, docs, k, percent), "jaccard-links")
+        tested, links = tested.union(fresh.select("a", "b")), links.union(made)
+        comps = written(components(links), "jaccard-components")
+        # where every pair of a forest is a link, no pair of its graph is left open
+        if made.distinct().count() == near.count():
             break
-        forests = forests + 1 if some else ROUNDS
 
     # sets in components take the least document of theirs
     named = nodes.select("sid", "rep").join(if_small(comps.withColumnRenamed("node", "sid")), "sid")
