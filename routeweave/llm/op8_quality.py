@@ -28,7 +28,7 @@ FENCE = 6.0
 SMALL_GROUP = 200       # documents, below which the language's sketch is used
 #: Rates and margins: symbols a word, share of repeated lines, share of words
 #: in repeated windows, code points a word.
-MARGINS = {"symbol_rate": 1.0, "dup_line_rate": 0.3, "repeat_rate": 0.25, "word_length": 6.0}
+MARGINS = {"symbol_rate": 0.3, "dup_line_rate": 0.3, "repeat_rate": 0.25, "word_length": 6.0}
 
 
 def _covered(hashes: Column) -> Column:
