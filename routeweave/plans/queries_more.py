@@ -54,6 +54,25 @@ def q_trips(spark, sf_dir):
     return fixtures.trips(spark, sf_dir)
 
 
+@register("stored_catalogue", """
+SELECT t.leg_id, o.city_name AS from_city, d.city_name AS to_city, t.departure_date, t.price
+FROM ctrips t JOIN cities o ON o.city_id = t.o_city JOIN cities d ON d.city_id = t.d_city
+""")
+def q_stored_catalogue(spark, sf_dir):
+    """The catalogue written, day by day, and read back with its readers."""
+    import uuid
+
+    from routeweave.session import ensure_checkpoint_dir
+    from routeweave.sources import catalogue as store
+
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/routeweave-catalogue/{uuid.uuid4().hex}"
+    store.write_catalogue(fixtures.catalogue(spark, sf_dir), path)
+    cities = store.read_cities(spark, f"{path}/cities").select("city_id", "city_name")
+    return (store.read_city_trips(spark, path)
+            .join(cities.toDF("o_city", "from_city"), "o_city").join(cities.toDF("d_city", "to_city"), "d_city")
+            .select("leg_id", "from_city", "to_city", "departure_date", "price"))
+
+
 @register("bus_clock", """
 SELECT leg_id, split_part(departure_dt, 'T', 1) AS dep_day,
        split_part(split_part(departure_dt, 'T', 2), '.', 1) AS dep_time,
