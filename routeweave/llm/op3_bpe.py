@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 
 from routeweave.llm import bpe
 
-MEMO_WORDS = 300_000        # memory bound of a worker's memo, not of the work
+MEMO_WORDS = 100_000        # memory bound of a worker's memo, not of the work
 
 
 class Codec:
