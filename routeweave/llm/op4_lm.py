@@ -4,19 +4,19 @@ Training: words and word pairs of all training texts are counted (partial
 counts per task, summed per region of the hash space).  A count c is
 quantised to level 1 + floor(log2 c); the filter holds (n-gram, 1), ...,
 (n-gram, level), so a count is read by probing levels until one is absent.
-Every region of the hash space owns an equal slice of the filter.  The filter
-has a fixed size (``filter_bytes``), which is what bounds the broadcast: if a
-slice would hold more than one entry per ``BITS_PER_ENTRY`` bits, it leaves
-out its lowest levels, as a count cut-off does in any compact model.
+Every region of the hash space owns a slice of the filter, and the number of
+regions grows with the corpus.  A slice holds every level of its n-grams: it
+has its share of ``filter_bytes`` at least, and more where that gives an entry
+less than ``BITS_PER_ENTRY`` bits.
 
 Scoring: P(w | v) = (c(vw) + MU * P(w)) / (c(v) + MU) with
 P(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1)), all counts c by probes.
 
-The exact base score needs exact counts of every token, a table that grows
-with the corpus.  It is never broadcast: documents are dealt into blocks of
-bounded size, a block asks the regions for the counts of its distinct words
-only, and the answers come back to the block (two shuffles of distinct hashes
-and counts, however hot a word is).
+The filter and the exact counts of the base score grow with the corpus.  They
+are never broadcast: documents are dealt into blocks of bounded size, a block
+asks the regions for its distinct words and pairs only, and the answers (exact
+counts of words, levels of words and pairs) come back to the block (two
+shuffles of distinct hashes and answers, however hot a word is).
 
 Words are told apart by 64-bit hashes.
 
@@ -121,7 +121,7 @@ class CountFilter:
             self.bits[region * n_bytes:(region + 1) * n_bytes] = np.frombuffer(data, np.uint8)
             self.lowest[region] = lowest
 
-    def counts(self, h: np.ndarray) -> np.ndarray:
+    def levels(self, h: np.ndarray) -> np.ndarray:
         region = (h >> _U(self.shift)).astype(np.int64) if self.shift < 64 else np.zeros(len(h), np.int64)
         out = np.zeros(len(h), dtype=np.int64)
         rows, at = np.arange(len(h)), self.lowest[region]
@@ -133,7 +133,15 @@ class CountFilter:
             rows, at = rows[alive], at[alive]
             out[rows] = at
             at = at + 1
-        return level_count(out)
+        return out
+
+    def counts(self, h: np.ndarray) -> np.ndarray:
+        return level_count(self.levels(h))
+
+
+def slice_size(counts: np.ndarray, least: int) -> int:
+    """Bytes, a power of two, of a slice that holds every level."""
+    return _power_of_two(max(least, levels(counts).sum() * BITS_PER_ENTRY / 8))
 
 
 def _split_regions(h: np.ndarray, shift: int):
@@ -149,7 +157,7 @@ def _split_regions(h: np.ndarray, shift: int):
 def count_ngrams(texts: DataFrame, regions: int, filter_bytes: int) -> DataFrame:
     """One row per region: exact word counts, their totals and the slice."""
     shift = 64 - (regions.bit_length() - 1)
-    slice_bytes = filter_bytes // regions
+    least = max(64, filter_bytes // regions)
 
     def partial(batches):
         held: list[list[np.ndarray]] = [[], []]
@@ -187,7 +195,8 @@ def count_ngrams(texts: DataFrame, regions: int, filter_bytes: int) -> DataFrame
             found[order] = summed(np.concatenate([np.zeros(0, np.uint64), *h]),
                                   np.concatenate([np.zeros(0, np.int64), *n]).astype(np.int64))
         (h, n), (h2, n2) = found[0], found[1]
-        data, lowest = build_slice(np.concatenate([h, h2]), np.concatenate([n, n2]), slice_bytes)
+        both = np.concatenate([n, n2])
+        data, lowest = build_slice(np.concatenate([h, h2]), both, slice_size(both, least))
         return pa.table({"region": pa.array([key[0].as_py()], pa.int32()), "hashes": [planes(h)], "counts": [planes(n)],
                          "n_words": pa.array([len(h)], pa.int64()), "n_tokens": pa.array([int(n.sum())], pa.int64()),
                          "slice": [data], "lowest": pa.array([lowest], pa.int32())})
@@ -208,64 +217,76 @@ def score_documents(docs: DataFrame, folds: int = 10, filter_bytes: int = FILTER
     src = docs.select("doc_id", "text")
     id_type = src.schema["doc_id"].dataType.simpleString()
     size = src.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0
-    regions = min(_power_of_two(max(16, size / REGION_BYTES)), filter_bytes)
+    regions = _power_of_two(max(16, size / REGION_BYTES))
     blocks = max(1, -(-size // BLOCK_BYTES))
     shift = 64 - (regions.bit_length() - 1)
 
     known = written(count_ngrams(src.filter(remainder(F.col("doc_id"), folds) != 0), regions, filter_bytes), "lm-counts")
     total = known.agg(F.sum("n_tokens"), F.sum("n_words")).collect()[0]
     n_all, n_distinct = total[0] or 0, total[1] or 0
-    slices = [(r[0], bytes(r[1]), r[2]) for r in known.select("region", "slice", "lowest").collect()]
-    model = src.sparkSession.sparkContext.broadcast(CountFilter(slices, regions, filter_bytes // regions))
-    del slices
 
     held = remainder(F.col("doc_id"), folds) == 0
     dealt = src.select("doc_id", "text", held.alias("held_out"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"))
     dealt = dealt.repartition(blocks, "block")
 
     def asked(batches):
-        """Distinct token hashes of each block, by region."""
-        held: dict[int, list[np.ndarray]] = {}
+        """Distinct hashes of each block's tokens and pairs, by region."""
+        held: dict[int, list[list[np.ndarray]]] = {}
         for batch in batches:
             block_of = batch.column(3).to_numpy()
             for block in np.unique(block_of):
+                parts = held.setdefault(int(block), [[], []])
                 for _, _, values, offsets in pieces(batch.column(1).filter(pa.array(block_of == block))):
-                    held.setdefault(int(block), []).append(np.unique(token_hashes(values, offsets)[0]))
+                    tokens, _ = token_hashes(values, offsets)
+                    parts[0].append(np.unique(tokens))
+                    parts[1].append(np.unique(pair_hashes(tokens)))
         for block, parts in held.items():
-            h = np.unique(np.concatenate(parts))
-            cuts = list(_split_regions(h, shift))
+            cuts = []
+            for part in parts:
+                h = np.unique(np.concatenate(part))
+                part.clear()
+                cuts.append({r: planes(h[a:b]) for r, a, b in _split_regions(h, shift)})
+            of = sorted({*cuts[0], *cuts[1]})
             yield pa.RecordBatch.from_arrays(
-                [pa.array([c[0] for c in cuts], pa.int32()), pa.array([block] * len(cuts), pa.int64()),
-                 pa.array([planes(h[a:b]) for _, a, b in cuts], pa.binary())], names=["region", "block", "asked"])
+                [pa.array(of, pa.int32()), pa.array([block] * len(of), pa.int64()),
+                 *(pa.array([c.get(r, b"") for r in of], pa.binary()) for c in cuts)], names=["region", "block", "asked", "pairs"])
 
     def answer(key, left, right):
-        """Exact counts of the asked hashes, in their order."""
-        have = (from_planes(right["hashes"][0].as_py(), "u8"), from_planes(right["counts"][0].as_py(), "i8")) \
-            if right.num_rows else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        """Exact counts and levels of the asked hashes, in their order."""
+        have, slices, n_bytes = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), [], 1
+        if right.num_rows:
+            have = from_planes(right["hashes"][0].as_py(), "u8"), from_planes(right["counts"][0].as_py(), "i8")
+            data = right["slice"][0].as_py()
+            slices, n_bytes = [(0, data, right["lowest"][0].as_py())], len(data)
+        filt = CountFilter(slices, 1, n_bytes)
         keys, counts = np.append(have[0], _U(0)), np.append(have[1], 0)
-        made = []
-        for x in left["asked"].to_pylist():
+        exact, single, double = [], [], []
+        for x, y in zip(left["asked"].to_pylist(), left["pairs"].to_pylist(), strict=True):
             h = from_planes(x, "u8")
             at = np.searchsorted(have[0], h)
-            made.append(planes(np.where(keys[at] == h, counts[at], 0)))
-        return pa.table({"block": left["block"], "region": left["region"], "counts": pa.array(made, pa.binary())})
+            exact.append(planes(np.where(keys[at] == h, counts[at], 0)))
+            single.append(filt.levels(h).astype(np.uint8).tobytes())
+            double.append(filt.levels(from_planes(y, "u8")).astype(np.uint8).tobytes())
+        return pa.table({"block": left["block"], "region": left["region"], "counts": pa.array(exact, pa.binary()),
+                         "levels": pa.array(single, pa.binary()), "pairs": pa.array(double, pa.binary())})
 
     def score(key, left, right):
-        filt = model.value
         parts = [token_hashes(v, o) for _, _, v, o in pieces(left["text"].combine_chunks())]
         uniq = np.unique(np.concatenate([np.unique(p[0]) for p in parts]))
+        pairs = np.unique(np.concatenate([np.unique(pair_hashes(p[0])) for p in parts]))
         order = np.argsort(right["region"].to_numpy())
-        counts = right["counts"].to_pylist()
-        exact = np.concatenate([from_planes(counts[i], "i8") for i in order])
+        exact, single, double = (np.concatenate([from_planes(x[i], "i8") if c == "counts" else np.frombuffer(x[i], np.uint8) for i in order])
+                                 for c in ("counts", "levels", "pairs") for x in (right[c].to_pylist(),))
         base = np.log10((exact + 0.1) / (n_all + 0.1 * (n_distinct + 1)))
-        approx = filt.counts(uniq)
+        approx, approx2 = level_count(single.astype(np.int64)), level_count(double.astype(np.int64))
         single = (approx + 0.1) / (n_all + 0.1 * (n_distinct + 1))
         end = np.searchsorted(uniq, END)
         sums = []
         for tokens, begin in parts:
             at, first = np.searchsorted(uniq, tokens), begin[:-1]
             history = approx[np.concatenate([[end], at[:-1]])]      # a text begins after an end token
-            p = (np.minimum(filt.counts(pair_hashes(tokens)), history) + MU * single[at]) / (history + MU)
+            both = approx2[np.searchsorted(pairs, pair_hashes(tokens))]
+            p = (np.minimum(both, history) + MU * single[at]) / (history + MU)
             sums.append((np.diff(begin), np.add.reduceat((exact[at] > 0).astype(np.int64), first),
                          np.add.reduceat(base[at], first), np.add.reduceat(np.log10(np.minimum(p, 1.0)), first)))
         n, known_, base_sum, model_sum = (np.concatenate([x[i] for x in sums]) for i in range(4))
@@ -273,9 +294,9 @@ def score_documents(docs: DataFrame, folds: int = 10, filter_bytes: int = FILTER
                          "n_known": pa.array(known_, pa.int64()), "train_tokens": pa.array(np.full(len(n), n_all), pa.int64()),
                          "base_score": pa.array(base_sum), "score": pa.array(model_sum)})
 
-    need = dealt.mapInArrow(asked, "region int, block bigint, asked binary")
-    counted = (need.groupBy("region").cogroup(known.select("region", "hashes", "counts").groupBy("region"))
-               .applyInArrow(answer, "block bigint, region int, counts binary"))
+    need = dealt.mapInArrow(asked, "region int, block bigint, asked binary, pairs binary")
+    counted = (need.groupBy("region").cogroup(known.select("region", "hashes", "counts", "slice", "lowest").groupBy("region"))
+               .applyInArrow(answer, "block bigint, region int, counts binary, levels binary, pairs binary"))
     return (dealt.groupBy("block").cogroup(counted.groupBy("block"))
             .applyInArrow(score, f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, "
                                  "train_tokens bigint, base_score double, score double"))

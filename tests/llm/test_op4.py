@@ -56,6 +56,23 @@ def test_scores(spark, docs, monkeypatch):
     assert (alone.train_tokens, alone.n_known, alone.base_score) == (0, 0, pytest.approx(0))
 
 
+def test_no_level_is_left_out(spark, docs):
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.5)) % 4000}" for _ in range(100))) for i in range(150)]
+    train = docs([r for r in rows if not held(r[0])])
+    assert {r.lowest for r in op4_lm.count_ngrams(train, 16, 1 << 8).collect()} == {1}
+    c = Counter(t for i, x in rows if not held(i) for t in tokens(x))
+    c2 = Counter(p for i, x in rows if not held(i) for p in zip([None, *tokens(x)], tokens(x)))
+    mid = lambda n: 1.5 * 2.0 ** (n.bit_length() - 1) - 0.5 if n else 0.0
+    n, v = sum(c.values()), len(c)
+    for small in (1 << 8, 1 << 22):         # the score of a text does not hang on the room the filter began with
+        for r in score_documents(docs(rows), filter_bytes=small).collect():
+            w = tokens(dict(rows)[r.doc_id])
+            want = sum(math.log10((min(mid(c2[a, b]), mid(c[a])) + 4 * (mid(c[b]) + .1) / (n + .1 * (v + 1))) / (mid(c[a]) + 4))
+                       for a, b in zip([None, *w], w))
+            assert r.score == pytest.approx(want, rel=0.12 if small < 1 << 20 else 0.001)
+
+
 def test_model_beats_base_on_held_out_text(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = [r for r in score_documents(df).collect() if r.held_out]
