@@ -1,11 +1,12 @@
 """License scans with a positional rare-token index, on DataFrame functions.
 
-The index holds, for every word of the license templates that is not a
-function word, its postings (template, position).  Each file looks up only
-its own license words of the highest inverse document frequency (counted over
-all files); every posting votes for an alignment (template, first word).
-Alignments with enough votes are verified in the file's words: mandatory key
-phrases must stand at their places, and enough of the template must match.
+The index holds, for the two places of every template's key phrase whose words
+have the highest inverse document frequency (counted over all files) and are
+no function words, the postings (template, position).  Each file looks up all
+of its words; every posting votes for an alignment (template, first word).
+An alignment with both votes is verified in the file's words: the mandatory
+key phrase must stand at its place, and enough of the template must match.
+As all of the key phrase must stand, no alignment is lost by the choice.
 Base phrases are found wherever their words stand consecutively.
 
 The templates bound everything that reaches the driver or a task closure:
@@ -56,7 +57,7 @@ TEMPLATES = (
 #: Function words, which are no index terms.
 FUNCTION_WORDS = frozenset("a and any are as by for in into is it of or that the this to under use with you".split())
 
-TOP_WORDS = 16          # word types that a file looks up
+KEY_WORDS = 2           # of a template's key phrase, that are looked up
 LEAST_COVERAGE = 0.6    # of a template's words at their places
 
 SEPARATORS = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
@@ -92,21 +93,22 @@ def _array(values) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def _index(idf: dict[str, float]) -> tuple[Column, Column, Column]:
-    """Rarities, postings and templates as constants."""
-    postings: dict[str, list[tuple[int, int]]] = {w: [] for w in HIT_WORDS}
+def _index(idf: dict[str, float]) -> tuple[Column, Column]:
+    """Postings and templates as constants."""
+    postings: dict[str, list[tuple[int, int]]] = {}
     made = []
     for t, (label, text, key) in enumerate(TEMPLATES):
         w, k = text.split(), key.split()
         first = next(i for i in range(len(w)) if w[i:i + len(k)] == k)
-        rare = [i for i, x in enumerate(w) if x not in FUNCTION_WORDS]
+        rare = sorted((i for i in range(first, first + len(k)) if w[i] not in FUNCTION_WORDS), key=lambda i: (-idf[w[i]], w[i], i))
+        rare = rare[:KEY_WORDS]
         for i in rare:
-            postings[w[i]].append((t, i))
+            postings.setdefault(w[i], []).append((t, i))
         made.append(F.struct(F.lit(label).alias("label"), _array(w).alias("words"), F.lit(first).alias("key_at"),
-                             F.lit(len(k)).alias("key_size"), F.lit(min(2, len(rare))).alias("votes")))
-    entries = [x for w, ps in postings.items() if ps for x in (
+                             F.lit(len(k)).alias("key_size"), F.lit(len(rare)).alias("votes")))
+    entries = [x for w, ps in postings.items() for x in (
         F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in ps]))]
-    return (F.create_map(*[x for w, v in idf.items() for x in (F.lit(w), F.lit(-v))]), F.create_map(*entries), F.array(*made))
+    return F.create_map(*entries), F.array(*made)
 
 
 def _base(words: Column, hits: Column) -> Column:
@@ -125,13 +127,9 @@ def _base(words: Column, hits: Column) -> Column:
 
 def _aligned(words: Column, hits: Column, index) -> Column:
     """(label, start, coverage) of the verified alignments of templates."""
-    minus_idf, postings, templates = index
-
-    def vote(kinds: Column) -> Column:
-        rarest = F.slice(F.array_sort(F.transform(kinds, lambda w: F.struct(minus_idf[w].alias("r"), w.alias("w")))), 1, TOP_WORDS)
-        return let(F.transform(rarest, lambda x: x["w"]), lambda top: F.flatten(F.transform(
-            F.filter(hits, lambda x: F.array_contains(top, x["word"])),
-            lambda x: F.transform(postings[x["word"]], lambda p: F.struct(p["t"].alias("t"), (x["at"] - p["p"]).alias("o"))))))
+    postings, templates = index
+    votes = F.flatten(F.array_compact(F.transform(hits, lambda x: F.transform(
+        postings[x["word"]], lambda p: F.struct(p["t"].alias("t"), (x["at"] - p["p"]).alias("o"))))))
 
     def enough(votes: Column) -> Column:
         # equal votes stand together; the first of a run with enough of them
@@ -146,9 +144,7 @@ def _aligned(words: Column, hits: Column, index) -> Column:
             (F.size(F.filter(e, lambda x: x)) / F.size(e)).alias("coverage"),
             F.forall(F.slice(e, t["key_at"] + 1, t["key_size"]), lambda x: x).alias("keys")))
 
-    kinds = F.array_distinct(F.filter(F.transform(hits, lambda x: x["word"]), lambda w: w.isin(INDEX_WORDS)))
-    votes = F.sort_array(vote(kinds))
-    return F.filter(F.transform(let(votes, enough), verify), lambda x: x["keys"] & (x["coverage"] >= LEAST_COVERAGE))
+    return F.filter(F.transform(let(F.sort_array(votes), enough), verify), lambda x: x["keys"] & (x["coverage"] >= LEAST_COVERAGE))
 
 
 def _joined(labels: Column) -> Column:

@@ -60,6 +60,20 @@ def test_against_every_alignment(docs):
     assert any("apache-2.0" in r.labels for r in got)
 
 
+def test_long_texts_of_many_notices(docs):
+    filler = " person purpose terms conditions domain 0 2 3 copy modify software source license fee permitted gnu free "
+    every = [t for _, t, _ in TEMPLATES]
+    rows = [(1, " x. ".join(every)), (2, filler.join(every)), (3, filler * 40 + every[2] + filler * 40),
+            (4, "\n".join((every[9], every[1], "Licensed under the Apache License, Version 2.0")))]
+    rows += [(10 + i, "the apache license version 2 0 and the mit license") for i in range(30)]     # common words of notices
+    got = {r.doc_id: r for r in scan_licenses(docs(rows)).collect()}
+    for i, t in rows:
+        a = aligned(t)
+        labels = {x for x in base(t)[4].split(",") if x} | {x for x, _ in a}
+        assert (set(got[i].labels.split(",")), got[i].n_aligned) == (labels, len(a)), i
+    assert {"apache-2.0", "bsd", "mit"} <= set(got[4].labels.split(","))
+
+
 def test_empty_table_and_native_plan(docs):
     df = scan_licenses(docs([]))
     assert df.collect() == []
