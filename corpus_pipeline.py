@@ -14,6 +14,8 @@ are carried along; empty tables give empty results.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,9 +49,14 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced in the texts; ``n_chars`` follows the text."""
+    """Secrets are replaced in the texts; ``n_chars`` follows the text.  Ids of
+    documents that were not unwrapped whole are written, with a warning."""
     ship_package(spark)
-    made = op9_secrets.redact_documents(docs)
+    made = written(op9_secrets.redact_documents(docs, flag="unwrapped_all__"), "secrets")
+    left = made.filter("not unwrapped_all__").select("doc_id")
+    if not left.isEmpty():
+        path = written(left, "secrets-not-unwrapped").inputFiles()[0].rpartition("/")[0]
+        warnings.warn(f"secret scans: some documents hold layers that were not unwrapped whole, see {path}", stacklevel=2)
     if "n_chars" in docs.columns:
         made = made.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), "n_chars"))
     return made.select(*docs.columns)

@@ -10,9 +10,11 @@ from, so a finding deep inside maps back to code points of the document.
 
 Results for special inputs: a null text is the empty text (no spans);
 repeated rows give repeated results; an empty table gives an empty result;
-other columns are ignored.  A layer may grow to ``max_layer`` characters;
-a compressed blob that would exceed it stays wrapped, and ``unwrapped_all``
-is false in that row.
+other columns are ignored.  Compressed blobs may make a layer grow to
+``max_layer`` characters; a blob that would exceed it is streamed, in segments
+that are layers of their own.  Segments, and those of very long texts, end
+after a character that belongs to no secret and no encoded part; where there
+is none, segments overlap and ``unwrapped_all`` is false in that row.
 """
 
 from __future__ import annotations
@@ -20,16 +22,22 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
 import lzma
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 MAX_LAYER = 32 << 20
+SEGMENT = 1 << 20       # characters of a segment
+LOOK = 1 << 16          # characters in which a segment's end is looked for
+DEPTH = 64              # compressions right inside each other
 KINDS = ("assign", "access", "hex")
 
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -42,6 +50,8 @@ ESCAPED_URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPED_UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+")
 ONE_ESCAPE = re.compile(r"\\(?:u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2}))")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+HARD = re.compile(r"""[^A-Za-z0-9+/_.=\-"':%\\\s]""")       # in no secret and no encoded part
+LAST_HARD = re.compile(rf"(?s:.*){HARD.pattern}")
 CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 
 #: First bytes of compressed formats.
@@ -65,7 +75,8 @@ def scan(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-# codecs: (start, end, [(text, start, end) of the parts it unwraps to]) -----
+# codecs: (start, end, [(text, start, end) of the parts it unwraps to]), or
+# (start, end, bytes) of a blob that holds more than a layer may -------------
 
 def _url(text: str, limit: int):
     for m in ESCAPED_URL.finditer(text) if "%" in text else ():
@@ -97,37 +108,55 @@ def _unicode(text: str, limit: int):
             yield m.start(), m.end(), parts
 
 
-def _expand(raw: bytes, kind: str, limit: int) -> bytes:
+def _expanded(chunks, kind: str):
+    """Chunks of the text in a compressed stream."""
     if kind == "zstd":
         import zstandard
 
-        with zstandard.ZstdDecompressor().stream_reader(raw) as r:
-            out = r.read(limit + 1)
+        r = zstandard.ZstdDecompressor().stream_reader(b"".join(chunks))
+        while out := r.read(LOOK):
+            yield out
+        return
+    if kind in ("gzip", "zlib"):
+        d = zlib.decompressobj(wbits=31 if kind == "gzip" else 15)
     else:
-        if kind in ("gzip", "zlib"):
-            d = zlib.decompressobj(wbits=31 if kind == "gzip" else 15)
-        else:
-            d = bz2.BZ2Decompressor() if kind == "bz2" else lzma.LZMADecompressor()
-        out = d.decompress(raw, limit + 1)
-    if len(out) > limit:
-        raise TooLarge
-    return out
+        d = bz2.BZ2Decompressor() if kind == "bz2" else lzma.LZMADecompressor()
+    for data in chunks:
+        more = True
+        while (data or more) and not d.eof:
+            out = d.decompress(data, LOOK)
+            yield out
+            data, more = getattr(d, "unconsumed_tail", b""), len(out) == LOOK
+
+
+def _opened(raw: bytes):
+    """Chunks of some bytes, through any compression."""
+    chunks = iter((raw,))
+    for _ in range(DEPTH):
+        head = b""
+        while len(head) < 6 and (chunk := next(chunks, None)) is not None:
+            head += chunk
+        kind = next((k for magic, k in MAGIC if head.startswith(magic)), None)
+        chunks = chain((head,), chunks)
+        if kind is None:
+            return chunks
+        chunks = _expanded(chunks, kind)
+    raise TooLarge
 
 
 def _readable(raw: bytes, limit: int) -> str | None:
     """Text in some bytes, through any compression; None for other bytes."""
-    seen = set()
-    while raw and (digest := hashlib.sha256(raw).digest()) not in seen:
-        seen.add(digest)
-        kind = next((k for magic, k in MAGIC if raw.startswith(magic)), None)
-        if kind is None:
-            break
-        try:
-            raw = _expand(raw, kind, limit)
-        except TooLarge:
-            raise
-        except Exception:       # damaged data of any format is not compressed text
-            return None
+    out = bytearray()
+    try:
+        for chunk in _opened(raw):
+            out += chunk
+            if len(out) > limit:
+                raise TooLarge
+    except TooLarge:
+        raise
+    except Exception:       # damaged data of any format is not compressed text
+        return None
+    raw = bytes(out)
     try:
         text = raw.decode()
     except UnicodeDecodeError:
@@ -144,8 +173,14 @@ def _base64(text: str, limit: int):
             raw = base64.b64decode(blob.replace("-", "+").replace("_", "/") + "=" * (-len(blob) % 4), validate=True)
         except binascii.Error:
             continue
-        made = _readable(raw, limit)
+        size = m.end() - m.start()
+        try:
+            made = _readable(raw, max(limit, size))
+        except TooLarge:
+            yield m.start(), m.end(), raw
+            continue
         if made is not None:
+            limit -= max(0, len(made) - size)
             yield m.start(), m.end(), [(made, m.start(), m.end())]
 
 
@@ -154,9 +189,13 @@ def _compressed(text: str, limit: int):
     head = text[:6].encode("latin-1", "replace")
     if any(head.startswith(magic) for magic, _ in MAGIC):
         try:
-            made = _readable(text.encode("latin-1"), limit)
+            raw = text.encode("latin-1")
+            made = _readable(raw, max(limit, len(raw)))
         except UnicodeEncodeError:
             return
+        except TooLarge:
+            yield 0, len(text), raw
+            return
         if made is not None:
             yield 0, len(text), [(made, 0, len(text))]
 
@@ -189,35 +228,97 @@ def _rewrite(text: str, spans, steps):
     return "".join(out), (np.concatenate(begins), np.concatenate(ends))
 
 
+def _segments(layer: str, spans, i: int, j: int, raw: bytes, size: int):
+    """A blob's text in layers of about ``size`` characters, with what stands
+    right beside the blob: (text, spans, whether nothing can be cut)."""
+    before, after = LAST_HARD.match(layer, max(0, i - LOOK), i), HARD.search(layer, j, j + LOOK)
+    a, b = before.end() if before else max(0, i - LOOK), after.end() if after else min(len(layer), j + LOOK)
+    exact = (before or a == 0) and (after or b == len(layer))
+    origin = (i, j) if spans[0] is None else (int(spans[0][i]), int(spans[1][j - 1]))
+
+    def beside(x, y):
+        if spans[0] is None:
+            return layer[x:y], np.arange(x, y), np.arange(x + 1, y + 1)
+        return layer[x:y], spans[0][x:y], spans[1][x:y]
+
+    def made(*parts):
+        return "".join(p[0] for p in parts), tuple(np.concatenate([p[k] for p in parts]) for k in (1, 2))
+
+    def inside(text):
+        return text, np.full(len(text), origin[0]), np.full(len(text), origin[1])
+
+    decoder, held, first = codecs.getincrementaldecoder("utf-8")("replace"), "", beside(a, i)
+    try:
+        for chunk in _opened(raw):
+            held += decoder.decode(chunk)
+            while len(held) >= size:
+                cut = LAST_HARD.match(held)
+                n = keep = cut.end() if cut else len(held)
+                if not cut:
+                    keep, exact = n - min(LOOK, size // 2), False
+                yield *made(first, inside(held[:n])), exact
+                held, first = held[keep:], inside("")
+    except Exception:       # too deep, or damaged after some text
+        exact = False
+    yield *made(first, inside(held), beside(j, b)), exact
+
+
+def _pieces(text: str, size: int):
+    """A very long text in layers with their places, cut where nothing is."""
+    at = 0
+    while at < len(text):
+        cut = len(text) - at > size and (LAST_HARD.match(text, at, at + size) or HARD.search(text, at + size))
+        end = cut.end() if cut else len(text)
+        yield text[at:end], (np.arange(at, end), np.arange(at + 1, end + 1))
+        at = end
+
+
 def find_secrets(text: str, max_layer: int = MAX_LAYER) -> tuple[list, list, int, bool]:
     """(base spans, all spans, layers, whether all was unwrapped); a span is
     (start, kind, end) in code points of ``text``."""
     base = scan(text)
     every, seen, complete, layers = set(base), set(), True, 1
-    work = [(text, (None, None))]
-    while work:
-        layer, spans = work.pop()
-        for codec in CODECS:
-            try:
-                steps = list(codec(layer, max_layer))
-            except TooLarge:
-                complete = False
-                continue
-            if not steps:
-                continue
-            made, origin = _rewrite(layer, spans, steps)
-            if len(made) > max_layer:
-                complete = False
-                continue
-            if not seen:
-                seen.add(hashlib.sha256(text.encode()).digest())
-            digest = hashlib.sha256(made.encode("utf-8", "surrogatepass")).digest()
-            if digest in seen:
-                continue
-            seen.add(digest)
-            layers += 1
-            every |= {(int(origin[0][a]), kind, int(origin[1][b - 1])) for a, kind, b in scan(made)}
-            work.append((made, origin))
+
+    def explore(layer, spans):
+        nonlocal complete
+        work = [(layer, spans)]
+        while work:
+            layer, spans = work.pop()
+            for codec in CODECS:
+                steps, large = [], []
+                for x in codec(layer, max(0, max_layer - len(layer))):
+                    (large if isinstance(x[2], bytes) else steps).append(x)
+                for i, j, raw in large:
+                    for made, origin, exact in _segments(layer, spans, i, j, raw, min(SEGMENT, max_layer)):
+                        complete &= bool(exact)
+                        if new(made, origin):
+                            explore(made, origin)
+                if steps:
+                    made, origin = _rewrite(layer, spans, steps)
+                    if new(made, origin):
+                        work.append((made, origin))
+
+    def new(made, origin):
+        """Whether a layer was not met before; then its secrets count.  Equal
+        layers from other places are not the same."""
+        nonlocal layers
+        if not seen:
+            seen.add(hashlib.sha256(text.encode()).digest())
+        digest = hashlib.sha256(made.encode("utf-8", "surrogatepass"))
+        if len(origin[0]) and (place := (int(origin[0][0]), int(origin[1][-1]))) != (0, len(text)):
+            digest.update(repr(place).encode())
+        if digest.digest() in seen:
+            return False
+        seen.add(digest.digest())
+        layers += 1
+        every.update((int(origin[0][a]), kind, int(origin[1][b - 1])) for a, kind, b in scan(made))
+        return True
+
+    if len(text) > min(max_layer, 4 * SEGMENT) and not any(text.startswith(m.decode("latin-1")) for m, _ in MAGIC):
+        for part in _pieces(text, min(max_layer, 4 * SEGMENT)):
+            explore(*part)
+    else:
+        explore(text, (None, None))
     return base, sorted(every), layers, complete
 
 
@@ -248,24 +349,33 @@ def scan_documents(docs: DataFrame, max_layer: int = MAX_LAYER) -> DataFrame:
 
 def redact_text(text: str, mark: str = "[secret]", max_layer: int = MAX_LAYER) -> str:
     """The text with every found span, overlapping ones joined, replaced."""
+    return _redacted(text, mark, max_layer)[0]
+
+
+def _redacted(text: str, mark: str, max_layer: int) -> tuple[str, bool]:
+    _, spans, _, complete = find_secrets(text, max_layer)
     out, at = [], 0
-    for a, _, b in find_secrets(text, max_layer)[1]:
+    for a, _, b in spans:
         if a >= at:
             out += [text[at:a], mark]
         at = max(at, b)
-    return "".join(out) + text[at:]
+    return "".join(out) + text[at:], complete
 
 
-def redact_documents(docs: DataFrame, mark: str = "[secret]", max_layer: int = MAX_LAYER) -> DataFrame:
+def redact_documents(docs: DataFrame, mark: str = "[secret]", max_layer: int = MAX_LAYER, flag: str | None = None) -> DataFrame:
     """All rows and columns of ``docs`` with secrets replaced in ``text``;
-    null stays null."""
+    null stays null.  ``flag`` names a column to add: whether all of the
+    row's layers were unwrapped."""
     at = docs.columns.index("text")
 
     def run(batches):
         for batch in batches:
-            made = [None if t is None else redact_text(t, mark, max_layer) for t in batch.column(at).to_pylist()]
-            columns = list(batch.columns)
-            columns[at] = pa.array(made, batch.column(at).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
-
-    return docs.mapInArrow(run, docs.schema)
+            made = [(None, True) if t is None else _redacted(t, mark, max_layer) for t in batch.column(at).to_pylist()]
+            columns, names = list(batch.columns), list(batch.schema.names)
+            columns[at] = pa.array([m[0] for m in made], batch.column(at).type)
+            if flag:
+                columns.append(pa.array([m[1] for m in made], pa.bool_()))
+                names.append(flag)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return docs.mapInArrow(run, StructType([*docs.schema, StructField(flag, BooleanType())]) if flag else docs.schema)

@@ -64,6 +64,28 @@ def test_bounds_and_cycles():
     assert find_secrets("100%ed %zz \\uD800 \\x4")[1] == []
 
 
+def test_large_blobs_and_texts(docs):
+    secret = 'token = "' + HEXED + '"'
+    lines = "".join(f"line {i}, some text\n" for i in range(4000))
+    bomb = base64.b64encode(zlib.compress((lines + secret + lines).encode())).decode()
+    other = base64.b64encode(secret.encode()).decode()
+    text = f"<{bomb}> and <{other}>"
+    _, every, _, complete = find_secrets(text, max_layer=10_000)
+    at = text.index(other)
+    assert complete and {(1, 0, 1 + len(bomb)), (at, 0, at + len(other))} <= {s for s in every if s[1] == 0}
+    # a value is found with its key beside the blob
+    value = base64.b64encode(zlib.compress(("hunter2hunter2 ," + lines).encode())).decode()
+    assert (3, 0, 3 + 10 + len(value)) in find_secrets(f"é, password: {value[:0]}"[:3] + "password: " + value, max_layer=10_000)[1]
+    # longer than a layer: every part is decoded
+    long = (lines + other + ", ") * 3
+    spans = find_secrets(long, max_layer=10_000)[1]
+    assert sum(s[1] == 0 for s in spans) == 3 and find_secrets(long, max_layer=10_000)[3]
+    assert spans == find_secrets(long)[1]
+    plain = base64.b64encode(zlib.compress(b"a " * 500_000)).decode()
+    flags = {r.doc_id: r.whole for r in redact_documents(docs([(1, plain), (2, "x"), (3, None)]), max_layer=10_000, flag="whole").collect()}
+    assert flags == {1: False, 2: True, 3: True}
+
+
 def test_table(spark, docs):
     rows = [(1, None), (2, ""), (3, "x token=abcdefABCDEF1 y " + HEXED), (3, "x"), (None, "AKIA" + "Z" * 14), (4, "plain " * 5000)]
     got = scan_documents(docs(rows)).collect()
