@@ -3,7 +3,7 @@
 Every text is the first layer of a worklist.  A layer is scanned for the
 three kinds of secrets; then each codec (URL escapes, Unicode escapes, base64
 with or without compression inside) rewrites the whole layer with its encoded
-parts unwrapped, which makes new layers.  Work ends when no codec changes any
+parts unwrapped (what is damaged in them stays or becomes U+FFFD), which makes new layers.  Work ends when no codec changes any
 layer.  A set of digests of layers met before breaks cycles.  Each layer
 carries, for each of its characters, the span of the original text it came
 from, so a finding deep inside maps back to code points of the document.
@@ -53,6 +53,9 @@ BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 HARD = re.compile(r"""[^A-Za-z0-9+/_.=\-"':%\\\s]""")       # in no secret and no encoded part
 LAST_HARD = re.compile(rf"(?s:.*){HARD.pattern}")
 CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
+READABLE = re.compile(r"[^\x00-\x08\x0b\x0c\x0e-\x1f\x7f\ufffd]{12,}")     # tells damaged text from other bytes
+LINE = re.compile(r"[\x20\t]*\r?\n[\x20\t]*([A-Za-z0-9+/_-]+)")         # one more line of a base64 blob
+PADDING = re.compile("={0,2}")
 
 #: First bytes of compressed formats.
 MAGIC = ((b"\x1f\x8b", "gzip"), (b"\x78\x01", "zlib"), (b"\x78\x5e", "zlib"), (b"\x78\x9c", "zlib"),
@@ -80,17 +83,21 @@ def scan(text: str) -> list[tuple[int, int, int]]:
 
 def _url(text: str, limit: int):
     for m in ESCAPED_URL.finditer(text) if "%" in text else ():
-        raw = bytes.fromhex(m[0].replace("%", ""))
-        try:
-            made = raw.decode()
-        except UnicodeDecodeError:
-            continue
-        at, parts = m.start(), []
-        for c in made:
-            n = 3 * len(c.encode())
-            parts.append((c, at, at + n))
-            at += n
-        yield m.start(), m.end(), parts
+        at, parts, some = m.start(), [], False
+        for c in bytes.fromhex(m[0].replace("%", "")).decode("utf-8", "surrogateescape"):
+            if "\udc80" <= c <= "\udcff":       # a byte of no character stays as it is
+                parts += _kept(text, at, at + 3)
+                at += 3
+            else:
+                n = 3 * len(c.encode())
+                parts.append((c, at, at + n))
+                at, some = at + n, True
+        if some:
+            yield m.start(), m.end(), parts
+
+
+def _kept(text: str, a: int, b: int):
+    return [(text[i], i, i + 1) for i in range(a, b)]
 
 
 def _unicode(text: str, limit: int):
@@ -98,35 +105,76 @@ def _unicode(text: str, limit: int):
         parts: list[tuple[str, int, int]] = []
         for x in ONE_ESCAPE.finditer(text, m.start(), m.end()):
             code = int(x[1] or x[2] or x[3], 16)
-            before = ord(parts[-1][0]) if parts else 0
+            before = ord(parts[-1][0]) if parts and parts[-1][2] - parts[-1][1] > 1 else 0
             if 0xDC00 <= code < 0xE000 and 0xD800 <= before < 0xDC00:
                 pair = chr(0x10000 + ((before - 0xD800) << 10) + code - 0xDC00)
                 parts[-1] = pair, parts[-1][1], x.end()
             elif code < 0x110000:
                 parts.append((chr(code), x.start(), x.end()))
-        if parts and not any(0xD800 <= ord(p[0]) < 0xE000 for p in parts):
-            yield m.start(), m.end(), parts
+            else:
+                parts += _kept(text, x.start(), x.end())
+        # what is no character stays as it is
+        lone = [0xD800 <= ord(p[0]) < 0xE000 for p in parts]
+        if any(not x and p[2] - p[1] > 1 for x, p in zip(lone, parts, strict=True)):
+            yield m.start(), m.end(), [q for x, p in zip(lone, parts, strict=True) for q in (_kept(text, *p[1:]) if x else (p,))]
+
 
+class _Zstd:
+    """One zstd frame, with the interface of zlib's objects."""
 
-def _expanded(chunks, kind: str):
-    """Chunks of the text in a compressed stream."""
-    if kind == "zstd":
+    def __init__(self):
         import zstandard
 
-        r = zstandard.ZstdDecompressor().stream_reader(b"".join(chunks))
-        while out := r.read(LOOK):
-            yield out
-        return
-    if kind in ("gzip", "zlib"):
-        d = zlib.decompressobj(wbits=31 if kind == "gzip" else 15)
-    else:
-        d = bz2.BZ2Decompressor() if kind == "bz2" else lzma.LZMADecompressor()
+        self.inner, self.eof, self.unconsumed_tail, self.unused_data = zstandard.ZstdDecompressor().decompressobj(), False, b"", b""
+
+    def decompress(self, data: bytes, limit: int) -> bytes:
+        out, rest = self.inner.decompress(data[:256]), data[256:]       # some MB at most
+        self.eof = self.inner.eof
+        self.unconsumed_tail, self.unused_data = (b"", self.inner.unused_data + rest) if self.eof else (rest, b"")
+        return out
+
+
+MAKE = {"gzip": lambda: zlib.decompressobj(wbits=31), "zlib": zlib.decompressobj, "bz2": bz2.BZ2Decompressor,
+        "xz": lzma.LZMADecompressor, "zstd": _Zstd}
+
+
+def _kind(head: bytes) -> str | None:
+    return next((k for magic, k in MAGIC if head.startswith(magic)), None)
+
+
+def _expanded(chunks):
+    """Chunks of the text in compressed members, one after the other, and
+    whatever follows them."""
+    d, some = None, False
     for data in chunks:
         more = True
-        while (data or more) and not d.eof:
-            out = d.decompress(data, LOOK)
+        while data or (more and d):
+            if d is None:
+                data = data.lstrip(b"\0")       # padding
+                while 0 < len(data) < 6 and (chunk := next(chunks, None)) is not None:
+                    data += chunk
+                if not data:
+                    break
+                d, fresh = MAKE.get(_kind(data), lambda: None)(), True
+                if d is None:
+                    yield data
+                    yield from chunks
+                    return
+            try:
+                out = d.decompress(data, LOOK)
+            except Exception:
+                if not some:
+                    raise
+                if fresh:
+                    yield data
+                    yield from chunks
+                return
+            some, fresh = some or bool(out), fresh and not out
             yield out
-            data, more = getattr(d, "unconsumed_tail", b""), len(out) == LOOK
+            if d.eof:
+                data, d = d.unused_data, None
+            else:
+                data, more = getattr(d, "unconsumed_tail", b""), len(out) == LOOK
 
 
 def _opened(raw: bytes):
@@ -136,11 +184,10 @@ def _opened(raw: bytes):
         head = b""
         while len(head) < 6 and (chunk := next(chunks, None)) is not None:
             head += chunk
-        kind = next((k for magic, k in MAGIC if head.startswith(magic)), None)
         chunks = chain((head,), chunks)
-        if kind is None:
+        if _kind(head) is None:
             return chunks
-        chunks = _expanded(chunks, kind)
+        chunks = _expanded(chunks)
     raise TooLarge
 
 
@@ -156,24 +203,26 @@ def _readable(raw: bytes, limit: int) -> str | None:
         raise
     except Exception:       # damaged data of any format is not compressed text
         return None
-    raw = bytes(out)
+    text = out.decode("utf-8", "replace")
+    if "\ufffd" not in text and not CONTROL.search(text):
+        return text or None
+    return text if READABLE.search(text) else None
+
+
+def _decoded(blob: str) -> bytes | None:
+    if len(blob) % 4 == 1:
+        return None
     try:
-        text = raw.decode()
-    except UnicodeDecodeError:
+        return base64.b64decode(blob.replace("-", "+").replace("_", "/") + "=" * (-len(blob) % 4), validate=True)
+    except binascii.Error:
         return None
-    return text if text and not CONTROL.search(text) else None
 
 
 def _base64(text: str, limit: int):
     for m in BASE64.finditer(text):
-        blob = m[0].rstrip("=")
-        if len(blob) % 4 == 1:
+        raw, size = _decoded(m[0].rstrip("=")), m.end() - m.start()
+        if raw is None:
             continue
-        try:
-            raw = base64.b64decode(blob.replace("-", "+").replace("_", "/") + "=" * (-len(blob) % 4), validate=True)
-        except binascii.Error:
-            continue
-        size = m.end() - m.start()
         try:
             made = _readable(raw, max(limit, size))
         except TooLarge:
@@ -184,6 +233,43 @@ def _base64(text: str, limit: int):
             yield m.start(), m.end(), [(made, m.start(), m.end())]
 
 
+def _wrapped(text: str, limit: int):
+    """Base64 over several lines, of equal length but for the first and the
+    last.  The first or last may be other words beside the blob."""
+    done = 0
+    for m in BASE64.finditer(text):
+        if m.start() < done or m[0].endswith("="):
+            continue
+        lines = [(m[0], m.start(), m.end())]
+        while (x := LINE.match(text, lines[-1][2])) and (len(lines) < 3 or len(x[1]) <= len(lines[1][0])):
+            lines.append((x[1], x.start(1), x.end()))
+            if len(lines) > 2 and len(x[1]) < len(lines[1][0]):
+                break
+        if len(lines) < 2:
+            continue
+        done, best = lines[-1][1], None
+        for a, b in ((0, len(lines)), (1, len(lines)), (0, len(lines) - 1), (1, len(lines) - 1)):
+            raw = _decoded("".join(x[0] for x in lines[a:b])) if b - a > 1 else None
+            if raw is None:
+                continue
+            start, end = lines[a][1], PADDING.match(text, lines[b - 1][2]).end()
+            try:
+                made = _readable(raw, max(limit, end - start))
+            except TooLarge:
+                best = start, end, raw
+                break
+            whole = made is not None and "\ufffd" not in made and not CONTROL.search(made)
+            if whole or (made is not None and best is None):
+                best = start, end, [(made, start, end)]
+            if whole:
+                break
+        if best:
+            if not isinstance(best[2], bytes):
+                limit -= max(0, len(best[2][0][0]) - (best[1] - best[0]))
+            done = best[1]
+            yield best
+
+
 def _compressed(text: str, limit: int):
     """A layer of characters below 256 that is a compressed stream itself."""
     head = text[:6].encode("latin-1", "replace")
@@ -200,7 +286,7 @@ def _compressed(text: str, limit: int):
             yield 0, len(text), [(made, 0, len(text))]
 
 
-CODECS = (_url, _unicode, _base64, _compressed)
+CODECS = (_url, _unicode, _base64, _wrapped, _compressed)
 
 
 def _rewrite(text: str, spans, steps):

@@ -64,6 +64,36 @@ def test_bounds_and_cycles():
     assert find_secrets("100%ed %zz \\uD800 \\x4")[1] == []
 
 
+def test_common_forms_are_unwrapped_whole():
+    import bz2
+    import lzma
+
+    import zstandard
+
+    secret = 'some words before it, token = "' + HEXED + '"'
+    noise = "".join(chr(97 + i * i * 7 % 26) for i in range(400))
+    whole = base64.b64encode((noise + secret + noise).encode()).decode()
+
+    def wrap(t, n, end="\n"):
+        return end.join(t[i:i + n] for i in range(0, len(t), n))
+
+    packed = base64.b64encode(zlib.compress(random.Random(1).randbytes(200).hex().upper().encode() + secret.encode())).decode()
+    forms = {f"columns {n}": wrap(whole, n) for n in (64, 76)}
+    forms |= {"mime": wrap(whole, 76, "\r\n") + "\r\nmore", "indented": wrap(whole, 64, "\n    "), "compressed lines": wrap(packed, 64),
+              "pem": f"-----BEGIN CERTIFICATE-----\n{wrap(packed, 64)}\n-----END CERTIFICATE-----"}
+    for name, pack in (("gzip", gzip.compress), ("bz2", bz2.compress), ("xz", lzma.compress), ("zlib", zlib.compress),
+                       ("zstd", zstandard.ZstdCompressor().compress)):
+        forms[name + " members"] = base64.b64encode(pack(b"first member, ") + pack(secret.encode()) + pack(b" third")).decode()
+    every = "".join(f"%{b:02x}" for b in secret.encode())
+    forms |= {"url with a bad byte": every + "%ff" + "%c3%a9", "unicode with a lone surrogate": "".join(f"\\u{ord(c):04x}" for c in secret) + "\\ud800\\u0041",
+              "control character": base64.b64encode(b"\x01" + secret.encode()).decode(),
+              "bad byte": base64.b64encode(secret.encode() + b"\xff").decode()}
+    for name, f in forms.items():
+        text = f"é before {f} after"
+        found = [s for s in find_secrets(text)[1] if s[1] == 0]
+        assert found and all(9 <= a < b <= 9 + len(f) for a, _, b in found), name
+
+
 def test_large_blobs_and_texts(docs):
     secret = 'token = "' + HEXED + '"'
     lines = "".join(f"line {i}, some text\n" for i in range(4000))
