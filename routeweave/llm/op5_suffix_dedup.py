@@ -359,8 +359,8 @@ def repeated_spans(docs: DataFrame, length: int = 200, keep: str = "first") -> D
     wanted = firsts.select("h", "c", "tid", "start")
     asked = wanted.mapInArrow(_place_rows, "place bigint")
     found = _anchors(docs, length, bloom_filter(asked, "place"), with_bytes=True)
-    if keep == "first":     # repeated rows are one place
-        found = found.dropDuplicates(["h", "c", "doc_id", "tid", "start"])
+    # one place stands for all copies: repeated rows for "first"; else contexts met twice are removed whole above
+    found = found.dropDuplicates(["h", "c", "doc_id", "tid", "start"] if keep == "first" else ["h", "c"])
     found = written(found, "repeat-bytes")
     many = written(firsts.groupBy("h").count().filter(F.col("count") > GROUP).select("h"), "repeat-hot")
     cold = _compare(found.join(many, "h", "left_anti"), length, keep)

@@ -48,6 +48,25 @@ def test_against_all_strings(docs, monkeypatch, keep, group):
     assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute(rows, 12, keep)
 
 
+@pytest.mark.parametrize("group", [1000, 1])
+def test_copies_are_compared_once(docs, monkeypatch, group):
+    seen = []
+    for name in ("_compare", "_compare_hot"):
+        def spy(rows, *a, f=getattr(op5_suffix_dedup, name)):
+            seen.extend((r.h, r.c) for r in rows.select("h", "c").collect())
+            return f(rows, *a)
+        monkeypatch.setattr(op5_suffix_dedup, name, spy)
+    monkeypatch.setattr(op5_suffix_dedup, "GROUP", group)
+    rng = random.Random(9)
+    make = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = make(60)
+    copied = make(30) + passage + make(30)
+    rows = [(i, copied) for i in range(40)] + [(50, make(20) + passage + make(50)), (51, passage[:40] + make(30)), (52, make(90))]
+    got = dedup_documents(docs(rows), 12, "none", digest=True).collect()
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute(rows, 12, "none")
+    assert seen and len(seen) == len(set(seen))
+
+
 def test_production_length_and_segments(docs, monkeypatch):
     monkeypatch.setattr(op5_suffix_dedup, "SEGMENT", 700)
     monkeypatch.setattr("routeweave.llm.textbytes.pieces.__defaults__", (300,))
