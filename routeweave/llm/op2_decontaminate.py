@@ -54,10 +54,10 @@ def allowed_difference(n_shingles: int) -> int:
 
 def clean_run(n_words: int) -> int:
     """Words in a row that a similar window must share with an item: changes
-    near the ends cost a shingle a word, each change further in at least
-    2 * SHINGLE - 1, and cuts the run in two."""
+    near the ends cost a shingle a word, each cut further in at least
+    2 * (SHINGLE - 1), as where moved blocks meet, and makes two runs of one."""
     d = allowed_difference(n_words - SHINGLE + 1)
-    cost = 2 * SHINGLE - 1
+    cost = 2 * (SHINGLE - 1)
     return min((n_words - (d - cost * e) - e) // (e + 1) for e in range(d // cost + 1))
 
 

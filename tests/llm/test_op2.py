@@ -64,6 +64,22 @@ def test_against_every_window(spark, docs):
     assert left == {str(d) for d, _ in rows if d != 5} - {x[0] for x in want}
 
 
+def test_swapped_halves(spark, docs):
+    rng = random.Random(2)
+    items = [(n * 10 + k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))) for n in range(40, 45) for k in range(4)]
+    rows = []
+    for i, t in items:
+        w = t.split()
+        for lead in range(8):       # places beside the grid
+            words_ = ["x%d" % rng.randrange(10**6) for _ in range(lead)] + w[len(w) // 2:] + w[:len(w) // 2]
+            rows.append((i * 10 + lead, " ".join(words_)))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    want = brute(rows, items)
+    got = find_leaks(docs(rows), bench).collect()
+    assert len(want) == len(rows)
+    assert sorted((str(r.doc_id), r.item_id, round(r.similarity, 9), r.start_word) for r in got) == want
+
+
 def test_blocks_find_all_within_radius():
     rng = np.random.default_rng(1)
     e = rng.integers(0, 1 << 63, 400).astype(np.uint64)
