@@ -1,8 +1,9 @@
 """Quality rules with adaptive thresholds, on DataFrame functions only.
 
 Every text's measures are computed inside its row.  Per language and source,
-mergeable quantile sketches (KLL) of four rates are aggregated; small groups
-take their language's merged sketch.  A document fails a rule if its rate
+mergeable quantile sketches (KLL) of four rates are aggregated; a group's
+quantiles are mixed with those of its language's merged sketch, with weights
+n and ``SMALL_GROUP`` for a group of n documents.  A document fails a rule if its rate
 lies above the group's median by more than ``FENCE`` interquartile ranges and
 by more than the rule's margin (which only keeps groups without any spread
 from rejecting ordinary documents).  The thresholds are joined back by
@@ -25,7 +26,7 @@ from routeweave.llm.tables import written
 SPACES = r"\x20\x09-\x0D"
 SYMBOLS = "#*$%&|<>"
 FENCE = 6.0
-SMALL_GROUP = 200       # documents, below which the language's sketch is used
+SMALL_GROUP = 200       # documents that the language's quantiles count for
 #: Rates and margins: symbols a word, share of repeated lines, share of words
 #: in repeated windows, code points a word.
 MARGINS = {"symbol_rate": 0.3, "dup_line_rate": 0.3, "repeat_rate": 0.25, "word_length": 6.0}
@@ -89,8 +90,9 @@ def thresholds(rates: DataFrame) -> DataFrame:
     both = groups.join(langs, F.col("lang").eqNullSafe(F.col("lang_of")))
 
     def limit(c):
-        sketch = F.when(F.col("n") < SMALL_GROUP, F.col(f"all_{c}")).otherwise(F.col(c))
-        q1, q2, q3 = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.25, 0.5, 0.75))
+        own = F.col("n") / (F.col("n") + SMALL_GROUP)
+        q1, q2, q3 = (own * F.kll_sketch_get_quantile_double(F.col(c), F.lit(q))
+                      + (1 - own) * F.kll_sketch_get_quantile_double(F.col(f"all_{c}"), F.lit(q)) for q in (0.25, 0.5, 0.75))
         return (q2 + F.greatest(F.lit(MARGINS[c]), FENCE * (q3 - q1))).alias(f"max_{c}")
     return both.select("lang", "source", *[limit(c) for c in MARGINS])
 

@@ -51,6 +51,16 @@ def test_thresholds_follow_the_group(spark, monkeypatch, small):
     assert got[200].failed_rules == "symbol_rate"
 
 
+def test_thresholds_change_little_by_one_document(spark):
+    schema = "lang string, source string, n_words bigint, " + ", ".join(f"{c} double" for c in op8_quality.MARGINS)
+    limits = []
+    for n in (199, 200, 201):
+        rows = [("en", "hot", 80, *[0.0] * 4)] * 900 + [("en", "own", 80, *[1.0] * 4)] * n
+        found = op8_quality.thresholds(spark.createDataFrame(rows, schema)).filter("source = 'own'").collect()
+        limits.append(found[0].max_symbol_rate)
+    assert max(limits) - min(limits) < 0.01
+
+
 def test_plan_is_native(spark):
     df = quality(spark.createDataFrame([(1, "a", "en", "s", "")], SCHEMA))
     plan = df._jdf.queryExecution().executedPlan().toString()
