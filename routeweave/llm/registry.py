@@ -1,4 +1,4 @@
-"""Queries of the ten operators with their SQL, where SQL can express them."""
+"""Queries of the operators with their SQL, where SQL can express them."""
 
 from __future__ import annotations
 
@@ -127,3 +127,9 @@ def op8(spark, sf_dir):
 def op1(spark, sf_dir):
     from routeweave.llm.op1_licenses import scan_licenses
     return scan_licenses(documents(spark, sf_dir))
+
+
+@register("op13_spelling_variants")
+def op13(spark, sf_dir):
+    from routeweave.llm.op13_spelling import spelling_groups
+    return spelling_groups(documents(spark, sf_dir))

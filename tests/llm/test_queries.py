@@ -16,6 +16,7 @@ COLUMNS = {
     8: "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     9: "doc_id n_assign n_access n_hex base_sha256 spans",
     10: "doc_id n_bytes n_tokens over_limit",
+    13: "word form root n n_near form_n",
 }
 
 
@@ -27,5 +28,6 @@ def test_each_operator_has_one_query_over_all_documents(spark):
     for n, (name,) in names.items():
         df = found[name](spark, SF)
         assert set(COLUMNS[n].split()) <= set(df.columns), name
-        ids = [r.doc_id for r in df.select("doc_id").collect()]
-        assert n == 2 or len(ids) == len(set(ids)) == n_docs, name
+        if n not in (2, 11, 13):        # those of one row a document
+            ids = [r.doc_id for r in df.select("doc_id").collect()]
+            assert len(ids) == len(set(ids)) == n_docs, name
