@@ -9,6 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from routeweave.llm import op11_collocations
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
@@ -133,3 +135,8 @@ def op1(spark, sf_dir):
 def op13(spark, sf_dir):
     from routeweave.llm.op13_spelling import spelling_groups
     return spelling_groups(documents(spark, sf_dir))
+
+
+@register("op11_collocations", op11_collocations.ORACLE_SQL)
+def op11(spark, sf_dir):
+    return op11_collocations.collocations(documents(spark, sf_dir))

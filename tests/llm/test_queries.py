@@ -16,6 +16,7 @@ COLUMNS = {
     8: "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     9: "doc_id n_assign n_access n_hex base_sha256 spans",
     10: "doc_id n_bytes n_tokens over_limit",
+    11: "lang rank phrase a l r n score",
     13: "word form root n n_near form_n",
 }
 
