@@ -140,3 +140,9 @@ def op13(spark, sf_dir):
 @register("op11_collocations", op11_collocations.ORACLE_SQL)
 def op11(spark, sf_dir):
     return op11_collocations.collocations(documents(spark, sf_dir))
+
+
+@register("op12_personal_data")
+def op12(spark, sf_dir):
+    from routeweave.llm.op12_pii import scan_documents
+    return scan_documents(documents(spark, sf_dir))

@@ -17,6 +17,7 @@ COLUMNS = {
     9: "doc_id n_assign n_access n_hex base_sha256 spans",
     10: "doc_id n_bytes n_tokens over_limit",
     11: "lang rank phrase a l r n score",
+    12: "doc_id n_email n_ip n_card n_phone base_sha256 spans",
     13: "word form root n n_near form_n",
 }
 
