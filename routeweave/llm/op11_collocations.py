@@ -5,14 +5,19 @@
    sequence of ids with a break at every end of a piece.  Word counts are
    summed over shards; words that occur ``LEAST`` times or more get a number.
 2. In every shard the other words become breaks as well (a phrase that holds
-   one cannot be frequent), and the rest is indexed: suffixes in order of
-   their first words with the symbol before each (``BiIndex``), and the
-   occurrences of each word with the symbol after it.  Phrases are intervals
-   of that order.  A word's interval is cut into those of its two-word phrases
-   by the symbols after it, and each of these is extended to the left by the
-   symbols before it, with the number of times.
-3. Counts are summed over shards; the left and right extensions of a phrase
-   (the longer phrases that hold it) decide whether it is dropped.
+   one cannot be frequent), and the rest is indexed: the occurrences of each
+   word with the symbol after it, and suffixes in order of their first words
+   with the symbol before each (``BiIndex``).  Phrases are intervals of these
+   orders: a word's interval is cut into those of its two-word phrases by the
+   symbols after it, and theirs by the symbols before them.
+3. Two-word phrases are summed over shards.  Only the frequent ones are then
+   extended to the left, where the two words that come together so are
+   frequent too, and three-word phrases are summed.  Shards learn of them by a
+   Bloom filter with ``FILTER_BITS`` for each, of ``FILTER_BYTES`` at most: if
+   they need more, each of several passes extends a part of them.  What a
+   filter lets through by chance is counted and then dropped.
+4. The left and right extensions of a phrase (the longer phrases that hold it)
+   decide whether it is dropped.
 
 Scores are computed in decimals without a fraction, which hold the products.
 The first of each language are taken in two steps, so no task holds a
@@ -28,6 +33,7 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +42,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from routeweave.llm.tables import from_planes, planes, written
-from routeweave.llm.textbytes import LOWER, byte_set, pieces, words
+from routeweave.llm.bloom import SLICES, bloom_filter, may_contain
+from routeweave.llm.tables import batch_rows, from_planes, planes, written
+from routeweave.llm.textbytes import LOWER, byte_set, mix64, pieces, words
 
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 6 << 20
+SHARDS_A_BATCH = 2      # in one Arrow batch
+FILTER_BITS = 16
+FILTER_BYTES = 32 << 20
 LEAST = 10              # occurrences of a candidate
 WORDS = 3               # words of a candidate, at most
 SHARE = 50              # percent of a phrase that a longer one must cover to drop it
@@ -54,29 +64,36 @@ IS_WORD = byte_set(BREAKS + b"\x20\x09")
 class BiIndex:
     """Both directions of an index over a sequence of symbols from 0 (break)
     to ``top``, for patterns of at most ``depth`` symbols; the sequence begins
-    and ends with a break."""
+    and ends with a break.  Each direction is made when it is used first."""
 
     def __init__(self, s: np.ndarray, top: int, depth: int):
-        self.s, self.base = s, top + 1
-        rank, k = s.astype(np.int64), 1
-        while k < depth - 1:        # suffixes told apart by twice as many symbols
-            after = np.concatenate([rank[k:], np.zeros(k, np.int64)])
-            rank = np.unique(rank * (rank.max() + 1) + after, return_inverse=True)[1]
+        self.s, self.base, self.depth = s, top + 1, depth
+
+    @cached_property
+    def after(self) -> tuple[np.ndarray, np.ndarray]:
+        """Occurrences in order of their symbols: (symbol, the one after it)."""
+        occurrence = np.argsort(self.s, kind="stable")
+        return self.s[occurrence], np.append(self.s, 0)[occurrence + 1]
+
+    @cached_property
+    def before(self) -> tuple[np.ndarray, np.ndarray]:
+        """Suffixes in order: (the symbol before each: the BWT, the place of
+        the suffix that begins with it)."""
+        rank, k = self.s.astype(np.int64), 1
+        while k < self.depth - 1:        # suffixes told apart by twice as many symbols
+            behind = np.concatenate([rank[k:], np.zeros(k, np.int64)])
+            rank = np.unique(rank * (rank.max() + 1) + behind, return_inverse=True)[1]
             k *= 2
-        self.order = np.argsort(rank, kind="stable")
-        #: the symbol before each suffix (the BWT) and, of each occurrence in word order, the symbol after it
-        self.before = s[self.order - 1]
-        occurrence = np.argsort(s, kind="stable")
-        self.after = np.append(s, 0)[occurrence + 1]
-        self.symbol = s[occurrence]
-        #: place of the suffix that begins with the symbol before
-        self.step = np.empty(len(s), np.int64)
-        self.step[np.argsort(self.before, kind="stable")] = np.arange(len(s))
+        symbol = self.s[np.argsort(rank, kind="stable") - 1]
+        step = np.empty(len(symbol), np.int64)
+        step[np.argsort(symbol, kind="stable")] = np.arange(len(symbol))
+        return symbol, step
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Every two-word phrase, words extended to the right: (its symbols,
         begins, ends of its intervals)."""
-        key, n = np.unique(self.symbol.astype(np.int64) * self.base + self.after, return_counts=True)
+        symbol, after = self.after
+        key, n = np.unique(symbol.astype(np.int64) * self.base + after, return_counts=True)
         end = np.cumsum(n)
         grams = np.stack([key // self.base, key % self.base], axis=1)
         real = (grams > 0).all(1)
@@ -84,27 +101,18 @@ class BiIndex:
 
     def to_left(self, grams: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The phrases of one word more before them: as ``pairs``."""
+        symbol, step = self.before
         n = end - begin
         which = np.repeat(np.arange(len(n)), n)
         at = np.arange(len(which)) + (begin - (np.cumsum(n) - n))[which]
-        inside = self.before[at] > 0
+        inside = symbol[at] > 0
         which, at = which[inside], at[inside]
-        key, first, n = np.unique(which * self.base + self.before[at], return_index=True, return_counts=True)
+        key, first, n = np.unique(which * self.base + symbol[at], return_index=True, return_counts=True)
         longer = np.concatenate([(key % self.base)[:, None], grams[key // self.base]], axis=1)
-        begin = self.step[at[first]]
+        begin = step[at[first]]
         return longer, begin, begin + n
 
 
-def phrase_counts(seq: np.ndarray, top: int, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(symbols, counts) of all phrases of 2 to ``longest`` words."""
-    index = BiIndex(seq, top, longest)
-    found = index.pairs()
-    for size in range(2, longest + 1):
-        yield found[0], found[2] - found[1]
-        if size < longest:
-            found = index.to_left(*found)
-
-
 def _cut(values: np.ndarray, limit: int) -> Iterator[np.ndarray]:
     """A text in parts of about ``limit`` bytes that end after a break."""
     while len(values) > limit:
@@ -179,34 +187,88 @@ def make_shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     return rows.mapInArrow(run, "shard bigint, seq binary, words array<string>, langs array<string>, counts array<bigint>")
 
 
-def _count_phrases(key, shard: pa.Table, numbers: pa.Table) -> pa.Table:
-    """The phrases of one shard under the numbers of their words, from 1; a
-    phrase of two words has 0 for the third."""
+def _numbered_shard(key, shard: pa.Table, numbers: pa.Table) -> pa.Table:
+    """One shard's sequence of frequent words, from 1 in order of their places
+    in its list, and their numbers."""
     place, number = (numbers[c].to_numpy() for c in ("place", "number"))
     order = np.argsort(place)
-    place, number = place[order], np.append(0, number[order])
-    out = [np.zeros((0, WORDS + 1), np.int64)]
-    for packed in shard["seq"]:
-        seq = from_planes(packed.as_buffer(), "i4")
-        code = np.zeros(max(int(seq.max()), int(place.max(initial=-1)) + 1) + 1, np.int32)
-        code[place + 1] = np.arange(1, len(place) + 1)
-        seq = code[seq]
-        seq = seq[(seq > 0) | np.append(True, seq[:-1] > 0)]        # one break in a row
-        if seq[-1]:
-            seq = np.append(seq, 0)
-        for grams, n in phrase_counts(seq, len(place), WORDS):
-            rows = np.zeros((len(n), WORDS + 1), np.int64)
-            rows[:, :grams.shape[1]] = number[grams]
-            rows[:, -1] = n
-            out.append(rows)
-    rows = np.concatenate(out)
-    return pa.table([pa.array(np.ascontiguousarray(rows[:, i])) for i in range(WORDS + 1)], names=["g1", "g2", "g3", "n"])
-
-
-def frequent_phrases(docs: DataFrame, least: int = LEAST, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(words, phrases, languages): number, lang, word, f; g1, g2, g3 (0 for
-    none), a; lang, n.  Words and phrases of ``least`` occurrences or more,
-    counted exactly; all written."""
+    place = place[order]
+    seq = from_planes(shard["seq"][0].as_buffer(), "i4")
+    code = np.zeros(max(int(seq.max()), int(place.max(initial=-1)) + 1) + 1, np.int32)
+    code[place + 1] = np.arange(1, len(place) + 1)
+    seq = code[seq]
+    seq = seq[(seq > 0) | np.append(True, seq[:-1] > 0)]        # one break in a row
+    if seq[-1]:
+        seq = np.append(seq, np.int32(0))
+    return pa.table([pa.array([planes(seq)], pa.binary()), pa.array([planes(number[order])], pa.binary())], names=["seq", "numbers"])
+
+
+def _indexes(batches) -> Iterator[tuple[BiIndex, np.ndarray]]:
+    for batch in batches:
+        for seq, numbers in zip(batch.column(0), batch.column(1), strict=True):
+            number = np.append(0, from_planes(numbers.as_buffer(), "i8"))
+            yield BiIndex(from_planes(seq.as_buffer(), "i4"), len(number) - 1, WORDS), number
+
+
+def _count_pairs(batches) -> Iterator[pa.RecordBatch]:
+    """Two-word phrases of each shard: (g1, g2, n)."""
+    for index, number in _indexes(batches):
+        grams, begin, end = index.pairs()
+        yield pa.RecordBatch.from_arrays([pa.array(number[grams[:, 0]]), pa.array(number[grams[:, 1]]), pa.array(end - begin)], names=["g1", "g2", "n"])
+
+
+def _pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix64(mix64(a.view(np.uint64)) + b.view(np.uint64))
+
+
+def _pass_of(h: np.ndarray, passes: int) -> np.ndarray:
+    return mix64(h ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(passes)
+
+
+def _count_triples(batches, bits: np.ndarray, k: int, passes: int) -> Iterator[pa.RecordBatch]:
+    """Three-word phrases (g1, g2, g3, n) of each shard whose last two words
+    are a frequent phrase of pass ``k``, and whose first two may be one."""
+    def wanted(h, others):
+        mine = _pass_of(h, passes) == k
+        return np.where(mine, may_contain(bits, h), others)
+
+    for index, number in _indexes(batches):
+        grams, begin, end = index.pairs()
+        keep = wanted(_pair_hash(number[grams[:, 0]], number[grams[:, 1]]), False)
+        grams, begin, end = index.to_left(grams[keep], begin[keep], end[keep])
+        keep = wanted(_pair_hash(number[grams[:, 0]], number[grams[:, 1]]), True)
+        grams, n = number[grams[keep]], (end - begin)[keep]
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(grams[:, i])) for i in range(WORDS)] + [pa.array(n)],
+                                         names=["g1", "g2", "g3", "n"])
+
+
+def _triples(indexed: DataFrame, two: DataFrame, least: int) -> DataFrame:
+    """(g1, g2, g3, a) of the frequent three-word phrases."""
+    spark, size = indexed.sparkSession, two.count()
+    passes = max(1, -(-size * FILTER_BITS // (8 * FILTER_BYTES)))
+    n_bytes = max(8 * SLICES, 1 << (size * FILTER_BITS // (8 * passes)).bit_length())
+
+    def hashes(k):
+        def run(batches):
+            for batch in batches:
+                h = _pair_hash(*(batch.column(i).to_numpy() for i in (0, 1)))
+                yield pa.RecordBatch.from_arrays([pa.array(h[_pass_of(h, passes) == k].view(np.int64))], names=["h"])
+        return run
+
+    found = None
+    for k in range(passes):
+        bits = spark.sparkContext.broadcast(bloom_filter(two.select("g1", "g2").mapInArrow(hashes(k), "h bigint"), "h", min(n_bytes, FILTER_BYTES)))
+        part = indexed.mapInArrow(lambda batches, bits=bits, k=k: _count_triples(batches, bits.value, k, passes),
+                                  "g1 bigint, g2 bigint, g3 bigint, n bigint")
+        part = written(part.groupBy("g1", "g2", "g3").agg(F.sum("n").alias("a")).filter(F.col("a") >= least), "collocation-triples")
+        found = part if found is None else found.union(part)
+    return found
+
+
+def frequent_phrases(docs: DataFrame, least: int = LEAST, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, ...]:
+    """(words, two-word phrases, three-word phrases, languages): number, lang,
+    word, f; g1, g2, a; g1, g2, g3, a; lang, n.  Words and phrases of ``least``
+    occurrences or more, counted exactly; all written."""
     shards = written(make_shards(docs, shard_bytes), "collocation-shards")
     each = shards.select("shard", F.posexplode(F.arrays_zip("words", "langs", "counts"))).select(
         "shard", F.col("pos").alias("place"), F.col("col.words").alias("word"), F.col("col.langs").alias("lang"), F.col("col.counts").alias("n"))
@@ -214,11 +276,14 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, shard_bytes: int = SHA
     known = written(total.filter(F.col("f") >= least).select((F.monotonically_increasing_id() + 1).alias("number"), "lang", "word", "f"),
                     "collocation-words")
     langs = written(each.groupBy("lang").agg(F.sum("n").alias("n")), "collocation-langs")
-    numbers = each.select("shard", "place", "lang", "word").join(known.select("lang", "word", "number"), ["lang", "word"]).select(F.col("shard").alias("of"), "place", "number")
-    found = (shards.select("shard", "seq").groupBy("shard").cogroup(numbers.groupBy("of"))
-             .applyInArrow(_count_phrases, "g1 bigint, g2 bigint, g3 bigint, n bigint"))
-    grams = found.groupBy("g1", "g2", "g3").agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
-    return known, written(grams, "collocation-phrases"), langs
+    numbers = (each.select("shard", "place", "lang", "word").join(known.select("lang", "word", "number"), ["lang", "word"])
+               .select(F.col("shard").alias("of"), "place", "number"))
+    with batch_rows(docs.sparkSession, SHARDS_A_BATCH):
+        indexed = written(shards.select("shard", "seq").groupBy("shard").cogroup(numbers.groupBy("of"))
+                          .applyInArrow(_numbered_shard, "seq binary, numbers binary"), "collocation-indexed")
+        pairs = indexed.mapInArrow(_count_pairs, "g1 bigint, g2 bigint, n bigint")
+        two = written(pairs.groupBy("g1", "g2").agg(F.sum("n").alias("a")).filter(F.col("a") >= least), "collocation-pairs")
+        return known, two, _triples(indexed, two, least), langs
 
 
 def cut_score(a: Column, left: Column, right: Column) -> Column:
@@ -232,8 +297,7 @@ def collocations(docs: DataFrame, least: int = LEAST, first: int = 2000, shard_b
     """lang, rank, phrase, a, l, r, n, score, left_extension and
     right_extension (the largest count of a candidate with one word more) of
     the first phrases of each language."""
-    words_, grams, langs = frequent_phrases(docs.select("text", "lang"), least, shard_bytes)
-    two, three = grams.filter("g3 = 0").select("g1", "g2", "a"), grams.filter("g3 != 0")
+    words_, two, three, langs = frequent_phrases(docs.select("text", "lang"), least, shard_bytes)
     word = lambda g, f: words_.select(F.col("number").alias(g), F.col("f").alias(f))
     pair = lambda x, y, f: two.select(F.col("g1").alias(x), F.col("g2").alias(y), F.col("a").alias(f))
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from routeweave.session import ensure_checkpoint_dir
@@ -18,6 +19,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, n: int):
+    """Arrow batches of at most ``n`` rows for the jobs run inside the block:
+    for tables whose rows are large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 BROADCAST_ROWS = 500_000    # rows of a few numbers each: some tens of MB
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from routeweave.llm import op11_collocations
-from routeweave.llm.op11_collocations import collocations, cut_score, make_shards, phrase_counts
+from routeweave.llm.op11_collocations import BiIndex, collocations, cut_score, make_shards
 
 
 def brute(rows, least=10, first=2000):
@@ -75,7 +75,11 @@ def test_index_counts_every_phrase():
         s = np.append(rng.integers(0, top + 1, 500), 0).astype(np.int32)
         s[0] = 0
         want = Counter(tuple(s[i:i + k]) for k in range(2, longest + 1) for i in range(len(s) - k + 1) if (s[i:i + k] > 0).all())
-        have = {tuple(g): int(n) for grams, counts in phrase_counts(s, top, longest) for g, n in zip(grams, counts, strict=True)}
+        index = BiIndex(s, top, longest)
+        found, have = index.pairs(), {}
+        for size in range(2, longest + 1):
+            have |= {tuple(map(int, g)): int(b - a) for g, a, b in zip(*found, strict=True)}
+            found = index.to_left(*found) if size < longest else found
         assert have == {tuple(map(int, k)): v for k, v in want.items()}
 
 
@@ -99,8 +103,14 @@ def test_special_rows(table):
     assert collocations(table([])).collect() == []
 
 
+def test_several_passes_of_the_filter(table, monkeypatch):
+    rows = corpus(7, 200)
+    monkeypatch.setattr(op11_collocations, "FILTER_BYTES", 512)
+    monkeypatch.setattr(op11_collocations, "FILTER_BITS", 64)
+    assert got(collocations(table(rows), least=3)) == brute(rows, 3)
+
+
 def test_counts_come_through_the_index(table, monkeypatch):
-    """Without the symbols before the suffixes no phrase grows to three words."""
-    monkeypatch.setattr(op11_collocations.BiIndex, "to_left", lambda self, g, b, e: (np.zeros((0, 3), np.int64), b[:0], e[:0]))
-    seq = np.array([0, 1, 2, 3, 0], np.int32)
-    assert [len(n) for _, n in phrase_counts(seq, 3, 3)] == [2, 0]
+    """Without extension to the left no phrase has three words."""
+    monkeypatch.setattr(op11_collocations, "_count_triples", lambda batches, *_: iter(()))
+    assert {r.phrase.count(" ") for r in collocations(table(corpus(5, 100))).collect()} == {1}
