@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routeweave.llm import tables
 from routeweave.llm.tables import written
 
 
@@ -18,12 +17,10 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     while not _stars(now):
         both = now.union(now.select("b", "a"))
-        small = now.count() <= tables.BROADCAST_ROWS
-        mark = F.broadcast if small else (lambda df: df)
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter("b > a").join(mark(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        lower = large.join(mark(least), "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        lower = large.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = written(lower.union(least).distinct(), "edges")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())
 

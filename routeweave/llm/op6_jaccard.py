@@ -38,12 +38,13 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from routeweave.llm.bloom import bloom_filter, may_contain
 from routeweave.llm.graph import components
-from routeweave.llm.tables import if_small, written
+from routeweave.llm.tables import written
 from routeweave.llm.textbytes import mix64, pieces, shingles, word_hashes
 
 PART_BITS = 64
 FOLD = 16                   # bits of a folded sketch per allowed difference, at least
 BLOCK = 512                 # members of a bucket that are compared at once
+MET = 1 << 18               # sets that a task remembers, so that copies near each other give keys once
 
 _U = np.uint64
 
@@ -89,11 +90,31 @@ def document_sets(values: np.ndarray, offsets: np.ndarray, k: int):
     return [np.unique(s[a:b]) for a, b in zip(begin[:-1], begin[1:], strict=True)]
 
 
-def set_id(s: np.ndarray) -> int:
-    """Identity of a set: a hash of the sum and parity of its elements."""
+def identity(s: np.ndarray) -> tuple[int, int]:
+    """128 bits that identify a set: the sum and the parity of its elements,
+    the first mixed with the second."""
     m = mix64(s)
     both = np.array([m.sum(dtype=np.uint64) + _U(len(s)), np.bitwise_xor.reduce(m)], dtype=np.uint64)
-    return int((mix64(both) * np.array([1, 0x9E3779B97F4A7C15], np.uint64)).sum(dtype=np.uint64).view(np.int64))
+    name = (mix64(both) * np.array([1, 0x9E3779B97F4A7C15], np.uint64)).sum(dtype=np.uint64)
+    return int(name.view(np.int64)), int(both[1].view(np.int64))
+
+
+class Names:
+    """Names of sets: the first 64 bits of their identity, but for the few
+    sets (about n^2 / 2^65 of n) whose first bits are another set's too; these
+    have names of their own."""
+
+    def __init__(self, renamed: dict[tuple[int, int], int] | None = None):
+        self.renamed, self.identity = renamed or {}, identity
+
+    def __call__(self, s: np.ndarray) -> int:
+        both = self.identity(s)
+        return self.renamed.get(both, both[0]) if self.renamed else both[0]
+
+    def told_apart(self, clashes: list[tuple[int, int]]) -> Names:
+        """New names for identities whose names clash."""
+        fresh = mix64(mix64(np.array(clashes, np.int64).view(np.uint64)[:, 0]) ^ np.array(clashes, np.int64).view(np.uint64)[:, 1])
+        return Names(self.renamed | dict(zip(clashes, fresh.view(np.int64).tolist(), strict=True)))
 
 
 def folded_sketch(s: np.ndarray, difference: int) -> bytes:
@@ -130,26 +151,44 @@ def part_keys(s: np.ndarray, scheme: int, parts: int, g: int) -> np.ndarray:
 
 
 def _members(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, sid and folded sketch of every row."""
+    """doc_id, n_shingles, identity (sid, sid2) and folded sketch of every row."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         bands = Bands(percent)
         for batch in batches:
-            n, sid, sketch = [], [], []
+            n, ids, sketch = [], [], []
             for _, _, values, offsets in pieces(batch.column(1)):
                 for s in document_sets(values, offsets, k):
                     n.append(len(s))
-                    sid.append(set_id(s) if len(s) else None)
+                    ids.append(identity(s) if len(s) else (None, None))
                     sketch.append(folded_sketch(s, bands.difference(2 * len(s))) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.array(sketch, pa.binary())],
-                                             names=["doc_id", "n_shingles", "sid", "sketch"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n, pa.int64()), *(pa.array([x[i] for x in ids], pa.int64()) for i in (0, 1)), pa.array(sketch, pa.binary())],
+                names=["doc_id", "n_shingles", "sid", "sid2", "sketch"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, n_shingles bigint, sid bigint, sketch binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, n_shingles bigint, sid bigint, sid2 bigint, sketch binary")
 
 
-def _keys(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(key, sid) of every set; a partition shows each set once."""
+def _named(members: DataFrame) -> tuple[DataFrame, Names]:
+    """A written ``members`` table with one name for each set in ``sid``."""
+    names = Names()
+    while True:
+        apart = members.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("sid2").alias("lo"), F.max("sid2").alias("hi")).filter("lo != hi")
+        clash = members.select(F.col("sid").alias("name"), "sid2").join(apart.select(F.col("sid").alias("name")), "name", "left_semi").distinct().collect()
+        if not clash:
+            return members, names
+        # every set of such a name but the first gets another
+        first = {n: min(x.sid2 for x in clash if x.name == n) for n in {x.name for x in clash}}
+        moved = {(x.name, x.sid2) for x in clash if x.sid2 != first[x.name]}
+        names = names.told_apart(sorted(moved))
+        table = members.sparkSession.createDataFrame([(a, b, names.renamed[a, b]) for a, b in sorted(moved)], "sid long, sid2 long, fresh long")
+        members = written(members.join(table, ["sid", "sid2"], "left")
+                          .select("doc_id", "n_shingles", F.coalesce("fresh", "sid").alias("sid"), "sid2", "sketch"), "jaccard-members")
+
+
+def _keys(docs: DataFrame, k: int, percent: int, names: Names) -> DataFrame:
+    """(key, sid) of every set; copies near each other give them once."""
 
     def run(batches):
         bands, met = Bands(percent), set()
@@ -157,8 +196,10 @@ def _keys(docs: DataFrame, k: int, percent: int) -> DataFrame:
             for _, _, values, offsets in pieces(batch.column(0)):
                 keys, sids = [], []
                 for s in document_sets(values, offsets, k):
-                    if not len(s) or (sid := set_id(s)) in met:
+                    if not len(s) or (sid := names(s)) in met:
                         continue
+                    if len(met) >= MET:
+                        met.clear()
                     met.add(sid)
                     band = bands.band(len(s))
                     for scheme in (band - 1, band) if band else (0,):
@@ -199,19 +240,19 @@ def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(good, pa.int64())) for c in (0, 1, 6, 7)],
                                              names=["a", "b", "rep_a", "rep_b"])
 
-    both = side("b").join(side("a").join(if_small(pairs), "a"), "b")
+    both = side("b").join(side("a").join(pairs, "a"), "b")
     return (both.select("a", "b", "n_a", "s_a", "n_b", "s_b", "rep_a", "rep_b")
             .mapInArrow(run, f"a bigint, b bigint, rep_a {id_type}, rep_b {id_type}"))
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, docs: DataFrame, k: int, percent: int, names: Names) -> DataFrame:
     """The pairs whose exact sets are linked; ``pairs`` is a written table.
 
     Only the texts of a pair's documents are read as sets; each set goes to
     its pairs, and the two sets of a pair meet by one shuffle."""
     side = lambda sid, rep, i: pairs.select(F.col(sid).alias("sid"), F.col(rep).alias("doc_id"), "a", "b", F.lit(i).alias("side"))
     need = written(side("a", "rep_a", 0).union(side("b", "rep_b", 1)), "jaccard-needed")
-    reps = if_small(written(need.select("doc_id").distinct(), "jaccard-needed-documents"))
+    reps = written(need.select("doc_id").distinct(), "jaccard-needed-documents")
 
     def sets(batches):
         for batch in batches:
@@ -219,13 +260,13 @@ def _linked(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
             for _, _, values, offsets in pieces(batch.column(0)):
                 for s in document_sets(values, offsets, k):
                     if len(s):
-                        sid.append(set_id(s))
+                        sid.append(names(s))
                         data.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(sid, pa.int64()), pa.array(data, pa.binary())], names=["sid", "elements"])
 
     found = (docs.select("doc_id", "text").join(reps, "doc_id", "left_semi").select("text")
              .mapInArrow(sets, "sid bigint, elements binary"))
-    met = found.join(if_small(need.select("sid", "a", "b", "side")), "sid").select("a", "b", "side", "elements")
+    met = found.join(need.select("sid", "a", "b", "side"), "sid").select("a", "b", "side", "elements")
 
     def check(batches):
         held = None, None, None         # a pair, and its set of side 0
@@ -251,10 +292,10 @@ def _open_pairs(buckets: DataFrame, nodes: DataFrame, comps: DataFrame, percent:
 
     A bucket of more than BLOCK members is dealt into blocks; a pair of
     blocks is one group, so a task never holds more than two blocks."""
-    rows = (buckets.join(if_small(comps.withColumnRenamed("node", "sid")), "sid", "left")
+    rows = (buckets.join(comps.withColumnRenamed("node", "sid"), "sid", "left")
             .select("key", "sid", F.coalesce("root", "sid").alias("root")))
     mixed = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).filter("lo != hi")
-    mixed = if_small(written(mixed.select("key", "n"), "jaccard-mixed"))
+    mixed = written(mixed.select("key", "n"), "jaccard-mixed")
     blocks = F.ceil(F.col("n") / BLOCK)
     own = F.pmod(F.xxhash64("sid"), F.col("blocks"))
     dealt = (rows.join(mixed.select("key", blocks.alias("blocks")), "key")
@@ -329,25 +370,29 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     """Per row of ``docs``: doc_id, n_shingles, component_id (the least
     doc_id that links reach) and sid, the identity of its set."""
     docs = docs.select("doc_id", "text")
-    members = written(_members(docs, k, percent), "jaccard-members")
+    return _components(docs, k, percent)[0]
+
+
+def _components(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Names]:
+    members, names = _named(written(_members(docs, k, percent), "jaccard-members"))
     nodes = written(members.filter("sid IS NOT NULL AND doc_id IS NOT NULL").groupBy("sid").agg(
         F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")), "jaccard-nodes")
-    buckets = written(_buckets(_keys(docs, k, percent)), "jaccard-buckets")
+    buckets = written(_buckets(_keys(docs, k, percent, names)), "jaccard-buckets")
 
     star = buckets.filter("center != sid").select(F.col("center").alias("a"), F.col("sid").alias("b")).distinct()
     star = written(star, "jaccard-pairs")
     nearest = _close(star, nodes, percent).groupBy("b").agg(F.min(F.struct("a", "rep_a")).alias("x"), F.first("rep_b").alias("rep_b"))
     pairs = written(nearest.select("x.a", "b", "x.rep_a", "rep_b"), "jaccard-pairs")
     tested = pairs.select("a", "b")
-    links = written(_linked(pairs, docs, k, percent), "jaccard-links")
+    links = written(_linked(pairs, docs, k, percent, names), "jaccard-links")
     comps = written(components(links), "jaccard-components")
     for forest in (True, False):
         near = _open_pairs(buckets, nodes, comps, percent, forest)
-        near = written(near.join(if_small(tested).withColumn("known", F.lit(True)), ["a", "b"], "left"), "jaccard-pairs")
+        near = written(near.join(tested.withColumn("known", F.lit(True)), ["a", "b"], "left"), "jaccard-pairs")
         if near.isEmpty():
             break
         fresh = near.filter("known IS NULL").drop("known")
-        made = written(_linked(fresh, docs, k, percent), "jaccard-links")
+        made = written(_linked(fresh, docs, k, percent, names), "jaccard-links")
         tested, links = tested.union(fresh.select("a", "b")), links.union(made)
         comps = written(components(links), "jaccard-components")
         # where every pair of a forest is a link, no pair of its graph is left open
@@ -355,12 +400,12 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
             break
 
     # sets in components take the least document of theirs
-    named = nodes.select("sid", "rep").join(if_small(comps.withColumnRenamed("node", "sid")), "sid")
+    named = nodes.select("sid", "rep").join(comps.withColumnRenamed("node", "sid"), "sid")
     least = named.groupBy("root").agg(F.min("rep").alias("least"))
-    joined = if_small(written(named.join(least, "root").select("sid", "least"), "jaccard-named"))
+    joined = written(named.join(least, "root").select("sid", "least"), "jaccard-named")
     of = nodes.select("sid", "rep").join(joined, "sid", "left").select("sid", F.coalesce("least", "rep").alias("component_id"))
     return members.join(of, "sid", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "sid")
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "sid"), names
 
 
 def drop_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -370,7 +415,8 @@ def drop_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     Only rows whose set is in a component of several rows are shuffled; the
     others are told by a Bloom filter of fixed size and stay in place."""
-    found = written(jaccard_components(docs, k, percent), "jaccard-groups").filter("sid IS NOT NULL")
+    found, names = _components(docs.select("doc_id", "text"), k, percent)
+    found = written(found, "jaccard-groups").filter("sid IS NOT NULL")
     several = found.groupBy("sid").agg(F.count("*").alias("n"), F.max(~F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("goes"))
     bits = docs.sparkSession.sparkContext.broadcast(bloom_filter(several.filter("n > 1 OR goes"), "sid"))
     stays = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
@@ -383,7 +429,7 @@ def drop_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             sid = [None] * batch.num_rows
             for begin, _, values, offsets in pieces(batch.column(at)):
                 for i, s in enumerate(document_sets(values, offsets, k)):
-                    if len(s) and may_contain(bits.value, np.array([made := set_id(s)]).view(np.uint64))[0]:
+                    if len(s) and may_contain(bits.value, np.array([made := names(s)]).view(np.uint64))[0]:
                         sid[begin + i] = made
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sid, pa.int64())], names=[*batch.schema.names, "sid__"])
 

@@ -13,6 +13,9 @@ from routeweave.llm import op11_collocations
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
+
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -45,6 +48,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ship_package(spark: SparkSession) -> None:
     """Give workers this package where their path lacks it (a session that
     was started from another folder, without --py-files)."""
+    if spark.conf.get(BATCH) == "10000":        # Spark's own value: up to 10,000 whole texts at once in a worker
+        spark.conf.set(BATCH, str(BATCH_ROWS))
     if _ROOT in map(os.path.abspath, os.environ.get("PYTHONPATH", "").split(os.pathsep)) or os.getcwd() == _ROOT:
         return
     sc = spark.sparkContext

@@ -32,15 +32,6 @@ def batch_rows(spark: SparkSession, n: int):
         spark.conf.set(name, before)
 
 
-BROADCAST_ROWS = 500_000    # rows of a few numbers each: some tens of MB
-
-
-def if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """A written table, marked for broadcast if it has at most ``rows`` rows
-    (of numbers only); a larger one is joined by shuffles."""
-    return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if rows is None else rows) else df
-
-
 def planes(x) -> bytes:
     """An integer array as byte planes, high bytes first: sorted values
     compress well in a shuffle."""

@@ -58,8 +58,15 @@ def test_against_all_pairs(docs, monkeypatch, k, percent, block):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, k, percent)
 
 
-def test_special_rows(docs, monkeypatch):
-    monkeypatch.setattr("routeweave.llm.tables.BROADCAST_ROWS", 0)
+def test_sets_of_equal_names_are_told_apart(docs, monkeypatch):
+    """With names of four bits nearly all sets clash at first."""
+    rows, true = corpus(3, 15, 6), op6_jaccard.identity
+    monkeypatch.setattr(op6_jaccard, "identity", lambda s: (true(s)[0] & 15, true(s)[1]))
+    got = jaccard_components(docs(rows), 3, 90).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, 3, 90)
+
+
+def test_special_rows(docs):
     text = " ".join(f"w{i}" for i in range(60))
     rows = [(7, text), (7, text), (7, "other words here now"), (3, text + " z"), (None, text), (None, "lonely words of null"), (9, None)]
     got = sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in jaccard_components(docs(rows)).collect())
