@@ -242,6 +242,13 @@ def _count_triples(batches, bits: np.ndarray, k: int, passes: int) -> Iterator[p
                                          names=["g1", "g2", "g3", "n"])
 
 
+def _summed(counts: DataFrame, gram: list[str], least: int, name: str) -> DataFrame:
+    """Phrases of all shards with ``least`` occurrences or more, written; a
+    worker reads few shards at once."""
+    with batch_rows(counts.sparkSession, SHARDS_A_BATCH):
+        return written(counts.groupBy(*gram).agg(F.sum("n").alias("a")).filter(F.col("a") >= least), name)
+
+
 def _triples(indexed: DataFrame, two: DataFrame, least: int) -> DataFrame:
     """(g1, g2, g3, a) of the frequent three-word phrases."""
     spark, size = indexed.sparkSession, two.count()
@@ -260,7 +267,7 @@ def _triples(indexed: DataFrame, two: DataFrame, least: int) -> DataFrame:
         bits = spark.sparkContext.broadcast(bloom_filter(two.select("g1", "g2").mapInArrow(hashes(k), "h bigint"), "h", min(n_bytes, FILTER_BYTES)))
         part = indexed.mapInArrow(lambda batches, bits=bits, k=k: _count_triples(batches, bits.value, k, passes),
                                   "g1 bigint, g2 bigint, g3 bigint, n bigint")
-        part = written(part.groupBy("g1", "g2", "g3").agg(F.sum("n").alias("a")).filter(F.col("a") >= least), "collocation-triples")
+        part = _summed(part, ["g1", "g2", "g3"], least, "collocation-triples")
         found = part if found is None else found.union(part)
     return found
 
@@ -278,12 +285,11 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, shard_bytes: int = SHA
     langs = written(each.groupBy("lang").agg(F.sum("n").alias("n")), "collocation-langs")
     numbers = (each.select("shard", "place", "lang", "word").join(known.select("lang", "word", "number"), ["lang", "word"])
                .select(F.col("shard").alias("of"), "place", "number"))
-    with batch_rows(docs.sparkSession, SHARDS_A_BATCH):
-        indexed = written(shards.select("shard", "seq").groupBy("shard").cogroup(numbers.groupBy("of"))
-                          .applyInArrow(_numbered_shard, "seq binary, numbers binary"), "collocation-indexed")
-        pairs = indexed.mapInArrow(_count_pairs, "g1 bigint, g2 bigint, n bigint")
-        two = written(pairs.groupBy("g1", "g2").agg(F.sum("n").alias("a")).filter(F.col("a") >= least), "collocation-pairs")
-        return known, two, _triples(indexed, two, least), langs
+    indexed = written(shards.select("shard", "seq").groupBy("shard").cogroup(numbers.groupBy("of"))
+                      .applyInArrow(_numbered_shard, "seq binary, numbers binary"), "collocation-indexed")
+    pairs = indexed.mapInArrow(_count_pairs, "g1 bigint, g2 bigint, n bigint")
+    two = _summed(pairs, ["g1", "g2"], least, "collocation-pairs")
+    return known, two, _triples(indexed, two, least), langs
 
 
 def cut_score(a: Column, left: Column, right: Column) -> Column:
