@@ -164,7 +164,7 @@ def family_legs(families: DataFrame, ctrips: DataFrame) -> DataFrame:
         "departure_date", "price", "duration_h")))
 
 
-def _best(rows: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:
+def best_rows(rows: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
     return rows.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= n).drop("_rank")
 
@@ -199,21 +199,22 @@ def family_routes(families: DataFrame, legs: DataFrame, best: int | None = None)
                     F.col("leg_id").alias("b_id"), F.col("price").alias("b_price"), F.col("duration_h").alias("b_time"))
     if best is not None:
         # ids end in the separator here, as they do inside a route id
-        first = _best(first, [*FAMILY, "mid_place"], [F.col("a_price"), F.col("a_time").desc(),
+        first = best_rows(first, [*FAMILY, "mid_place"], [F.col("a_price"), F.col("a_time").desc(),
                                                       F.concat("a_id", F.lit(ROUTE_ID_SEP))], best)
-        b = _best(b, ["mid_place", "d_city", "departure_date"], [F.col("b_price"), F.col("b_time").desc(), F.col("b_id")], best)
+        b = best_rows(b, ["mid_place", "d_city", "departure_date"], [F.col("b_price"), F.col("b_time").desc(), F.col("b_id")], best)
     two = first.join(b, ["mid_place", "d_city", "departure_date"]).select(
         *FAMILY, "a_id", "b_id", F.concat("a_id", F.lit(ROUTE_ID_SEP), "b_id").alias("route_id"),
         (F.col("a_price") + F.col("b_price")).alias("total_price"), (F.col("a_time") + F.col("b_time")).alias("total_time"))
     return direct.unionByName(two)
 
 
-def _cell(price: Column) -> Column:
+def price_cell(price: Column) -> Column:
     return F.floor(price / PRICE_CELL).cast("double")
 
 
-def shared_top_routes(segments: DataFrame, ctrips: DataFrame, n: int = TOP_N) -> DataFrame:
+def shared_top_routes(segments: DataFrame, ctrips: DataFrame, n: int = TOP_N, connect_on: str = "place") -> DataFrame:
     """Top ``n`` routes per request, sharing the work between requests.
+    ``connect_on``: legs meet at one place, or anywhere in one "city" (V3).
 
     1. Families searched without ranges keep their ``n`` best routes.
     2. Families with ranges are cut into cells (travel time, price step of
@@ -229,24 +230,29 @@ def shared_top_routes(segments: DataFrame, ctrips: DataFrame, n: int = TOP_N) ->
     is_open = (F.col("p_lo") == OPEN[0]) & (F.col("p_hi") == OPEN[1]) & (F.col("t_lo") == OPEN[0]) & (F.col("t_hi") == OPEN[1])
     legs = family_legs(keys.select(*FAMILY).distinct(), ctrips)
 
-    open_keys = keys.filter(is_open)
+    open_keys, ranged = keys.filter(is_open), keys.filter(~is_open)
+    at_cities = None
+    if connect_on == "city":
+        from routeweave.operators import clusters
+        at_cities = open_keys.join(clusters.open_routes(open_keys, legs, n), FAMILY).unionByName(clusters.ranged_routes(ranged, legs, n))
+        open_keys, ranged = (x.filter(F.col("via") == DIRECT) for x in (open_keys, ranged))
     whole = top_routes(family_routes(open_keys.select(*FAMILY), legs, best=n), n, FAMILY).drop("rank")
     answers = open_keys.join(whole, FAMILY)
 
-    ranged = keys.filter(~is_open)
-    routes = family_routes(ranged.select(*FAMILY).distinct(), legs).withColumn("cell", _cell(F.col("total_price")))
+    routes = family_routes(ranged.select(*FAMILY).distinct(), legs).withColumn("cell", price_cell(F.col("total_price")))
     cells = top_routes(routes, n, [*FAMILY, "total_time", "cell"]).drop("rank")
     inside = (ranged.join(cells, FAMILY)
               .filter(F.col("total_time").between(F.col("t_lo"), F.col("t_hi"))
-                      & ((F.col("p_lo") == OPEN[0]) | (F.col("cell") > _cell(F.col("p_lo"))))
-                      & ((F.col("p_hi") == OPEN[1]) | (F.col("cell") < _cell(F.col("p_hi"))))))
+                      & ((F.col("p_lo") == OPEN[0]) | (F.col("cell") > price_cell(F.col("p_lo"))))
+                      & ((F.col("p_hi") == OPEN[1]) | (F.col("cell") < price_cell(F.col("p_hi"))))))
     cut = F.array_distinct(F.array_compact(F.array(
-        F.when(F.col("p_lo") != OPEN[0], _cell(F.col("p_lo"))), F.when(F.col("p_hi") != OPEN[1], _cell(F.col("p_hi"))))))
+        F.when(F.col("p_lo") != OPEN[0], price_cell(F.col("p_lo"))), F.when(F.col("p_hi") != OPEN[1], price_cell(F.col("p_hi"))))))
     edges = (ranged.withColumn("cell", F.explode(cut)).join(routes, [*FAMILY, "cell"])
              .filter(F.col("total_price").between(F.col("p_lo"), F.col("p_hi"))
                      & F.col("total_time").between(F.col("t_lo"), F.col("t_hi"))))
     found = top_routes(inside.unionByName(edges), n, [*FAMILY, *BOUNDS]).drop("rank", "cell")
-    answers = materialize(answers.unionByName(found))
+    answers = answers.unionByName(found)
+    answers = materialize(answers if at_cities is None else answers.unionByName(at_cities))
 
     best = top_routes(segments.join(answers, [*FAMILY, *BOUNDS]), n, "request_id").select(
         "request_id", "rank", "route_id", "a_id", "b_id", "total_price", "total_time")

@@ -126,7 +126,7 @@ routes AS (
   SELECT g.graph_id, a.leg_id || '>' || b.leg_id, 2, a.price + b.price, a.duration_h + b.duration_h,
          a.o_name || ' => ' || a.d_name || ' => ' || b.d_name
   FROM graphs g JOIN legs a ON a.graph_id = g.graph_id AND a.o_city = g.o_city AND a.d_city <> g.d_city
-          JOIN legs b ON b.graph_id = g.graph_id AND b.origin_place_id = a.dest_place_id AND b.d_city = g.d_city),
+          JOIN legs b ON b.graph_id = g.graph_id AND @MEET@ AND b.d_city = g.d_city),
 in_range AS (
   SELECT g.request_id, r.* EXCLUDE (graph_id) FROM routes r JOIN graph_of g ON g.graph_id = r.graph_id
   WHERE (len(g.price_range) <> 2 OR r.total_price BETWEEN g.price_range[1] AND g.price_range[2])
@@ -152,7 +152,11 @@ ROLES_BY_DISTANCE = """
   WHERE role IS NOT NULL"""
 
 
-def with_fixtures(body: str, roles_by: str = "population", trip: str = "t.*") -> str:
+#: How the second leg follows the first (V3).
+MEET = {"place": "b.origin_place_id = a.dest_place_id", "city": "b.o_city = a.d_city"}
+
+
+def with_fixtures(body: str, roles_by: str = "population", trip: str = "t.*", connect_on: str = "place") -> str:
     """``trip``: the trip columns of ``ctrips``, for queries over changed trips."""
     roles = ROLES_BY_POPULATION if roles_by == "population" else ROLES_BY_DISTANCE
-    return "WITH " + FIXTURE_CTES.strip().replace("@ROLES@", roles.strip()).replace("@TRIP@", trip) + "\n" + body.strip()
+    return "WITH " + FIXTURE_CTES.strip().replace("@ROLES@", roles.strip()).replace("@TRIP@", trip).replace("@MEET@", MEET[connect_on]) + "\n" + body.strip()

@@ -245,6 +245,12 @@ def q_own_ranges(spark, sf_dir):
     return top_route_rows(search(fixtures.requests(spark, sf_dir).withColumn("price_range", own), cat))
 
 
+@register("city_connected_top_routes", _TOP, connect_on="city")
+def q_city_connected(spark, sf_dir):
+    """V3: the search with legs that meet anywhere in the stop city."""
+    return top_route_rows(search(fixtures.requests(spark, sf_dir), fixtures.catalogue(spark, sf_dir), SearchParams(connect_on="city")))
+
+
 # --- messages (S9, J3, F1, J1, J2, J4, J5) -----------------------------------------
 
 _REQ_JSON = """'{"src":"' || src || '","departureDate":"' || CAST(departure_date AS VARCHAR) || '","dst":"' || dst

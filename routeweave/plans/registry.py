@@ -20,11 +20,11 @@ _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None = None, roles_by: str = "population", trip: str = "t.*"):
+def register(name: str, sql: str | None = None, roles_by: str = "population", trip: str = "t.*", connect_on: str = "place"):
     def deco(fn: Query) -> Query:
         _QUERIES[name] = fn
         if sql is not None:
-            _SQL[name] = oracle.with_fixtures(sql, roles_by, trip)
+            _SQL[name] = oracle.with_fixtures(sql, roles_by, trip, connect_on)
         return fn
     return deco
 

@@ -24,6 +24,7 @@ class SearchParams:
     roles_by: str = "population"          # V1: "distance"
     threshold_km: float = geo.ROLE_THRESHOLD_KM
     top_n: int = TOP_N
+    connect_on: str = "place"             # V3: "city"
 
 
 @dataclass
@@ -85,7 +86,7 @@ def search(requests: DataFrame, catalogue: Catalogue, params: SearchParams = Sea
     if ctrips is None:
         ctrips = city_trips(catalogue.trips, catalogue.places)
     segments = materialize(request_segments(ok, pair_stops))
-    top = shared_top_routes(segments, ctrips, params.top_n)
+    top = shared_top_routes(segments, ctrips, params.top_n, params.connect_on)
     return SearchResult(plan, roles, stops, top, build_responses(plan, top))
 
 

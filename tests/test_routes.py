@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from routeweave.operators.routes import enumerate_routes, top_routes
@@ -122,7 +123,7 @@ def test_published_fixture_numbers(spark):
     assert sum(r.total_time for r in rows) == 130.0
 
 
-def _search_small(spark, legs, bounds, n=5):
+def _search_small(spark, legs, bounds, n=5, connect_on="place"):
     from routeweave.operators.routes import shared_top_routes
     seg = spark.createDataFrame([(i, 0, 1, 2, "2024-01-01", *b) for i, b in enumerate(bounds)],
                                 "request_id BIGINT, o_city INT, via INT, d_city INT, d STRING, p_lo DOUBLE, p_hi DOUBLE, "
@@ -131,7 +132,7 @@ def _search_small(spark, legs, bounds, n=5):
                                 "d_name STRING, d_city INT, provider STRING, d STRING, price DOUBLE, duration_h DOUBLE") \
         .withColumn("departure_date", F.to_date("d")).drop("d")
     got = {}
-    for r in shared_top_routes(seg, ldf, n).collect():
+    for r in shared_top_routes(seg, ldf, n, connect_on).collect():
         got.setdefault(r.request_id, []).append((r.rank, r.route_id, r.total_price, r.total_time, len(r.itinerary)))
     return {k: [x[1:4] for x in sorted(v)] for k, v in got.items()}
 
@@ -155,7 +156,8 @@ def test_repeated_legs_give_each_route_once(spark):
     assert got == {0: [("a>b", 20.0, 2.0)], 1: [("a>b", 20.0, 2.0)]}
 
 
-def test_cells_and_best_pairs_against_brute_force(spark):
+@pytest.mark.parametrize("connect_on", ["place", "city"])
+def test_cells_and_best_pairs_against_brute_force(spark, connect_on):
     rnd = random.Random(5)
     legs = []
     for i in range(60):
@@ -163,8 +165,24 @@ def test_cells_and_best_pairs_against_brute_force(spark):
         legs.append((f"{i}-", f"m{i % 4}", "M", 1, "r", "R", 2, "BUS", "2024-01-01", rnd.choice([0.0, 12.5, rnd.random() * 90]), float(rnd.randrange(4))))
     bounds = [(-INF, INF, -INF, INF), (25.0, 25.0, -INF, INF), (-INF, INF, 2.0, 3.0)]
     bounds += [tuple(sorted((rnd.random() * 160, rnd.random() * 160))) + tuple(sorted((float(rnd.randrange(7)), float(rnd.randrange(7))))) for _ in range(25)]
-    got = _search_small(spark, legs, bounds)
-    pairs = [(x[9] + y[9], -(x[10] + y[10]), f"{x[0]}>{y[0]}") for x in legs if x[3] == 0 for y in legs if y[3] == 1 and x[4] == y[1]]
+    # bounds that are totals of routes, and on the edges of the price steps
+    pairs = [(x[9] + y[9], -(x[10] + y[10]), f"{x[0]}>{y[0]}") for x in legs if x[3] == 0
+             for y in legs if y[3] == 1 and (connect_on == "city" or x[4] == y[1])]
+    for lo in [-10.0, 0.0, 50.0, 75.0, 100.0] + [rnd.choice(pairs)[0] for _ in range(8)]:
+        bounds.append((lo, lo + rnd.choice([0.0, 1.0, 60.0]), *rnd.choice([(-INF, INF), (1.0, 4.0)])))
+    got = _search_small(spark, legs, bounds, connect_on=connect_on)
     for i, (p_lo, p_hi, t_lo, t_hi) in enumerate(bounds):
         want = sorted(x for x in pairs if p_lo <= x[0] <= p_hi and t_lo <= -x[1] <= t_hi)[:5]
         assert got.get(i, []) == [(r, p, -t) for p, t, r in want], i
+
+
+def test_hub_city_is_paired_by_summaries(spark):
+    """Arrivals and departures of a hub meet as best lists, not as legs."""
+    from routeweave.operators import clusters
+    rows = [(f"{i}", 0, 1, float(i % 97) / 3, float(i % 3)) for i in range(3000)] + [(f"{i}-", 1, 2, float(i % 89) / 3, float(i % 2)) for i in range(3000)]
+    legs = spark.createDataFrame(rows, "leg_id STRING, o_city INT, d_city INT, price DOUBLE, duration_h DOUBLE").withColumn("departure_date", F.to_date(F.lit("2024-01-01")))
+    families = spark.createDataFrame([(0, 1, 2)], "o_city INT, via INT, d_city INT").withColumn("departure_date", F.to_date(F.lit("2024-01-01")))
+    made = clusters.diagonals(families, legs, 5)
+    assert made.count() <= 5 * 4 * 4        # travel times and diagonals
+    a = clusters.best_rows(clusters._slim(legs), [*clusters.SIDE, "duration_h", "cell"], clusters._arrival_order(), 5)
+    assert a.count() <= 5 * (3 * 2 + 2 * 2)
