@@ -69,7 +69,9 @@ def enumerate_routes(legs: DataFrame, plan: DataFrame, max_legs: int | None = No
     d_name, d_city, provider, price, duration_h (distinct by leg_id).
     ``plan``: key, o_city, d_city.
 
-    Open routes are extended by an equi-join with the legs on (key, last
+    Legs that do not lead to the destination are dropped first (R2).  Routes
+    are leg ids and totals (``best_routes.itineraries`` gives the legs of the
+    routes that are wanted).  Open routes are extended by an equi-join with the legs on (key, last
     place).  A route never passes a place twice; only its final arrival may
     equal its start (a round trip when origin and destination city are one
     city).  That bounds the loop, which ends when no open route is left.
@@ -77,17 +79,17 @@ def enumerate_routes(legs: DataFrame, plan: DataFrame, max_legs: int | None = No
     V2: ``max_legs`` keeps finished routes of at most so many legs, and
     ``max_legs_flight`` all-flight ones; both are off by default.
     """
+    from routeweave.operators.graph import prune_unreachable
     ends = plan.select(key, F.col("o_city").alias("_o"), F.col("d_city").alias("_target"))
-    lg = materialize(legs.select(key, "leg_id", "origin_place_id", "o_name", "o_city", "dest_place_id",
-                                 "d_name", "d_city", "provider", "price", "duration_h"))
+    lg = materialize(prune_unreachable(legs, plan, key).select(
+        key, "leg_id", "origin_place_id", "o_city", "dest_place_id", "d_city", "price", "duration_h", (F.col("provider") == FLIGHT).alias("flight")))
     longest = None if max_legs is None else max(max_legs, max_legs_flight or 0)
     frontier = (lg.join(ends, key).filter(F.col("o_city") == F.col("_o"))
                 .select(key, "_target", F.col("origin_place_id").alias("start_place"),
                         F.col("dest_place_id").alias("last_place"), F.col("d_city").alias("last_city"),
                         F.array(F.col("origin_place_id"), F.col("dest_place_id")).alias("visited"),
-                        F.array(leg_struct()).alias("itinerary"), F.lit(1).alias("n_legs"),
-                        F.col("price").alias("total_price"), F.col("duration_h").alias("total_time"),
-                        (F.col("provider") == FLIGHT).alias("all_flight")))
+                        F.array("leg_id").alias("leg_ids"), F.lit(1).alias("n_legs"),
+                        F.col("price").alias("total_price"), F.col("duration_h").alias("total_time"), F.col("flight").alias("all_flight")))
     finished, step = [], 1
     while True:
         frontier = materialize(frontier)
@@ -104,11 +106,11 @@ def enumerate_routes(legs: DataFrame, plan: DataFrame, max_legs: int | None = No
                             F.col("r.start_place").alias("start_place"),
                             q.alias("last_place"), F.col("l.d_city").alias("last_city"),
                             F.concat(F.col("r.visited"), F.array(q)).alias("visited"),
-                            F.concat(F.col("r.itinerary"), F.array(leg_struct("l"))).alias("itinerary"),
+                            F.concat(F.col("r.leg_ids"), F.array("l.leg_id")).alias("leg_ids"),
                             (F.col("r.n_legs") + 1).alias("n_legs"),
                             (F.col("r.total_price") + F.col("l.price")).alias("total_price"),
                             (F.col("r.total_time") + F.col("l.duration_h")).alias("total_time"),
-                            (F.col("r.all_flight") & (F.col("l.provider") == FLIGHT)).alias("all_flight")))
+                            (F.col("r.all_flight") & F.col("l.flight")).alias("all_flight")))
         step += 1
     out = finished[0]
     for f in finished[1:]:
@@ -118,9 +120,8 @@ def enumerate_routes(legs: DataFrame, plan: DataFrame, max_legs: int | None = No
     flight_limit = max_legs_flight if max_legs_flight is not None else max_legs
     if flight_limit is not None:
         out = out.filter(~F.col("all_flight") | (F.col("n_legs") <= flight_limit))
-    return out.select(
-        key, F.array_join(F.transform("itinerary", lambda x: x["leg_id"]), ROUTE_ID_SEP).alias("route_id"),
-        "n_legs", "itinerary", "total_price", F.col("total_time").cast("double").alias("total_time"))
+    return out.select(key, F.array_join("leg_ids", ROUTE_ID_SEP).alias("route_id"), "leg_ids", "n_legs", "total_price",
+                      F.col("total_time").cast("double").alias("total_time"))
 
 
 # --- shared search for the origin/stop/destination topology ------------------------

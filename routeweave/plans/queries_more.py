@@ -10,6 +10,7 @@ from routeweave.functions.ranges import lower_bound, upper_bound
 from routeweave.operators import graph
 from routeweave.operators.legs import (city_trips, distinct_graphs, graph_legs, leg_city_pairs, place_pairs,
                                        request_graphs)
+from routeweave.operators.best_routes import n_best_routes
 from routeweave.operators.routes import enumerate_routes
 from routeweave.plans.registry import _search, register, register_sql
 from routeweave.plans.search import SearchParams, plan_requests, plan_requests_full, search, top_route_rows
@@ -405,21 +406,19 @@ def q_in_range(spark, sf_dir):
 # --- graph views (A1, A2, R2, R3, U5, A4) ---------------------------------------------
 
 _GRAPH_PLACES = """
+glegs AS MATERIALIZED (SELECT l.*, g.d_city AS target FROM legs l JOIN graphs g ON g.graph_id = l.graph_id),
 gplaces AS (
-  SELECT graph_id, origin_place_id AS place_id, o_name AS place_name, o_city AS city_id FROM legs
-  UNION SELECT graph_id, dest_place_id, d_name, d_city FROM legs),
-last_hop AS (
-  SELECT DISTINCT l.graph_id, l.origin_place_id AS place_id FROM legs l JOIN graphs g ON g.graph_id = l.graph_id
-  WHERE l.d_city = g.d_city),
-kept AS (
-  SELECT l.* FROM legs l JOIN graphs g ON g.graph_id = l.graph_id
-    LEFT JOIN last_hop h ON h.graph_id = l.graph_id AND h.place_id = l.dest_place_id
-  WHERE l.d_city = g.d_city OR h.place_id IS NOT NULL),
+  SELECT graph_id, origin_place_id AS place_id, o_name AS place_name, o_city AS city_id FROM glegs
+  UNION SELECT graph_id, dest_place_id, d_name, d_city FROM glegs),
+reach AS MATERIALIZED (
+  SELECT graph_id, dest_place_id AS place_id FROM glegs WHERE d_city = target
+  UNION SELECT graph_id, origin_place_id FROM glegs WHERE d_city = target
+  UNION SELECT graph_id, origin_place_id FROM glegs WHERE o_city = target),
+kept AS MATERIALIZED (
+  SELECT l.* FROM glegs l JOIN reach r ON r.graph_id = l.graph_id AND r.place_id = l.dest_place_id),
 pruned AS (
-  SELECT g.graph_id, g.city_id, g.place_id FROM gplaces g JOIN graphs x ON x.graph_id = g.graph_id
-    LEFT JOIN (SELECT DISTINCT graph_id, origin_place_id FROM kept) k
-      ON k.graph_id = g.graph_id AND k.origin_place_id = g.place_id
-  WHERE g.city_id = x.d_city OR k.origin_place_id IS NOT NULL)
+  SELECT g.graph_id, g.city_id, g.place_id FROM gplaces g JOIN graphs x ON x.graph_id = g.graph_id WHERE g.city_id = x.d_city
+  UNION SELECT graph_id, o_city, origin_place_id FROM kept)
 """
 
 
@@ -459,7 +458,7 @@ def q_pruned_nodes(spark, sf_dir):
 @register("graph_report", _graph_sql("""
 SELECT k.graph_id, k.o_city AS city_id, COUNT(*) AS n_legs, MIN(k.price) AS min_price, MAX(k.price) AS max_price,
        MIN(k.duration_h) AS min_hours, MAX(k.duration_h) AS max_hours
-FROM kept k JOIN graphs g ON g.graph_id = k.graph_id WHERE k.o_city <> g.d_city GROUP BY k.graph_id, k.o_city
+FROM kept k WHERE k.o_city <> k.target GROUP BY k.graph_id, k.o_city
 """))
 def q_graph_report(spark, sf_dir):
     """A4 aggregates per node."""
@@ -483,7 +482,7 @@ SELECT k.graph_id, k.leg_id,
   chr(9) || chr(9) || '(' || k.origin_place_id || ':' || k.o_name || ':' || k.provider || ':' || CAST(k.o_city AS VARCHAR)
   || ') ==(' || CAST(k.price AS VARCHAR) || '€:' || CAST(k.duration_h AS VARCHAR) || 'h)=> ('
   || k.dest_place_id || ':' || k.d_name || ':' || k.provider || ':' || CAST(k.d_city AS VARCHAR) || ')' AS line
-FROM kept k JOIN graphs g ON g.graph_id = k.graph_id WHERE k.o_city <> g.d_city
+FROM kept k WHERE k.o_city <> k.target
 """))
 def q_graph_report_lines(spark, sf_dir):
     """A4 text: one line per kept leg leaving a node other than the destination."""
@@ -556,7 +555,35 @@ def q_multi_leg_reachable(spark, sf_dir):
     return graph.prune_unreachable(legs, plan).select("graph_id", "leg_id")
 
 
+_REFUND = 40.0
+
+
+@register("multi_leg_top_routes")
+def q_multi_leg_top(spark, sf_dir):
+    """R4 + R6 + R7 best first: the five best routes of every cyclic graph."""
+    plan, legs = _order_graphs(spark, sf_dir)
+    return n_best_routes(legs, plan).select("graph_id", "rank", "route_id", "n_legs", "total_price", "total_time")
+
+
+@register("multi_leg_refund_routes")
+def q_multi_leg_refunds(spark, sf_dir):
+    """The same within ranges and with legs of negative price."""
+    plan, legs = _order_graphs(spark, sf_dir)
+    legs = legs.withColumn("price", F.col("price") - _REFUND)
+    plan = plan.withColumns({"p_lo": F.lit(-60.0), "p_hi": F.lit(50.0), "t_lo": F.lit(2.0), "t_hi": F.lit(None).cast("double")})
+    return n_best_routes(legs, plan).select("graph_id", "rank", "route_id", "n_legs", "total_price", "total_time")
+
+
+_BEST_OF = """
+SELECT graph_id, rank, route_id, n_legs, total_price, total_time FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY graph_id ORDER BY total_price, total_time DESC, route_id) AS INTEGER) AS rank
+  FROM walk WHERE last_q // 2 = d_city @RANGE@) WHERE rank <= 5"""
+
+
 register_sql({
+    "multi_leg_top_routes": _ORDER_ROUTES + _BEST_OF.replace("@RANGE@", ""),
+    "multi_leg_refund_routes": _ORDER_ROUTES.replace("* 0.125 AS price", f"* 0.125 - {_REFUND} AS price")
+    + _BEST_OF.replace("@RANGE@", "AND total_price BETWEEN -60 AND 50 AND total_time >= 2"),
     "multi_leg_routes": _ORDER_ROUTES + """
 SELECT graph_id, route_id, n_legs, total_price, total_time FROM walk WHERE last_q // 2 = d_city""",
     "multi_leg_routes_capped": _ORDER_ROUTES + """
