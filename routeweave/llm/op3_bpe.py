@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame
 
 from routeweave.llm import bpe
 
-MEMO_WORDS = 300_000        # memory bound of a worker's memo, not of the work
+MEMO_BYTES = 80 << 20       # memory bound of a worker's memo, not of the work
+ENTRY_BYTES = 400           # of an entry, besides some bytes for each of its word
 
 
 class Codec:
@@ -43,6 +44,7 @@ class Codec:
                  for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
         self.merges = bpe.Merges(*zip(*pairs, strict=True))
         self.memo: dict[str, tuple[str, bytes, bytes]] = {}
+        self.memo_bytes = 0
 
     def encode(self, text: str) -> list[int]:
         words = self.split(text)
@@ -54,12 +56,14 @@ class Codec:
     def learn(self, split: list[list[str]]) -> None:
         """Fill the memo with the words of some texts: (ids as text, the
         bytes that the ids decode to, ids as 32-bit integers)."""
-        if len(self.memo) > MEMO_WORDS:
+        if self.memo_bytes > MEMO_BYTES:
             self.memo.clear()
+            self.memo_bytes = 0
         fresh = list(set().union(*split).difference(self.memo))
         ids = bpe.encode_words(self.merges, self.first_id, [w.encode() for w in fresh])
         for w, x in zip(fresh, ids, strict=True):
             self.memo[w] = " ".join(map(str, x)), self.decode(x), array("i", x).tobytes()
+            self.memo_bytes += ENTRY_BYTES + 16 * len(w)
 
 
 _codecs: dict[int, Codec] = {}

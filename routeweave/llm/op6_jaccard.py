@@ -42,7 +42,7 @@ from routeweave.llm.tables import written
 from routeweave.llm.textbytes import mix64, pieces, shingles, word_hashes
 
 PART_BITS = 64
-FOLD = 16                   # bits of a folded sketch per allowed difference, at least
+FOLD = 4                    # bits of a folded sketch per allowed difference, at least
 BLOCK = 512                 # members of a bucket that are compared at once
 MET = 1 << 18               # sets that a task remembers, so that copies near each other give keys once
 

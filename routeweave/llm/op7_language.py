@@ -29,6 +29,7 @@ from routeweave.llm.textbytes import pieces
 
 ORDER = 3
 PAD = 0         # the symbol before a text's first byte
+PIECE = 1 << 18         # bytes of text that a worker scores at once, unless one text is longer
 
 
 def remainder(column, n: int):
@@ -125,7 +126,7 @@ def train(labelled: DataFrame, sample_docs: int = 400) -> Trees | None:
         for batch in batches:
             langs = np.array(batch.column(1).to_pylist(), dtype=object)
             for lang in sorted(set(langs)):
-                for _, _, values, offsets in pieces(batch.column(0).filter(pa.array(langs == lang))):
+                for _, _, values, offsets in pieces(batch.column(0).filter(pa.array(langs == lang)), PIECE):
                     code, n = np.unique(_gram_codes(values, offsets), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(code)), pa.array(code), pa.array(n)],
                                                      names=["lang", "code", "n"])
@@ -164,7 +165,7 @@ def predict(docs: DataFrame, trees: Trees | None, keep: tuple[str, ...] = ("doc_
         for batch in batches:
             n = batch.num_rows
             lang, score, rate = ["und"] * n, np.zeros(n), np.zeros(n)
-            for begin, end, values, offsets in pieces(batch.column(n_keep)) if model else ():
+            for begin, end, values, offsets in pieces(batch.column(n_keep), PIECE) if model else ():
                 bits = model.lengths(values, offsets)
                 best = bits.argmin(1)
                 least = bits[np.arange(end - begin), best]
