@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 
 from routeweave.llm import bpe
 
-MEMO_BYTES = 80 << 20       # memory bound of a worker's memo, not of the work
+MEMO_BYTES = 150 << 20      # memory bound of a worker's memo, not of the work
 ENTRY_BYTES = 400           # of an entry, besides some bytes for each of its word
 
 
