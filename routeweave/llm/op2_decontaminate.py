@@ -7,13 +7,20 @@ the larger counts of five-word shingles.  Words are runs of ASCII letters and
 digits (lower-cased) and non-ASCII characters.
 
 Such a window keeps a run of the item's words untouched, of a length that
-follows from the item's (``clean_run``).  Items are classed by that length;
-per class, documents are cut into strided windows short enough that one lies
-in any such run, and items into all their windows of that size.  Every window
-gets a 64-bit SimHash of its shingles.  Fingerprints are matched by
-multi-index Hamming blocks: four blocks of 16 bits, of which one must be
-equal in any two fingerprints within radius 3, so none within the radius is
-missed; candidates are then verified exactly around their alignment.
+follows from the item's and from how few words in a row stand in it once only
+(``clean_run``).  Items are classed by that; per class, documents are cut into
+strided windows short enough that one lies in any such run, and items into all
+their windows of that size.  Every window gets a 64-bit SimHash of its shingles.  Fingerprints are matched by multi-index
+Hamming blocks: four blocks of 16 bits, of which one must be equal in any two
+fingerprints within radius 3, so none within the radius is missed.
+
+Items in which three words in a row repeat are found by their shingles: a similar
+window holds ``least_shared`` of them, so it holds one of any set that is large
+enough to leave fewer (``watched``).
+
+Both give ranges of window starts; equal fingerprints and shingles that follow
+each other are matched once and their ranges merged.  Each range is verified
+exactly by one sliding count, in time that is linear in it.
 
 Benchmarks are searched for in parts of at most ``PART_BYTES`` of text, each
 broadcast with the tasks; documents are scanned in place, without a shuffle.
@@ -52,26 +59,38 @@ def allowed_difference(n_shingles: int) -> int:
     return int(2 * n_shingles * (1 - THRESHOLD) / (1 + THRESHOLD) + 1e-9)
 
 
-def clean_run(n_words: int) -> int:
-    """Words in a row that a similar window must share with an item: changes
-    near the ends cost a shingle a word, each cut further in at least
-    2 * (SHINGLE - 1), as where moved blocks meet, and makes two runs of one."""
+def clean_run(n_words: int, unique: int = 1) -> int:
+    """Words in a row that a similar window must share with an item in which
+    no ``unique`` words in a row stand twice: changes near the ends cost a
+    shingle a word.  Each cut further in makes two runs of one; where two runs
+    of the item meet in a window, they overlap in less than ``unique`` words,
+    so ``SHINGLE - unique`` shingles of the window and as many of the item are
+    in no run."""
     d = allowed_difference(n_words - SHINGLE + 1)
-    cost = 2 * (SHINGLE - 1)
+    cost = 2 * (SHINGLE - unique)
     return min((n_words - (d - cost * e) - e) // (e + 1) for e in range(d // cost + 1))
 
 
-def grid(n_words: int) -> tuple[int, int, int]:
+def grid(n_words: int, unique: int = 1) -> tuple[int, int, int]:
     """(shingle size, stride, strides per window) of an item's class."""
     if n_words < SHINGLE:
         return n_words, 1, 1
     run = SHINGLE
-    while (wider := max(run + 1, int(run * 1.4))) <= clean_run(n_words):
+    while (wider := max(run + 1, int(run * 1.4))) <= clean_run(n_words, unique):
         run = wider
     stride = max(1, run // 5)
     return SHINGLE, stride, max(1, (run - stride + 2 - SHINGLE) // stride)
 
 
+def unique_run(words: np.ndarray) -> int:
+    """The fewest words in a row of which none stand twice, up to 4."""
+    for r in range(1, 4):
+        grams = shingles(words, np.array([0, len(words)]), r)[0]
+        if len(np.unique(grams)) == len(grams):
+            return r
+    return 4
+
+
 def fingerprints(h: np.ndarray, stride: int, strides: int) -> np.ndarray:
     """SimHash of the windows of ``stride * strides`` shingles that begin at
     multiples of ``stride``."""
@@ -86,6 +105,11 @@ def fingerprints(h: np.ndarray, stride: int, strides: int) -> np.ndarray:
     return np.packbits(2 * total > stride * strides, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
+def least_shared(n_shingles: int) -> int:
+    """Shingles that any window of the least similarity shares with an item."""
+    return int(np.ceil(THRESHOLD * n_shingles - 1e-9))
+
+
 class HammingIndex:
     """All (query, entry) pairs of fingerprints within the radius."""
 
@@ -100,26 +124,49 @@ class HammingIndex:
     def _block(f: np.ndarray, b: int) -> np.ndarray:
         return (f >> _U(16 * b) & _U(0xFFFF)).astype(np.int64)
 
-    def search(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, queries: np.ndarray, at_once: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct pairs; blocks that are equal are compared in portions."""
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for b, (order, begin) in enumerate(self.blocks):
             part = self._block(queries, b)
             n = begin[part + 1] - begin[part]
             q = np.flatnonzero(n)
-            n = n[q]
-            at = np.repeat(begin[part[q]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            q, e = np.repeat(q, n), order[at]
-            near = np.bitwise_count(queries[q] ^ self.entries[e]) <= RADIUS
-            found.append((q[near], e[near]))
-        return tuple(np.concatenate([f[i] for f in found]) for i in (0, 1))
+            portion = np.cumsum(n[q]) // at_once
+            for mine in np.split(q, np.flatnonzero(np.diff(portion)) + 1) if len(q) else ():
+                m = n[mine]
+                at = np.repeat(begin[part[mine]] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+                i, e = np.repeat(mine, m), order[at]
+                near = np.bitwise_count(queries[i] ^ self.entries[e]) <= RADIUS
+                found.append((i[near], e[near]))
+        q, e = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+        key = np.unique(q * max(1, len(self.entries)) + e)
+        return key // max(1, len(self.entries)), key % max(1, len(self.entries))
+
+
+class Holders:
+    """The items that hold each of some hashes (``kinds``, distinct)."""
+
+    def __init__(self, hashes: np.ndarray, item: np.ndarray):
+        both = np.unique(np.stack([hashes, item.astype(np.uint64)], axis=1), axis=0)
+        self.kinds, at = np.unique(both[:, 0], return_index=True)
+        self.item, self.begin = both[:, 1].astype(np.int64), np.append(at, len(both))
+
+
+def _stretches(row: np.ndarray, at: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first, last) of places in a row, sorted, that are at most ``gap`` apart."""
+    new = np.ones(len(at), dtype=bool)
+    new[1:] = (row[1:] != row[:-1]) | (at[1:] - at[:-1] > gap)
+    i = np.flatnonzero(new)
+    return row[i], at[i], at[np.append(i[1:], len(at)) - 1] if len(i) else at[:0]
 
 
 class Items:
     """Items of one part of a benchmark, classed and indexed."""
 
     def __init__(self, ids: list, texts: pa.Array):
-        self.ids, self.shingles, self.n_words = ids, [], []
+        self.ids, self.kinds, self.n_words = ids, [], []
         classes: dict[tuple, list] = {}
+        watched = []
         row = 0
         for begin, end, values, offsets in pieces(texts):
             h, first = word_hashes(values, offsets, WORD)
@@ -127,67 +174,126 @@ class Items:
                 words = h[first[i]:first[i + 1]]
                 n = len(words)
                 own = shingles(words, np.array([0, n]), SHINGLE)[0]
-                self.shingles.append(own)
+                kinds, wanted = np.unique(own, return_counts=True)
+                self.kinds.append((kinds, wanted, len(own)))
                 self.n_words.append(n)
-                if n:
-                    size, stride, strides = grid(n)
-                    f = [fingerprints(own[k:k + stride * strides], stride, strides) for k in range(len(own) - stride * strides + 1)]
-                    classes.setdefault((size, stride, strides), []).append((row, np.concatenate(f)))
+                unique = unique_run(words)
+                if n >= SHINGLE and unique > 3:
+                    # enough of the shingles that stand in it least often, so that none similar is without
+                    order = np.argsort(wanted, kind="stable")
+                    enough = np.searchsorted(np.cumsum(wanted[order]), len(own) - least_shared(len(own)) + 1) + 1
+                    watched.append((kinds[order[:enough]], np.full(min(enough, len(kinds)), row)))
+                elif n:
+                    size, stride, strides = grid(n, unique)
+                    f = np.concatenate([fingerprints(own[k:k + stride * strides], stride, strides) for k in range(len(own) - stride * strides + 1)])
+                    classes.setdefault((size, stride, strides), []).append((f, np.full(len(f), row)))
                 row += 1
         self.classes = {}
         for key, found in classes.items():
-            item = np.concatenate([np.full(len(f), i) for i, f in found])
-            offset = np.concatenate([np.arange(len(f)) for _, f in found])
-            self.classes[key] = item, offset, HammingIndex(np.concatenate([f for _, f in found]))
+            holders = Holders(*map(np.concatenate, zip(*found, strict=True)))
+            self.classes[key] = holders, HammingIndex(holders.kinds)
+        self.watched = Holders(*map(np.concatenate, zip(*watched, strict=True))) if watched else None
+        self.sizes = np.array([k[2] for k in self.kinds])
 
     def find(self, values: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, float, int, int]]:
         """(row, item, similarity, first word, words) of the best window of
         every row and item that reach the threshold."""
         h, first = word_hashes(values, offsets, WORD)
         made: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        near: set[tuple[int, int, int]] = set()
-        for (size, stride, strides), (item, offset, index) in self.classes.items():
+        spans: list[np.ndarray] = []
+
+        def starts(row, at, holders, kind, width):
+            """Ranges of starts of the windows that hold one of the places,
+            ``width`` shingles wide, of one kind of hash."""
+            item = holders.item[holders.begin[kind]:holders.begin[kind + 1]]
+            row, low, high = _stretches(row, at, width)
+            spans.append(np.stack([np.repeat(row, len(item)), np.tile(item, len(row)),
+                                   (low[:, None] + width - self.sizes[item]).ravel(), np.repeat(high, len(item))], axis=1))
+
+        def shingled(size):
             if size not in made:
                 made[size] = shingles(h, first, size)
-            s, begin = made[size]
-            f = fingerprints(s, stride, strides)
-            q, e = index.search(f)
-            at = q * stride
+            return made[size]
+
+        for (size, stride, strides), (holders, index) in self.classes.items():
+            s, begin = shingled(size)
+            kinds, which = np.unique(fingerprints(s, stride, strides), return_inverse=True)
+            q, e = index.search(kinds)
+            if not len(q):
+                continue
+            found = np.flatnonzero(np.isin(which, q))
+            at = found * stride
             row = np.searchsorted(begin, at, side="right") - 1
             inside = at + stride * strides <= begin[row + 1]
-            row, e, at = row[inside], e[inside], at[inside]
-            start = at - begin[row] - offset[e]
-            near.update(zip(row.tolist(), item[e].tolist(), start.tolist(), strict=True))
-        best: dict[tuple[int, int], tuple[float, int, int]] = {}
-        for row, item, start in sorted(near):
-            size = min(SHINGLE, self.n_words[item])
-            s, begin = made[size]
-            got = self._verify(s[begin[row]:begin[row + 1]], item, start, first[row + 1] - first[row])
-            if got and ((row, item) not in best or (-got[0], got[1]) < (-best[row, item][0], best[row, item][1])):
-                best[row, item] = got
-        return [(*key, *value) for key, value in best.items()]
-
-    def _verify(self, s: np.ndarray, item: int, start: int, n_words: int):
-        """Best window of the item's size near an alignment."""
-        own = self.shingles[item]
-        a = len(own)
-        d = allowed_difference(a)
-        kinds, wanted = np.unique(own, return_counts=True)
-        lo, hi = max(0, start - d), max(0, min(start + d, len(s) - a))
-        lo = min(lo, hi)
-        part = s[lo:hi + a]
-        at = np.searchsorted(kinds, part)
-        at[at == len(kinds)] = 0
-        kind = np.where(kinds[at] == part, at, -1)
+            kind, row, at = which[found][inside], row[inside], at[inside]
+            order = np.argsort(kind, kind="stable")
+            kind, row, at = kind[order], row[order], (at - begin[row])[order]
+            low, high = np.searchsorted(kind, q), np.searchsorted(kind, q, side="right")
+            for i in np.flatnonzero(high > low).tolist():
+                starts(row[low[i]:high[i]], at[low[i]:high[i]], holders, e[i], stride * strides)
+        if self.watched is not None:
+            s, begin = shingled(SHINGLE)
+            at = np.searchsorted(self.watched.kinds, s)
+            at[at == len(self.watched.kinds)] = 0
+            found = np.flatnonzero(self.watched.kinds[at] == s) if len(self.watched.kinds) else np.zeros(0, np.int64)
+            found = found[np.argsort(at[found], kind="stable")]
+            row = np.searchsorted(begin, found, side="right") - 1
+            kind = at[found]
+            edge = np.flatnonzero(np.append(True, kind[1:] != kind[:-1])[:len(kind)])
+            for i, j in zip(edge, np.append(edge[1:], len(kind))[:len(edge)], strict=True):
+                starts(row[i:j], (found - begin[row])[i:j], self.watched, kind[i], 1)
+        out = []
+        if not spans:
+            return out
+        all_ = np.concatenate(spans)
+        all_ = all_[np.lexsort((all_[:, 2], all_[:, 1], all_[:, 0]))]
+        edge = np.flatnonzero(np.append(True, (all_[1:, :2] != all_[:-1, :2]).any(1)))
+        for i, j in zip(edge.tolist(), np.append(edge[1:], len(all_)).tolist(), strict=True):
+            row, item = all_[i, :2].tolist()
+            s, begin = shingled(min(SHINGLE, self.n_words[item]))
+            got = self._best(s[begin[row]:begin[row + 1]], item, all_[i:j, 2:], int(first[row + 1] - first[row]))
+            if got:
+                out.append((row, item, *got))
+        return out
+
+    def _best(self, s: np.ndarray, item: int, ranges: np.ndarray, n_words: int):
+        """Best window of the item's size that starts in the ranges."""
+        a = self.kinds[item][2]
+        last = max(0, len(s) - a)
+        low = np.minimum(np.maximum(ranges[:, 0], 0), last)
+        high = np.maximum(np.minimum(np.maximum.accumulate(ranges[:, 1]), last), low)
+        edge = np.flatnonzero(np.append(True, low[1:] > high[:-1] + 1))
         best = None
-        for k in range(hi - lo + 1):
-            inside = kind[k:k + a]
-            both = int(np.minimum(np.bincount(inside[inside >= 0], minlength=len(kinds)), wanted).sum())
-            similarity = both / (a + len(inside) - both)
-            if similarity >= THRESHOLD and (best is None or similarity > best[0]):
-                best = similarity, lo + k, min(self.n_words[item], int(n_words) - lo - k)
+        for i, j in zip(edge, np.append(edge[1:], len(low)), strict=True):
+            lo, hi = int(low[i]), int(high[i:j].max())
+            similarity = self._similarities(s[lo:hi + a], item, hi - lo + 1)
+            k = int(similarity.argmax())
+            if similarity[k] >= THRESHOLD and (best is None or similarity[k] > best[0]):
+                best = float(similarity[k]), lo + k, min(self.n_words[item], n_words - lo - k)
         return best
 
+    def _similarities(self, part: np.ndarray, item: int, n: int) -> np.ndarray:
+        """Similarity of the windows that start at the first ``n`` places.
+
+        An occurrence counts in all windows that hold it and fewer earlier
+        ones of its kind than the item has: one interval of starts."""
+        kinds, wanted, a = self.kinds[item]
+        at = np.searchsorted(kinds, part)
+        at[at == len(kinds)] = 0
+        place = np.flatnonzero(kinds[at] == part)
+        kind = at[place]
+        order = np.argsort(kind, kind="stable")
+        kind, place = kind[order], place[order]
+        earlier = np.arange(len(kind)) - wanted[kind]       # the occurrence that crowds this one out
+        known = (earlier >= 0) & (kind[np.maximum(earlier, 0)] == kind)
+        begin = np.maximum(place - a + 1, np.where(known, place[np.maximum(earlier, 0)] + 1, 0))
+        begin = np.maximum(begin, 0)
+        end = np.minimum(place, n - 1) + 1
+        real = begin < end
+        both = np.cumsum(np.bincount(begin[real], minlength=n + 1)[:n] - np.bincount(end[real], minlength=n + 1)[:n])
+        size = min(a, len(part))
+        return both / (a + size - both)
+
 
 def _parts(benchmark: DataFrame):
     """The distinct items in parts of bounded size."""

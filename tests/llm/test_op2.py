@@ -4,7 +4,10 @@ from collections import Counter
 
 import numpy as np
 
-from routeweave.llm.op2_decontaminate import RADIUS, HammingIndex, drop_leaks, find_leaks
+import pyarrow as pa
+
+from routeweave.llm.op2_decontaminate import RADIUS, HammingIndex, Items, drop_leaks, find_leaks
+from routeweave.llm.textbytes import as_bytes
 
 
 def words(text):
@@ -98,3 +101,37 @@ def test_empty_tables(spark, docs):
     assert drop_leaks(docs([(1, "a b c")]), none).count() == 1
     one = spark.createDataFrame([(1, "a b")], "item_id bigint, text string")
     assert find_leaks(docs([]), one).collect() == []
+
+
+def hits(items, texts):
+    rows = Items([i for i, _ in items], pa.array([x for _, x in items])).find(*as_bytes(pa.array(texts)))
+    return sorted((str(row), items[item][0], round(sim, 9), start) for row, item, sim, start, _ in rows)
+
+
+def test_repeated_phrases_in_any_order():
+    """Items of one phrase many times, and texts with its parts in another order."""
+    rng = random.Random(6)
+    for _ in range(60):
+        phrase = [f"p{i}" for i in range(rng.choice([2, 3, 4, 5]))]
+        single = [f"s{i}" for i in range(rng.choice([3, 12, 24]))]
+        parts = [[w] for w in single]
+        item = [w for p in parts for w in phrase + p] + phrase
+        texts = []
+        for _ in range(4):
+            rng.shuffle(parts)
+            w = [f"x{rng.randrange(9)}" for _ in range(rng.randrange(8))] + [w for p in parts for w in phrase + p] + phrase
+            for _ in range(rng.choice([0, 0, 1, 3])):
+                w[rng.randrange(len(w))] = "new"
+            texts.append(" ".join(w + ["end"] * rng.randrange(8)))
+        items = [(7, " ".join(item)), (8, "p0 p1 " * 20), (9, " ".join(single))]
+        assert hits(items, texts) == brute(list(enumerate(texts)), items)
+
+
+def test_repetitive_text_takes_linear_time():
+    import time
+    items = [(i, f"start{i} " + "x " * 60 + f"end{i}") for i in range(400)]
+    began = time.time()
+    text = "x " * 100_000
+    found = hits(items, [text, "y " * 1000])
+    assert time.time() - began < 20
+    assert len(found) == 400 and found[0] == brute([(0, "x " * 200)], items[:1])[0]
