@@ -1,13 +1,18 @@
 """Quality rules with adaptive thresholds, on DataFrame functions only.
 
 Every text's measures are computed inside its row.  Per language and source,
-mergeable quantile sketches (KLL) of four rates are aggregated; a group's
-quantiles are mixed with those of its language's merged sketch, with weights
-n and ``SMALL_GROUP`` for a group of n documents.  A document fails a rule if its rate
-lies above the group's median by more than ``FENCE`` interquartile ranges and
-by more than the rule's margin (which only keeps groups without any spread
-from rejecting ordinary documents).  The thresholds are joined back by
-language and source.
+mergeable quantile sketches of four rates are aggregated: counts of values in
+bins of a fixed relative width (``BIN``), so a sketch is a sum, the same in
+every run and order, and its quantiles are true to that width.  A group's
+quantiles are mixed with those of its language's merged sketch, with weights n
+and ``SMALL_GROUP`` for a group of n documents.
+
+A document fails a rule if its rate lies above its group's median by more than
+``FENCE`` standard deviations.  Their square is the group's spread (from the
+interquartile range) and the noise of counting in this document: its number of
+words or lines is finite, and one event changes as many of them as ``UNITS``
+says.  There are no other thresholds; they are joined back by language and
+source.
 
 Results for special inputs: a null or empty text has 0 words and fails;
 null languages and sources are groups of their own; repeated rows give
@@ -17,7 +22,10 @@ ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from routeweave.llm.native import let, split_words
@@ -25,11 +33,15 @@ from routeweave.llm.tables import written
 
 SPACES = r"\x20\x09-\x0D"
 SYMBOLS = "#*$%&|<>"
-FENCE = 6.0
+FENCE = 8.0
 SMALL_GROUP = 200       # documents that the language's quantiles count for
-#: Rates and margins: symbols a word, share of repeated lines, share of words
-#: in repeated windows, code points a word.
-MARGINS = {"symbol_rate": 0.3, "dup_line_rate": 0.3, "repeat_rate": 0.25, "word_length": 6.0}
+BIN = 1.02              # a bin's upper end over its lower one
+ZERO = -(1 << 20)       # the bin of 0, below all others
+QUARTILE = 1.349        # interquartile range of a normal distribution, in standard deviations
+#: Rates, what they count in, and how many of it one event changes: symbols a
+#: word, share of repeated lines, share of words in repeated windows (twice
+#: three words at once), code points a word (words vary by some).
+UNITS = {"symbol_rate": ("n_words", 1), "dup_line_rate": ("n_lines", 1), "repeat_rate": ("n_words", 6), "word_length": ("n_words", 3)}
 
 
 def _covered(hashes: Column) -> Column:
@@ -81,35 +93,58 @@ def _rates(m: DataFrame) -> DataFrame:
                           "repeat_rate": share("n_repeat_words", "n_words"), "word_length": share("word_chars", "n_words")})
 
 
-def thresholds(rates: DataFrame) -> DataFrame:
-    """One row per language and source with a threshold for each rate; empty
-    documents take no part."""
-    groups = rates.filter("n_words > 0").groupBy("lang", "source").agg(
-        F.count("*").alias("n"), *[F.kll_sketch_agg_double(c).alias(c) for c in MARGINS])
-    langs = groups.groupBy(F.col("lang").alias("lang_of")).agg(*[F.kll_merge_agg_double(c).alias(f"all_{c}") for c in MARGINS])
-    both = groups.join(langs, F.col("lang").eqNullSafe(F.col("lang_of")))
+def sketches(rates: DataFrame) -> DataFrame:
+    """lang, source, rate, bin, n: how many documents of a group have a rate in
+    a bin.  Empty documents take no part."""
+    def bin_of(c):
+        return F.when(F.col(c) > 0, F.ceil(F.log(F.col(c)) / math.log(BIN)).cast("int")).otherwise(F.lit(ZERO))
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("rate"), bin_of(c).alias("bin")) for c in UNITS]))
+    return (rates.filter("n_words > 0").select("lang", "source", each.alias("x")).groupBy("lang", "source", "x.rate", "x.bin")
+            .agg(F.count("*").alias("n")))
+
 
-    def limit(c):
-        own = F.col("n") / (F.col("n") + SMALL_GROUP)
-        q1, q2, q3 = (own * F.kll_sketch_get_quantile_double(F.col(c), F.lit(q))
-                      + (1 - own) * F.kll_sketch_get_quantile_double(F.col(f"all_{c}"), F.lit(q)) for q in (0.25, 0.5, 0.75))
-        return (q2 + F.greatest(F.lit(MARGINS[c]), FENCE * (q3 - q1))).alias(f"max_{c}")
-    return both.select("lang", "source", *[limit(c) for c in MARGINS])
+def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """Number of documents and quartiles (q1, q2, q3) of every group and rate;
+    sketches of groups with equal ``keys`` are merged."""
+    merged = sketch.groupBy(*keys, "rate", "bin").agg(F.sum("n").alias("n"))
+    group = W.partitionBy(*keys, "rate")
+    at = merged.withColumn("upto", F.sum("n").over(group.orderBy("bin"))).withColumn("all", F.sum("n").over(group))
+    value = F.when(F.col("bin") == ZERO, F.lit(0.0)).otherwise(F.pow(F.lit(BIN), F.col("bin")) * (2 / (1 + BIN)))
+    return at.withColumn("value", value).groupBy(*keys, "rate").agg(
+        F.max("all").alias("n"), *[F.min(F.when(4 * F.col("upto") >= q * F.col("all"), F.col("value"))).alias(f"q{q}") for q in (1, 2, 3)])
+
+
+def thresholds(rates: DataFrame) -> DataFrame:
+    """One row per language and source: middle and spread of each rate."""
+    sketch = written(sketches(rates), "quality-sketches")
+    own = quartiles(sketch, ["lang", "source"])
+    whole = quartiles(sketch, ["lang"]).select(F.col("lang").alias("lang_of"), F.col("rate").alias("rate_of"), *[F.col(f"q{q}").alias(f"all{q}") for q in (1, 2, 3)])
+    both = own.join(whole, F.col("lang").eqNullSafe(F.col("lang_of")) & (F.col("rate") == F.col("rate_of")))
+    part = F.col("n") / (F.col("n") + SMALL_GROUP)
+    mixed = both.select("lang", "source", "rate", *[(part * F.col(f"q{q}") + (1 - part) * F.col(f"all{q}")).alias(f"m{q}") for q in (1, 2, 3)])
+    one = lambda c, x: F.max(F.when(F.col("rate") == c, x))
+    return mixed.groupBy("lang", "source").agg(
+        *[one(c, F.col("m2")).alias(f"middle_{c}") for c in UNITS],
+        *[one(c, (F.col("m3") - F.col("m1")) / QUARTILE).alias(f"spread_{c}") for c in UNITS])
+
+
+def _over(c: str) -> Column:
+    """Whether a document's rate is above what its group's allows."""
+    counted, unit = UNITS[c]
+    n, middle = F.greatest(F.col(counted), F.lit(1)), F.col(f"middle_{c}")
+    noise = unit * (middle + unit / n) / n
+    return F.coalesce(F.col(c) - middle > FENCE * F.sqrt(F.pow(F.col(f"spread_{c}"), 2) + noise), F.lit(False))
 
 
 def quality(docs: DataFrame) -> DataFrame:
     """Measures, base verdict and verdict of every row.  Measures are written
-    once, so texts are read once; so are the thresholds, as sketches built
-    twice need not agree."""
+    once, so texts are read once."""
     m = written(measures(docs), "quality-measures")
     rates = _rates(m)
-    limits = written(thresholds(rates), "quality-thresholds").select(
-        F.col("lang").alias("lang_of"), F.col("source").alias("source_of"), *[f"max_{c}" for c in MARGINS])
+    limits = thresholds(rates).withColumnsRenamed({"lang": "lang_of", "source": "source_of"})
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    over = [F.coalesce(F.col(c) > F.col(f"max_{c}"), F.lit(False)) for c in MARGINS]
-    any_over = over[0] | over[1] | over[2] | over[3]
-    failed = F.array_join(F.array_compact(F.array(*[F.when(o, F.lit(c)) for o, c in zip(over, MARGINS, strict=True)])), ",")
+    failed = F.array_join(F.array_compact(F.array(*[F.when(_over(c), F.lit(c)) for c in UNITS])), ",")
     same = F.col("lang").eqNullSafe(F.col("lang_of")) & F.col("source").eqNullSafe(F.col("source_of"))
     return rates.join(limits, same, "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        base_failed.alias("base_failed"), (~base_failed & ~any_over).alias("kept"), failed.alias("failed_rules"))
+        base_failed.alias("base_failed"), (~base_failed & (failed == "")).alias("kept"), failed.alias("failed_rules"))

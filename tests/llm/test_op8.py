@@ -51,14 +51,37 @@ def test_thresholds_follow_the_group(spark, monkeypatch, small):
     assert got[200].failed_rules == "symbol_rate"
 
 
+SCHEMA_OF_RATES = "lang string, source string, n_words bigint, symbol_rate double, dup_line_rate double, repeat_rate double, word_length double"
+
+
 def test_thresholds_change_little_by_one_document(spark):
-    schema = "lang string, source string, n_words bigint, " + ", ".join(f"{c} double" for c in op8_quality.MARGINS)
     limits = []
     for n in (199, 200, 201):
         rows = [("en", "hot", 80, *[0.0] * 4)] * 900 + [("en", "own", 80, *[1.0] * 4)] * n
-        found = op8_quality.thresholds(spark.createDataFrame(rows, schema)).filter("source = 'own'").collect()
-        limits.append(found[0].max_symbol_rate)
-    assert max(limits) - min(limits) < 0.01
+        found = op8_quality.thresholds(spark.createDataFrame(rows, SCHEMA_OF_RATES)).filter("source = 'own'").collect()
+        limits.append(found[0].middle_symbol_rate)
+    assert max(limits) - min(limits) < 0.01 and 0.4 < limits[1] < 0.6
+
+
+def test_quartiles_are_true_to_the_width_of_a_bin(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice(["en", None]), rng.choice(["a", "b", None]), 80, *[rng.choice([0.0, rng.random() ** 3 * 50]) for _ in range(4)]) for _ in range(3000)]
+    found = op8_quality.quartiles(op8_quality.sketches(spark.createDataFrame(rows, SCHEMA_OF_RATES).repartition(7)), ["lang", "source"]).collect()
+    assert len(found) == 2 * 3 * 4
+    for r in found:
+        k = 3 + list(op8_quality.UNITS).index(r.rate)
+        x = sorted(row[k] for row in rows if row[:2] == (r.lang, r.source))
+        assert r.n == len(x)
+        for q in (1, 2, 3):
+            true = x[-(-q * len(x) // 4) - 1]
+            assert abs(r[f"q{q}"] - true) <= 0.0101 * true
+
+
+def test_verdicts_repeat(spark):
+    rows = [(i, t, "en", "s", "") for i, t in enumerate(texts())]
+    df = spark.createDataFrame(rows, SCHEMA)
+    first = sorted(map(str, quality(df).collect()))
+    assert all(sorted(map(str, quality(df.repartition(n)).collect())) == first for n in (1, 6))
 
 
 def test_plan_is_native(spark):
