@@ -46,7 +46,7 @@ from routeweave.llm.bloom import SLICES, bloom_filter, may_contain
 from routeweave.llm.tables import batch_rows, from_planes, planes, written
 from routeweave.llm.textbytes import LOWER, byte_set, mix64, pieces, words
 
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 3 << 20
 SHARDS_A_BATCH = 2      # in one Arrow batch
 FILTER_BITS = 16
 FILTER_BYTES = 32 << 20
@@ -81,10 +81,12 @@ class BiIndex:
         the suffix that begins with it)."""
         rank, k = self.s.astype(np.int64), 1
         while k < self.depth - 1:        # suffixes told apart by twice as many symbols
-            behind = np.concatenate([rank[k:], np.zeros(k, np.int64)])
-            rank = np.unique(rank * (rank.max() + 1) + behind, return_inverse=True)[1]
+            if k > 1:
+                rank = np.unique(rank, return_inverse=True)[1]
+            rank = rank * (rank.max() + 1) + np.concatenate([rank[k:], np.zeros(k, np.int64)])
             k *= 2
         symbol = self.s[np.argsort(rank, kind="stable") - 1]
+        del rank
         step = np.empty(len(symbol), np.int64)
         step[np.argsort(symbol, kind="stable")] = np.arange(len(symbol))
         return symbol, step
