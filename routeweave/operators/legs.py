@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from routeweave.functions.codec import STATUS_OK
 from routeweave.operators.geo import PAIR_KEY
+from routeweave.plans.sizing import materialize
 
 
 def city_places(cities: DataFrame, places: DataFrame) -> DataFrame:
@@ -81,9 +82,18 @@ def place_pairs(pairs: DataFrame, ctrips: DataFrame) -> DataFrame:
     return t.join(p, ["from_city", "to_city"], "left_semi").distinct()
 
 
+def shared_legs(pairs: DataFrame, ctrips: DataFrame) -> DataFrame:
+    """T2 + U4 before any graph: the distinct trips between the city pairs and
+    on the days that some graph searches, one row a leg, written once.  The
+    trips are cut to these pairs first (few, as bounded by cities and days),
+    so only what is searched is told apart."""
+    need = pairs.select(F.col("from_city").alias("o_city"), F.col("to_city").alias("d_city"), "departure_date").distinct()
+    return materialize(distinct_legs(ctrips.join(need, ["o_city", "d_city", "departure_date"], "left_semi")))
+
+
 def graph_legs(pairs: DataFrame, ctrips: DataFrame) -> DataFrame:
-    """T2 + U4: the legs of each graph, i.e. the distinct trips on its day
-    between the places of each of its city pairs."""
-    t = distinct_legs(ctrips).withColumnRenamed("o_city", "from_city").withColumnRenamed("d_city", "to_city")
+    """T2 + U4: the legs of each graph, i.e. the shared legs between the
+    places of each of its city pairs on its day."""
+    t = shared_legs(pairs, ctrips).withColumnRenamed("o_city", "from_city").withColumnRenamed("d_city", "to_city")
     return (pairs.join(t, ["from_city", "to_city", "departure_date"])
             .withColumnRenamed("from_city", "o_city").withColumnRenamed("to_city", "d_city"))

@@ -68,7 +68,7 @@ def q_stored_catalogue(spark, sf_dir):
 
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/routeweave-catalogue/{uuid.uuid4().hex}"
     store.write_catalogue(fixtures.catalogue(spark, sf_dir), path)
-    cities = store.read_cities(spark, f"{path}/cities").select("city_id", "city_name")
+    cities = store.read_catalogue(spark, path).cities.select("city_id", "city_name")
     return (store.read_city_trips(spark, path)
             .join(cities.toDF("o_city", "from_city"), "o_city").join(cities.toDF("d_city", "to_city"), "d_city")
             .select("leg_id", "from_city", "to_city", "departure_date", "price"))
@@ -665,3 +665,74 @@ def q_stream_responses(spark, sf_dir):
                   trigger={"availableNow": True})
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out").select("request_id", "key", "value")
+
+
+# --- clients and documents as streams (C1, S5-S8, U4) -------------------------------------
+
+@register("client_replies", _RESPONSES + """
+SELECT m.request_id, m.user_id, CASE WHEN r.request_id IS NULL THEN 'UNANSWERED' ELSE 'ANSWERED' END AS fate, r.value AS reply,
+       CAST(r.request_id % 90 AS DOUBLE) AS waited_s
+FROM requests m LEFT JOIN responses r ON r.request_id = m.request_id AND r.request_id % 90 <= 60 AND r.request_id % 7 <> 3
+""")
+def q_client_replies(spark, sf_dir):
+    """C1 over all users: requests and replies as streams, joined with the
+    60 s bound.  Replies take up to 89 s and every seventh is lost; a message
+    of a later day on both topics ends the waiting."""
+    from routeweave.streaming.client import follow_all
+
+    sent_at = (F.timestamp_seconds(F.lit(1_704_067_200) + F.col("request_id") * 2)).alias("sent_at")
+    late = F.timestamp_seconds(F.lit(4_000_000_000))
+    replies = _search(spark, sf_dir).responses
+    requests = codec.encode_requests(fixtures.requests(spark, sf_dir)).select("request_id", "key", sent_at)
+    delay = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("request_id") * 2 + F.col("request_id") % 90)
+    replies = replies.filter(F.col("request_id") % 7 != 3).select("request_id", "key", "value", delay.alias("replied_at"))
+    end = spark.range(1).select(F.lit(-1).cast("long").alias("request_id"), F.lit("end").alias("key"))
+    base = _scratch(spark, "clients")
+    requests.repartition(3, "request_id").write.parquet(f"{base}/requests")
+    replies.repartition(3, "request_id").write.parquet(f"{base}/replies")
+    # the last message is no request, but its time is seen before it is dropped
+    end.select("request_id", F.lit("input-end").alias("key"), late.alias("sent_at")).write.mode("append").parquet(f"{base}/requests")
+    end.select("request_id", "key", F.lit("").alias("value"), late.alias("replied_at")).write.mode("append").parquet(f"{base}/replies")
+    stream = lambda name, schema: spark.readStream.schema(schema).parquet(f"{base}/{name}")
+    found = follow_all(stream("requests", "request_id BIGINT, key STRING, sent_at TIMESTAMP"),
+                       stream("replies", "request_id BIGINT, key STRING, value STRING, replied_at TIMESTAMP"))
+    q = (found.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt")
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return (spark.read.schema(found.schema).parquet(f"{base}/out").filter("request_id >= 0")
+            .select("request_id", "user_id", "fate", "reply", "waited_s"))
+
+
+@register("payload_stream_trips", f"SELECT DISTINCT {_LEG_COLUMNS} FROM ctrips", trip=_PAYLOAD_TRIP.replace("DISTINCT ", ""))
+def q_payload_stream(spark, sf_dir):
+    """S5-S8 as a stream: documents arrive twice in several files, legs are
+    appended once, and the stream is started anew half-way."""
+    from routeweave.streaming import ingest
+
+    ctrips = city_trips(*(lambda c: (c.trips, c.places))(fixtures.catalogue(spark, sf_dir)))
+    base = _scratch(spark, "documents")
+    at = F.timestamp_seconds(F.lit(1_704_067_200) + F.pmod(F.xxhash64("value"), F.lit(3600))).alias("fetched_at")
+    columns = ["value", "o_city", "d_city", "departure_date", at]
+    for name, docs in (("quotes", payloads.flight_quote_documents(ctrips)), ("journeys", payloads.bus_journey_documents(ctrips))):
+        docs.select(*columns).repartition(2).write.parquet(f"{base}/{name}/part=1")
+
+    def run():
+        read = lambda name: ingest.read_documents(spark, f"{base}/{name}", recursiveFileLookup="true", maxFilesPerTrigger="2")
+        legs = ingest.fresh_legs(read("quotes"), read("journeys"))
+        ingest.append_legs(legs, f"{base}/legs", f"{base}/ckpt", {"availableNow": True}).awaitTermination()
+        return legs.schema
+
+    run()
+    for name in ("quotes", "journeys"):         # the same documents once more
+        again = spark.read.schema(ingest.DOCUMENT_SCHEMA).parquet(f"{base}/{name}/part=1")
+        again.write.parquet(f"{base}/{name}/part=2")
+    schema = run()
+    return ingest.read_legs(spark, f"{base}/legs", schema).drop("fetched_at").select(*_LEG_COLUMNS.replace("\n", " ").replace(" ", "").split(","))
+
+
+def _scratch(spark, name: str) -> str:
+    """A new folder of a query's own in the shared folder."""
+    import uuid
+
+    from routeweave.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/routeweave-{name}/{uuid.uuid4().hex}"
