@@ -209,6 +209,23 @@ def family_routes(families: DataFrame, legs: DataFrame, best: int | None = None)
     return direct.unionByName(two)
 
 
+def graph_routes(graphs: DataFrame, ctrips: DataFrame) -> DataFrame:
+    """R4 + R5 + A3 + U6 on the graphs of U3: ``graph_id, route_id, n_legs,
+    total_price, total_time``.
+
+    In these graphs a route goes directly or over one stop city, so it belongs
+    to a family, which many graphs share.  Each leg is read once, each family's
+    routes are built once, as ids and totals, and graphs take the routes of
+    their families.  (``enumerate_routes`` is for graphs of any other form.)"""
+    vias = F.concat(F.array(F.lit(DIRECT)), F.col("vias").cast("array<int>"))
+    of = graphs.select("graph_id", "o_city", "d_city", "departure_date", F.explode(vias).alias("via"))
+    families = materialize(of.select(*FAMILY).distinct())
+    routes = family_routes(families, family_legs(families, ctrips))
+    return of.join(routes, FAMILY).select(
+        "graph_id", "route_id", F.when(F.col("b_id").isNull(), F.lit(1)).otherwise(F.lit(2)).alias("n_legs"), "total_price",
+        F.col("total_time").cast("double").alias("total_time"))
+
+
 def price_cell(price: Column) -> Column:
     return F.floor(price / PRICE_CELL).cast("double")
 
@@ -220,8 +237,9 @@ def shared_top_routes(segments: DataFrame, ctrips: DataFrame, n: int = TOP_N, co
     1. Families searched without ranges keep their ``n`` best routes.
     2. Families with ranges are cut into cells (travel time, price step of
        ``PRICE_CELL``), each with its ``n`` best routes.  A range takes the
-       cells that lie inside it whole; only the one or two price steps that
-       its bounds cut are looked up route by route.
+       cells above its lower price bound; its upper bound only ends their
+       order, and only the price step that the lower bound cuts is looked up
+       route by route.
     3. A request unions the answers of its families and keeps the ``n``
        best; itineraries are built for these from their leg ids.
     Exact: the best ``n`` of a union are among the best ``n`` of each part,
@@ -240,15 +258,13 @@ def shared_top_routes(segments: DataFrame, ctrips: DataFrame, n: int = TOP_N, co
     whole = top_routes(family_routes(open_keys.select(*FAMILY), legs, best=n), n, FAMILY).drop("rank")
     answers = open_keys.join(whole, FAMILY)
 
-    routes = family_routes(ranged.select(*FAMILY).distinct(), legs).withColumn("cell", price_cell(F.col("total_price")))
+    # read by the cells and by the edges: written once, as ids and totals
+    routes = materialize(family_routes(ranged.select(*FAMILY).distinct(), legs).withColumn("cell", price_cell(F.col("total_price"))))
     cells = top_routes(routes, n, [*FAMILY, "total_time", "cell"]).drop("rank")
     inside = (ranged.join(cells, FAMILY)
-              .filter(F.col("total_time").between(F.col("t_lo"), F.col("t_hi"))
-                      & ((F.col("p_lo") == OPEN[0]) | (F.col("cell") > price_cell(F.col("p_lo"))))
-                      & ((F.col("p_hi") == OPEN[1]) | (F.col("cell") < price_cell(F.col("p_hi"))))))
-    cut = F.array_distinct(F.array_compact(F.array(
-        F.when(F.col("p_lo") != OPEN[0], price_cell(F.col("p_lo"))), F.when(F.col("p_hi") != OPEN[1], price_cell(F.col("p_hi"))))))
-    edges = (ranged.withColumn("cell", F.explode(cut)).join(routes, [*FAMILY, "cell"])
+              .filter(F.col("total_time").between(F.col("t_lo"), F.col("t_hi")) & (F.col("total_price") <= F.col("p_hi"))
+                      & ((F.col("p_lo") == OPEN[0]) | (F.col("cell") > price_cell(F.col("p_lo"))))))
+    edges = (ranged.filter(F.col("p_lo") != OPEN[0]).withColumn("cell", price_cell(F.col("p_lo"))).join(routes, [*FAMILY, "cell"])
              .filter(F.col("total_price").between(F.col("p_lo"), F.col("p_hi"))
                      & F.col("total_time").between(F.col("t_lo"), F.col("t_hi"))))
     found = top_routes(inside.unionByName(edges), n, [*FAMILY, *BOUNDS]).drop("rank", "cell")

@@ -11,7 +11,7 @@ from routeweave.operators import graph
 from routeweave.operators.legs import (city_trips, distinct_graphs, graph_legs, leg_city_pairs, place_pairs,
                                        request_graphs)
 from routeweave.operators.best_routes import n_best_routes
-from routeweave.operators.routes import enumerate_routes
+from routeweave.operators.routes import enumerate_routes, graph_routes
 from routeweave.plans.registry import _search, register, register_sql
 from routeweave.plans.search import SearchParams, plan_requests, plan_requests_full, search, top_route_rows
 from routeweave.plans.sizing import materialize
@@ -375,9 +375,9 @@ def q_request_legs(spark, sf_dir):
 
 @register("route_candidates", "SELECT graph_id, route_id, n_legs, total_price, total_time FROM routes")
 def q_route_candidates(spark, sf_dir):
-    """R4 + R5 + A3 + U6 with the general iterative enumeration."""
-    graphs, legs = _legs(spark, sf_dir)
-    return enumerate_routes(legs, graphs).select("graph_id", "route_id", "n_legs", "total_price", "total_time")
+    """R4 + R5 + A3 + U6 on the graphs that requests search."""
+    cat, _, graphs = _graphs(spark, sf_dir)
+    return graph_routes(graphs, city_trips(cat.trips, cat.places))
 
 
 @register("routes_in_range", """
@@ -392,7 +392,7 @@ WHERE (s.p_lo IS NULL OR r.total_price BETWEEN s.p_lo AND s.p_hi) AND (s.t_lo IS
 def q_in_range(spark, sf_dir):
     """F7 + F8 on the enumerated routes, per graph and distinct ranges."""
     cat, graph_of, graphs = _graphs(spark, sf_dir)
-    r = enumerate_routes(graph_legs(leg_city_pairs(graphs), city_trips(cat.trips, cat.places)), graphs)
+    r = graph_routes(graphs, city_trips(cat.trips, cat.places))
     asked = fixtures.requests(spark, sf_dir).select("request_id", "price_range", "time_range")
     searched = graph_of.select("request_id", "graph_id").join(asked, "request_id").select(
         "graph_id", lower_bound(F.col("price_range")).alias("p_lo"), upper_bound(F.col("price_range")).alias("p_hi"),
