@@ -148,3 +148,64 @@ def quality(docs: DataFrame) -> DataFrame:
     return rates.join(limits, same, "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed.alias("base_failed"), (~base_failed & (failed == "")).alias("kept"), failed.alias("failed_rules"))
+
+
+def _sql_rates() -> str:
+    share = {"symbol_rate": "n_symbols / n_words", "dup_line_rate": "n_dup_lines / n_lines", "repeat_rate": "n_repeat_words / n_words",
+             "word_length": "word_chars / n_words"}
+    return ",\n  ".join(f"CASE WHEN {counted} > 0 THEN {x} ELSE 0.0 END AS {c}" for (c, x), counted in zip(
+        share.items(), ("n_words", "n_lines", "n_words", "n_words"), strict=True))
+
+
+def _sql_over(c: str) -> str:
+    counted, unit = UNITS[c]
+    n = f"greatest({counted}, 1)"
+    noise = f"{unit} * (m.{c} + {unit} / {n}) / {n}"
+    return f"COALESCE(r.{c} - m.{c} > {FENCE} * sqrt(pow(m.spread_{c}, 2) + {noise}), false)"
+
+
+#: The query in plain SQL.
+ORACLE_SQL = f"""
+WITH w AS (
+  SELECT doc_id, lang, source, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls
+  FROM (SELECT *, COALESCE(text, '') AS t FROM documents)),
+win AS (
+  SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) >= 3)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n >= 2),
+rep AS (SELECT doc_id, COUNT(DISTINCT i + k) AS n FROM (SELECT doc_id, i, unnest([0, 1, 2]) AS k FROM twice) GROUP BY doc_id),
+measured AS (
+  SELECT w.doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, COALESCE(rep.n, 0) AS n_repeat_words, CAST(len(ls) AS BIGINT) AS n_lines
+  FROM w LEFT JOIN rep ON rep.doc_id = w.doc_id),
+rated AS (SELECT *,
+  {_sql_rates()}
+  FROM measured),
+sketch AS (
+  SELECT lang, source, rate, CASE WHEN x > 0 THEN CAST(ceil(ln(x) / {math.log(BIN)!r}) AS INTEGER) ELSE {ZERO} END AS bin, COUNT(*) AS n FROM (
+    SELECT lang, source, unnest([{", ".join(f"'{c}'" for c in UNITS)}]) AS rate, unnest([{", ".join(UNITS)}]) AS x FROM rated WHERE n_words > 0)
+  GROUP BY ALL),
+summed AS (
+  SELECT true AS own, lang, source, rate, bin, n FROM sketch
+  UNION ALL SELECT false, lang, NULL, rate, bin, SUM(n) FROM sketch GROUP BY lang, rate, bin),
+ranked AS (
+  SELECT *, SUM(n) OVER (PARTITION BY own, lang, source, rate ORDER BY bin) AS upto, SUM(n) OVER (PARTITION BY own, lang, source, rate) AS total,
+    CASE WHEN bin = {ZERO} THEN 0.0 ELSE pow({BIN}, bin) * {2 / (1 + BIN)!r} END AS value FROM summed),
+quart AS (
+  SELECT own, lang, source, rate, CAST(MAX(total) AS DOUBLE) AS n, {", ".join(f"MIN(CASE WHEN 4 * upto >= {q} * total THEN value END) AS q{q}" for q in (1, 2, 3))}
+  FROM ranked GROUP BY own, lang, source, rate),
+mixed AS (
+  SELECT g.lang, g.source, g.rate, {", ".join(f"g.n / (g.n + {SMALL_GROUP}) * g.q{q} + (1 - g.n / (g.n + {SMALL_GROUP})) * a.q{q} AS m{q}" for q in (1, 2, 3))}
+  FROM quart g JOIN quart a ON g.own AND NOT a.own AND a.lang IS NOT DISTINCT FROM g.lang AND a.rate = g.rate),
+m AS (
+  SELECT lang, source, {", ".join(f"MAX(CASE WHEN rate = '{c}' THEN m2 END) AS {c}, MAX(CASE WHEN rate = '{c}' THEN (m3 - m1) / {QUARTILE} END) AS spread_{c}" for c in UNITS)}
+  FROM mixed GROUP BY lang, source),
+judged AS (
+  SELECT r.*, array_to_string(list_filter([{", ".join(f"CASE WHEN {_sql_over(c)} THEN '{c}' END" for c in UNITS)}], lambda x: x IS NOT NULL), ',') AS failed_rules,
+    n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+  FROM rated r LEFT JOIN m ON m.lang IS NOT DISTINCT FROM r.lang AND m.source IS NOT DISTINCT FROM r.source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND failed_rules = '' AS kept, failed_rules
+FROM judged
+"""

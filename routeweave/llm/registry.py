@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from routeweave.llm import op11_collocations
+from routeweave.llm import op8_quality, op11_collocations
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -124,10 +124,9 @@ def op2(spark, sf_dir):
     return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-@register("op8_quality_rules")
+@register("op8_quality_rules", op8_quality.ORACLE_SQL)
 def op8(spark, sf_dir):
-    from routeweave.llm.op8_quality import quality
-    return quality(documents(spark, sf_dir))
+    return op8_quality.quality(documents(spark, sf_dir))
 
 
 @register("op1_license_scan")
