@@ -11,7 +11,9 @@ context, and only a few of them are made per hundred bytes.
 3. Different contexts of one anchor are compared on their bytes: a suffix
    array over the contexts of some anchors ranks suffixes by their first
    ``length`` bytes; the previous and the next smaller position in suffix
-   order give each window its longest previous factor.  An anchor with more
+   order give each window the length of its longest previous factor, and over
+   the reversed order that of its longest later one.  A window goes where one
+   of them (for "first": the previous one) is ``length``.  An anchor with more
    than ``GROUP`` contexts is compared by counted window hashes instead, so
    no group is held whole.
 
@@ -139,67 +141,101 @@ def _anchors(docs: DataFrame, length: int, bits=None, with_bytes: bool = False,
 PACKED = 20     # bits of a rank and of a position that share a sorted word
 
 
-def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
-    """Rank of every suffix by its first ``length`` bytes (equal strings get
-    equal ranks), by prefix doubling; the end is padded with zeros.
-
-    Below 2^20 bytes, (rank, rank after, position) fit one word, so that a
-    plain sort of words does each round."""
-    n = len(data)
-    packed = n < 1 << PACKED
-    span = min(5, length)
-    padded = np.concatenate([data, np.zeros(5, np.uint8)]).astype(np.uint64)
-    key = np.zeros(n, dtype=np.uint64)
-    for i in range(span):
-        key = key << _U(8) | padded[i:n + i]
-    position = np.arange(n, dtype=np.uint64)
-
-    def ranks(key: np.ndarray) -> np.ndarray:
-        if not packed:
-            return np.unique(key, return_inverse=True)[1].astype(np.uint64)
-        word = np.sort(key << _U(PACKED) | position)
-        group = word >> _U(PACKED)
-        out = np.empty(n, dtype=np.uint64)
-        out[(word & _U((1 << PACKED) - 1)).astype(np.int64)] = np.cumsum(
-            np.concatenate([[0], group[1:] != group[:-1]])) if n else 0
-        return out
-
-    rank = ranks(key)
-    while span < length:
-        step = min(span, length - span)
-        after = np.concatenate([rank[step:] + _U(1), np.zeros(min(step, n), np.uint64)])
-        rank = ranks(rank << _U(PACKED if packed else 32) | after)
-        span += step
-    return rank.astype(np.int64)
-
-
-def earlier_copies(rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of positions with the ranks of their first ``length`` bytes: whether
-    the longest previous factor reaches ``length``, and whether any other
-    position's string is equal.
-
-    Suffix order lists positions by rank.  The previous and the next smaller
-    position of each are found by jumping along those of its neighbours;
-    one of equal rank is a factor of the full length."""
-    n = len(rank)
-    order = np.argsort(rank, kind="stable")
-    r, earlier = rank[order], np.zeros(n, dtype=bool)
-    same = np.zeros(n, dtype=bool)
-    equal = r[1:] == r[:-1]
-    same[order[1:][equal]] = True
-    same[order[:-1][equal]] = True
+class Suffixes:
+    """Suffixes of some bytes in order of their first ``length`` bytes.
+
+    ``levels``: (span, ranks): the rank of every suffix by its first ``span``
+    bytes, equal strings having equal ranks, by prefix doubling; the end is
+    padded with zeros.  Below 2^20 bytes, (rank, rank after, position) fit one
+    word, so that a plain sort of words does each round."""
+
+    def __init__(self, data: np.ndarray, length: int):
+        self.data, self.length = data, length
+        n = len(data)
+        packed = n < 1 << PACKED
+        span = min(5, length)
+        padded = np.concatenate([data, np.zeros(5, np.uint8)]).astype(np.uint64)
+        key = np.zeros(n, dtype=np.uint64)
+        for i in range(span):
+            key = key << _U(8) | padded[i:n + i]
+        position = np.arange(n, dtype=np.uint64)
+
+        def ranks(key: np.ndarray) -> np.ndarray:
+            if not packed:
+                return np.unique(key, return_inverse=True)[1].astype(np.uint64)
+            word = np.sort(key << _U(PACKED) | position)
+            group = word >> _U(PACKED)
+            out = np.empty(n, dtype=np.uint64)
+            out[(word & _U((1 << PACKED) - 1)).astype(np.int64)] = np.cumsum(
+                np.concatenate([[0], group[1:] != group[:-1]])) if n else 0
+            return out
+
+        rank = ranks(key)
+        self.levels = [(span, rank.astype(np.uint32))]
+        while span < length:
+            step = min(span, length - span)
+            after = np.concatenate([rank[step:] + _U(1), np.zeros(min(step, n), np.uint64)])
+            rank = ranks(rank << _U(PACKED if packed else 32) | after)
+            span += step
+            self.levels.append((span, rank.astype(np.uint32)))
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Length of the common prefix of suffixes a and b, up to ``length``
+        (and up to the end of the bytes)."""
+        n, size = len(self.data), np.zeros(len(a), np.int64)
+        for span, rank in reversed(self.levels):
+            x, y = a + size, b + size
+            fits = np.maximum(x, y) + span <= n
+            size[fits] += span * (rank[x[fits]] == rank[y[fits]])
+        open_ = np.arange(len(a))
+        for _ in range(self.levels[0][0] - 1):
+            x, y = a[open_] + size[open_], b[open_] + size[open_]
+            open_ = open_[np.maximum(x, y) < n]
+            x, y = a[open_] + size[open_], b[open_] + size[open_]
+            open_ = open_[self.data[x] == self.data[y]]
+            size[open_] += 1
+        return np.minimum(size, self.length)
+
+
+def longest_factors(suffixes: Suffixes, at: np.ndarray, later: bool = False) -> np.ndarray:
+    """LPF: for each of the positions ``at``, in order, the length (up to
+    ``length``) of the longest string that begins there and at a position of
+    ``at`` before it; ``later``: after it, the same over the reversed order.
+
+    Suffix order lists positions by rank.  The longest previous factor is
+    shared with the previous or the next smaller position in that order; both
+    are found by jumping along those of its neighbours."""
+    n = len(at)
+    turn = np.arange(n)[::-1] if later else np.arange(n)
+    order = np.lexsort((turn, suffixes.levels[-1][1][at]))
+    place = turn[order]
+    best = np.zeros(n, np.int64)
     for sign in (-1, 1):
         link = np.arange(n) + sign                  # candidate for the smaller position on this side
-        link[0 if sign < 0 else -1] = -1
-        inside = link >= 0
-        link[inside] = np.where(r[link[inside]] == r[inside], link[inside], -1)
+        if n:
+            link[0 if sign < 0 else -1] = -1
         open_ = np.flatnonzero(link >= 0)
         while len(open_):
-            open_ = open_[order[link[open_]] > order[open_]]
+            open_ = open_[place[link[open_]] > place[open_]]
             link[open_] = link[link[open_]]
             open_ = open_[link[open_] >= 0]
-        earlier[order[link >= 0]] = True
-    return earlier, same
+        found = np.flatnonzero(link >= 0)
+        best[found] = np.maximum(best[found], suffixes.common(at[order[found]], at[order[link[found]]]))
+    out = np.empty(n, np.int64)
+    out[order] = best
+    return out
+
+
+def suffix_ranks(data: np.ndarray, length: int) -> Suffixes:
+    return Suffixes(data, length)
+
+
+def earlier_copies(suffixes: Suffixes, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Of some positions: whether the longest previous factor reaches
+    ``length``, and whether that or the longest later one does."""
+    at = np.arange(len(suffixes.data)) if at is None else at
+    earlier = longest_factors(suffixes, at) >= suffixes.length
+    return earlier, earlier | (longest_factors(suffixes, at, later=True) >= suffixes.length)
 
 
 def _compare(rows: DataFrame, length: int, keep: str) -> DataFrame:
@@ -212,8 +248,11 @@ def _compare(rows: DataFrame, length: int, keep: str) -> DataFrame:
         windows = table["windows"].to_numpy().astype(np.int64)
         of = np.repeat(np.arange(len(windows)), windows)
         at = begin[:-1][of] + np.arange(len(of)) - (np.cumsum(windows) - windows)[of]
-        earlier, same = earlier_copies(suffix_ranks(flat, length)[at])
-        hit = np.flatnonzero(earlier if keep == "first" else same)
+        suffixes = suffix_ranks(flat, length)
+        factor = longest_factors(suffixes, at)
+        if keep == "none":
+            factor = np.maximum(factor, longest_factors(suffixes, at, later=True))
+        hit = np.flatnonzero(factor >= length)
         start = table["start"].to_numpy()[of[hit]] + at[hit] - begin[:-1][of[hit]]
         yield from _runs(table["doc_id"], table["tid"], of[hit], start, length)
 

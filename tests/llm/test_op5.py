@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from routeweave.llm import op5_suffix_dedup
-from routeweave.llm.op5_suffix_dedup import dedup_documents, earlier_copies, suffix_ranks
+from routeweave.llm.op5_suffix_dedup import dedup_documents, earlier_copies, longest_factors, suffix_ranks
 
 
 def brute(rows, length, keep):
@@ -95,3 +95,27 @@ def test_longest_previous_factors():
         full = range(len(data) - length + 1)
         assert [bool(earlier[i]) for i in full] == [strings[i] in strings[:i] for i in full]
         assert [bool(same[i]) for i in full] == [strings.count(strings[i]) > 1 for i in full]
+
+
+def test_factor_lengths():
+    rng = np.random.default_rng(3)
+    for top, length in ((99, 12), (98, 40), (120, 7), (98, 3)):
+        data = rng.integers(97, top, 300).astype(np.uint8)
+        data[150:200] = data[20:70]
+        at = np.sort(rng.choice(300 - length, 150, replace=False))
+        own = [data[i:i + length].tobytes() for i in at]
+        common = lambda x, y: next((k for k in range(length) if x[k] != y[k]), length)  # noqa: B023,E731
+        found = suffix_ranks(data, length)
+        assert longest_factors(found, at).tolist() == [max([common(own[i], own[j]) for j in range(i)], default=0) for i in range(150)]
+        assert longest_factors(found, at, later=True).tolist() == [max([common(own[i], own[j]) for j in range(i + 1, 150)], default=0) for i in range(150)]
+
+
+def test_removal_follows_the_factor_lengths(docs, monkeypatch):
+    """Without factors nothing in different contexts is removed."""
+    rng = random.Random(9)
+    make = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    p = make(60)
+    rows = [(1, make(40) + p + make(40)), (2, make(50) + p + make(20))]
+    assert sum(r.n_removed for r in dedup_documents(docs(rows), 12, "none").collect()) >= 120
+    monkeypatch.setattr(op5_suffix_dedup, "longest_factors", lambda s, at, later=False: np.zeros(len(at), np.int64))
+    assert sum(r.n_removed for r in dedup_documents(docs(rows), 12, "none").collect()) < 120
