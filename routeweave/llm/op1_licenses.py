@@ -1,13 +1,14 @@
 """License scans with a positional rare-token index, on DataFrame functions.
 
-The index holds, for the two places of every template's key phrase whose words
-have the highest inverse document frequency (counted over all files) and are
-no function words, the postings (template, position).  Each file looks up all
-of its words; every posting votes for an alignment (template, first word).
-An alignment with both votes is verified in the file's words: the mandatory
-key phrase must stand at its place, and enough of the template must match.
-As all of the key phrase must stand, no alignment is lost by the choice.
-Base phrases are found wherever their words stand consecutively.
+The index holds the places of the words of every template's mandatory key
+phrase, function words aside, and each word's document frequency over all
+files.  Each file looks up its own license words, the rarest first: a template
+is dropped at the first of its key words that the file does not hold.  For the
+others, the places of each key word in the file, less its place in the
+template, are the alignments that it allows; these lists are intersected, the
+shortest first, until nothing is left.  What is left is verified in the file's
+words: the key phrase must stand at its place, and enough of the template must
+match.  Base phrases are found wherever their words stand consecutively.
 
 The templates bound everything that reaches the driver or a task closure:
 one frequency for each license word.
@@ -57,7 +58,6 @@ TEMPLATES = (
 #: Function words, which are no index terms.
 FUNCTION_WORDS = frozenset("a and any are as by for in into is it of or that the this to under use with you".split())
 
-KEY_WORDS = 2           # of a template's key phrase, that are looked up
 LEAST_COVERAGE = 0.6    # of a template's words at their places
 
 SEPARATORS = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
@@ -93,22 +93,17 @@ def _array(values) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def _index(idf: dict[str, float]) -> tuple[Column, Column]:
-    """Postings and templates as constants."""
-    postings: dict[str, list[tuple[int, int]]] = {}
+def _index(idf: dict[str, float]) -> Column:
+    """The templates as constants; their key words (with their places) are in
+    order of rarity."""
     made = []
-    for t, (label, text, key) in enumerate(TEMPLATES):
+    for label, text, key in TEMPLATES:
         w, k = text.split(), key.split()
         first = next(i for i in range(len(w)) if w[i:i + len(k)] == k)
         rare = sorted((i for i in range(first, first + len(k)) if w[i] not in FUNCTION_WORDS), key=lambda i: (-idf[w[i]], w[i], i))
-        rare = rare[:KEY_WORDS]
-        for i in rare:
-            postings.setdefault(w[i], []).append((t, i))
-        made.append(F.struct(F.lit(label).alias("label"), _array(w).alias("words"), F.lit(first).alias("key_at"),
-                             F.lit(len(k)).alias("key_size"), F.lit(len(rare)).alias("votes")))
-    entries = [x for w, ps in postings.items() for x in (
-        F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in ps]))]
-    return F.create_map(*entries), F.array(*made)
+        made.append(F.struct(F.lit(label).alias("label"), _array(w).alias("words"), F.lit(first).alias("key_at"), F.lit(len(k)).alias("key_size"),
+                             F.array(*[F.struct(F.lit(w[i]).alias("word"), F.lit(i).alias("place")) for i in rare]).alias("rare")))
+    return F.array(*made)
 
 
 def _base(words: Column, hits: Column) -> Column:
@@ -125,26 +120,30 @@ def _base(words: Column, hits: Column) -> Column:
     return F.concat(*[places(phrase.split(), ANCHORS[phrase], label) for phrase, label in PHRASES.items()])
 
 
-def _aligned(words: Column, hits: Column, index) -> Column:
+def _starts(hits: Column, t: Column) -> Column:
+    """Where a template can begin in a file: the places that all of its key
+    words allow, intersected from the shortest list on."""
+    lists = F.array_sort(F.transform(t["rare"], lambda k: let(
+        F.transform(F.filter(hits, lambda x: x["word"] == k["word"]), lambda x: x["at"] - k["place"]),
+        lambda at: F.struct(F.size(at).alias("n"), at.alias("at")))))
+    return let(lists, lambda x: F.aggregate(F.slice(x, 2, F.size(x)), x[0]["at"], lambda left, more: F.when(
+        F.size(left) == 0, left).otherwise(F.array_intersect(left, more["at"]))))
+
+
+def _aligned(words: Column, hits: Column, templates: Column) -> Column:
     """(label, start, coverage) of the verified alignments of templates."""
-    postings, templates = index
-    votes = F.flatten(F.array_compact(F.transform(hits, lambda x: F.transform(
-        postings[x["word"]], lambda p: F.struct(p["t"].alias("t"), (x["at"] - p["p"]).alias("o"))))))
-
-    def enough(votes: Column) -> Column:
-        # equal votes stand together; the first of a run with enough of them
-        return F.filter(votes, lambda v, i: (F.coalesce(F.get(votes, i - 1) != v, F.lit(True)))
-                        & (F.get(votes, i + F.get(templates, v["t"])["votes"] - 1) == v))
-
-    def verify(v: Column) -> Column:
-        t = F.get(templates, v["t"])
-        equal = F.transform(t["words"], lambda w, k: F.coalesce(F.get(words, v["o"] + k) == w, F.lit(False)))
+    def verify(t: Column, start: Column) -> Column:
+        equal = F.transform(t["words"], lambda w, k: F.coalesce(F.when(start + k >= 0, F.get(words, start + k)) == w, F.lit(False)))
         return let(equal, lambda e: F.struct(
-            t["label"].alias("label"), v["o"].alias("start"),
+            t["label"].alias("label"), start.alias("start"),
             (F.size(F.filter(e, lambda x: x)) / F.size(e)).alias("coverage"),
             F.forall(F.slice(e, t["key_at"] + 1, t["key_size"]), lambda x: x).alias("keys")))
 
-    return F.filter(F.transform(let(F.sort_array(votes), enough), verify), lambda x: x["keys"] & (x["coverage"] >= LEAST_COVERAGE))
+    held = F.array_distinct(F.transform(hits, lambda x: x["word"]))
+    # the rarest key word is asked for first; one that is missing ends it
+    possible = let(held, lambda h: F.filter(templates, lambda t: F.forall(t["rare"], lambda k: F.array_contains(h, k["word"]))))
+    found = F.flatten(F.transform(possible, lambda t: F.transform(_starts(hits, t), lambda at: verify(t, at))))
+    return F.filter(found, lambda x: x["keys"] & (x["coverage"] >= LEAST_COVERAGE))
 
 
 def _joined(labels: Column) -> Column:
