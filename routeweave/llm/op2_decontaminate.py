@@ -46,6 +46,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 RADIUS = 3
 PART_BYTES = 4 << 20
+PIECE = 1 << 18         # bytes of documents that a worker searches at once, unless one is longer
 
 _U = np.uint64
 
@@ -326,7 +327,7 @@ def _searcher(src: DataFrame, items: Items, id_schema):
     def run(batches):
         model = shared.value
         for batch in batches:
-            for begin, _, values, offsets in pieces(batch.column(1)):
+            for begin, _, values, offsets in pieces(batch.column(1), PIECE):
                 found = model.find(values, offsets)
                 rows = pa.array([begin + f[0] for f in found], pa.int64())
                 yield pa.RecordBatch.from_pydict({
@@ -346,7 +347,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             def run(batches, shared=shared):
                 for batch in batches:
                     clean = np.ones(batch.num_rows, dtype=bool)
-                    for begin, _, values, offsets in pieces(batch.column(at)):
+                    for begin, _, values, offsets in pieces(batch.column(at), PIECE):
                         clean[[begin + f[0] for f in shared.value.find(values, offsets)]] = False
                     yield batch.filter(pa.array(clean))
 

@@ -44,6 +44,7 @@ from routeweave.llm.textbytes import mix64, pieces, shingles, word_hashes
 PART_BITS = 64
 FOLD = 4                    # bits of a folded sketch per allowed difference, at least
 BLOCK = 512                 # members of a bucket that are compared at once
+PIECE = 1 << 18             # bytes of text that a worker holds as words at once, unless one text is longer
 MET = 1 << 18               # sets that a task remembers, so that copies near each other give keys once
 
 _U = np.uint64
@@ -158,7 +159,7 @@ def _members(docs: DataFrame, k: int, percent: int) -> DataFrame:
         bands = Bands(percent)
         for batch in batches:
             n, ids, sketch = [], [], []
-            for _, _, values, offsets in pieces(batch.column(1)):
+            for _, _, values, offsets in pieces(batch.column(1), PIECE):
                 for s in document_sets(values, offsets, k):
                     n.append(len(s))
                     ids.append(identity(s) if len(s) else (None, None))
@@ -193,7 +194,7 @@ def _keys(docs: DataFrame, k: int, percent: int, names: Names) -> DataFrame:
     def run(batches):
         bands, met = Bands(percent), set()
         for batch in batches:
-            for _, _, values, offsets in pieces(batch.column(0)):
+            for _, _, values, offsets in pieces(batch.column(0), PIECE):
                 keys, sids = [], []
                 for s in document_sets(values, offsets, k):
                     if not len(s) or (sid := names(s)) in met:
@@ -257,7 +258,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, k: int, percent: int, names: Name
     def sets(batches):
         for batch in batches:
             sid, data = [], []
-            for _, _, values, offsets in pieces(batch.column(0)):
+            for _, _, values, offsets in pieces(batch.column(0), PIECE):
                 for s in document_sets(values, offsets, k):
                     if len(s):
                         sid.append(names(s))
@@ -427,7 +428,7 @@ def drop_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     def mark(batches):
         for batch in batches:
             sid = [None] * batch.num_rows
-            for begin, _, values, offsets in pieces(batch.column(at)):
+            for begin, _, values, offsets in pieces(batch.column(at), PIECE):
                 for i, s in enumerate(document_sets(values, offsets, k)):
                     if len(s) and may_contain(bits.value, np.array([made := names(s)]).view(np.uint64))[0]:
                         sid[begin + i] = made
