@@ -42,7 +42,6 @@ from routeweave.llm.tables import written
 from routeweave.llm.textbytes import mix64, pieces, shingles, word_hashes
 
 PART_BITS = 64
-FOLD = 4                    # bits of a folded sketch per allowed difference, at least
 BLOCK = 512                 # members of a bucket that are compared at once
 PIECE = 1 << 18             # bytes of text that a worker holds as words at once, unless one text is longer
 MET = 1 << 18               # sets that a task remembers, so that copies near each other give keys once
@@ -56,6 +55,9 @@ class Bands:
     def __init__(self, percent: int):
         self.p = percent
         self.top = [1]
+        #: bits of a folded sketch per allowed difference: 16 at 90 %, 4 at 80 %.  The more differences
+        #: are allowed, the longer sketches are, and the fewer bits for each tell other pairs apart.
+        self.fold = max(2, 1600 // (100 - percent) ** 2) if percent < 100 else 16
 
     def band(self, n: int) -> int:
         while self.top[-1] < n:
@@ -118,10 +120,10 @@ class Names:
         return Names(self.renamed | dict(zip(clashes, fresh.view(np.int64).tolist(), strict=True)))
 
 
-def folded_sketch(s: np.ndarray, difference: int) -> bytes:
-    """Parity of the set over a power of two of bits, at least FOLD for each
-    allowed difference."""
-    bits = max(64, 1 << int(FOLD * (difference + 1) - 1).bit_length())
+def folded_sketch(s: np.ndarray, bands: Bands) -> bytes:
+    """Parity of the set over a power of two of bits, at least ``bands.fold``
+    for each allowed difference."""
+    bits = max(64, 1 << int(bands.fold * (bands.difference(2 * len(s)) + 1) - 1).bit_length())
     odd = np.bincount((s >> _U(7) & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(bool), bitorder="little").tobytes()
 
@@ -163,7 +165,7 @@ def _members(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 for s in document_sets(values, offsets, k):
                     n.append(len(s))
                     ids.append(identity(s) if len(s) else (None, None))
-                    sketch.append(folded_sketch(s, bands.difference(2 * len(s))) if len(s) else None)
+                    sketch.append(folded_sketch(s, bands) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), *(pa.array([x[i] for x in ids], pa.int64()) for i in (0, 1)), pa.array(sketch, pa.binary())],
                 names=["doc_id", "n_shingles", "sid", "sid2", "sketch"])
