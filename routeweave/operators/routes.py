@@ -165,9 +165,11 @@ def family_legs(families: DataFrame, ctrips: DataFrame) -> DataFrame:
         "departure_date", "price", "duration_h")))
 
 
-def best_rows(rows: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:
+def best_rows(rows: DataFrame, keys: list[str], order: list, n: int, rank: str | None = None) -> DataFrame:
+    """The first ``n`` rows of each key; ``rank`` names a column to keep."""
     w = Window.partitionBy(*keys).orderBy(*order)
-    return rows.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= n).drop("_rank")
+    best = rows.withColumn(rank or "_rank", F.row_number().over(w)).filter(F.col(rank or "_rank") <= n)
+    return best if rank else best.drop("_rank")
 
 
 def family_routes(families: DataFrame, legs: DataFrame, best: int | None = None) -> DataFrame:

@@ -315,6 +315,40 @@ def q_nearby(spark, sf_dir):
     return roles.select("request_id", "side", "city_id", "rank", F.round("distance_km", 3).alias("distance_km"))
 
 
+@register("nearby_cities_dense")
+def q_nearby_dense(spark, sf_dir):
+    """G1 + K1 by the pyramid: every customer's place is a point, every order
+    a city of a dense catalogue."""
+    from routeweave.operators import pyramid
+
+    k = F.col("o_orderkey")
+    cities = fixtures.table(spark, sf_dir, "orders").select(
+        k.alias("city_id"), F.concat(F.lit("C"), k.cast("string")).alias("city_name"), F.lit("X").alias("country_code"),
+        (F.lit(43.0) + (k * 7919 % 10007) / 1000).alias("lat"), (F.lit(3.0) + (k * 104729 % 14009) / 1000).alias("lon"),
+        (F.lit(50_000) + k * 31 % 9973 * 200).alias("population"))
+    c = F.col("c_custkey")
+    points = fixtures.table(spark, sf_dir, "customer").select(
+        c.alias("point_id"), (F.lit(42.0) + (c * 37 % 12007) / 1000).alias("lat"), (F.lit(1.0) + (c * 101 % 18013) / 1000).alias("lon"))
+    found = pyramid.nearby_cities(points, pyramid.city_pyramid(cities), key=("point_id",))
+    return found.select("point_id", "city_id", "rank", F.round("distance_km", 3).alias("distance_km"))
+
+
+register_sql({"nearby_cities_dense": """
+WITH c AS (
+  SELECT o_orderkey AS city_id, 43.0::DOUBLE + (o_orderkey * 7919 % 10007) / 1000 AS lat, 3.0::DOUBLE + (o_orderkey * 104729 % 14009) / 1000 AS lon,
+         50000 + o_orderkey * 31 % 9973 * 200 AS population FROM orders),
+p AS (
+  SELECT c_custkey AS point_id, 42.0::DOUBLE + (c_custkey * 37 % 12007) / 1000 AS lat, 1.0::DOUBLE + (c_custkey * 101 % 18013) / 1000 AS lon FROM customer),
+near AS (
+  SELECT p.point_id, c.city_id, c.population, 2 * 6371.0 * asin(sqrt(pow(sin(radians(c.lat - p.lat) / 2), 2)
+    + cos(radians(p.lat)) * cos(radians(c.lat)) * pow(sin(radians(c.lon - p.lon) / 2), 2))) AS distance_km
+  FROM p JOIN c ON abs(c.lat - p.lat) < 2 WHERE c.population >= 100000)
+SELECT point_id, city_id, rank, ROUND(distance_km, 3) AS distance_km FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY point_id ORDER BY population DESC, city_id) AS INTEGER) AS rank
+  FROM near WHERE distance_km <= 200) WHERE rank <= 5
+"""})
+
+
 @register("city_roles", "SELECT request_id, side, city_id, rank, role FROM roles")
 def q_roles(spark, sf_dir):
     """Rank 1 is the endpoint, the others are transit."""
