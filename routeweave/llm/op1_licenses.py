@@ -170,3 +170,43 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     made = let(words_of(F.col("text")), lambda words: let(_hits(words), lambda hits: let(
         _base(words, hits), lambda base: let(_aligned(words, hits, index), lambda more: _result(words, hits, base, more)))))
     return docs.select("doc_id", made.alias("made")).select("doc_id", "made.*")
+
+
+def _sql_list(words: list[str]) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+def _sql_templates() -> str:
+    rows = []
+    for k, (label, text, key) in enumerate(TEMPLATES):
+        w, mandatory = text.split(), key.split()
+        first = next(i for i in range(len(w)) if w[i:i + len(mandatory)] == mandatory)
+        rows.append(f"({k}, '{label}', {_sql_list(w)}, {first}, {_sql_list(mandatory)})")
+    return ",\n  ".join(rows)
+
+
+#: The query in plain SQL: every place of every phrase and template.
+ORACLE_SQL = f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+phrase(label, p) AS (VALUES {", ".join(f"('{label}', {_sql_list(p.split())})" for p, label in PHRASES.items())}),
+template(t, label, tw, pos, mandatory) AS (VALUES
+  {_sql_templates()}),
+w AS (SELECT doc_id, ws, i, ws[i + 1] AS x FROM (SELECT doc_id, ws, unnest(range(len(ws))) AS i FROM d)),
+base AS (SELECT doc_id, i AS start, label FROM w JOIN phrase ON x = p[1] AND list_slice(ws, i + 1, i + len(p)) = p),
+met AS (
+  SELECT doc_id, label, list_sum(list_transform(range(len(tw)), lambda j: CASE WHEN i - pos + j >= 0 AND ws[i - pos + j + 1] = tw[j + 1] THEN 1 ELSE 0 END))
+    / len(tw) AS coverage
+  FROM w JOIN template ON x = mandatory[1] AND list_slice(ws, i + 1, i + len(mandatory)) = mandatory),
+aligned AS (SELECT * FROM met WHERE coverage >= {LEAST_COVERAGE}),
+of_base AS (SELECT doc_id, COUNT(*) AS n, MIN(start) AS lo, MAX(start) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY doc_id),
+of_all AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (
+    SELECT doc_id, label FROM base UNION ALL SELECT doc_id, label FROM aligned) GROUP BY doc_id),
+of_aligned AS (SELECT doc_id, COUNT(*) AS n, MAX(coverage) AS best FROM aligned GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, COALESCE(b.n, 0) AS n_base, CAST(b.lo AS BIGINT) AS first_word, CAST(b.hi AS BIGINT) AS last_word,
+  COALESCE(b.labels, '') AS base_labels, COALESCE(l.labels, '') AS labels,
+  greatest(CASE WHEN b.n > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END, COALESCE(a.best, 0.0::DOUBLE)) AS score, COALESCE(a.n, 0) AS n_aligned
+FROM d LEFT JOIN of_base b ON b.doc_id = d.doc_id LEFT JOIN of_all l ON l.doc_id = d.doc_id LEFT JOIN of_aligned a ON a.doc_id = d.doc_id
+"""

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from routeweave.llm import op8_quality, op11_collocations
+from routeweave.llm import op1_licenses, op8_quality, op11_collocations
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,10 +129,9 @@ def op8(spark, sf_dir):
     return op8_quality.quality(documents(spark, sf_dir))
 
 
-@register("op1_license_scan")
+@register("op1_license_scan", op1_licenses.ORACLE_SQL)
 def op1(spark, sf_dir):
-    from routeweave.llm.op1_licenses import scan_licenses
-    return scan_licenses(documents(spark, sf_dir))
+    return op1_licenses.scan_licenses(documents(spark, sf_dir))
 
 
 @register("op13_spelling_variants")
