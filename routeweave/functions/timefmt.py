@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def split_datetime(dt: Column) -> Column:
-    """``2020-12-08T12:45:00.000Z`` -> ``[day, time, offset]``."""
+    """``2031-04-17T09:35:00.000Z`` -> ``[day, time, offset]``."""
     return F.split(dt, "[T.]")
 
 
