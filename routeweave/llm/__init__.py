@@ -1,3 +1,3 @@
-"""Operators of a training-data pipeline: ten corpus operators, each usable
+"""Operators of a training-data pipeline: thirteen corpus operators, each usable
 alone, and one query per operator (``registry``).  Nothing else in the
 library imports this package."""
