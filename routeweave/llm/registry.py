@@ -14,6 +14,7 @@ from routeweave.llm import op1_licenses, op8_quality, op11_collocations
 Query = Callable[[SparkSession, str], DataFrame]
 
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+SPARK_ROWS = 10_000
 BATCH_ROWS = 1000
 
 _QUERIES: dict[str, Query] = {}
@@ -21,10 +22,11 @@ _SQL: dict[str, str] = {}
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def register(name: str, sql: str | None = None):
+def register(name: str, sql: str | None = None, batch_rows: int = BATCH_ROWS):
+    """``batch_rows``: rows of an Arrow batch, where the session has no value of its own."""
     def deco(fn: Query) -> Query:
         def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
+            ship_package(spark, batch_rows)
             return fn(spark, sf_dir)
         _QUERIES[name] = query
         if sql is not None:
@@ -45,11 +47,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def ship_package(spark: SparkSession) -> None:
+def ship_package(spark: SparkSession, batch_rows: int = BATCH_ROWS) -> None:
     """Give workers this package where their path lacks it (a session that
     was started from another folder, without --py-files)."""
-    if spark.conf.get(BATCH) == "10000":        # Spark's own value: up to 10,000 whole texts at once in a worker
-        spark.conf.set(BATCH, str(BATCH_ROWS))
+    # Spark's own value gives a worker up to 10,000 whole texts at once
+    if spark.conf.get(BATCH) in (str(SPARK_ROWS), str(BATCH_ROWS)):
+        spark.conf.set(BATCH, str(batch_rows))
     if _ROOT in map(os.path.abspath, os.environ.get("PYTHONPATH", "").split(os.pathsep)) or os.getcwd() == _ROOT:
         return
     sc = spark.sparkContext
@@ -100,7 +103,7 @@ def op9(spark, sf_dir):
     return scan_documents(documents(spark, sf_dir))
 
 
-@register("op4_lm_scores")
+@register("op4_lm_scores", batch_rows=SPARK_ROWS)     # full pieces from each batch
 def op4(spark, sf_dir):
     from routeweave.llm.op4_lm import score_documents
     return score_documents(documents(spark, sf_dir))
