@@ -6,9 +6,11 @@ point, which in a dense region are far more than the few that are wanted.
 Here latitude/longitude cells of ``LEVELS`` sizes, each half as wide as the
 one before, keep their ``limit`` most populous cities.  A point's circle is
 covered from large cells to small ones: a cell that lies inside gives its
-list, one that lies outside goes, and one that is cut is cut further; cities
-are met one by one only in the smallest cells along the circle.  So a point
-reads lists in number of the circle's length, whatever the density.
+list, one that lies outside goes, and one that is cut is cut further.  The
+last city of a full list inside the circle bounds what is wanted: lists that
+begin below it are not read, and in the smallest cells along the circle cities
+beyond a list are met only where the whole list is above it.  So a point reads
+lists in number of the circle's length, whatever the density.
 
 Exact: the farthest point of a cell is one of its corners as long as it is
 within 90 degrees of longitude (others count as cut), and lists hold the best
@@ -17,15 +19,20 @@ within 90 degrees of longitude (others count as cut), and lists hold the best
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from routeweave.functions.geo import KM_PER_DEGREE_LAT, haversine_km
 from routeweave.operators.geo import CITY_LIMIT, MIN_POPULATION, RADIUS_KM
 from routeweave.operators.routes import best_rows
+from routeweave.plans.sizing import materialize
 
 AROUND = 128            # largest cells around the globe
 LEVELS = 6
+BOUND_LEVELS = 3        # of the cells whose lists bound what is wanted
+POINTS_PER_TASK = 1000
 MARGIN_KM = 1e-6        # of rounding, inside a circle
 CELL = ["level", "y", "x"]
 
@@ -48,13 +55,17 @@ def _order() -> list:
 
 def city_pyramid(cities: DataFrame, min_population: int = MIN_POPULATION, limit: int = CITY_LIMIT) -> tuple[DataFrame, DataFrame]:
     """(lists, leaves): the most populous cities of every cell of every level,
-    and every city with its smallest cell."""
+    and every city with its smallest cell and its ``place`` in that cell's order."""
     cat = (cities.filter((F.col("population") >= min_population) & F.col("lat").isNotNull() & F.col("lon").isNotNull())
            .select("city_id", "city_name", "country_code", "population", F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon")))
-    cells = F.array(*[F.struct(F.lit(k).alias("level"), _y(F.col("c_lat"), k).alias("y"), _x(F.col("c_lon"), k).alias("x")) for k in range(LEVELS)])
-    lists = best_rows(cat.withColumn("cell", F.explode(cells)).select("cell.*", *cat.columns), CELL, _order(), limit)
     last = LEVELS - 1
-    return lists, cat.withColumns({"y": _y(F.col("c_lat"), last), "x": _x(F.col("c_lon"), last)})
+    cells = F.array(*[F.struct(F.lit(k).alias("level"), _y(F.col("c_lat"), k).alias("y"), _x(F.col("c_lon"), k).alias("x")) for k in range(last)])
+    upper = best_rows(cat.withColumn("cell", F.explode(cells)).select("cell.*", *cat.columns), CELL, _order(), limit)
+    in_cell = Window.partitionBy("y", "x").orderBy(*_order())
+    leaves = materialize(cat.withColumns({"y": _y(F.col("c_lat"), last), "x": _x(F.col("c_lon"), last)}).withColumn("place", F.row_number().over(in_cell)))
+    small = leaves.filter(F.col("place") <= limit).select(F.lit(last).alias("level"), "y", "x", *cat.columns)
+    # the lists are bounded by the cells, so their size on disk may let joins broadcast them
+    return materialize(upper.unionByName(small)), leaves
 
 
 def _classified(rows: DataFrame, level: int, radius_km: float) -> DataFrame:
@@ -78,8 +89,9 @@ def _classified(rows: DataFrame, level: int, radius_km: float) -> DataFrame:
             .filter(~F.col("out")).drop("out"))
 
 
-def cover(points: DataFrame, radius_km: float = RADIUS_KM) -> DataFrame:
-    """``points`` with the cells of their circles: level, y, x, inside."""
+def cover(points: DataFrame, radius_km: float = RADIUS_KM, levels: int = LEVELS, wanted=lambda rows: rows) -> DataFrame:
+    """``points`` with the cells of their circles: level, y, x, inside.
+    ``wanted`` filters the cells of a level before they are cut further."""
     angle = radius_km / KM_PER_DEGREE_LAT
     low, high = _y(F.greatest(F.col("lat") - angle, F.lit(-90.0)), 0), _y(F.least(F.col("lat") + angle, F.lit(90.0)), 0)
     pole = F.abs("lat") + angle >= 90.0
@@ -92,14 +104,14 @@ def cover(points: DataFrame, radius_km: float = RADIUS_KM) -> DataFrame:
     rows = (points.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
             .withColumn("y", F.explode(F.sequence(low, high))).withColumn("x", F.explode(xs))
             .withColumns({"level": F.lit(0), "inside": F.lit(False)}))
-    rows = _classified(rows, 0, radius_km)
-    for level in range(1, LEVELS):
+    rows = wanted(_classified(rows, 0, radius_km))
+    for level in range(1, levels):
         parts = [F.struct(F.lit(level).alias("level"), (2 * F.col("y") + i).alias("y"), (2 * F.col("x") + j).alias("x"), F.lit(False).alias("inside"))
                  for i in (0, 1) for j in (0, 1)]
         same = F.struct("level", "y", "x", "inside")
         cut = F.explode(F.when(F.col("inside"), F.array(same)).otherwise(F.array(*parts)))
         rows = rows.withColumn("cell", cut).drop("level", "y", "x", "inside").select("*", "cell.*").drop("cell")
-        rows = _classified(rows, level, radius_km)
+        rows = wanted(_classified(rows, level, radius_km))
     return rows
 
 
@@ -107,9 +119,29 @@ def nearby_cities(points: DataFrame, pyramid: tuple[DataFrame, DataFrame], radiu
                   key=("request_id", "side")) -> DataFrame:
     """As ``geo.nearby_cities``, over ``city_pyramid(cities, ..., limit)``."""
     lists, leaves = pyramid
-    cells = cover(points.select(*key, "lat", "lon"), radius_km)
-    listed = cells.filter("inside").drop("inside").join(lists, CELL).drop(*CELL)
-    met = cells.filter("NOT inside").drop("inside", "level").join(leaves, ["y", "x"]).drop("y", "x")
+    keys = list(key)
+    points = materialize(points.select(*keys, "lat", "lon"))
+    # a point meets hundreds of cells, so few points make a task
+    tasks = max(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(points.count() / POINTS_PER_TASK))
+    spread = lambda p: p.repartition(tasks, *keys, "lat", "lon")
+    # best and, of full lists, worst population of a cell
+    heads = materialize(lists.groupBy(*CELL).agg(F.max("population").alias("best"), F.when(F.count("*") == limit, F.min("population")).alias("worst")))
+    # a full list inside the circle: what is below its last city is not wanted
+    least = (cover(spread(points), radius_km, BOUND_LEVELS).filter("inside").join(heads, CELL).groupBy(*keys).agg(F.max("worst").alias("least"))
+             .select(*[F.col(c).alias(f"_{c}") for c in keys], "least"))
+    least = materialize(least.filter("least IS NOT NULL"))
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    bounded = points.join(least, same, "left").select(*points.columns, "least")
+    at_least = lambda c: F.col("least").isNull() | (F.col(c) >= F.col("least"))
+    bests = heads.drop("worst")
+    cells = cover(spread(bounded), radius_km, wanted=lambda rows: rows.join(bests, CELL).filter(at_least("best")).drop("best")).join(heads, CELL)
+    listed = cells.drop("best", "worst").join(lists, CELL).filter(at_least("population")).drop(*CELL, "inside", "least")
+    # cells along the circle show more than their list only where all of it is wanted
+    rest = leaves.filter(F.col("place") > limit).drop("place")
+    met = (cells.filter(~F.col("inside") & F.col("worst").isNotNull() & at_least("worst")).drop("inside", "level", "best", "worst")
+           .join(rest, ["y", "x"]).filter(at_least("population")).drop("y", "x", "least"))
     found = listed.unionByName(met).withColumn("distance_km", haversine_km(F.col("lat"), F.col("lon"), F.col("c_lat"), F.col("c_lon")))
-    best = best_rows(found.filter(F.col("distance_km") <= radius_km), list(key), _order(), limit, rank="rank")
-    return best.select(*key, "city_id", "city_name", "country_code", "population", "distance_km", "rank")
+    best = best_rows(found.filter(F.col("distance_km") <= radius_km), keys, _order(), limit, rank="rank")
+    return best.select(*keys, "city_id", "city_name", "country_code", "population", "distance_km", "rank")

@@ -50,3 +50,12 @@ def test_poles_date_line_and_few_cities(spark):
         assert got == _rows(geo.nearby_cities(points, cities, radius)) and len(got) >= 35
     empty = cities.limit(0)
     assert pyramid.nearby_cities(points, pyramid.city_pyramid(empty)).collect() == []
+
+
+def test_few_points_make_a_task_and_ties_at_the_bound_are_kept(spark):
+    """Points of one file are spread over tasks; cities as populous as the last of a list inside the circle count."""
+    cities = _world(spark, 60_000, (44, 48), (6, 10)).withColumn("population", 100_000 + F.col("population") % 500)
+    points = _points(spark, [(46.0 + i / 50, 8.0 - i / 40) for i in range(12)]).coalesce(1)
+    found = pyramid.nearby_cities(points, pyramid.city_pyramid(cities))
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().toString()
+    assert _rows(found) == _rows(geo.nearby_cities(points, cities))
