@@ -30,10 +30,13 @@ ROUNDING = 1e-9         # sums are added in another order in a bound than in a t
 def _bounded_legs(legs: DataFrame, plan: DataFrame, key: str) -> DataFrame:
     """The legs that lead to the destination, with the least price still to
     pay behind them (none where a leg of the graph is negative)."""
-    labels = distance_labels(legs, plan, key).select(key, F.col("place_id").alias("dest_place_id"), "to_pay")
     refunds = legs.groupBy(key).agg(F.min("price").alias("least")).filter("least < 0").select(key, F.lit(True).alias("refunds"))
-    slim = legs.select(key, "leg_id", "origin_place_id", "o_city", "dest_place_id", "d_city", "price", "duration_h")
-    return materialize(slim.join(labels, [key, "dest_place_id"]).join(refunds, key, "left")
+    slim = materialize(legs.select(key, "leg_id", "origin_place_id", "o_city", "dest_place_id", "d_city", "price", "duration_h")
+                       .join(refunds, key, "left"))
+    # where no price is asked for, labels by hops alone end in fewer rounds
+    priced = slim.withColumn("price", F.when(F.col("refunds").isNull(), F.col("price")).otherwise(F.lit(0.0)))
+    labels = distance_labels(priced, plan, key).select(key, F.col("place_id").alias("dest_place_id"), "to_pay")
+    return materialize(slim.join(labels, [key, "dest_place_id"])
                        .withColumn("rest", F.when(F.col("refunds").isNull(), F.col("to_pay"))).drop("refunds", "to_pay"))
 
 
