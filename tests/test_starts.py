@@ -41,3 +41,22 @@ def test_a_start_meets_a_bounded_number_of_rows(spark):
     for p_lo, t_lo, t_hi in asked:
         want = sorted((p, -t, i) for *_, i, p, t in rows if p >= p_lo and t_lo <= t <= t_hi)[:5]
         assert sorted(got.get((p_lo, t_lo, t_hi), [])) == want
+
+
+def test_a_catalogue_without_repeated_ids_is_not_grouped(spark, tmp_path, monkeypatch):
+    from routeweave.operators import legs
+    from routeweave.sources import catalogue as store
+    from routeweave.sources.fixtures import Catalogue
+
+    cat = _catalogue(spark)
+    grouped, group = [], legs.distinct_legs
+    for module in (legs, store):
+        monkeypatch.setattr(module, "distinct_legs", lambda rows: grouped.append(rows.count()) or group(rows), raising=False)
+    store.write_catalogue(cat, str(tmp_path / "a"))
+    assert grouped == []
+    one = cat.trips.limit(1).withColumn("price", F.lit(0.5))
+    store.write_catalogue(Catalogue(cat.cities, cat.places, cat.trips.unionByName(one)), str(tmp_path / "b"))
+    assert grouped == [2]
+    got = {r.leg_id: r.price for r in store.read_city_trips(spark, str(tmp_path / "b")).collect()}
+    want = {r.leg_id: r.price for r in cat.trips.collect()}
+    assert got == want | {r.leg_id: 0.5 for r in one.collect()}
