@@ -70,3 +70,17 @@ def test_legs_are_not_written_per_graph(spark):
         path = root.removeprefix("file:")
         sizes = [spark.read.parquet(f"{path}/{d}").count() for d in os.listdir(path)]
     assert legs > 3 * 891 and max(sizes) <= 900
+
+
+def test_the_report_sums_up_the_kept_legs_of_each_graph(spark, monkeypatch):
+    """The report goes through its operator, which gets every kept leg of every graph."""
+    graphs, trips = _tables(spark, 7, False)
+    shared = SharedGraphs(graphs, trips)
+    kept, got, report = shared.kept_legs().count(), [], graph.graph_report
+
+    def operator(legs, plan, key="graph_id"):
+        got.append(legs.count())
+        return report(legs, plan, key)
+    monkeypatch.setattr(graph, "graph_report", operator)
+    found = shared.report().collect()
+    assert got == [kept] and kept > len(found) > 0
