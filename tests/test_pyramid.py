@@ -59,3 +59,23 @@ def test_few_points_make_a_task_and_ties_at_the_bound_are_kept(spark):
     found = pyramid.nearby_cities(points, pyramid.city_pyramid(cities))
     assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().toString()
     assert _rows(found) == _rows(geo.nearby_cities(points, cities))
+
+
+def test_points_of_one_cell_share_their_search(spark, monkeypatch):
+    """Circles are covered for cells of points, not for points; repeated keys, odd places and edges of the region stay right."""
+    cities = _world(spark, 40_000, (44, 46), (6, 9)).withColumn("population", 100_000 + F.col("population") % 700)
+    cities = cities.unionByName(cities.limit(50))
+    i = F.col("id")
+    points = spark.range(600).select((i % 590).alias("request_id"), F.lit("SRC").alias("side"), (43.0 + i % 25 / 6).alias("lat"), (5.0 + i % 24 / 5).alias("lon"))
+    points = points.unionByName(spark.range(400).select((i + 1000).alias("request_id"), F.lit(None).cast("string").alias("side"), (42.15 + i % 40 / 900).alias("lat"), (7.0 + i / 900).alias("lon")))
+    odd = spark.createDataFrame([(2000, "SRC", 91.0, 7.0), (2001, "SRC", 90.0, 0.0), (2002, "SRC", float("nan"), 7.0), (2003, "SRC", -90.0, 180.0), (2004, "SRC", None, 1.0)], points.schema)
+    covered, cover = [], pyramid.cover
+
+    def counted(rows, *args, **more):
+        covered.append((rows.count(), more.get("slack", 0.0)))
+        return cover(rows, *args, **more)
+    monkeypatch.setattr(pyramid, "cover", counted)
+    monkeypatch.setattr(pyramid, "FEW", 0)
+    got = _rows(pyramid.nearby_cities(points.unionByName(odd), pyramid.city_pyramid(cities)))
+    assert got == _rows(geo.nearby_cities(points.unionByName(odd), cities)) and len(got) > 2500
+    assert covered[0][0] < 250 and [x[1] > 0 for x in covered] == [True] * 4 + [False] * 2
