@@ -1,7 +1,12 @@
 """What services and stores do once: joins of a service's catalogue, trips of a stored one."""
+import datetime as dt
+import glob
+
 from pyspark.sql import functions as F
 
 from routeweave.sources import catalogue as store
+from routeweave.sources import payloads
+from routeweave.streaming import ingest
 from tests.test_shared_searches import _catalogue
 
 
@@ -16,3 +21,15 @@ def test_stored_trips_are_made_once_unless_ids_repeat(spark, tmp_path, monkeypat
     v = store.write_catalogue(cat, f"{tmp_path}/again")
     trips = store.read_catalogue(spark, f"{tmp_path}/again", v).trips
     assert made and trips.count() == trips.select("leg_id").distinct().count() == store.read_city_trips(spark, f"{tmp_path}/again", v).count() == n
+
+
+def test_legs_of_documents_are_packed(spark, tmp_path):
+    trips = spark.createDataFrame([("1", "2", "A", "B", 3, 4, "FLIGHT", dt.date(2024, 1, 1), True, 9.5)],
+                                  "origin_place_id STRING, dest_place_id STRING, o_name STRING, d_name STRING, o_city INT, d_city INT, provider STRING, "
+                                  "departure_date DATE, is_direct BOOLEAN, price DOUBLE").withColumns({"departure_dt": F.lit(""), "arrival_dt": F.lit("")})
+    for name, docs in (("quotes", payloads.flight_quote_documents(trips)), ("journeys", payloads.bus_journey_documents(trips))):
+        docs.withColumn("fetched_at", F.lit("2024-01-01 00:00:00").cast("timestamp")).write.parquet(f"{tmp_path}/{name}")
+    legs = ingest.fresh_legs(ingest.read_documents(spark, f"{tmp_path}/quotes"), ingest.read_documents(spark, f"{tmp_path}/journeys"))
+    ingest.append_legs(legs, f"{tmp_path}/legs", f"{tmp_path}/ckpt", {"availableNow": True}).awaitTermination()
+    files = glob.glob(f"{tmp_path}/legs/departure_date=*/*.parquet")
+    assert files and all(".zstd." in f for f in files) and ingest.read_legs(spark, f"{tmp_path}/legs", legs.schema).count() == 1
