@@ -4,10 +4,27 @@ import glob
 
 from pyspark.sql import functions as F
 
+from routeweave.functions import codec
+from routeweave.plans import queries_more
 from routeweave.sources import catalogue as store
 from routeweave.sources import payloads
 from routeweave.streaming import ingest
-from tests.test_shared_searches import _catalogue
+from routeweave.streaming import serve as svc
+from tests.test_shared_searches import _catalogue, _requests
+
+
+def test_a_service_joins_its_trips_once(spark, tmp_path, monkeypatch):
+    """Two micro-batches, one join of trips with their places."""
+    joined, city_trips = [], svc.city_trips
+    monkeypatch.setattr(svc, "city_trips", lambda *tables: joined.append(1) or city_trips(*tables))
+    messages = codec.encode_requests(_requests(spark, range(4)))
+    for part in (0, 1):
+        messages.filter(F.col("request_id") % 2 == part).coalesce(1).write.parquet(f"{tmp_path}/in/part={part}")
+    stream = svc.read_messages(spark, "parquet", f"{tmp_path}/in", maxFilesPerTrigger=1, recursiveFileLookup="true")
+    svc.serve(stream, _catalogue(spark), f"{tmp_path}/out", f"{tmp_path}/ckpt", trigger={"availableNow": True}).awaitTermination()
+    replies = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert sorted(r.request_id for r in replies) == [0, 1, 2, 3] and {r.batch_id for r in replies} == {0, 1}
+    assert joined == [1]
 
 
 def test_stored_trips_are_made_once_unless_ids_repeat(spark, tmp_path, monkeypatch):
@@ -33,3 +50,7 @@ def test_legs_of_documents_are_packed(spark, tmp_path):
     ingest.append_legs(legs, f"{tmp_path}/legs", f"{tmp_path}/ckpt", {"availableNow": True}).awaitTermination()
     files = glob.glob(f"{tmp_path}/legs/departure_date=*/*.parquet")
     assert files and all(".zstd." in f for f in files) and ingest.read_legs(spark, f"{tmp_path}/legs", legs.schema).count() == 1
+
+
+def test_many_messages_are_written_into_more_files(spark):
+    assert queries_more._files(spark.range(600_000), 3) == 3 and queries_more._files(spark.range(1_000_001), 3) == 5
